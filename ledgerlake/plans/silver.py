@@ -67,7 +67,7 @@ class SilverResult:
 def clean(bronze: DataFrame) -> SilverResult:
     """Bronze rows -> clean layer."""
     tagged = tag_rejects(typed_rows(bronze))
-    valid = tagged.filter(F.col(REASON).isNull()).drop(REASON)
-    survivors = latest_per_key(valid, ["id_nfe"], S.BRONZE_ORDER)
+    columns = [c for c in tagged.columns if c != REASON]
+    survivors = latest_per_key(tagged, ["id_nfe"], S.BRONZE_ORDER, where=F.col(REASON).isNull(), columns=columns)
     silver = trim_columns(survivors, S.TRIMMED_FIELDS).select(*S.SILVER_FIELDS)
     return SilverResult(tagged=tagged, survivors=survivors, silver=silver)

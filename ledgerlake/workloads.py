@@ -18,6 +18,9 @@ from .plans import analytics
 from .plans.bronze import bronze_rows
 from .plans.silver import SilverResult, clean
 from .plans.star import Star, build_star
+from .operators.keys import Keyed
+from .session import scratch_path
+from .sinks.writers import read_star, write_star
 from .sources.tables import invoice_messages, read_table
 
 # One clean layer / star per (application, data folder): later questions of
@@ -41,6 +44,17 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     return _memo(spark, sf_dir, "star", lambda: build_star(silver_result(spark, sf_dir).silver))
 
 
+def gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
+    """The star written as the Parquet gold layer in the shared folder and read back."""
+
+    def build():
+        base = scratch_path(spark, "gold")
+        rows = write_star(star(spark, sf_dir).tables(), base)
+        return read_star(spark, base, rows)
+
+    return _memo(spark, sf_dir, "gold", build)
+
+
 # ---- clean layer -----------------------------------------------------------------
 def q_silver_layer(spark, sf_dir):
     return silver_result(spark, sf_dir).silver
@@ -89,25 +103,25 @@ def q_star_row_totals(spark, sf_dir):
 
 # ---- questions ---------------------------------------------------------------------
 def q_sales_by_state(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return analytics.sales_by_state(s.fato_vendas, s.dim_localidade)
+    g = gold(spark, sf_dir)
+    return analytics.sales_by_state(g["fato_vendas"], g["dim_localidade"])
 
 
 def q_top_emitters(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return analytics.top_emitters(s.fato_vendas, s.dim_emitente, s.dim_localidade)
+    g = gold(spark, sf_dir)
+    return analytics.top_emitters(g["fato_vendas"], g["dim_emitente"], g["dim_localidade"])
 
 
 def q_monthly_evolution(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return analytics.monthly_evolution(s.fato_vendas, s.dim_data)
+    g = gold(spark, sf_dir)
+    return analytics.monthly_evolution(g["fato_vendas"], g["dim_data"])
 
 
 def _sql_question(name: str):
     def run(spark, sf_dir):
-        s = star(spark, sf_dir)
         prefix = "gold_" + spark.sparkContext.applicationId.replace("-", "_") + "_"
-        s.register_views(prefix)
+        for table, keyed in gold(spark, sf_dir).items():
+            keyed.df.createOrReplaceTempView(prefix + table)
         return analytics.question_sql(spark, name, prefix)
 
     return run
