@@ -153,3 +153,81 @@ UNION ALL SELECT 'fato_vendas', CAST(COUNT(*) AS BIGINT) FROM fact""",
     "top_emitters_sql": TOP_EMITTERS,
     "monthly_evolution_sql": MONTHLY_EVOLUTION,
 }
+
+_HEADER_COLS = (
+    "id_nfe, numero_nfe, serie, data_emissao, natureza_operacao, cnpj_emitente, nome_emitente, uf_emitente, "
+    "municipio_emitente, cpf_destinatario, cnpj_destinatario, nome_destinatario, valor_produtos, valor_desconto, "
+    "valor_total_nf"
+)
+_INVOICE_FIELDS = _HEADER_COLS.split(", ") + ["arquivo_origem"]
+
+
+def _json_object(fields: list[str]) -> str:
+    parts = [
+        f"""'"{f}":' || CASE WHEN {f} IS NULL THEN 'null' ELSE '"' || {f} || '"' END""" for f in fields
+    ]
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+def _per_publication(select: str, where: str = "") -> str:
+    """The same rows once per publication (offset = key * publications + run)."""
+    return "\nUNION ALL\n".join(
+        select.replace("{run}", str(r)) + (f" WHERE {where}" if where else "") for r in range(PUBLICATIONS)
+    )
+
+
+ORACLE.update(
+    {
+        "xml_header": f"WITH {INVOICES} SELECT {_HEADER_COLS}, arquivo_origem FROM invoices",
+        "xml_items": """
+SELECT 'NFe' || lpad(CAST(l_orderkey AS VARCHAR), 44, '0') AS id_nfe,
+       'nfe_' || CAST(l_orderkey AS VARCHAR) || '.xml' AS arquivo_origem,
+       CAST(l_linenumber AS VARCHAR) AS numero_item, CAST(l_partkey AS VARCHAR) AS codigo,
+       CAST(NULL AS VARCHAR) AS descricao, CAST(l_suppkey AS VARCHAR) AS ncm, l_linestatus AS cfop,
+       l_returnflag AS unidade, CAST(CAST(l_quantity AS DECIMAL(18,4)) AS VARCHAR) AS quantidade,
+       CAST(NULL AS VARCHAR) AS valor_unitario,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS valor_total_item
+FROM lineitem""",
+        "xml_errors": """
+SELECT 'nfe_' || CAST(o_orderkey AS VARCHAR) || '.xml' AS arquivo_origem,
+       CASE o_orderpriority WHEN '5-LOW' THEN 'malformed XML'
+                            WHEN '4-NOT SPECIFIED' THEN 'infNFe not found'
+                            ELSE 'ide not found' END AS erro
+FROM orders WHERE o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED', '3-MEDIUM')""",
+        "xml_files": f"WITH {INVOICES} SELECT {_HEADER_COLS} FROM invoices",
+        "message_roundtrip": f"WITH {INVOICES} SELECT {_HEADER_COLS}, arquivo_origem FROM invoices",
+        "bronze_layer": f"WITH {INVOICES}\n"
+        + _per_publication(
+            f"SELECT {_json_object(_INVOICE_FIELDS)} AS payload, o_orderkey * {PUBLICATIONS} + {{run}} AS \"offset\" FROM invoices"
+        ),
+        "topic_not_empty": """
+SELECT 'messages_not_empty' AS "check", CAST(LEAST(COUNT(*), 1) AS BIGINT) AS observed,
+       CAST(1 AS BIGINT) AS expected, COUNT(*) >= 1 AS passed
+FROM orders""",
+        "json_extract_cast": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events",
+        "filter_required": f"WITH {INVOICES}\n"
+        + _per_publication(
+            f"SELECT id_nfe, o_orderkey * {PUBLICATIONS} + {{run}} AS \"offset\", vp_d AS valor_produtos, "
+            "vd_d AS valor_desconto, vt_d AS valor_total_nf FROM typed",
+            "id_nfe IS NOT NULL AND cnpj_emitente IS NOT NULL AND vt_d IS NOT NULL AND data_emissao IS NOT NULL "
+            "AND vp_d IS NOT NULL",
+        ),
+        "filter_values": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0",
+        "dedupe_by_key": """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, l_shipdate
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST,
+                 l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_discount DESC NULLS LAST,
+                 l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) AS rn
+      FROM lineitem)
+WHERE rn = 1""",
+        "trim_text": "SELECT doc_id, trim(text, ' ') AS text FROM documents",
+        "state_region_lookup": f"""WITH {INVOICES}
+SELECT i.c_custkey, i.uf_emitente AS uf, coalesce(st.regiao, {_UNKNOWN}) AS regiao,
+       coalesce(st.estado_completo, {_UNKNOWN}) AS estado_completo
+FROM issuers i LEFT JOIN {_STATES_VALUES} ON st.uf = i.uf_emitente""",
+        "sales_by_state_catalog": SALES_BY_STATE,
+    }
+)

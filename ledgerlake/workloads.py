@@ -20,8 +20,18 @@ from .plans.silver import SilverResult, clean
 from .plans.star import Star, build_star
 from .operators.keys import Keyed
 from .session import scratch_path
-from .sinks.writers import read_star, write_star
-from .sources.tables import invoice_messages, read_table
+from .sinks.writers import read_star, write_bronze, write_silver, write_star
+from .sources.layers import read_bronze, read_silver
+from .functions.json import record_json
+from .functions.lookup import state_attributes
+from .functions.money import money_text
+from .operators.cleaning import cast_double, extract_fields, filter_required, filter_values, trim_columns
+from .operators.dedupe import latest_per_key
+from .plans.silver import typed_rows
+from .sinks.writers import register_tables
+from .sinks.xml import write_documents, document_without_body, invoice_body, invoice_document, unterminated_document
+from .sources.tables import invoice_id, invoice_messages, invoice_records, issuers, read_table
+from .sources.xml import parse_documents, parse_records, read_document_records
 
 # One clean layer / star per (application, data folder): later questions of
 # the same session read the star tables already materialised in the shared
@@ -36,12 +46,34 @@ def _memo(spark: SparkSession, sf_dir: str, what: str, build: Callable[[], objec
     return _MEMO[key]
 
 
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoice messages landed as the JSON raw layer in the shared folder, read back."""
+
+    def build():
+        path = scratch_path(spark, "bronze")
+        write_bronze(bronze_rows(invoice_messages(spark, sf_dir)), path)
+        return read_bronze(spark, path)
+
+    return _memo(spark, sf_dir, "bronze", build)
+
+
 def silver_result(spark: SparkSession, sf_dir: str) -> SilverResult:
-    return _memo(spark, sf_dir, "silver", lambda: clean(bronze_rows(invoice_messages(spark, sf_dir))))
+    return _memo(spark, sf_dir, "silver_result", lambda: clean(bronze(spark, sf_dir)))
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean layer written as Parquet in the shared folder, read back."""
+
+    def build():
+        path = scratch_path(spark, "silver")
+        write_silver(silver_result(spark, sf_dir).silver, path)
+        return read_silver(spark, path)
+
+    return _memo(spark, sf_dir, "silver", build)
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    return _memo(spark, sf_dir, "star", lambda: build_star(silver_result(spark, sf_dir).silver))
+    return _memo(spark, sf_dir, "star", lambda: build_star(silver(spark, sf_dir)))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
@@ -57,7 +89,7 @@ def gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
 
 # ---- clean layer -----------------------------------------------------------------
 def q_silver_layer(spark, sf_dir):
-    return silver_result(spark, sf_dir).silver
+    return silver(spark, sf_dir)
 
 
 def q_reject_counts(spark, sf_dir):
@@ -67,7 +99,7 @@ def q_reject_counts(spark, sf_dir):
 def q_quality_report(spark, sf_dir):
     expected = read_table(spark, sf_dir, "orders").agg(F.count_distinct("o_orderkey").alias("expected"))
     return quality_report(
-        silver_result(spark, sf_dir).silver, "id_nfe", S.REQUIRED_FIELDS, S.POSITIVE_FIELDS,
+        silver(spark, sf_dir), "id_nfe", S.REQUIRED_FIELDS, S.POSITIVE_FIELDS,
         S.NON_NEGATIVE_FIELDS, expected_rows=expected,
     )
 
@@ -143,3 +175,145 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_emitters_sql": _sql_question("top_emitters"),
     "monthly_evolution_sql": _sql_question("monthly_evolution"),
 }
+
+
+# ---- documents and messages ------------------------------------------------------------
+def _documents(spark, sf_dir) -> DataFrame:
+    """One NF-e document per order of the given tables."""
+    rec = invoice_records(spark, sf_dir)
+    return rec.select(invoice_document().alias("value"), "arquivo_origem")
+
+
+def q_xml_header(spark, sf_dir):
+    return parse_documents(_documents(spark, sf_dir)).invoices
+
+
+def q_xml_items(spark, sf_dir):
+    """One document per line item (a single ``det`` each), parsed and exploded to item grain."""
+    li = read_table(spark, sf_dir, "lineitem")
+    item = F.struct(
+        F.col("l_linenumber").cast("string").alias("numero_item"),
+        F.col("l_partkey").cast("string").alias("codigo"),
+        F.lit(None).cast("string").alias("descricao"),
+        F.col("l_suppkey").cast("string").alias("ncm"),
+        F.col("l_linestatus").alias("cfop"),
+        F.col("l_returnflag").alias("unidade"),
+        F.col("l_quantity").cast("decimal(18,4)").cast("string").alias("quantidade"),
+        F.lit(None).cast("string").alias("valor_unitario"),
+        money_text("l_extendedprice").alias("valor_total_item"),
+    )
+    heads = li.select(
+        invoice_id(F.col("l_orderkey")).alias("id_nfe"),
+        F.concat(F.lit("nfe_"), F.col("l_orderkey").cast("string"), F.lit(".xml")).alias("arquivo_origem"),
+        F.array(item).alias("__items"),
+    )
+    cols = {c: F.lit(None).cast("string") for c in S.HEADER_FIELDS if c != "id_nfe"}
+    docs = heads.withColumns(cols).select(
+        invoice_document(invoice_body(F.col("__items"))).alias("value"), "arquivo_origem"
+    )
+    return parse_documents(docs).items
+
+
+def q_xml_errors(spark, sf_dir):
+    """Documents of every order, some damaged according to the order's priority class:
+    ``5-LOW`` never closes its elements, ``4-NOT SPECIFIED`` carries no invoice body,
+    ``3-MEDIUM`` has no identification block. Returns the error side output."""
+    rec = invoice_records(spark, sf_dir)
+    pr = F.col("natureza_operacao")
+    doc = (
+        F.when(pr == "5-LOW", unterminated_document())
+        .when(pr == "4-NOT SPECIFIED", document_without_body())
+        .when(pr == "3-MEDIUM", invoice_document(invoice_body(include_ide=False)))
+        .otherwise(invoice_document())
+    )
+    return parse_documents(rec.select(doc.alias("value"), "arquivo_origem")).errors
+
+
+def q_xml_files(spark, sf_dir):
+    """Documents written many per file and read back with the record reader (files split in parallel)."""
+    path = scratch_path(spark, "documents")
+    write_documents(invoice_records(spark, sf_dir), path)
+    parsed = parse_records(read_document_records(spark, path))
+    return parsed.invoices.drop("arquivo_origem")
+
+
+def q_message_roundtrip(spark, sf_dir):
+    """Documents -> parsed records (with items) -> JSON message values -> fields extracted again."""
+    rec = parse_documents(_documents(spark, sf_dir)).invoices_with_items
+    values = rec.select(record_json(*[c for c in S.INVOICE_WITH_ITEMS.fieldNames()]).alias("payload"))
+    return extract_fields(values, "payload", S.INVOICE_FIELDS)
+
+
+def q_bronze_layer(spark, sf_dir):
+    return bronze(spark, sf_dir).select("payload", "offset")
+
+
+def q_topic_not_empty(spark, sf_dir):
+    msgs = invoice_messages(spark, sf_dir)
+    return msgs.limit(1).agg(F.count(F.lit(1)).alias("observed")).select(
+        F.lit("messages_not_empty").alias("check"), F.col("observed").cast("long"),
+        F.lit(1).cast("long").alias("expected"), (F.col("observed") >= 1).alias("passed"),
+    )
+
+
+# ---- single operators on the given tables ---------------------------------------------------
+def q_json_extract_cast(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return cast_double(extract_fields(ev, "props", ["k"], keep=["event_id"]), ["k"])
+
+
+def q_filter_required(spark, sf_dir):
+    typed = typed_rows(bronze(spark, sf_dir))
+    kept = filter_required(typed, S.REQUIRED_FIELDS + ["valor_produtos"])
+    return kept.select("id_nfe", "offset", *S.AMOUNT_FIELDS)
+
+
+def q_filter_values(spark, sf_dir):
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return filter_values(cust, ["c_acctbal"], [])
+
+
+def q_dedupe_by_key(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return latest_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+def q_trim_text(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return trim_columns(docs, ["text"])
+
+
+def q_state_region_lookup(spark, sf_dir):
+    iss = issuers(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation"))
+    return iss.select("c_custkey", F.col("uf_emitente").alias("uf"), *[
+        v.alias(k) for k, v in state_attributes("uf_emitente").items()
+    ])
+
+
+def q_sales_by_state_catalog(spark, sf_dir):
+    """The revenue-by-state question through external catalog tables over the gold folders."""
+    g = gold(spark, sf_dir)
+    db = "gold_" + spark.sparkContext.applicationId.replace("-", "_")
+    locations = {name: k.df.inputFiles()[0].rsplit("/", 1)[0] for name, k in g.items()}
+    register_tables(spark, db, locations)
+    return analytics.question_sql(spark, "sales_by_state", db + ".")
+
+
+QUERIES.update(
+    {
+        "xml_header": q_xml_header,
+        "xml_items": q_xml_items,
+        "xml_errors": q_xml_errors,
+        "xml_files": q_xml_files,
+        "message_roundtrip": q_message_roundtrip,
+        "bronze_layer": q_bronze_layer,
+        "topic_not_empty": q_topic_not_empty,
+        "json_extract_cast": q_json_extract_cast,
+        "filter_required": q_filter_required,
+        "filter_values": q_filter_values,
+        "dedupe_by_key": q_dedupe_by_key,
+        "trim_text": q_trim_text,
+        "state_region_lookup": q_state_region_lookup,
+        "sales_by_state_catalog": q_sales_by_state_catalog,
+    }
+)
