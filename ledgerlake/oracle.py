@@ -231,3 +231,5 @@ FROM issuers i LEFT JOIN {_STATES_VALUES} ON st.uf = i.uf_emitente""",
         "sales_by_state_catalog": SALES_BY_STATE,
     }
 )
+
+ORACLE["silver_incremental"] = ORACLE["silver_layer"]
