@@ -233,3 +233,26 @@ FROM issuers i LEFT JOIN {_STATES_VALUES} ON st.uf = i.uf_emitente""",
 )
 
 ORACLE["silver_incremental"] = ORACLE["silver_layer"]
+
+ORACLE.update(
+    {
+        "quarantine_rows": f"""WITH {INVOICES}
+SELECT id_nfe, o_orderkey * {PUBLICATIONS} + r.run AS "offset",
+       CASE WHEN vp_d IS NULL OR vd_d IS NULL OR NOT (vt_d > 0 AND vp_d > 0 AND vd_d >= 0) THEN 'invalid_value'
+            ELSE 'duplicate' END AS reject_reason
+FROM typed JOIN (SELECT range AS run FROM range({PUBLICATIONS})) r
+  ON r.run < {PUBLICATIONS} - 1 OR vp_d IS NULL OR vd_d IS NULL OR NOT (vt_d > 0 AND vp_d > 0 AND vd_d >= 0)""",
+        "items_reconciliation": f"""WITH {INVOICES}
+SELECT 'NFe' || lpad(CAST(l.l_orderkey AS VARCHAR), 44, '0') AS id_nfe,
+       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS soma_itens,
+       CAST(MAX(a.vp) AS DOUBLE) AS valor_produtos,
+       coalesce(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) = MAX(a.vp), false) AS confere
+FROM lineitem l JOIN amounts a ON a.l_orderkey = l.l_orderkey
+GROUP BY l.l_orderkey""",
+        "timestamp_grain_fanout": """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS data, COUNT(*) AS notas, COUNT(DISTINCT ts) AS instantes,
+       COUNT(*) * COUNT(DISTINCT ts) AS linhas_fato
+FROM events GROUP BY CAST(ts AS DATE)""",
+        "sales_by_state_saved": SALES_BY_STATE,
+    }
+)

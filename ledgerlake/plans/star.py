@@ -158,3 +158,16 @@ def build_star(
     expected = silver.count() if (check_rows and grain == DATE_GRAIN) else None
     f = fato_vendas(silver, e, d, loc, time_zone, max_broadcast_rows, num_partitions, expected)
     return Star(e, d, loc, f)
+
+
+def timestamp_grain_fact_rows(df: DataFrame, instant: str, date: str) -> DataFrame:
+    """Per calendar date: invoices, distinct issue instants, and the fact rows a calendar
+    keyed by instant but joined by date would produce (invoices x instants).
+
+    Measures the fan-out of the timestamp grain without producing the pairs.
+    """
+    per = df.groupBy(F.col(date).alias("data")).agg(
+        F.count(F.lit(1)).alias("notas"),
+        F.count_distinct(F.col(instant)).alias("instantes"),
+    )
+    return per.withColumn("linhas_fato", F.col("notas") * F.col("instantes"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from . import schemas as S
 from .operators.quality import quality_report
 from .plans import analytics
-from .plans.bronze import bronze_rows
+from .plans.layers import load_bronze
 from .plans.silver import SilverResult, clean
 from .plans.star import Star, build_star
 from .operators.keys import Keyed
@@ -27,7 +27,10 @@ from .functions.lookup import state_attributes
 from .functions.money import money_text
 from .operators.cleaning import cast_double, extract_fields, filter_required, filter_values, trim_columns
 from .operators.dedupe import latest_per_key
-from .plans.silver import typed_rows
+from .plans.silver import REASON, typed_rows
+from .plans.star import timestamp_grain_fact_rows
+from .functions.money import as_double, to_money
+from .sinks.writers import save_result
 from .sinks.writers import register_tables
 from .sinks.xml import write_documents, document_without_body, invoice_body, invoice_document, unterminated_document
 from .sources.tables import invoice_id, invoice_messages, invoice_records, issuers, read_table
@@ -52,7 +55,7 @@ def bronze_path(spark: SparkSession, sf_dir: str) -> str:
 
     def build():
         path = scratch_path(spark, "bronze")
-        write_bronze(bronze_rows(invoice_messages(spark, sf_dir)), path)
+        load_bronze(invoice_messages(spark, sf_dir), path)
         return path
 
     return _memo(spark, sf_dir, "bronze_path", build)
@@ -333,3 +336,48 @@ def q_silver_incremental(spark, sf_dir):
 
 
 QUERIES["silver_incremental"] = q_silver_incremental
+
+
+# ---- accounting, reconciliation, replay measure, saved results --------------------------------
+def q_quarantine_rows(spark, sf_dir):
+    """Every rejected raw row with its reason (rule breaks and the copies that lost dedupe)."""
+    return silver_result(spark, sf_dir).quarantine().select("id_nfe", "offset", REASON)
+
+
+def q_items_reconciliation(spark, sf_dir):
+    """Per invoice: items parsed from the documents summed, against the header product total."""
+    items = q_xml_items(spark, sf_dir)
+    per = items.groupBy("id_nfe").agg(F.sum(to_money("valor_total_item")).alias("soma_itens"))
+    head = invoice_records(spark, sf_dir).select("id_nfe", to_money("valor_produtos").alias("valor_produtos"))
+    j = per.join(head, "id_nfe", "left")
+    return j.select(
+        "id_nfe",
+        as_double("soma_itens").alias("soma_itens"),
+        as_double("valor_produtos").alias("valor_produtos"),
+        F.coalesce(F.col("soma_itens") == F.col("valor_produtos"), F.lit(False)).alias("confere"),
+    )
+
+
+def q_timestamp_grain_fanout(spark, sf_dir):
+    """Fact rows per date a calendar keyed by instant would produce, on the event stream."""
+    ev = read_table(spark, sf_dir, "events").select("ts", F.to_date("ts").alias("d"))
+    out = timestamp_grain_fact_rows(ev, "ts", "d")
+    return out.select(F.col("data").cast("string").alias("data"), "notas", "instantes", "linhas_fato")
+
+
+def q_sales_by_state_saved(spark, sf_dir):
+    """The revenue-by-state result persisted as CSV with a header and read back."""
+    path = scratch_path(spark, "results_sales_by_state")
+    result = q_sales_by_state(spark, sf_dir)
+    save_result(result, path)
+    return spark.read.option("header", "true").schema(result.schema).csv(path)
+
+
+QUERIES.update(
+    {
+        "quarantine_rows": q_quarantine_rows,
+        "items_reconciliation": q_items_reconciliation,
+        "timestamp_grain_fanout": q_timestamp_grain_fanout,
+        "sales_by_state_saved": q_sales_by_state_saved,
+    }
+)
