@@ -27,6 +27,7 @@ from .functions.lookup import state_attributes
 from .functions.money import money_text
 from .operators.cleaning import cast_double, extract_fields, filter_required, filter_values, trim_columns
 from .operators.dedupe import latest_per_key
+from .operators.partitioning import ensure_parallelism
 from .plans.silver import REASON, typed_rows
 from .plans.star import timestamp_grain_fact_rows
 from .functions.money import as_double, to_money
@@ -198,7 +199,7 @@ def q_xml_header(spark, sf_dir):
 
 def q_xml_items(spark, sf_dir):
     """One document per line item (a single ``det`` each), parsed and exploded to item grain."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem"))
     item = F.struct(
         F.col("l_linenumber").cast("string").alias("numero_item"),
         F.col("l_partkey").cast("string").alias("codigo"),
