@@ -21,6 +21,8 @@ from ..session import ensure_checkpoint_dir
 # monotonically_increasing_id() puts the partition index in the upper 31 bits
 # and the record number inside the partition in the lower 33 bits.
 _PARTITION_SHIFT = 33
+# up to this many partitions the offsets are a literal array in the expression
+_LITERAL_OFFSETS = 1024
 
 
 @dataclass
@@ -56,7 +58,18 @@ def with_dense_key(
         offsets.append(running)
         running += counts.get(p, 0)
 
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _PARTITION_SHIFT)
-    keyed = ranged.withColumn(key_name, offset + position + F.lit(1))
+    if width <= _LITERAL_OFFSETS:
+        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
+        keyed = ranged.withColumn(key_name, offset + position + F.lit(1))
+    else:
+        # many partitions: a broadcast table of one offset per partition (bounded by
+        # the partition count) instead of a literal too large for generated code
+        table = spark.createDataFrame(list(enumerate(offsets)), "__pid int, __off long")
+        tagged = ranged.withColumn("__pid", pid).withColumn("__pos", position)
+        keyed = (
+            tagged.join(F.broadcast(table), "__pid")
+            .withColumn(key_name, F.col("__off") + F.col("__pos") + F.lit(1))
+            .drop("__pid", "__pos", "__off")
+        )
     return Keyed(keyed, running)

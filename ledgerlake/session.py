@@ -20,6 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # remove checkpoint files once the DataFrames that use them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

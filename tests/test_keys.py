@@ -36,3 +36,13 @@ def test_dense_key_empty_input(spark):
     df = spark.createDataFrame([], "u string")
     keyed = with_dense_key(df, ["u"], "k", 3)
     assert keyed.rows == 0 and keyed.df.count() == 0
+
+
+def test_dense_key_with_many_partitions_uses_offset_table(spark, monkeypatch):
+    from ledgerlake.operators import keys
+
+    monkeypatch.setattr(keys, "_LITERAL_OFFSETS", 2)
+    df = spark.range(0, 700).select((F.col("id") * 37 % 701).alias("a"))
+    keyed = keys.with_dense_key(df, ["a"], "k", num_partitions=6)
+    got = {(r.a,): r.k for r in keyed.df.collect()}
+    assert got == _expected(df, ["a"])
