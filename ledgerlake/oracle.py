@@ -256,3 +256,5 @@ FROM events GROUP BY CAST(ts AS DATE)""",
         "sales_by_state_saved": SALES_BY_STATE,
     }
 )
+
+ORACLE.update({"parquet_roundtrip": "SELECT * FROM orders", "json_roundtrip": "SELECT * FROM customer"})

@@ -56,13 +56,16 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     A cluster must name it; only a local session (tests) gets a private
     temporary folder when it is unset.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
     if not _is_local(spark):
@@ -70,9 +73,10 @@ def shared_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; a cluster job needs a shared folder for "
             "checkpoints and intermediate tables"
         )
-    base = tempfile.mkdtemp(prefix="ledgerlake-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="ledgerlake-")
+    return _LOCAL_FALLBACK[app]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

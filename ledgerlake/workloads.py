@@ -31,7 +31,7 @@ from .operators.partitioning import ensure_parallelism
 from .plans.silver import REASON, typed_rows
 from .plans.star import timestamp_grain_fact_rows
 from .functions.money import as_double, to_money
-from .sinks.writers import save_result
+from .sinks.writers import save_result, write_observed
 from .sinks.writers import register_tables
 from .sinks.xml import write_documents, document_without_body, invoice_body, invoice_document, unterminated_document
 from .sources.tables import invoice_id, invoice_messages, invoice_records, issuers, read_table
@@ -382,3 +382,22 @@ QUERIES.update(
         "sales_by_state_saved": q_sales_by_state_saved,
     }
 )
+
+
+# ---- layer formats -----------------------------------------------------------------------------
+def q_parquet_roundtrip(spark, sf_dir):
+    """A whole table written as Parquet in the shared folder and read back."""
+    path = scratch_path(spark, "parquet_roundtrip")
+    write_silver(read_table(spark, sf_dir, "orders"), path)
+    return read_silver(spark, path)
+
+
+def q_json_roundtrip(spark, sf_dir):
+    """A whole table written as JSON lines and read back with its declared schema."""
+    src = read_table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "json_roundtrip")
+    write_observed(src, path, "json")
+    return spark.read.schema(src.schema).json(path)
+
+
+QUERIES.update({"parquet_roundtrip": q_parquet_roundtrip, "json_roundtrip": q_json_roundtrip})
