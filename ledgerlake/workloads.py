@@ -13,30 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas as S
-from .operators.quality import quality_report
-from .plans import analytics
-from .plans.layers import load_bronze
-from .plans.silver import SilverResult, clean
-from .plans.star import Star, build_star
-from .operators.keys import Keyed
-from .session import scratch_path
-from .sinks.writers import read_star, write_bronze, write_silver, write_star
-from .sources.layers import read_bronze, read_silver
 from .functions.json import record_json
 from .functions.lookup import state_attributes
-from .functions.money import money_text
+from .functions.money import as_double, money_text, to_money
 from .operators.cleaning import cast_double, extract_fields, filter_required, filter_values, trim_columns
 from .operators.dedupe import latest_per_key
+from .operators.keys import Keyed
 from .operators.partitioning import ensure_parallelism
-from .plans.silver import REASON, typed_rows
-from .plans.star import timestamp_grain_fact_rows
-from .functions.money import as_double, to_money
-from .sinks.writers import save_result, write_observed
-from .sinks.writers import register_tables
-from .sinks.xml import write_documents, document_without_body, invoice_body, invoice_document, unterminated_document
+from .operators.quality import quality_report
+from .plans import analytics
+from .plans.layers import load_bronze
+from .plans.silver import REASON, SilverResult, clean, typed_rows
+from .plans.star import Star, build_star, timestamp_grain_fact_rows
+from .session import scratch_path
+from .sinks.writers import read_star, register_tables, save_result, write_observed, write_silver, write_star
+from .sinks.xml import (
+    document_without_body,
+    invoice_body,
+    invoice_document,
+    unterminated_document,
+    write_documents,
+)
+from .sources.layers import read_bronze, read_silver
 from .sources.tables import invoice_id, invoice_messages, invoice_records, issuers, read_table
-from .streaming.incremental import run_incremental_silver
 from .sources.xml import parse_documents, parse_records, read_document_records
+from .streaming.incremental import run_incremental_silver
 
 # One clean layer / star per (application, data folder): later questions of
 # the same session read the star tables already materialised in the shared
