@@ -1,8 +1,11 @@
 """The three revenue questions over the star schema, as DataFrames and as SQL.
 
-DataFrame forms aggregate the fact by its foreign key *before* joining, so a
-dimension of any size meets one row per member instead of every sale, and a
-member holding a large share of the sales is reduced map-side first. Sums are
+Plan choice by dimension size: a dimension small enough to broadcast is joined
+to the fact first and the aggregate runs once, partially on the map side (one
+shuffle of partial sums). A dimension too large to broadcast would make the
+whole fact shuffle for the join, so the fact is first aggregated by its
+foreign key -- one row per member, reduced map-side even for a member holding
+a large share of the sales -- and only those rows meet the dimension. Sums are
 exact decimals; means are exact half-up to the cent (see ``functions.money``).
 """
 
@@ -11,42 +14,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.money import as_double, exact_sum, rounded_mean
+from ..functions.money import as_double, rounded_mean, to_money
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_sized
 from ..operators.keys import Keyed
 
 
-def _per_member(fact: DataFrame, keys: list[str]) -> DataFrame:
-    return fact.groupBy(*keys).agg(
-        F.count("id_nfe").alias("__n"),
-        exact_sum("valor_total").alias("__sum"),
-        F.count("valor_total").alias("__nv"),
-    )
-
-
-def _measures(grouped) -> DataFrame:
-    return grouped.agg(
-        F.sum("__n").alias("quantidade_nfe"),
-        F.sum("__sum").alias("__sum"),
-        F.sum("__nv").alias("__nv"),
-    )
-
-
-def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(
+def _by_members(
+    fact: DataFrame, dims: list[tuple[Keyed, str, list[str]]], keys: list[str], max_broadcast_rows: int
+) -> DataFrame:
+    """Measures grouped by dimension attributes ``keys``.
+
+    ``dims``: (dimension, foreign key, attributes taken from it).
+    """
+    all_small = all(d.rows <= max_broadcast_rows for d, _, _ in dims)
+    fks = [fk for _, fk, _ in dims]
+    if all_small:
+        f = fact.select(*fks, "id_nfe", to_money("valor_total").alias("__v"))
+        n, total, nv = F.count("id_nfe"), F.sum("__v"), F.count("__v")
+    else:
+        f = fact.groupBy(*fks).agg(
+            F.count("id_nfe").alias("__n"), F.sum(to_money("valor_total")).alias("__sum"), F.count("valor_total").alias("__nv")
+        )
+        n, total, nv = F.sum("__n"), F.sum("__sum"), F.sum("__nv")
+    for dim, fk, attrs in dims:
+        f = join_sized(f, dim.df.select(fk, *attrs), fk, "inner", max_broadcast_rows, dim.rows)
+    g = f.groupBy(*keys).agg(n.alias("__qn"), total.alias("__t"), nv.alias("__tn"))
+    return g.select(
         *keys,
-        F.col("quantidade_nfe").cast("long").alias("quantidade_nfe"),
-        as_double("__sum").alias("faturamento_total"),
-        rounded_mean("__sum", "__nv").alias("ticket_medio"),
+        F.col("__qn").cast("long").alias("quantidade_nfe"),
+        as_double("__t").alias("faturamento_total"),
+        rounded_mean("__t", "__tn").alias("ticket_medio"),
     )
 
 
 def sales_by_state(fact: Keyed, localidade: Keyed, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Invoices, revenue and mean ticket per state, highest revenue first."""
-    per = _per_member(fact.df, ["id_localidade"])
-    loc = localidade.df.select("id_localidade", "uf", "regiao")
-    j = join_sized(per, loc, "id_localidade", "inner", max_broadcast_rows, localidade.rows)
-    out = _finish(_measures(j.groupBy("uf", "regiao")), ["uf", "regiao"])
+    out = _by_members(fact.df, [(localidade, "id_localidade", ["uf", "regiao"])], ["uf", "regiao"], max_broadcast_rows)
     return out.orderBy(F.col("faturamento_total").desc(), F.col("uf"), F.col("regiao"))
 
 
@@ -58,21 +61,14 @@ def top_emitters(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """The ``n`` issuers with the highest revenue (ties broken by CNPJ)."""
-    per = _per_member(fact.df, ["id_emitente", "id_localidade"])
-    e = emitente.df.select("id_emitente", "cnpj", "nome")
-    j = join_sized(per, e, "id_emitente", "inner", max_broadcast_rows, emitente.rows)
-    loc = localidade.df.select("id_localidade", "uf")
-    j = join_sized(j, loc, "id_localidade", "inner", max_broadcast_rows, localidade.rows)
-    out = _finish(_measures(j.groupBy("cnpj", "nome", "uf")), ["cnpj", "nome", "uf"])
+    dims = [(emitente, "id_emitente", ["cnpj", "nome"]), (localidade, "id_localidade", ["uf"])]
+    out = _by_members(fact.df, dims, ["cnpj", "nome", "uf"], max_broadcast_rows)
     return out.orderBy(F.col("faturamento_total").desc(), "cnpj", "uf", "nome").limit(n)
 
 
 def monthly_evolution(fact: Keyed, data: Keyed, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Invoices, revenue and mean ticket per calendar month, in time order."""
-    per = _per_member(fact.df, ["id_data"])
-    d = data.df.select("id_data", "ano", "mes")
-    j = join_sized(per, d, "id_data", "inner", max_broadcast_rows, data.rows)
-    out = _finish(_measures(j.groupBy("ano", "mes")), ["ano", "mes"])
+    out = _by_members(fact.df, [(data, "id_data", ["ano", "mes"])], ["ano", "mes"], max_broadcast_rows)
     return out.orderBy("ano", "mes")
 
 

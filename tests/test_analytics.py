@@ -58,8 +58,13 @@ def test_sql_and_dataframe_forms_agree(spark):
         assert sql.columns == df.columns
 
 
-def test_pre_aggregation_before_dimension_join(spark):
+def test_plan_choice_by_dimension_size(spark):
     s = _star(spark)
-    plan = analytics.top_emitters(s.fato_vendas, s.dim_emitente, s.dim_localidade)._jdf.queryExecution().optimizedPlan().toString()
-    # the fact is grouped by its foreign keys below the joins
+    big = analytics.top_emitters(s.fato_vendas, s.dim_emitente, s.dim_localidade, max_broadcast_rows=0)
+    small = analytics.top_emitters(s.fato_vendas, s.dim_emitente, s.dim_localidade)
+    assert [tuple(r) for r in big.collect()] == [tuple(r) for r in small.collect()]
+    plan = big._jdf.queryExecution().optimizedPlan().toString()
+    # large dimension: the fact is grouped by its foreign keys below the joins
     assert plan.rfind("Aggregate [id_emitente") > plan.find("Join")
+    plan = small._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [id_emitente" not in plan
