@@ -50,6 +50,27 @@ def run_incremental_silver(
     layer, and stop. Progress lives in ``checkpoint_path`` (shared storage), so a
     rerun or a restarted job continues where the last one ended."""
     stream = clean_stream(bronze_file_stream(spark, bronze_path, max_files_per_trigger), watermark_delay)
+    return _run_available(stream, silver_path, checkpoint_path)
+
+
+def run_incremental_silver_from_topic(
+    spark: SparkSession,
+    brokers: str,
+    topic: str,
+    silver_path: str,
+    checkpoint_path: str,
+    watermark_delay: str = "1 day",
+    max_offsets_per_trigger: int | None = None,
+) -> dict:
+    """The same, reading the message topic directly (raw projection applied in flight)."""
+    from ..plans.bronze import bronze_rows
+    from ..sources.messages import read_topic_stream
+
+    messages = read_topic_stream(spark, brokers, topic, max_offsets_per_trigger=max_offsets_per_trigger)
+    return _run_available(clean_stream(bronze_rows(messages), watermark_delay), silver_path, checkpoint_path)
+
+
+def _run_available(stream: DataFrame, silver_path: str, checkpoint_path: str) -> dict:
     query = (
         stream.writeStream.format("parquet")
         .option("path", silver_path)

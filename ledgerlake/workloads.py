@@ -86,15 +86,19 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     return _memo(spark, sf_dir, "star", lambda: build_star(silver(spark, sf_dir)))
 
 
-def gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
-    """The star written as the Parquet gold layer in the shared folder and read back."""
+def gold_path(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+    """The star written as the Parquet gold layer in the shared folder (folder, rows per table)."""
 
     def build():
         base = scratch_path(spark, "gold")
-        rows = write_star(star(spark, sf_dir).tables(), base)
-        return read_star(spark, base, rows)
+        return base, write_star(star(spark, sf_dir).tables(), base)
+
+    return _memo(spark, sf_dir, "gold_path", build)
 
-    return _memo(spark, sf_dir, "gold", build)
+
+def gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
+    base, rows = gold_path(spark, sf_dir)
+    return read_star(spark, base, rows)
 
 
 # ---- clean layer -----------------------------------------------------------------
@@ -302,10 +306,9 @@ def q_state_region_lookup(spark, sf_dir):
 
 def q_sales_by_state_catalog(spark, sf_dir):
     """The revenue-by-state question through external catalog tables over the gold folders."""
-    g = gold(spark, sf_dir)
+    base, rows = gold_path(spark, sf_dir)
     db = "gold_" + spark.sparkContext.applicationId.replace("-", "_")
-    locations = {name: k.df.inputFiles()[0].rsplit("/", 1)[0] for name, k in g.items()}
-    register_tables(spark, db, locations)
+    register_tables(spark, db, {name: f"{base}/{name}" for name in rows})
     return analytics.question_sql(spark, "sales_by_state", db + ".")
 
 
