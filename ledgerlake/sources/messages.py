@@ -29,11 +29,23 @@ def _load(reader, what: str) -> DataFrame:
         raise
 
 
-def read_topic(spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "earliest") -> DataFrame:
+def _min_partitions(spark: SparkSession, min_partitions: int | None) -> str:
+    # a topic with few partitions (or one partition holding most messages) is split
+    # into offset ranges so the read is spread over the cluster's cores
+    return str(min_partitions or spark.sparkContext.defaultParallelism)
+
+
+def read_topic(
+    spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "earliest", min_partitions: int | None = None
+) -> DataFrame:
     """Every message of the topic up to the latest offset (batch): ``key, value, topic,
-    partition, offset, timestamp, timestampType``. Read in parallel, one task per
-    topic partition (or split further with ``minPartitions``)."""
-    reader = spark.read.format("kafka").options(**topic_options(brokers, topic, starting_offsets))
+    partition, offset, timestamp, timestampType``. Each topic partition's offset range is
+    split into at least ``min_partitions`` tasks overall (default: default parallelism)."""
+    reader = (
+        spark.read.format("kafka")
+        .options(**topic_options(brokers, topic, starting_offsets))
+        .option("minPartitions", _min_partitions(spark, min_partitions))
+    )
     return _load(reader, "read_topic")
 
 
@@ -41,7 +53,11 @@ def read_topic_stream(
     spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None
 ) -> DataFrame:
     """The topic as an unbounded source for incremental processing."""
-    reader = spark.readStream.format("kafka").options(**topic_options(brokers, topic, starting_offsets, None))
+    reader = (
+        spark.readStream.format("kafka")
+        .options(**topic_options(brokers, topic, starting_offsets, None))
+        .option("minPartitions", _min_partitions(spark, None))
+    )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return _load(reader, "read_topic_stream")
