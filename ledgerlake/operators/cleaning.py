@@ -17,8 +17,14 @@ DUPLICATE = "duplicate"
 
 
 def extract_fields(df: DataFrame, payload: str, fields: list[str], keep: list[str] | None = None) -> DataFrame:
-    """JSON payload -> one text column per field (plus ``keep`` columns), one parse per row."""
-    parsed = extract_text_fields(payload, fields).alias("__p")
+    """JSON payload -> one text column per field (plus ``keep`` columns), one parse per row.
+
+    The parsed object comes out of a generator over a one-element array. A
+    filter on the extracted fields then stays above the parse; over a plain
+    projection the optimizer would push it below and repeat the parse once
+    per field the predicate references.
+    """
+    parsed = F.explode(F.array(extract_text_fields(payload, fields))).alias("__p")
     return df.select(*(keep or []), parsed).select(*(keep or []), *[F.col(f"__p.{f}").alias(f) for f in fields])
 
 

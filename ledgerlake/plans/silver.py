@@ -55,13 +55,16 @@ class SilverResult:
         )
 
     def quarantine(self) -> DataFrame:
-        """Every rejected row with its reason, including the copies that lost deduplication."""
-        rule_rejects = self.tagged.filter(F.col(REASON).isNotNull())
-        valid = self.tagged.filter(F.col(REASON).isNull())
+        """Every rejected row with its reason, including the copies that lost deduplication.
+
+        One anti-join of all rows against the surviving message positions: what is
+        not a survivor either broke a rule (its reason) or lost to a later copy.
+        """
         keys = ["id_nfe"] + S.BRONZE_ORDER
         winners = self.survivors.select(*keys)
-        losers = valid.join(winners, [valid[k].eqNullSafe(winners[k]) for k in keys], "left_anti")
-        return rule_rejects.unionByName(losers.withColumn(REASON, F.lit(DUPLICATE)))
+        t = self.tagged
+        rejected = t.join(winners, [t[k].eqNullSafe(winners[k]) for k in keys], "left_anti")
+        return rejected.withColumn(REASON, F.coalesce(F.col(REASON), F.lit(DUPLICATE)))
 
 
 def clean(bronze: DataFrame) -> SilverResult:
