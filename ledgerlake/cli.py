@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
 
 from .operators.quality import QualityGateError
 from .plans import analytics
@@ -99,13 +100,21 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             out = _questions(spark, a.gold, a.out, a.format)
         else:  # run
             b = a.base.rstrip("/")
-            out = {"ingest": ingest_documents(spark, a.xml_dir, "nfe-raw", f"{b}/messages", None, f"{b}/errors")}
-            out["bronze"] = load_bronze(read_message_dir(spark, f"{b}/messages"), f"{b}/bronze")
-            out["silver"] = load_silver(spark, f"{b}/bronze", f"{b}/silver", f"{b}/quarantine")
+            out, seconds = {}, {}
+
+            def stage(name, fn):
+                t0 = time.perf_counter()
+                out[name] = fn()
+                seconds[name] = round(time.perf_counter() - t0, 3)
+
+            stage("ingest", lambda: ingest_documents(spark, a.xml_dir, "nfe-raw", f"{b}/messages", None, f"{b}/errors"))
+            stage("bronze", lambda: load_bronze(read_message_dir(spark, f"{b}/messages"), f"{b}/bronze"))
+            stage("silver", lambda: load_silver(spark, f"{b}/bronze", f"{b}/silver", f"{b}/quarantine"))
             expected = a.expected if a.expected is not None else out["silver"]["output"]
-            out["validate"] = validate_silver(spark, f"{b}/silver", expected)
-            out["gold"] = load_gold(spark, f"{b}/silver", f"{b}/gold", a.time_zone)
-            out["questions"] = _questions(spark, f"{b}/gold", f"{b}/results", "csv")
+            stage("validate", lambda: validate_silver(spark, f"{b}/silver", expected))
+            stage("gold", lambda: load_gold(spark, f"{b}/silver", f"{b}/gold", a.time_zone))
+            stage("questions", lambda: _questions(spark, f"{b}/gold", f"{b}/results", "csv"))
+            out["seconds"] = seconds
     except QualityGateError as e:
         print(json.dumps({"stage": a.stage, "failed": e.failures}, default=str), file=sys.stderr)
         return 1
