@@ -47,9 +47,15 @@ def read_star(spark: SparkSession, base: str, rows: dict[str, int] | None = None
     return out
 
 
-def register_tables(spark: SparkSession, database: str, locations: dict[str, str], fmt: str = "parquet") -> None:
-    """External catalog tables over written folders; dropping them keeps the data."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def register_tables(
+    spark: SparkSession, database: str, locations: dict[str, str], fmt: str = "parquet", database_location: str | None = None
+) -> None:
+    """External catalog tables over written folders; dropping them keeps the data.
+
+    ``database_location`` places a new database's own folder (default: the warehouse).
+    """
+    where = f" LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     for name, path in locations.items():
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(f"CREATE TABLE {database}.{name} USING {fmt} LOCATION '{path}'")

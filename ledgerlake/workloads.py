@@ -308,7 +308,7 @@ def q_sales_by_state_catalog(spark, sf_dir):
     """The revenue-by-state question through external catalog tables over the gold folders."""
     base, rows = gold_path(spark, sf_dir)
     db = "gold_" + spark.sparkContext.applicationId.replace("-", "_")
-    register_tables(spark, db, {name: f"{base}/{name}" for name in rows})
+    register_tables(spark, db, {name: f"{base}/{name}" for name in rows}, database_location=f"{base}/_catalog")
     return analytics.question_sql(spark, "sales_by_state", db + ".")
 
 

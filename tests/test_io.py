@@ -58,7 +58,7 @@ def test_parquet_catalog_and_csv(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string")
     p = os.path.join(tmp_dir, "t")
     assert write_silver(df, p) == 2 and read_silver(spark, p).count() == 2
-    register_tables(spark, "test_db", {"t": p})
+    register_tables(spark, "test_db", {"t": p}, database_location=os.path.join(tmp_dir, "db"))
     assert spark.table("test_db.t").count() == 2
     spark.sql("DROP TABLE test_db.t")
     assert read_silver(spark, p).count() == 2  # dropping the table keeps the data
