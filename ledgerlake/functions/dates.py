@@ -32,7 +32,7 @@ def calendar_parts(date_col: Column | str) -> dict[str, Column]:
     """The calendar attributes of the date dimension."""
     d = _c(date_col)
     return {
-        "data": F.date_format(d, "yyyy-MM-dd"),
+        "data": d.cast("string"),  # ISO yyyy-MM-dd, no time-zone round trip
         "dia": F.dayofmonth(d),
         "mes": F.month(d),
         "ano": F.year(d),

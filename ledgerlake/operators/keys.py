@@ -29,6 +29,9 @@ _LITERAL_OFFSETS = 1024
 class Keyed:
     df: DataFrame
     rows: int
+    # (surrogate key, natural key) pairs used to resolve foreign keys, when the natural
+    # key is not one of the table's published columns
+    lookup: DataFrame | None = None
 
 
 def with_dense_key(

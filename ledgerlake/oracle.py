@@ -196,6 +196,7 @@ SELECT 'nfe_' || CAST(o_orderkey AS VARCHAR) || '.xml' AS arquivo_origem,
 FROM orders WHERE o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED', '3-MEDIUM')""",
         "xml_files": f"WITH {INVOICES} SELECT {_HEADER_COLS} FROM invoices",
         "message_roundtrip": f"WITH {INVOICES} SELECT {_HEADER_COLS}, arquivo_origem FROM invoices",
+        "json_payload_roundtrip": f"WITH {INVOICES} SELECT {_HEADER_COLS}, arquivo_origem FROM invoices",
         "bronze_layer": f"WITH {INVOICES}\n"
         + _per_publication(
             f"SELECT {_json_object(_INVOICE_FIELDS)} AS payload, o_orderkey * {PUBLICATIONS} + {{run}} AS \"offset\" FROM invoices"
@@ -249,7 +250,7 @@ SELECT 'NFe' || lpad(CAST(l.l_orderkey AS VARCHAR), 44, '0') AS id_nfe,
        coalesce(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) = MAX(a.vp), false) AS confere
 FROM lineitem l JOIN amounts a ON a.l_orderkey = l.l_orderkey
 GROUP BY l.l_orderkey""",
-        "timestamp_grain_fanout": """
+        "fact_sales_timestamp_grain": """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS data, COUNT(*) AS notas, COUNT(DISTINCT ts) AS instantes,
        COUNT(*) * COUNT(DISTINCT ts) AS linhas_fato
 FROM events GROUP BY CAST(ts AS DATE)""",

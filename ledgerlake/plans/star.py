@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -21,7 +21,7 @@ from ..operators.keys import Keyed, with_dense_key
 from ..session import DEFAULT_TIME_ZONE
 
 DATE_GRAIN = "date"
-TIMESTAMP_GRAIN = "timestamp"  # replays the published evidence: one calendar row per instant
+TIMESTAMP_GRAIN = "timestamp"  # one calendar row per issue instant (the published dimension's grain)
 
 
 def dim_emitente(silver: DataFrame, num_partitions: int | None = None) -> Keyed:
@@ -45,22 +45,30 @@ def dim_data(
     grain: str = DATE_GRAIN,
     num_partitions: int | None = None,
 ) -> Keyed:
-    """Calendar rows of the issue dates (one per date; per instant in the replay grain).
+    """Calendar rows of the issue dates: one per date, or one per issue instant with
+    ``grain="timestamp"`` (several rows then share a date).
 
-    An unparseable issue date yields one NULL member that no fact row references.
+    ``lookup`` maps ``id_data`` to the natural key (``__k``: the date text, or the
+    instant) the fact resolves its key with -- always one row per key, so the fact
+    never multiplies. An unparseable issue date yields one NULL member that no fact
+    row references.
     """
+    src = silver.select(natural_date_key("data_emissao", time_zone, grain).alias("__k"))
+    src = distinct_values(src, ["__k"])
+    keyed = with_dense_key(src, ["__k"], "id_data", num_partitions)
+    day = local_date("__k", time_zone) if grain == TIMESTAMP_GRAIN else F.to_date("__k")
+    parts = calendar_parts(day)
+    table = keyed.df.select("id_data", *[parts[c].alias(c) for c in S.DIM_DATA[1:]])
+    return Keyed(table, keyed.rows, keyed.df.select("id_data", "__k"))
+
+
+def natural_date_key(col: str, time_zone: str, grain: str) -> Column:
+    """The calendar dimension's natural key of an issue instant text."""
     if grain == DATE_GRAIN:
-        src = distinct_values(silver.select(local_date("data_emissao", time_zone).alias("__d")), ["__d"])
-        order = ["__d"]
-    elif grain == TIMESTAMP_GRAIN:
-        inst = silver.select(parse_instant("data_emissao").alias("__ts"))
-        src = distinct_values(inst, ["__ts"]).withColumn("__d", local_date("__ts", time_zone))
-        order = ["__ts"]
-    else:
-        raise ValueError(f"unknown grain {grain!r}")
-    keyed = with_dense_key(src, order, "id_data", num_partitions)
-    parts = calendar_parts("__d")
-    return Keyed(keyed.df.select("id_data", *[parts[c].alias(c) for c in S.DIM_DATA[1:]]), keyed.rows)
+        return local_date(col, time_zone).cast("string")
+    if grain == TIMESTAMP_GRAIN:
+        return parse_instant(col)
+    raise ValueError(f"unknown grain {grain!r}")
 
 
 def dim_localidade(silver: DataFrame, num_partitions: int | None = None) -> Keyed:
@@ -80,6 +88,7 @@ def fato_vendas(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     num_partitions: int | None = None,
     expected_rows: int | None = None,
+    grain: str = DATE_GRAIN,
 ) -> Keyed:
     """One row per invoice with the three dimension keys and rounded amounts.
 
@@ -92,7 +101,7 @@ def fato_vendas(
         "id_nfe",
         "cnpj_emitente",
         "uf_emitente",
-        F.date_format(local_date("data_emissao", time_zone), "yyyy-MM-dd").alias("__data"),
+        natural_date_key("data_emissao", time_zone, grain).alias("__k"),
         "valor_total_nf",
         "valor_produtos",
         "valor_desconto",
@@ -101,15 +110,14 @@ def fato_vendas(
     f = join_sized(f, e, "cnpj_emitente", "left", max_broadcast_rows, emitente.rows)
     loc = localidade.df.select("id_localidade", F.col("uf").alias("__uf"))
     f = join_sized(f, loc, f["uf_emitente"].eqNullSafe(loc["__uf"]), "left", max_broadcast_rows, localidade.rows)
-    d = data.df.select("id_data", F.col("data").alias("__data"))
-    f = join_sized(f, d, "__data", "left", max_broadcast_rows, data.rows)
+    f = join_sized(f, data.lookup, "__k", "left", max_broadcast_rows, data.rows)
     f = f.select(
         "id_nfe", "id_emitente", "id_data", "id_localidade",
         F.round("valor_total_nf", 2).alias("valor_total"),
         F.round("valor_produtos", 2).alias("valor_produtos"),
         F.round("valor_desconto", 2).alias("valor_desconto"),
     )
-    keyed = with_dense_key(f, ["id_nfe", "id_data"], "id_venda", num_partitions)
+    keyed = with_dense_key(f, ["id_nfe"], "id_venda", num_partitions)
     if expected_rows is not None and keyed.rows != expected_rows:
         raise AssertionError(f"fact has {keyed.rows} rows for {expected_rows} invoices")
     return Keyed(keyed.df.select(*S.FATO_VENDAS), keyed.rows)
@@ -155,16 +163,15 @@ def build_star(
     e = dim_emitente(silver, num_partitions)
     d = dim_data(silver, time_zone, grain, num_partitions)
     loc = dim_localidade(silver, num_partitions)
-    expected = silver.count() if (check_rows and grain == DATE_GRAIN) else None
-    f = fato_vendas(silver, e, d, loc, time_zone, max_broadcast_rows, num_partitions, expected)
+    expected = silver.count() if check_rows else None
+    f = fato_vendas(silver, e, d, loc, time_zone, max_broadcast_rows, num_partitions, expected, grain)
     return Star(e, d, loc, f)
 
 
 def timestamp_grain_fact_rows(df: DataFrame, instant: str, date: str) -> DataFrame:
     """Per calendar date: invoices, distinct issue instants, and the fact rows a calendar
-    keyed by instant but joined by date would produce (invoices x instants).
-
-    Measures the fan-out of the timestamp grain without producing the pairs.
+    keyed by instant but joined by date produces (invoices x instants) -- the inflation
+    in the published fact table, measured without producing any pair.
     """
     per = df.groupBy(F.col(date).alias("data")).agg(
         F.count(F.lit(1)).alias("notas"),

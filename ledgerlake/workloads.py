@@ -258,6 +258,12 @@ def q_message_roundtrip(spark, sf_dir):
     return extract_fields(values, "payload", S.INVOICE_FIELDS)
 
 
+def q_json_payload_roundtrip(spark, sf_dir):
+    """Invoice records -> JSON message values (NULLs written) -> the fields extracted again."""
+    values = invoice_records(spark, sf_dir).select(record_json(*S.INVOICE_FIELDS).alias("payload"))
+    return extract_fields(values, "payload", S.INVOICE_FIELDS)
+
+
 def q_bronze_layer(spark, sf_dir):
     return bronze(spark, sf_dir).select("payload", "offset")
 
@@ -319,6 +325,7 @@ QUERIES.update(
         "xml_errors": q_xml_errors,
         "xml_files": q_xml_files,
         "message_roundtrip": q_message_roundtrip,
+        "json_payload_roundtrip": q_json_payload_roundtrip,
         "bronze_layer": q_bronze_layer,
         "topic_not_empty": q_topic_not_empty,
         "json_extract_cast": q_json_extract_cast,
@@ -343,7 +350,7 @@ def q_silver_incremental(spark, sf_dir):
 QUERIES["silver_incremental"] = q_silver_incremental
 
 
-# ---- accounting, reconciliation, replay measure, saved results --------------------------------
+# ---- accounting, reconciliation, fan-out measure, saved results --------------------------------
 def q_quarantine_rows(spark, sf_dir):
     """Every rejected raw row with its reason (rule breaks and the copies that lost dedupe)."""
     return silver_result(spark, sf_dir).quarantine().select("id_nfe", "offset", REASON)
@@ -363,7 +370,7 @@ def q_items_reconciliation(spark, sf_dir):
     )
 
 
-def q_timestamp_grain_fanout(spark, sf_dir):
+def q_fact_sales_timestamp_grain(spark, sf_dir):
     """Fact rows per date a calendar keyed by instant would produce, on the event stream."""
     ev = read_table(spark, sf_dir, "events").select("ts", F.to_date("ts").alias("d"))
     out = timestamp_grain_fact_rows(ev, "ts", "d")
@@ -382,7 +389,7 @@ QUERIES.update(
     {
         "quarantine_rows": q_quarantine_rows,
         "items_reconciliation": q_items_reconciliation,
-        "timestamp_grain_fanout": q_timestamp_grain_fanout,
+        "fact_sales_timestamp_grain": q_fact_sales_timestamp_grain,
         "sales_by_state_saved": q_sales_by_state_saved,
     }
 )

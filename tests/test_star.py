@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.lookup import UNKNOWN_LABEL
-from ledgerlake.plans.star import TIMESTAMP_GRAIN, build_star, dim_data
+from ledgerlake.plans.star import TIMESTAMP_GRAIN, build_star, dim_data, timestamp_grain_fact_rows
 from tests.helpers import invoice, silver_df
 
 
@@ -23,14 +23,22 @@ def test_two_invoices_on_one_date_do_not_fan_out(spark):
     assert all(r.id_data is not None and r.id_emitente == 1 and r.id_localidade == 1 for r in fact)
 
 
-def test_timestamp_grain_replays_the_fan_out(spark):
+def test_timestamp_grain_keeps_one_fact_row_per_invoice(spark):
     inv = [
         invoice(id_nfe="a", data_emissao="2019-01-31T09:00:00-03:00"),
         invoice(id_nfe="b", data_emissao="2019-01-31T15:00:00-03:00"),
     ]
     s = _star(spark, inv, grain=TIMESTAMP_GRAIN)
-    assert s.dim_data.rows == 2
-    assert s.fato_vendas.rows == 4  # each invoice matches both calendar rows of its date
+    assert s.dim_data.rows == 2  # two calendar rows share the date
+    assert [r.data for r in s.dim_data.df.collect()] == ["2019-01-31", "2019-01-31"]
+    assert s.fato_vendas.rows == 2  # resolved on the instant: no fan-out
+    fact = {r.id_nfe: r.id_data for r in s.fato_vendas.df.collect()}
+    assert fact == {"a": 1, "b": 2}
+    # joining that dimension on the date instead would give invoices x instants rows
+    measure = timestamp_grain_fact_rows(
+        silver_df(spark, inv).select("data_emissao", F.substring("data_emissao", 1, 10).alias("d")), "data_emissao", "d"
+    ).first()
+    assert (measure.notas, measure.instantes, measure.linhas_fato) == (2, 2, 4)
 
 
 def test_date_depends_on_the_zone(spark):
