@@ -23,11 +23,21 @@ from ..operators.cleaning import trim_columns
 from ..plans.silver import REASON, tag_rejects, typed_rows
 
 
-def clean_stream(bronze_stream: DataFrame, watermark_delay: str = "1 day") -> DataFrame:
-    """Streaming bronze rows -> streaming clean rows (append-only)."""
+def clean_stream(bronze_stream: DataFrame, watermark_delay: str = "1 day", salt_buckets: int = 16) -> DataFrame:
+    """Streaming bronze rows -> streaming clean rows (append-only).
+
+    Streaming deduplication has no map-side combine: every copy of an id is
+    shuffled to the one task that owns the id. So copies are first deduplicated
+    per ``(id, salt)`` -- the salt a hash of the message position, spreading one
+    heavily republished id over ``salt_buckets`` tasks -- and only the at most
+    ``salt_buckets`` survivors per id meet in the second, per-id deduplication.
+    Both states are bounded by the watermark.
+    """
     tagged = tag_rejects(typed_rows(bronze_stream))
-    valid = tagged.filter(F.col(REASON).isNull()).drop(REASON)
-    deduped = valid.withWatermark("timestamp", watermark_delay).dropDuplicatesWithinWatermark(["id_nfe"])
+    valid = tagged.filter(F.col(REASON).isNull()).drop(REASON).withWatermark("timestamp", watermark_delay)
+    salted = valid.withColumn("__salt", F.pmod(F.xxhash64("partition", "offset"), F.lit(salt_buckets)))
+    spread = salted.dropDuplicatesWithinWatermark(["id_nfe", "__salt"])
+    deduped = spread.dropDuplicatesWithinWatermark(["id_nfe"]).drop("__salt")
     return trim_columns(deduped, S.TRIMMED_FIELDS).select(*S.SILVER_FIELDS)
 
 

@@ -76,3 +76,12 @@ def test_incremental_clean_layer_continues_where_it_stopped(spark, tmp_dir):
     write_bronze(bronze_df(spark, [invoice(id_nfe="a"), invoice(id_nfe="b")]), bronze_dir + "/run2")
     run_incremental_silver(spark, bronze_dir + "/*", out, out + "_ck")
     assert sorted(r.id_nfe for r in read_silver(spark, out).collect()) == ["a", "b"]
+
+
+def test_incremental_hot_id_is_spread_before_the_id_dedupe(spark, tmp_dir):
+    bronze_dir, out = os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "s")
+    payloads = [invoice(id_nfe="hot")] * 90 + [invoice(id_nfe=f"c{i}") for i in range(10)]
+    write_bronze(bronze_df(spark, payloads).repartition(4), bronze_dir)
+    run_incremental_silver(spark, bronze_dir, out, out + "_ck")
+    got = sorted(r.id_nfe for r in read_silver(spark, out).collect())
+    assert got == sorted(["hot"] + [f"c{i}" for i in range(10)])
