@@ -21,6 +21,10 @@ def test_every_query_has_an_oracle():
     assert set(q) == set(o)  # every registered query is checked against SQL
 
 
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 def _norm(v):
     return round(v, 6) if isinstance(v, float) else v
 
@@ -32,6 +36,9 @@ def test_query_matches_oracle(spark, name):
     for t in TABLE_NAMES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = E.queries()[name](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[name])
+    types = {f.name: _DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
