@@ -23,6 +23,8 @@ from ..session import ensure_checkpoint_dir
 _PARTITION_SHIFT = 33
 # up to this many partitions the offsets are a literal array in the expression
 _LITERAL_OFFSETS = 1024
+# target size of a range partition when the row count is known
+ROWS_PER_PARTITION = 2_000_000
 
 
 @dataclass
@@ -39,15 +41,21 @@ def with_dense_key(
     order_by: list[str],
     key_name: str,
     num_partitions: int | None = None,
+    rows_hint: int | None = None,
 ) -> Keyed:
     """Add a 1-based BIGINT ``key_name`` following ascending ``order_by`` (NULLs first).
 
     The ordering columns must identify a row (unique); duplicates would get
-    distinct keys in an unspecified order.
+    distinct keys in an unspecified order. The number of range partitions is
+    ``num_partitions``, else the session's shuffle partitions raised so that no
+    partition exceeds ``ROWS_PER_PARTITION`` rows when ``rows_hint`` (a known or
+    estimated row count) is given -- an explicit count is never resized later.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions is None and rows_hint:
+        n = max(n, -(-rows_hint // ROWS_PER_PARTITION))
     ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     ranged = ranged.checkpoint(eager=True)
 

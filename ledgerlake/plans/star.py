@@ -117,7 +117,7 @@ def fato_vendas(
         F.round("valor_produtos", 2).alias("valor_produtos"),
         F.round("valor_desconto", 2).alias("valor_desconto"),
     )
-    keyed = with_dense_key(f, ["id_nfe"], "id_venda", num_partitions)
+    keyed = with_dense_key(f, ["id_nfe"], "id_venda", num_partitions, rows_hint=expected_rows)
     if expected_rows is not None and keyed.rows != expected_rows:
         raise AssertionError(f"fact has {keyed.rows} rows for {expected_rows} invoices")
     return Keyed(keyed.df.select(*S.FATO_VENDAS), keyed.rows)

@@ -46,3 +46,13 @@ def test_dense_key_with_many_partitions_uses_offset_table(spark, monkeypatch):
     keyed = keys.with_dense_key(df, ["a"], "k", num_partitions=6)
     got = {(r.a,): r.k for r in keyed.df.collect()}
     assert got == _expected(df, ["a"])
+
+
+def test_partition_count_follows_row_hint(spark, monkeypatch):
+    from ledgerlake.operators import keys
+
+    monkeypatch.setattr(keys, "ROWS_PER_PARTITION", 100)
+    df = spark.range(0, 1000).select(F.col("id").alias("a"))
+    keyed = keys.with_dense_key(df, ["a"], "k", rows_hint=1000)
+    assert keyed.df.rdd.getNumPartitions() == 10
+    assert sorted(r.k for r in keyed.df.collect()) == list(range(1, 1001))
