@@ -46,17 +46,22 @@ def with_dense_key(
     """Add a 1-based BIGINT ``key_name`` following ascending ``order_by`` (NULLs first).
 
     The ordering columns must identify a row (unique); duplicates would get
-    distinct keys in an unspecified order. The number of range partitions is
-    ``num_partitions``, else the session's shuffle partitions raised so that no
-    partition exceeds ``ROWS_PER_PARTITION`` rows when ``rows_hint`` (a known or
-    estimated row count) is given -- an explicit count is never resized later.
+    distinct keys in an unspecified order. Range partitions: ``num_partitions``
+    when given; with ``rows_hint`` (a known row count) the session's shuffle
+    partitions raised so that none exceeds ``ROWS_PER_PARTITION`` rows (an
+    explicit count is never resized later); otherwise the session's count, left
+    to adaptive execution to merge small adjacent ranges (order is kept).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if num_partitions is None and rows_hint:
-        n = max(n, -(-rows_hint // ROWS_PER_PARTITION))
-    ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+        base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = max(base, -(-rows_hint // ROWS_PER_PARTITION))
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *order_by)
+    else:
+        ranged = df.repartitionByRange(*order_by)
+    ranged = ranged.sortWithinPartitions(*order_by)
     ranged = ranged.checkpoint(eager=True)
 
     pid = F.spark_partition_id()

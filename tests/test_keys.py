@@ -56,3 +56,9 @@ def test_partition_count_follows_row_hint(spark, monkeypatch):
     keyed = keys.with_dense_key(df, ["a"], "k", rows_hint=1000)
     assert keyed.df.rdd.getNumPartitions() == 10
     assert sorted(r.k for r in keyed.df.collect()) == list(range(1, 1001))
+
+
+def test_dense_key_with_adaptive_partition_count(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7 % 3001).alias("a"))
+    keyed = with_dense_key(df.repartition(5), ["a"], "k")
+    assert {(r.a,): r.k for r in keyed.df.collect()} == _expected(df, ["a"])
