@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.dates import calendar_parts, local_date, parse_instant
-from ..functions.lookup import state_attributes
+from ..functions.lookup import lookup_join, state_attributes
 from ..operators.dedupe import distinct_values, latest_per_key
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_sized
 from ..operators.keys import Keyed, with_dense_key
@@ -71,10 +71,18 @@ def natural_date_key(col: str, time_zone: str, grain: str) -> Column:
     raise ValueError(f"unknown grain {grain!r}")
 
 
-def dim_localidade(silver: DataFrame, num_partitions: int | None = None) -> Keyed:
-    """One row per UF code with region and state name; unknown or NULL UF -> the unknown label."""
+def dim_localidade(silver: DataFrame, num_partitions: int | None = None, lookup: DataFrame | None = None) -> Keyed:
+    """One row per UF code with region and state name; unknown or NULL UF -> the unknown label.
+
+    ``lookup`` (columns ``uf, regiao, estado_completo``) replaces the fixed Brazilian
+    table, for locations of another country; it is joined with a size check.
+    """
     ufs = distinct_values(silver.select(F.col("uf_emitente").alias("uf")), ["uf"])
-    attrs = ufs.withColumns(state_attributes("uf"))
+    if lookup is None:
+        attrs = ufs.withColumns(state_attributes("uf"))
+    else:
+        table = lookup.select(F.col("uf").alias("__key"), "regiao", "estado_completo")
+        attrs = lookup_join(ufs, "uf", table, "__key", ["regiao", "estado_completo"])
     keyed = with_dense_key(attrs, ["uf"], "id_localidade", num_partitions)
     return Keyed(keyed.df.select(*S.DIM_LOCALIDADE), keyed.rows)
 
@@ -158,11 +166,12 @@ def build_star(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     num_partitions: int | None = None,
     check_rows: bool = True,
+    location_lookup: DataFrame | None = None,
 ) -> Star:
     """Clean layer -> the four star tables (each materialised once in the shared folder)."""
     e = dim_emitente(silver, num_partitions)
     d = dim_data(silver, time_zone, grain, num_partitions)
-    loc = dim_localidade(silver, num_partitions)
+    loc = dim_localidade(silver, num_partitions, location_lookup)
     expected = silver.count() if check_rows else None
     f = fato_vendas(silver, e, d, loc, time_zone, max_broadcast_rows, num_partitions, expected, grain)
     return Star(e, d, loc, f)

@@ -92,3 +92,17 @@ def test_fact_row_check(spark):
     sil = silver_df(spark, inv)
     with pytest.raises(AssertionError):
         fato_vendas(sil, dim_emitente(sil), dim_data(sil), dim_localidade(sil), expected_rows=3)
+
+
+def test_location_lookup_from_tables(spark):
+    from tests.conftest import SF_SMALL
+
+    nation = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    region = spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    lookup = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_name").alias("uf"), F.col("r_name").alias("regiao"), F.initcap("n_name").alias("estado_completo"))
+    inv = [invoice(id_nfe="a", uf_emitente="NATION_1"), invoice(id_nfe="b", uf_emitente="NOWHERE", cnpj_emitente="9")]
+    s = _star(spark, inv, location_lookup=lookup)
+    got = {r.uf: (r.regiao, r.estado_completo) for r in s.dim_localidade.df.collect()}
+    assert got == {"NATION_1": ("AMERICA", "Nation_1"), "NOWHERE": (UNKNOWN_LABEL, UNKNOWN_LABEL)}
+    assert s.fato_vendas.rows == 2
