@@ -7,7 +7,7 @@ trimming. Every dropped row is accounted for with a reason.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,23 +19,39 @@ from ..operators.dedupe import latest_per_key
 REASON = "reject_reason"
 
 
-def typed_rows(bronze: DataFrame) -> DataFrame:
-    """Bronze -> one text column per invoice field, amounts as DOUBLE; message position kept."""
-    fields = extract_fields(bronze, "payload", S.SILVER_FIELDS, keep=S.BRONZE_ORDER)
-    return cast_double(fields, S.AMOUNT_FIELDS)
+@dataclass(frozen=True)
+class SilverRules:
+    """What the clean layer extracts and enforces (defaults: the invoice rules)."""
 
+    key: str = "id_nfe"
+    fields: list[str] = field(default_factory=lambda: list(S.SILVER_FIELDS))
+    amounts: list[str] = field(default_factory=lambda: list(S.AMOUNT_FIELDS))
+    required: list[str] = field(default_factory=lambda: list(S.REQUIRED_FIELDS))
+    positive: list[str] = field(default_factory=lambda: list(S.POSITIVE_FIELDS))
+    non_negative: list[str] = field(default_factory=lambda: list(S.NON_NEGATIVE_FIELDS))
+    trimmed: list[str] = field(default_factory=lambda: list(S.TRIMMED_FIELDS))
+    order: list[str] = field(default_factory=lambda: list(S.BRONZE_ORDER))  # latest message wins
 
-def tag_rejects(typed: DataFrame) -> DataFrame:
-    return typed.withColumn(
-        REASON, reject_reason(S.REQUIRED_FIELDS, S.POSITIVE_FIELDS, S.NON_NEGATIVE_FIELDS)
-    )
+
+INVOICE_RULES = SilverRules()
+
+
+def typed_rows(bronze: DataFrame, rules: SilverRules = INVOICE_RULES) -> DataFrame:
+    """Bronze -> one text column per field, amounts as DOUBLE; message position kept."""
+    fields = extract_fields(bronze, "payload", rules.fields, keep=rules.order)
+    return cast_double(fields, rules.amounts)
+
+
+def tag_rejects(typed: DataFrame, rules: SilverRules = INVOICE_RULES) -> DataFrame:
+    return typed.withColumn(REASON, reject_reason(rules.required, rules.positive, rules.non_negative))
 
 
 @dataclass
 class SilverResult:
     tagged: DataFrame  # every input row with its reject reason (NULL = passed the row rules)
-    survivors: DataFrame  # one row per invoice id, message position kept
-    silver: DataFrame  # the clean layer, SILVER_FIELDS
+    survivors: DataFrame  # one row per id, message position kept
+    silver: DataFrame  # the clean layer, rules.fields
+    rules: SilverRules = INVOICE_RULES
 
     def reject_counts(self) -> DataFrame:
         """``stage, rows``: input, null_required, invalid_value, duplicate, output -- one pass."""
@@ -46,7 +62,7 @@ class SilverResult:
             F.count_if(F.col(REASON) == NULL_REQUIRED).alias(NULL_REQUIRED),
             F.count_if(F.col(REASON) == INVALID_VALUE).alias(INVALID_VALUE),
             F.count_if(valid).alias("__valid"),
-            F.count_distinct(F.when(valid, F.col("id_nfe"))).alias("output"),
+            F.count_distinct(F.when(valid, F.col(self.rules.key))).alias("output"),
         )
         stats = stats.withColumn(DUPLICATE, F.col("__valid") - F.col("output"))
         stages = ["input", NULL_REQUIRED, INVALID_VALUE, DUPLICATE, "output"]
@@ -60,17 +76,17 @@ class SilverResult:
         One anti-join of all rows against the surviving message positions: what is
         not a survivor either broke a rule (its reason) or lost to a later copy.
         """
-        keys = ["id_nfe"] + S.BRONZE_ORDER
+        keys = [self.rules.key] + self.rules.order
         winners = self.survivors.select(*keys)
         t = self.tagged
         rejected = t.join(winners, [t[k].eqNullSafe(winners[k]) for k in keys], "left_anti")
         return rejected.withColumn(REASON, F.coalesce(F.col(REASON), F.lit(DUPLICATE)))
 
 
-def clean(bronze: DataFrame) -> SilverResult:
+def clean(bronze: DataFrame, rules: SilverRules = INVOICE_RULES) -> SilverResult:
     """Bronze rows -> clean layer."""
-    tagged = tag_rejects(typed_rows(bronze))
+    tagged = tag_rejects(typed_rows(bronze, rules), rules)
     columns = [c for c in tagged.columns if c != REASON]
-    survivors = latest_per_key(tagged, ["id_nfe"], S.BRONZE_ORDER, where=F.col(REASON).isNull(), columns=columns)
-    silver = trim_columns(survivors, S.TRIMMED_FIELDS).select(*S.SILVER_FIELDS)
-    return SilverResult(tagged=tagged, survivors=survivors, silver=silver)
+    survivors = latest_per_key(tagged, [rules.key], rules.order, where=F.col(REASON).isNull(), columns=columns)
+    silver = trim_columns(survivors, rules.trimmed).select(*rules.fields)
+    return SilverResult(tagged=tagged, survivors=survivors, silver=silver, rules=rules)

@@ -74,3 +74,16 @@ def test_empty_bronze(spark):
     res = clean(bronze_df(spark, []))
     assert res.silver.count() == 0
     assert _counts(res)["output"] == 0
+
+
+def test_rules_are_parameters(spark):
+    from ledgerlake.plans.silver import SilverRules
+
+    rules = SilverRules(key="code", fields=["code", "qty", "name"], amounts=["qty"], required=["code"],
+                        positive=["qty"], non_negative=[], trimmed=["name"])
+    payloads = [{"code": "a", "qty": "2", "name": " x "}, {"code": "a", "qty": "3", "name": "y"},
+                {"code": "b", "qty": "0", "name": "z"}, {"qty": "1"}]
+    res = clean(bronze_df(spark, payloads), rules)
+    assert [tuple(r) for r in res.silver.collect()] == [("a", 3.0, "y")]
+    assert {r.stage: r.rows for r in res.reject_counts().collect()} == {
+        "input": 4, NULL_REQUIRED: 1, INVALID_VALUE: 1, DUPLICATE: 1, "output": 1}
