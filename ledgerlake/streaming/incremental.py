@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.cleaning import trim_columns
-from ..plans.silver import REASON, tag_rejects, typed_rows
+from ..plans.silver import INVOICE_RULES, REASON, SilverRules, tag_rejects, typed_rows
 
 
-def clean_stream(bronze_stream: DataFrame, watermark_delay: str = "1 day", salt_buckets: int = 16) -> DataFrame:
+def clean_stream(
+    bronze_stream: DataFrame,
+    watermark_delay: str = "1 day",
+    salt_buckets: int = 16,
+    rules: SilverRules = INVOICE_RULES,
+) -> DataFrame:
     """Streaming bronze rows -> streaming clean rows (append-only).
 
     Streaming deduplication has no map-side combine: every copy of an id is
@@ -33,12 +38,12 @@ def clean_stream(bronze_stream: DataFrame, watermark_delay: str = "1 day", salt_
     ``salt_buckets`` survivors per id meet in the second, per-id deduplication.
     Both states are bounded by the watermark.
     """
-    tagged = tag_rejects(typed_rows(bronze_stream))
+    tagged = tag_rejects(typed_rows(bronze_stream, rules), rules)
     valid = tagged.filter(F.col(REASON).isNull()).drop(REASON).withWatermark("timestamp", watermark_delay)
     salted = valid.withColumn("__salt", F.pmod(F.xxhash64("partition", "offset"), F.lit(salt_buckets)))
-    spread = salted.dropDuplicatesWithinWatermark(["id_nfe", "__salt"])
-    deduped = spread.dropDuplicatesWithinWatermark(["id_nfe"]).drop("__salt")
-    return trim_columns(deduped, S.TRIMMED_FIELDS).select(*S.SILVER_FIELDS)
+    spread = salted.dropDuplicatesWithinWatermark([rules.key, "__salt"])
+    deduped = spread.dropDuplicatesWithinWatermark([rules.key]).drop("__salt")
+    return trim_columns(deduped, rules.trimmed).select(*rules.fields)
 
 
 def bronze_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
