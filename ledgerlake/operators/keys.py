@@ -3,9 +3,10 @@
 ``row_number() OVER (ORDER BY k)`` moves every row into one task. Here the
 rows are range-partitioned on the key and sorted inside each partition, the
 result is checkpointed to the shared folder (so every later read sees the
-same split, also after an executor is lost), per-partition row counts --
-one number per partition -- give each partition its starting offset, and each
-row's key is its offset plus its position inside the partition. The result
+same split, also after an executor is lost; the checkpoint is written by the
+job that counts the rows of each partition), those counts -- one number per
+partition -- give each partition its starting offset, and each row's key is
+its offset plus its position inside the partition. The result
 equals ``row_number() OVER (ORDER BY k)`` on the same rows.
 """
 
@@ -62,7 +63,9 @@ def with_dense_key(
     else:
         ranged = df.repartitionByRange(*order_by)
     ranged = ranged.sortWithinPartitions(*order_by)
-    ranged = ranged.checkpoint(eager=True)
+    # reliable checkpoint, written right after the first job on it -- the per-partition
+    # count below -- so the data is produced twice (count, write), not three times
+    ranged = ranged.checkpoint(eager=False)
 
     pid = F.spark_partition_id()
     counts = dict(
