@@ -9,6 +9,8 @@ returns the totals it observed while writing (no cache, no second pass).
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas as S
@@ -20,10 +22,14 @@ from .bronze import bronze_rows
 from .silver import clean
 from .star import DATE_GRAIN, build_star
 
+log = logging.getLogger("ledgerlake.stages")
+
 
 def load_bronze(messages: DataFrame, bronze_path: str) -> int:
     """Messages (Kafka-shaped) -> raw layer; returns rows written."""
-    return write_bronze(bronze_rows(messages), bronze_path)
+    rows = write_bronze(bronze_rows(messages), bronze_path)
+    log.info("raw layer: %d rows written to %s", rows, bronze_path)
+    return rows
 
 
 def load_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str | None = None) -> dict[str, int]:
@@ -34,6 +40,10 @@ def load_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarant
     totals["written"] = written
     if quarantine_path:
         totals["quarantined"] = write_observed(res.quarantine(), quarantine_path, "parquet")
+    log.info("clean layer: %s", totals)
+    if totals.get("input", 0) > written:
+        log.warning("clean layer: %d rows rejected (%s)", totals["input"] - written,
+                    {k: v for k, v in totals.items() if k in ("null_required", "invalid_value", "duplicate")})
     return totals
 
 
@@ -41,8 +51,14 @@ def validate_silver(spark: SparkSession, silver_path: str, expected_rows: int |
     """The quality gate: raises ``QualityGateError`` (stopping the run before the star is
     built) when any check fails; returns the check rows otherwise."""
     df = read_silver(spark, silver_path)
-    return enforce(quality_report(df, "id_nfe", S.REQUIRED_FIELDS, S.POSITIVE_FIELDS, S.NON_NEGATIVE_FIELDS,
-                                  expected_rows))
+    try:
+        rows = enforce(quality_report(df, "id_nfe", S.REQUIRED_FIELDS, S.POSITIVE_FIELDS, S.NON_NEGATIVE_FIELDS,
+                                      expected_rows))
+    except Exception:
+        log.error("quality gate failed for %s", silver_path)
+        raise
+    log.info("quality gate passed: %s", {r["check"]: r["observed"] for r in rows})
+    return rows
 
 
 def load_gold(
@@ -50,4 +66,6 @@ def load_gold(
 ) -> dict[str, int]:
     """Clean layer -> star tables under ``gold_path/<table>``; returns rows per table."""
     star = build_star(read_silver(spark, silver_path), time_zone=time_zone, grain=grain)
-    return write_star(star.tables(), gold_path)
+    rows = write_star(star.tables(), gold_path)
+    log.info("star schema: %s written to %s", rows, gold_path)
+    return rows

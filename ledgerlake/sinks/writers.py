@@ -72,3 +72,10 @@ def save_result(df: DataFrame, path: str, fmt: str = "csv") -> int:
     """Persist a question's result (CSV with header, or any other format)."""
     opts = {"header": "true"} if fmt == "csv" else {}
     return write_observed(df, path, fmt, **opts)
+
+
+def save_result_table(df: DataFrame, qualified_name: str) -> int:
+    """Persist a question's result as a catalog table (replacing it); returns rows written."""
+    obs = Observation("rows_written")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(qualified_name)
+    return int(obs.get["rows"])

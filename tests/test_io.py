@@ -65,6 +65,10 @@ def test_parquet_catalog_and_csv(spark, tmp_dir):
     assert save_result(df, os.path.join(tmp_dir, "csv")) == 2
     assert spark.read.option("header", True).csv(os.path.join(tmp_dir, "csv")).count() == 2
     assert write_observed(df.filter("x > 1"), os.path.join(tmp_dir, "o"), "json") == 1
+    from ledgerlake.sinks.writers import save_result_table
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS results_db LOCATION '{os.path.join(tmp_dir, 'rdb')}'")
+    assert save_result_table(df, "results_db.q") == 2 and spark.table("results_db.q").count() == 2
 
 
 def test_incremental_clean_layer_continues_where_it_stopped(spark, tmp_dir):
