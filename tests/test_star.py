@@ -106,3 +106,19 @@ def test_location_lookup_from_tables(spark):
     got = {r.uf: (r.regiao, r.estado_completo) for r in s.dim_localidade.df.collect()}
     assert got == {"NATION_1": ("AMERICA", "Nation_1"), "NOWHERE": (UNKNOWN_LABEL, UNKNOWN_LABEL)}
     assert s.fato_vendas.rows == 2
+
+
+def test_shuffle_joins_give_the_same_star(spark):
+    inv = [invoice(id_nfe=f"n{i:03d}", cnpj_emitente=f"{i % 5:014d}", uf_emitente=[None, "SP", "XX"][i % 3],
+                   data_emissao=f"2020-02-{1 + i % 20:02d}T10:00:00-03:00") for i in range(40)]
+    a = _star(spark, inv)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = _star(spark, inv, max_broadcast_rows=0)
+        plan = b.fato_vendas.df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan or "SortMergeJoin" in plan
+        for name in ["dim_emitente", "dim_data", "dim_localidade", "fato_vendas"]:
+            assert sorted(map(tuple, a.tables()[name].collect()), key=repr) == sorted(
+                map(tuple, b.tables()[name].collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
