@@ -75,3 +75,10 @@ def test_json_extract_never_raises(spark):
 def test_record_json_keeps_nulls_and_non_ascii(spark):
     df = spark.createDataFrame([("Não", None)], "a string, b string")
     assert df.select(record_json("a", "b").alias("j")).first().j == '{"a":"Não","b":null}'
+
+
+def test_fixed_state_table_shape():
+    from ledgerlake.functions.lookup import NAME_BY_STATE, REGION_BY_STATE, STATES
+
+    assert len(STATES) == 27 and len(REGION_BY_STATE) == 27 and len(NAME_BY_STATE) == 27
+    assert set(REGION_BY_STATE.values()) == {"Norte", "Nordeste", "Centro-Oeste", "Sudeste", "Sul"}
