@@ -24,9 +24,39 @@ DATE_GRAIN = "date"
 TIMESTAMP_GRAIN = "timestamp"  # one calendar row per issue instant (the published dimension's grain)
 
 
-def dim_emitente(silver: DataFrame, num_partitions: int | None = None) -> Keyed:
+@dataclass(frozen=True)
+class StarRoles:
+    """Which clean-layer column plays each role (defaults: the invoice clean layer)."""
+
+    invoice: str = "id_nfe"
+    issuer: str = "cnpj_emitente"
+    issuer_name: str = "nome_emitente"
+    issuer_state: str = "uf_emitente"
+    issuer_town: str = "municipio_emitente"
+    issued_at: str = "data_emissao"  # ISO-8601 text with offset, or TIMESTAMP
+    total: str = "valor_total_nf"
+    products: str = "valor_produtos"
+    discount: str = "valor_desconto"
+
+    def canonical(self, df: DataFrame) -> DataFrame:
+        """``df`` with its role columns under the invoice names the builders use."""
+        pairs = [
+            (self.invoice, "id_nfe"), (self.issuer, "cnpj_emitente"), (self.issuer_name, "nome_emitente"),
+            (self.issuer_state, "uf_emitente"), (self.issuer_town, "municipio_emitente"),
+            (self.issued_at, "data_emissao"), (self.total, "valor_total_nf"), (self.products, "valor_produtos"),
+            (self.discount, "valor_desconto"),
+        ]
+        if all(src == dst for src, dst in pairs):
+            return df
+        return df.select(*[F.col(src).alias(dst) for src, dst in pairs])
+
+
+INVOICE_ROLES = StarRoles()
+
+
+def dim_emitente(silver: DataFrame, num_partitions: int | None = None, roles: StarRoles = INVOICE_ROLES) -> Keyed:
     """One row per issuer CNPJ; when attributes differ, the latest invoice's win."""
-    src = silver.select(
+    src = roles.canonical(silver).select(
         F.col("cnpj_emitente").alias("cnpj"),
         F.col("nome_emitente").alias("nome"),
         F.col("uf_emitente").alias("uf"),
@@ -44,6 +74,7 @@ def dim_data(
     time_zone: str = DEFAULT_TIME_ZONE,
     grain: str = DATE_GRAIN,
     num_partitions: int | None = None,
+    roles: StarRoles = INVOICE_ROLES,
 ) -> Keyed:
     """Calendar rows of the issue dates: one per date, or one per issue instant with
     ``grain="timestamp"`` (several rows then share a date).
@@ -53,7 +84,7 @@ def dim_data(
     never multiplies. An unparseable issue date yields one NULL member that no fact
     row references.
     """
-    src = silver.select(natural_date_key("data_emissao", time_zone, grain).alias("__k"))
+    src = roles.canonical(silver).select(natural_date_key("data_emissao", time_zone, grain).alias("__k"))
     src = distinct_values(src, ["__k"])
     keyed = with_dense_key(src, ["__k"], "id_data", num_partitions)
     day = local_date("__k", time_zone) if grain == TIMESTAMP_GRAIN else F.to_date("__k")
@@ -71,13 +102,18 @@ def natural_date_key(col: str, time_zone: str, grain: str) -> Column:
     raise ValueError(f"unknown grain {grain!r}")
 
 
-def dim_localidade(silver: DataFrame, num_partitions: int | None = None, lookup: DataFrame | None = None) -> Keyed:
+def dim_localidade(
+    silver: DataFrame,
+    num_partitions: int | None = None,
+    lookup: DataFrame | None = None,
+    roles: StarRoles = INVOICE_ROLES,
+) -> Keyed:
     """One row per UF code with region and state name; unknown or NULL UF -> the unknown label.
 
     ``lookup`` (columns ``uf, regiao, estado_completo``) replaces the fixed Brazilian
     table, for locations of another country; it is joined with a size check.
     """
-    ufs = distinct_values(silver.select(F.col("uf_emitente").alias("uf")), ["uf"])
+    ufs = distinct_values(roles.canonical(silver).select(F.col("uf_emitente").alias("uf")), ["uf"])
     if lookup is None:
         attrs = ufs.withColumns(state_attributes("uf"))
     else:
@@ -97,6 +133,7 @@ def fato_vendas(
     num_partitions: int | None = None,
     expected_rows: int | None = None,
     grain: str = DATE_GRAIN,
+    roles: StarRoles = INVOICE_ROLES,
 ) -> Keyed:
     """One row per invoice with the three dimension keys and rounded amounts.
 
@@ -105,7 +142,7 @@ def fato_vendas(
     ``expected_rows`` the row count is checked: a dimension that repeats a
     join key would multiply invoices.
     """
-    f = silver.select(
+    f = roles.canonical(silver).select(
         "id_nfe",
         "cnpj_emitente",
         "uf_emitente",
@@ -167,13 +204,17 @@ def build_star(
     num_partitions: int | None = None,
     check_rows: bool = True,
     location_lookup: DataFrame | None = None,
+    roles: StarRoles = INVOICE_ROLES,
 ) -> Star:
-    """Clean layer -> the four star tables (each materialised once in the shared folder)."""
-    e = dim_emitente(silver, num_partitions)
-    d = dim_data(silver, time_zone, grain, num_partitions)
-    loc = dim_localidade(silver, num_partitions, location_lookup)
+    """Clean layer -> the four star tables (each materialised once in the shared folder).
+
+    ``roles`` names the clean-layer columns when they are not the invoice ones.
+    """
+    e = dim_emitente(silver, num_partitions, roles)
+    d = dim_data(silver, time_zone, grain, num_partitions, roles)
+    loc = dim_localidade(silver, num_partitions, location_lookup, roles)
     expected = silver.count() if check_rows else None
-    f = fato_vendas(silver, e, d, loc, time_zone, max_broadcast_rows, num_partitions, expected, grain)
+    f = fato_vendas(silver, e, d, loc, time_zone, max_broadcast_rows, num_partitions, expected, grain, roles)
     return Star(e, d, loc, f)
 
 

@@ -122,3 +122,19 @@ def test_shuffle_joins_give_the_same_star(spark):
                 map(tuple, b.tables()[name].collect()), key=repr)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_roles_name_other_columns(spark):
+    from ledgerlake.plans.star import StarRoles
+
+    inv = [invoice(id_nfe="a", cnpj_emitente="1"), invoice(id_nfe="b", cnpj_emitente="2", uf_emitente="RJ")]
+    renamed = silver_df(spark, inv).select(
+        F.col("id_nfe").alias("doc"), F.col("cnpj_emitente").alias("seller"), F.col("nome_emitente").alias("seller_name"),
+        F.col("uf_emitente").alias("state"), F.col("municipio_emitente").alias("town"), F.col("data_emissao").alias("at"),
+        F.col("valor_total_nf").alias("total"), F.col("valor_produtos").alias("goods"), F.col("valor_desconto").alias("off"))
+    roles = StarRoles("doc", "seller", "seller_name", "state", "town", "at", "total", "goods", "off")
+    a = _star(spark, inv)
+    b = build_star(renamed, num_partitions=3, roles=roles)
+    for name in ["dim_emitente", "dim_data", "dim_localidade", "fato_vendas"]:
+        assert sorted(map(tuple, a.tables()[name].collect()), key=repr) == sorted(
+            map(tuple, b.tables()[name].collect()), key=repr)
