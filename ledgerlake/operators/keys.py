@@ -26,6 +26,7 @@ _PARTITION_SHIFT = 33
 _LITERAL_OFFSETS = 1024
 # target size of a range partition when the row count is known
 ROWS_PER_PARTITION = 2_000_000
+MIN_ROWS_PER_PARTITION = 50_000
 
 
 @dataclass
@@ -48,16 +49,18 @@ def with_dense_key(
 
     The ordering columns must identify a row (unique); duplicates would get
     distinct keys in an unspecified order. Range partitions: ``num_partitions``
-    when given; with ``rows_hint`` (a known row count) the session's shuffle
-    partitions raised so that none exceeds ``ROWS_PER_PARTITION`` rows (an
-    explicit count is never resized later); otherwise the session's count, left
-    to adaptive execution to merge small adjacent ranges (order is kept).
+    when given; with ``rows_hint`` (a known row count) enough that none exceeds
+    ``ROWS_PER_PARTITION`` rows and, up to the session's shuffle partitions, none
+    falls under ``MIN_ROWS_PER_PARTITION`` (an explicit count is never resized
+    later); otherwise the session's count, left to adaptive execution to merge
+    small adjacent ranges (order is kept).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if num_partitions is None and rows_hint:
         base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        num_partitions = max(base, -(-rows_hint // ROWS_PER_PARTITION))
+        # at most ROWS_PER_PARTITION rows per partition, and no tiny partitions either
+        num_partitions = max(-(-rows_hint // ROWS_PER_PARTITION), min(base, -(-rows_hint // MIN_ROWS_PER_PARTITION)))
     if num_partitions:
         ranged = df.repartitionByRange(num_partitions, *order_by)
     else:

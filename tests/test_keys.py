@@ -52,9 +52,13 @@ def test_partition_count_follows_row_hint(spark, monkeypatch):
     from ledgerlake.operators import keys
 
     monkeypatch.setattr(keys, "ROWS_PER_PARTITION", 100)
+    monkeypatch.setattr(keys, "MIN_ROWS_PER_PARTITION", 10)
     df = spark.range(0, 1000).select(F.col("id").alias("a"))
     keyed = keys.with_dense_key(df, ["a"], "k", rows_hint=1000)
-    assert keyed.df.rdd.getNumPartitions() == 10
+    assert keyed.df.rdd.getNumPartitions() == 10  # 100 rows each
+    monkeypatch.setattr(keys, "ROWS_PER_PARTITION", 10_000)
+    monkeypatch.setattr(keys, "MIN_ROWS_PER_PARTITION", 500)
+    assert keys.with_dense_key(df, ["a"], "k", rows_hint=1000).df.rdd.getNumPartitions() == 2
     assert sorted(r.k for r in keyed.df.collect()) == list(range(1, 1001))
 
 
