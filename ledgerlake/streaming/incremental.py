@@ -39,10 +39,11 @@ def clean_stream(
     Both states are bounded by the watermark.
     """
     tagged = tag_rejects(typed_rows(bronze_stream, rules), rules)
-    valid = tagged.filter(F.col(REASON).isNull()).drop(REASON).withWatermark("timestamp", watermark_delay)
+    valid = tagged.filter(F.col(REASON).isNull()).drop(REASON)
+    valid = valid.withColumn("__ingest", F.current_timestamp()).withWatermark("__ingest", watermark_delay)
     salted = valid.withColumn("__salt", F.pmod(F.xxhash64("partition", "offset"), F.lit(salt_buckets)))
     spread = salted.dropDuplicatesWithinWatermark([rules.key, "__salt"])
-    deduped = spread.dropDuplicatesWithinWatermark([rules.key]).drop("__salt")
+    deduped = spread.dropDuplicatesWithinWatermark([rules.key]).drop("__salt", "__ingest")
     return trim_columns(deduped, rules.trimmed).select(*rules.fields)
 
 

@@ -89,3 +89,21 @@ def test_incremental_hot_id_is_spread_before_the_id_dedupe(spark, tmp_dir):
     run_incremental_silver(spark, bronze_dir, out, out + "_ck")
     got = sorted(r.id_nfe for r in read_silver(spark, out).collect())
     assert got == sorted(["hot"] + [f"c{i}" for i in range(10)])
+
+
+def test_incremental_backfill_is_not_dropped_as_late(spark, tmp_dir):
+    import datetime as dt
+
+    from ledgerlake import schemas as S
+
+    bronze_dir, out = os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "s")
+
+    def land(run, when, ids):
+        rows = [(json.dumps(invoice(id_nfe=i)), 0, n, when) for n, i in enumerate(ids)]
+        write_bronze(spark.createDataFrame(rows, S.BRONZE), f"{bronze_dir}/run{run}")
+
+    land(1, dt.datetime(2024, 3, 1), ["a", "b", "a"])
+    run_incremental_silver(spark, bronze_dir + "/*", out, out + "_ck")
+    land(2, dt.datetime(2024, 1, 1), ["c", "a"])  # published two months before the newest message seen
+    run_incremental_silver(spark, bronze_dir + "/*", out, out + "_ck")
+    assert sorted(r.id_nfe for r in read_silver(spark, out).collect()) == ["a", "b", "c"]
