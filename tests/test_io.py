@@ -107,3 +107,16 @@ def test_incremental_backfill_is_not_dropped_as_late(spark, tmp_dir):
     land(2, dt.datetime(2024, 1, 1), ["c", "a"])  # published two months before the newest message seen
     run_incremental_silver(spark, bronze_dir + "/*", out, out + "_ck")
     assert sorted(r.id_nfe for r in read_silver(spark, out).collect()) == ["a", "b", "c"]
+
+
+def test_raw_layer_as_text_table(spark, tmp_dir):
+    from ledgerlake.sinks.writers import register_raw_text_table
+
+    path = os.path.join(tmp_dir, "bronze")
+    write_bronze(bronze_df(spark, [invoice(id_nfe="a"), invoice(id_nfe="b")]), path)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS raw_db LOCATION '{os.path.join(tmp_dir, 'rawdb')}'")
+    register_raw_text_table(spark, "raw_db", "nfe", path)
+    rows = spark.sql("SELECT get_json_object(payload, '$.payload') AS p FROM raw_db.nfe").collect()
+    assert len(rows) == 2
+    ids = sorted(json.loads(r.p)["id_nfe"] for r in rows)
+    assert ids == ["a", "b"]
