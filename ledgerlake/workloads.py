@@ -173,22 +173,6 @@ def _sql_question(name: str):
     return run
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "silver_layer": q_silver_layer,
-    "reject_counts": q_reject_counts,
-    "quality_report": q_quality_report,
-    "dim_emitter": q_dim_emitter,
-    "dim_date": q_dim_date,
-    "dim_location": q_dim_location,
-    "fact_sales": q_fact_sales,
-    "star_row_totals": q_star_row_totals,
-    "sales_by_state": q_sales_by_state,
-    "top_emitters": q_top_emitters,
-    "monthly_evolution": q_monthly_evolution,
-    "sales_by_state_sql": _sql_question("sales_by_state"),
-    "top_emitters_sql": _sql_question("top_emitters"),
-    "monthly_evolution_sql": _sql_question("monthly_evolution"),
-}
 
 
 # ---- documents and messages ------------------------------------------------------------
@@ -318,25 +302,6 @@ def q_sales_by_state_catalog(spark, sf_dir):
     return analytics.question_sql(spark, "sales_by_state", db + ".")
 
 
-QUERIES.update(
-    {
-        "xml_header": q_xml_header,
-        "xml_items": q_xml_items,
-        "xml_errors": q_xml_errors,
-        "xml_files": q_xml_files,
-        "message_roundtrip": q_message_roundtrip,
-        "json_payload_roundtrip": q_json_payload_roundtrip,
-        "bronze_layer": q_bronze_layer,
-        "topic_not_empty": q_topic_not_empty,
-        "json_extract_cast": q_json_extract_cast,
-        "filter_required": q_filter_required,
-        "filter_values": q_filter_values,
-        "dedupe_by_key": q_dedupe_by_key,
-        "trim_text": q_trim_text,
-        "state_region_lookup": q_state_region_lookup,
-        "sales_by_state_catalog": q_sales_by_state_catalog,
-    }
-)
 
 
 # ---- incremental ----------------------------------------------------------------------------
@@ -347,7 +312,6 @@ def q_silver_incremental(spark, sf_dir):
     return read_silver(spark, out)
 
 
-QUERIES["silver_incremental"] = q_silver_incremental
 
 
 # ---- accounting, reconciliation, fan-out measure, saved results --------------------------------
@@ -385,14 +349,6 @@ def q_sales_by_state_saved(spark, sf_dir):
     return spark.read.option("header", "true").schema(result.schema).csv(path)
 
 
-QUERIES.update(
-    {
-        "quarantine_rows": q_quarantine_rows,
-        "items_reconciliation": q_items_reconciliation,
-        "fact_sales_timestamp_grain": q_fact_sales_timestamp_grain,
-        "sales_by_state_saved": q_sales_by_state_saved,
-    }
-)
 
 
 # ---- layer formats -----------------------------------------------------------------------------
@@ -411,4 +367,42 @@ def q_json_roundtrip(spark, sf_dir):
     return spark.read.schema(src.schema).json(path)
 
 
-QUERIES.update({"parquet_roundtrip": q_parquet_roundtrip, "json_roundtrip": q_json_roundtrip})
+# ---- registry (order: raw, clean, gate, star, questions, documents, operators, extras) -------------
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "bronze_layer": q_bronze_layer,
+    "silver_layer": q_silver_layer,
+    "reject_counts": q_reject_counts,
+    "quality_report": q_quality_report,
+    "dim_emitter": q_dim_emitter,
+    "dim_date": q_dim_date,
+    "dim_location": q_dim_location,
+    "fact_sales": q_fact_sales,
+    "star_row_totals": q_star_row_totals,
+    "sales_by_state": q_sales_by_state,
+    "top_emitters": q_top_emitters,
+    "monthly_evolution": q_monthly_evolution,
+    "sales_by_state_sql": _sql_question("sales_by_state"),
+    "top_emitters_sql": _sql_question("top_emitters"),
+    "monthly_evolution_sql": _sql_question("monthly_evolution"),
+    "xml_header": q_xml_header,
+    "xml_items": q_xml_items,
+    "xml_errors": q_xml_errors,
+    "xml_files": q_xml_files,
+    "message_roundtrip": q_message_roundtrip,
+    "json_payload_roundtrip": q_json_payload_roundtrip,
+    "topic_not_empty": q_topic_not_empty,
+    "json_extract_cast": q_json_extract_cast,
+    "filter_required": q_filter_required,
+    "filter_values": q_filter_values,
+    "dedupe_by_key": q_dedupe_by_key,
+    "trim_text": q_trim_text,
+    "state_region_lookup": q_state_region_lookup,
+    "sales_by_state_catalog": q_sales_by_state_catalog,
+    "silver_incremental": q_silver_incremental,
+    "quarantine_rows": q_quarantine_rows,
+    "items_reconciliation": q_items_reconciliation,
+    "fact_sales_timestamp_grain": q_fact_sales_timestamp_grain,
+    "sales_by_state_saved": q_sales_by_state_saved,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "json_roundtrip": q_json_roundtrip,
+}
