@@ -26,7 +26,7 @@ _DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "D
 
 
 def _norm(v):
-    return round(v, 6) if isinstance(v, float) else v
+    return repr(v) if isinstance(v, float) else v  # floats compared bit for bit
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test data not present")
