@@ -7,6 +7,7 @@
     python -m ledgerlake gold      --silver P --gold P [--time-zone Z] [--grain date|timestamp]
     python -m ledgerlake questions --gold P --out P [--format csv|parquet|json]
     python -m ledgerlake run       --xml-dir D --base P [--expected N]       (all stages, offline)
+    python -m ledgerlake sql       --base P --file Q.sql [--out P]            (SQL over bronze/silver/gold tables)
 
 Exit status 1 when the quality gate fails (later stages are not run).
 """
@@ -24,7 +25,7 @@ from .plans.ingest import ingest_documents, read_message_dir
 from .plans.layers import load_bronze, load_gold, load_silver, validate_silver
 from .plans.star import DATE_GRAIN, TIMESTAMP_GRAIN
 from .session import DEFAULT_TIME_ZONE, build_session
-from .sinks.writers import read_star, save_result
+from .sinks.writers import read_star, register_lake, save_result
 from .sources.messages import read_topic
 
 
@@ -75,6 +76,10 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--gold", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--format", default="csv")
+    s = sub.add_parser("sql")
+    s.add_argument("--base", required=True)
+    s.add_argument("--file", required=True)
+    s.add_argument("--out")
     s = sub.add_parser("run")
     s.add_argument("--xml-dir", required=True)
     s.add_argument("--base", required=True)
@@ -98,6 +103,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             out = load_gold(spark, a.silver, a.gold, a.time_zone, a.grain)
         elif a.stage == "questions":
             out = _questions(spark, a.gold, a.out, a.format)
+        elif a.stage == "sql":
+            register_lake(spark, a.base, f"{a.base.rstrip('/')}/_catalog")
+            result = spark.sql(open(a.file, encoding="utf-8").read().strip().rstrip(";"))
+            if a.out:
+                out = {"rows": save_result(result.coalesce(1), a.out)}
+            else:
+                out = {"rows": [r.asDict() for r in result.limit(1000).collect()]}
         else:  # run
             b = a.base.rstrip("/")
             out, seconds = {}, {}

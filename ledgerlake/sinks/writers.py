@@ -61,9 +61,12 @@ def register_tables(
         spark.sql(f"CREATE TABLE {database}.{name} USING {fmt} LOCATION '{path}'")
 
 
-def register_raw_text_table(spark: SparkSession, database: str, name: str, path: str) -> None:
+def register_raw_text_table(
+    spark: SparkSession, database: str, name: str, path: str, database_location: str | None = None
+) -> None:
     """The raw layer as a table of one ``payload`` string per JSON line."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    where = f" LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
     spark.sql(f"CREATE TABLE {database}.{name} (payload STRING) USING text LOCATION '{path}'")
 
@@ -79,3 +82,17 @@ def save_result_table(df: DataFrame, qualified_name: str) -> int:
     obs = Observation("rows_written")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(qualified_name)
     return int(obs.get["rows"])
+
+
+def register_lake(spark: SparkSession, base: str, catalog_location: str | None = None) -> list[str]:
+    """External tables over a lake folder written by the stages: ``bronze.nfe`` (one JSON
+    payload string per line), ``silver.nfe`` and ``gold.<table>`` (Parquet)."""
+    b = base.rstrip("/")
+
+    def loc(db: str) -> str | None:
+        return f"{catalog_location.rstrip('/')}/{db}" if catalog_location else None
+
+    register_raw_text_table(spark, "bronze", "nfe", f"{b}/bronze", database_location=loc("bronze"))
+    register_tables(spark, "silver", {"nfe": f"{b}/silver"}, database_location=loc("silver"))
+    register_tables(spark, "gold", {t: f"{b}/gold/{t}" for t in STAR_TABLES}, database_location=loc("gold"))
+    return ["bronze.nfe", "silver.nfe"] + [f"gold.{t}" for t in STAR_TABLES]

@@ -37,3 +37,29 @@ def test_all_stages_over_documents(spark, tmp_dir, capsys):
 
     # the gate stops the run
     assert main(["validate", "--silver", base + "/silver2", "--expected", "100"], spark=spark) == 1
+
+
+def test_sql_over_the_lake(spark, tmp_dir, capsys):
+    xml = os.path.join(tmp_dir, "xml")
+    os.makedirs(xml)
+    for i, uf in enumerate(["SP", "SP", "RJ"]):
+        doc = (FULL.replace('Id="NFe35"', f'Id="NFe{i}"').replace("<vDesc></vDesc>", "<vDesc>0.00</vDesc>")
+               .replace("<UF>SP</UF>", f"<UF>{uf}</UF>"))
+        _write(xml, f"nfe_{i}.xml", doc)
+    base = os.path.join(tmp_dir, "lake")
+    assert main(["run", "--xml-dir", xml, "--base", base], spark=spark) == 0
+    q = os.path.join(tmp_dir, "q.sql")
+    _write(tmp_dir, "q.sql", """
+        SELECT l.uf, l.regiao, COUNT(f.id_nfe) AS quantidade_nfe, ROUND(SUM(f.valor_total), 2) AS faturamento_total
+        FROM gold.fato_vendas f JOIN gold.dim_localidade l ON f.id_localidade = l.id_localidade
+        GROUP BY l.uf, l.regiao ORDER BY faturamento_total DESC;""")
+    capsys.readouterr()
+    assert main(["sql", "--base", base, "--file", q], spark=spark) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["rows"] == [
+        {"uf": "SP", "regiao": "Sudeste", "quantidade_nfe": 2, "faturamento_total": 30.0},
+        {"uf": "RJ", "regiao": "Sudeste", "quantidade_nfe": 1, "faturamento_total": 15.0},
+    ]
+    _write(tmp_dir, "raw.sql", "SELECT COUNT(*) AS n FROM bronze.nfe")
+    assert main(["sql", "--base", base, "--file", os.path.join(tmp_dir, "raw.sql")], spark=spark) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows"] == [{"n": 3}]
