@@ -1,6 +1,7 @@
 """Command line: one subcommand per stage, each printing one JSON line of totals.
 
     python -m ledgerlake ingest    --xml-dir D (--message-dir M | --brokers B) [--topic T] [--errors-dir E]
+    python -m ledgerlake check-source (--message-dir M | --brokers B) [--topic T]  (fails when empty)
     python -m ledgerlake bronze    (--message-dir M | --brokers B) [--topic T] --bronze P
     python -m ledgerlake silver    --bronze P --silver P [--quarantine P]
     python -m ledgerlake validate  --silver P --expected N
@@ -19,7 +20,7 @@ import json
 import sys
 import time
 
-from .operators.quality import QualityGateError
+from .operators.quality import QualityGateError, require_not_empty
 from .plans import analytics
 from .plans.ingest import ingest_documents, read_message_dir
 from .plans.layers import load_bronze, load_gold, load_silver, validate_silver
@@ -58,6 +59,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--xml-dir", required=True)
     s.add_argument("--errors-dir")
     src(s)
+    s = sub.add_parser("check-source")
+    src(s)
     s = sub.add_parser("bronze")
     s.add_argument("--bronze", required=True)
     src(s)
@@ -93,6 +96,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     try:
         if a.stage == "ingest":
             out = ingest_documents(spark, a.xml_dir, a.topic, a.message_dir, a.brokers, a.errors_dir)
+        elif a.stage == "check-source":
+            require_not_empty(_messages(spark, a), "topic")
+            out = {"not_empty": True}
         elif a.stage == "bronze":
             out = {"bronze": load_bronze(_messages(spark, a), a.bronze)}
         elif a.stage == "silver":

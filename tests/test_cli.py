@@ -37,6 +37,10 @@ def test_all_stages_over_documents(spark, tmp_dir, capsys):
 
     # the gate stops the run
     assert main(["validate", "--silver", base + "/silver2", "--expected", "100"], spark=spark) == 1
+    assert main(["check-source", "--message-dir", msgs], spark=spark) == 0
+    empty = os.path.join(tmp_dir, "empty_topic")
+    spark.read.parquet(msgs).limit(0).write.parquet(empty)
+    assert main(["check-source", "--message-dir", empty], spark=spark) == 1
 
 
 def test_sql_over_the_lake(spark, tmp_dir, capsys):
