@@ -259,3 +259,5 @@ FROM events GROUP BY CAST(ts AS DATE)""",
 )
 
 ORACLE.update({"parquet_roundtrip": "SELECT * FROM orders", "json_roundtrip": "SELECT * FROM customer"})
+
+ORACLE["sales_by_state_from_documents"] = SALES_BY_STATE

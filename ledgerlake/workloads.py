@@ -22,7 +22,8 @@ from .operators.keys import Keyed
 from .operators.partitioning import ensure_parallelism
 from .operators.quality import quality_report
 from .plans import analytics
-from .plans.layers import load_bronze
+from .plans.ingest import ingest_documents, read_message_dir
+from .plans.layers import load_bronze, load_gold, load_silver
 from .plans.silver import REASON, SilverResult, clean, typed_rows
 from .plans.star import Star, build_star, timestamp_grain_fact_rows
 from .session import scratch_path
@@ -367,6 +368,28 @@ def q_json_roundtrip(spark, sf_dir):
     return spark.read.schema(src.schema).json(path)
 
 
+# ---- the whole flow from documents ------------------------------------------------------------------
+def documents_gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
+    """Given tables -> NF-e lot files -> ingest (parse, keyed messages) -> raw -> clean -> star,
+    through files at every stage boundary, with the stage functions the command line runs."""
+
+    def build():
+        base = scratch_path(spark, "documents_flow")
+        write_documents(invoice_records(spark, sf_dir), f"{base}/xml")
+        ingest_documents(spark, f"{base}/xml", "nfe-raw", f"{base}/messages", None, f"{base}/errors", lots=True)
+        load_bronze(read_message_dir(spark, f"{base}/messages"), f"{base}/bronze")
+        load_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/quarantine")
+        rows = load_gold(spark, f"{base}/silver", f"{base}/gold")
+        return read_star(spark, f"{base}/gold", rows)
+
+    return _memo(spark, sf_dir, "documents_gold", build)
+
+
+def q_sales_by_state_from_documents(spark, sf_dir):
+    g = documents_gold(spark, sf_dir)
+    return analytics.sales_by_state(g["fato_vendas"], g["dim_localidade"])
+
+
 # ---- registry (order: raw, clean, gate, star, questions, documents, operators, extras) -------------
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_layer": q_bronze_layer,
@@ -403,6 +426,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "items_reconciliation": q_items_reconciliation,
     "fact_sales_timestamp_grain": q_fact_sales_timestamp_grain,
     "sales_by_state_saved": q_sales_by_state_saved,
+    "sales_by_state_from_documents": q_sales_by_state_from_documents,
     "parquet_roundtrip": q_parquet_roundtrip,
     "json_roundtrip": q_json_roundtrip,
 }
