@@ -27,12 +27,13 @@ def test_kafka_options():
 
 
 def test_kafka_missing_connector_is_reported(spark):
-    try:
-        SM.read_topic(spark, "localhost:1", "t")
-    except RuntimeError as e:
-        assert "connector" in str(e)
-    except Exception:  # noqa: BLE001  (connector present but no broker)
-        pass
+    for reader in (SM.read_topic, SM.read_topic_stream):
+        try:
+            reader(spark, "localhost:1", "t")
+        except RuntimeError as e:
+            assert "connector" in str(e)
+        except Exception:  # noqa: BLE001  (connector present but no broker)
+            pass
 
 
 def test_bronze_projection_and_json_round_trip(spark, tmp_dir):
