@@ -23,7 +23,7 @@ from .operators.partitioning import ensure_parallelism
 from .operators.quality import enforce, quality_report
 from .plans import analytics
 from .plans.ingest import ingest_documents, read_message_dir
-from .plans.layers import load_bronze, load_gold, load_silver
+from .plans.layers import load_bronze, load_gold, load_silver, validate_silver
 from .plans.silver import REASON, SilverResult, clean, typed_rows
 from .plans.star import Star, build_star, timestamp_grain_fact_rows
 from .session import scratch_path
@@ -379,8 +379,8 @@ def q_json_roundtrip(spark, sf_dir):
 
 # ---- the whole flow from documents ------------------------------------------------------------------
 def documents_gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
-    """Given tables -> NF-e lot files -> ingest (parse, keyed messages) -> raw -> clean -> star,
-    through files at every stage boundary, with the stage functions the command line runs."""
+    """Given tables -> NF-e lot files -> ingest (parse, keyed messages) -> raw -> clean -> gate
+    -> star, through files at every stage boundary, with the stage functions the command line runs."""
 
     def build():
         base = scratch_path(spark, "documents_flow")
@@ -388,6 +388,7 @@ def documents_gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
         ingest_documents(spark, f"{base}/xml", "nfe-raw", f"{base}/messages", None, f"{base}/errors", lots=True)
         load_bronze(read_message_dir(spark, f"{base}/messages"), f"{base}/bronze")
         load_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/quarantine")
+        validate_silver(spark, f"{base}/silver", None)  # raises before the star on a failed gate
         rows = load_gold(spark, f"{base}/silver", f"{base}/gold")
         return read_star(spark, f"{base}/gold", rows)
 
