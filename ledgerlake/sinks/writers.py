@@ -20,9 +20,18 @@ def write_observed(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     return int(obs.get["rows"])
 
 
-def write_bronze(bronze: DataFrame, path: str) -> int:
+# One raw file per task, gzip: JSON text of repeated keys compresses ~18x (measured on
+# the sf0.1 raw layer: 188 MB -> 10 MB, same write and read time). A gzip file is read
+# by one task, so files are capped in records to stay a moderate unit of work.
+RAW_COMPRESSION = "gzip"
+RAW_RECORDS_PER_FILE = 2_000_000
+
+
+def write_bronze(bronze: DataFrame, path: str, compression: str = RAW_COMPRESSION) -> int:
     """Raw layer as JSON lines, replacing the previous content."""
-    return write_observed(bronze, path, "json")
+    return write_observed(
+        bronze, path, "json", compression=compression, maxRecordsPerFile=str(RAW_RECORDS_PER_FILE)
+    )
 
 
 def write_silver(silver: DataFrame, path: str) -> int:
