@@ -22,10 +22,27 @@ def parse_instant(col: Column | str) -> Column:
     return _c(col).try_cast("timestamp")
 
 
+# an explicit UTC offset (or Z) at the end of ISO-8601 text
+_OFFSET = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
+
+
+def instant_local_date(col: Column | str, time_zone: str = DEFAULT_TIME_ZONE) -> Column:
+    """Calendar date in ``time_zone`` of a TIMESTAMP (an instant)."""
+    return F.to_date(F.convert_timezone(None, F.lit(time_zone), _c(col)))
+
+
 def local_date(col: Column | str, time_zone: str = DEFAULT_TIME_ZONE) -> Column:
-    """Calendar date of an issue instant (text or TIMESTAMP) in ``time_zone``."""
-    instant = parse_instant(col)
-    return F.to_date(F.convert_timezone(None, F.lit(time_zone), instant))
+    """Calendar date of issue-instant text in ``time_zone``.
+
+    Text with an offset is an instant, converted to ``time_zone``. Text without
+    one (a date-only field of older layouts, or a bare local date-time) is
+    already the issuer's wall-clock time: its date is taken as written, never
+    re-read in the session's zone.
+    """
+    c = _c(col)
+    zoned = instant_local_date(parse_instant(c), time_zone)
+    wall = F.to_date(c.try_cast("timestamp_ntz"))
+    return F.when(c.rlike(_OFFSET), zoned).otherwise(wall)
 
 
 def calendar_parts(date_col: Column | str) -> dict[str, Column]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.dates import calendar_parts, local_date, parse_instant
+from ..functions.dates import calendar_parts, instant_local_date, local_date, parse_instant
 from ..functions.lookup import lookup_join, state_attributes
 from ..operators.dedupe import distinct_values, latest_per_key
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_sized
@@ -87,7 +87,7 @@ def dim_data(
     src = roles.canonical(silver).select(natural_date_key("data_emissao", time_zone, grain).alias("__k"))
     src = distinct_values(src, ["__k"])
     keyed = with_dense_key(src, ["__k"], "id_data", num_partitions)
-    day = local_date("__k", time_zone) if grain == TIMESTAMP_GRAIN else F.to_date("__k")
+    day = instant_local_date("__k", time_zone) if grain == TIMESTAMP_GRAIN else F.to_date("__k")
     parts = calendar_parts(day)
     table = keyed.df.select("id_data", *[parts[c].alias(c) for c in S.DIM_DATA[1:]])
     return Keyed(table, keyed.rows, keyed.df.select("id_data", "__k"))

@@ -34,6 +34,18 @@ def test_local_date_uses_the_given_zone(spark):
     assert r[1].sp is None and r[1].utc is None
 
 
+def test_text_without_offset_keeps_its_written_date(spark):
+    df = spark.createDataFrame([("2021-01-29",), ("2021-01-29T01:00:00",), ("2021-01-29T01:00:00Z",)], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ["UTC", "Asia/Tokyo", "America/Sao_Paulo"]:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [str(r.d) for r in df.select(local_date("s", "America/Sao_Paulo").alias("d")).collect()]
+            assert got == ["2021-01-29", "2021-01-29", "2021-01-28"], zone  # 01:00Z is 22:00 the day before in SP
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_state_lookup_default_for_unknown_null_and_padded(spark):
     df = spark.createDataFrame([("SP",), ("XX",), (None,), (" SP",), ("am",)], "uf string")
     rows = df.select("uf", *[v.alias(k) for k, v in state_attributes("uf").items()]).collect()
