@@ -36,7 +36,7 @@ def load_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarant
     """Raw layer -> clean layer; returns rows read, per reject reason, and written."""
     res = clean(read_bronze(spark, bronze_path))
     written = write_silver(res.silver, silver_path)
-    totals = {r.stage: int(r.rows) for r in res.reject_counts().collect()}
+    totals = {r.stage: int(r.rows) for r in res.reject_counts(output_rows=written).collect()}
     totals["written"] = written
     if quarantine_path:
         totals["quarantined"] = write_observed(res.quarantine(), quarantine_path, "parquet")

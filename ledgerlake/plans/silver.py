@@ -53,16 +53,28 @@ class SilverResult:
     silver: DataFrame  # the clean layer, rules.fields
     rules: SilverRules = INVOICE_RULES
 
-    def reject_counts(self) -> DataFrame:
-        """``stage, rows``: input, null_required, invalid_value, duplicate, output -- one pass."""
+    def reject_counts(self, output_rows: int | DataFrame | None = None) -> DataFrame:
+        """``stage, rows``: input, null_required, invalid_value, duplicate, output -- one pass.
+
+        ``output_rows`` is the clean layer's row count when it is already known (the
+        count observed while writing it, or a one-row DataFrame such as a count of the
+        written layer, used as a scalar subquery); then no distinct count over all
+        valid ids -- a shuffle of every id -- is needed.
+        """
         t = self.tagged
         valid = F.col(REASON).isNull()
+        if output_rows is None:
+            output = F.count_distinct(F.when(valid, F.col(self.rules.key)))
+        elif isinstance(output_rows, DataFrame):
+            output = F.first(output_rows.select(F.col(output_rows.columns[0]).cast("long")).scalar())
+        else:
+            output = F.lit(int(output_rows))
         stats = t.agg(
             F.count(F.lit(1)).alias("input"),
             F.count_if(F.col(REASON) == NULL_REQUIRED).alias(NULL_REQUIRED),
             F.count_if(F.col(REASON) == INVALID_VALUE).alias(INVALID_VALUE),
             F.count_if(valid).alias("__valid"),
-            F.count_distinct(F.when(valid, F.col(self.rules.key))).alias("output"),
+            output.alias("output"),
         )
         stats = stats.withColumn(DUPLICATE, F.col("__valid") - F.col("output"))
         stages = ["input", NULL_REQUIRED, INVALID_VALUE, DUPLICATE, "output"]

@@ -117,7 +117,9 @@ def q_silver_layer(spark, sf_dir):
 
 
 def q_reject_counts(spark, sf_dir):
-    return silver_result(spark, sf_dir).reject_counts()
+    """Rows per reject reason; the survivors counted from the written clean layer."""
+    written = silver(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return silver_result(spark, sf_dir).reject_counts(output_rows=written)
 
 
 def q_quality_report(spark, sf_dir):
