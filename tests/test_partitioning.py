@@ -55,3 +55,20 @@ def test_lookup_join_never_multiplies_rows(spark):
     table = spark.createDataFrame([("a", "A1"), ("a", "A2")], "key string, name string")
     out = lookup_join(df, "k", table, "key", ["name"], default="?")
     assert sorted((r.k or "", r.name) for r in out.collect()) == [("", "?"), ("a", "A2"), ("b", "?")]
+
+
+def test_salted_join_without_adaptive_skew_handling(spark):
+    big = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id")
+    small = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    expected = sorted(tuple(r) for r in big.join(small, "k", "left").collect())
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = join_sized(big, small, "k", "left", max_broadcast_rows=0)
+        assert "__salt" in out._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(tuple(r) for r in out.select("k", "id", "v").collect()) == expected
+        cond = join_sized(big, small.withColumnRenamed("k", "k2"), F.col("k") == F.col("k2"), "left", max_broadcast_rows=0)
+        assert cond.count() == 3000 and "__salt" not in cond.columns
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
