@@ -39,6 +39,19 @@ def join_sized(
     rows = small.count() if small_rows is None else small_rows
     if rows <= max_broadcast_rows:
         return big.join(F.broadcast(small), on, how)
+    return skew_safe_join(big, small, on, how, salt_buckets)
+
+
+def skew_safe_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: str | list[str] | Column,
+    how: str = "left",
+    salt_buckets: int | None = None,
+) -> DataFrame:
+    """A join whose hot keys on the ``big`` side cannot all land in one task: a plain
+    join when adaptive skew-join handling is on, otherwise salted (see ``join_sized``).
+    The optimizer may still broadcast ``small`` from its size statistics."""
     if salt_buckets is None:
         salt_buckets = 0 if adaptive_skew_join(big.sparkSession) else DEFAULT_SALT_BUCKETS
     if salt_buckets <= 1 or how not in ("left", "left_outer", "inner"):

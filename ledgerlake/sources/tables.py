@@ -19,6 +19,7 @@ from .. import schemas as S
 from ..functions.json import record_json
 from ..functions.lookup import STATE_CODES
 from ..functions.money import money_text, to_money
+from ..operators.joins import skew_safe_join
 from ..operators.partitioning import ensure_parallelism
 
 TABLE_NAMES = [
@@ -96,8 +97,9 @@ def invoice_records(spark: SparkSession, sf_dir: str, with_key: bool = False) ->
     orders = read_table(spark, sf_dir, "orders")
     amounts = order_amounts(read_table(spark, sf_dir, "lineitem"))
     iss = issuers(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation"))
-    o = orders.join(amounts, orders["o_orderkey"] == amounts["l_orderkey"], "left")
-    o = o.join(iss, o["o_custkey"] == iss["c_custkey"], "left")
+    o = orders.join(amounts, orders["o_orderkey"] == amounts["l_orderkey"], "left")  # unique keys on both sides
+    # a customer may hold a large share of the orders
+    o = skew_safe_join(o, iss, o["o_custkey"] == iss["c_custkey"], "left")
     cols = [
         invoice_id(F.col("o_orderkey")).alias("id_nfe"),
         F.col("o_orderkey").cast("string").alias("numero_nfe"),
