@@ -67,3 +67,24 @@ def test_sql_over_the_lake(spark, tmp_dir, capsys):
     _write(tmp_dir, "raw.sql", "SELECT COUNT(*) AS n FROM bronze.nfe")
     assert main(["sql", "--base", base, "--file", os.path.join(tmp_dir, "raw.sql")], spark=spark) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows"] == [{"n": 3}]
+
+
+def test_gold_and_questions_stages(spark, tmp_dir, capsys):
+    xml = os.path.join(tmp_dir, "xml")
+    os.makedirs(xml)
+    stamps = ["2021-01-29T09:00:00-03:00", "2021-01-29T15:00:00-03:00", "2021-02-01T10:00:00-03:00"]
+    for i, at in enumerate(stamps):
+        doc = (FULL.replace('Id="NFe35"', f'Id="NFe{i}"').replace("<vDesc></vDesc>", "<vDesc>0.00</vDesc>")
+               .replace("2021-01-29T10:32:11-03:00", at))
+        _write(xml, f"nfe_{i}.xml", doc)
+    base = os.path.join(tmp_dir, "lake")
+    assert main(["ingest", "--xml-dir", xml, "--message-dir", f"{base}/messages"], spark=spark) == 0
+    assert main(["bronze", "--message-dir", f"{base}/messages", "--bronze", f"{base}/bronze"], spark=spark) == 0
+    assert main(["silver", "--bronze", f"{base}/bronze", "--silver", f"{base}/silver"], spark=spark) == 0
+    capsys.readouterr()
+    assert main(["gold", "--silver", f"{base}/silver", "--gold", f"{base}/gold", "--grain", "timestamp"], spark=spark) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["dim_data"] == 3 and out["fato_vendas"] == 3  # one calendar row per instant, no fan-out
+    assert main(["questions", "--gold", f"{base}/gold", "--out", f"{base}/results", "--format", "parquet"], spark=spark) == 0
+    monthly = spark.read.parquet(f"{base}/results/monthly_evolution").orderBy("mes").collect()
+    assert [(r.ano, r.mes, r.quantidade_nfe) for r in monthly] == [(2021, 1, 2), (2021, 2, 1)]
