@@ -7,6 +7,7 @@ through the raw, clean and star layers exactly as real invoices do.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,13 +45,15 @@ from .streaming.incremental import run_incremental_silver
 # the same session read the star tables already materialised in the shared
 # folder, as they would read the gold layer.
 _MEMO: dict[tuple[str, str, str], object] = {}
+_MEMO_LOCK = threading.RLock()  # re-entrant: building the star builds the clean layer first
 
 
 def _memo(spark: SparkSession, sf_dir: str, what: str, build: Callable[[], object]):
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
-    if key not in _MEMO:
-        _MEMO[key] = build()
-    return _MEMO[key]
+    with _MEMO_LOCK:
+        if key not in _MEMO:
+            _MEMO[key] = build()
+        return _MEMO[key]
 
 
 def bronze_path(spark: SparkSession, sf_dir: str) -> str:
