@@ -115,17 +115,17 @@ def gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
 
 
 # ---- clean layer -----------------------------------------------------------------
-def q_silver_layer(spark, sf_dir):
+def q_silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir)
 
 
-def q_reject_counts(spark, sf_dir):
+def q_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per reject reason; the survivors counted from the written clean layer."""
     written = silver(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
     return silver_result(spark, sf_dir).reject_counts(output_rows=written)
 
 
-def q_quality_report(spark, sf_dir):
+def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = read_table(spark, sf_dir, "orders").agg(F.count_distinct("o_orderkey").alias("expected"))
     return quality_report(
         silver(spark, sf_dir), "id_nfe", S.REQUIRED_FIELDS, S.POSITIVE_FIELDS,
@@ -134,23 +134,23 @@ def q_quality_report(spark, sf_dir):
 
 
 # ---- star schema -------------------------------------------------------------------
-def q_dim_emitter(spark, sf_dir):
+def q_dim_emitter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star(spark, sf_dir).dim_emitente.df
 
 
-def q_dim_date(spark, sf_dir):
+def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star(spark, sf_dir).dim_data.df
 
 
-def q_dim_location(spark, sf_dir):
+def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star(spark, sf_dir).dim_localidade.df
 
 
-def q_fact_sales(spark, sf_dir):
+def q_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star(spark, sf_dir).fato_vendas.df
 
 
-def q_star_row_totals(spark, sf_dir):
+def q_star_row_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of each star table, counted from the materialised tables."""
     parts = [
         df.agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
@@ -163,23 +163,23 @@ def q_star_row_totals(spark, sf_dir):
 
 
 # ---- questions ---------------------------------------------------------------------
-def q_sales_by_state(spark, sf_dir):
+def q_sales_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = gold(spark, sf_dir)
     return analytics.sales_by_state(g["fato_vendas"], g["dim_localidade"])
 
 
-def q_top_emitters(spark, sf_dir):
+def q_top_emitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = gold(spark, sf_dir)
     return analytics.top_emitters(g["fato_vendas"], g["dim_emitente"], g["dim_localidade"])
 
 
-def q_monthly_evolution(spark, sf_dir):
+def q_monthly_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = gold(spark, sf_dir)
     return analytics.monthly_evolution(g["fato_vendas"], g["dim_data"])
 
 
 def _sql_question(name: str):
-    def run(spark, sf_dir):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prefix = "gold_" + spark.sparkContext.applicationId.replace("-", "_") + "_"
         for table, keyed in gold(spark, sf_dir).items():
             keyed.df.createOrReplaceTempView(prefix + table)
@@ -197,11 +197,11 @@ def _documents(spark, sf_dir) -> DataFrame:
     return rec.select(invoice_document().alias("value"), "arquivo_origem")
 
 
-def q_xml_header(spark, sf_dir):
+def q_xml_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_documents(_documents(spark, sf_dir)).invoices
 
 
-def q_xml_items(spark, sf_dir):
+def q_xml_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per line item (a single ``det`` each), parsed and exploded to item grain."""
     li = ensure_parallelism(read_table(spark, sf_dir, "lineitem"))
     item = F.struct(
@@ -227,7 +227,7 @@ def q_xml_items(spark, sf_dir):
     return parse_documents(docs).items
 
 
-def q_xml_errors(spark, sf_dir):
+def q_xml_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of every order, some damaged according to the order's priority class:
     ``5-LOW`` never closes its elements, ``4-NOT SPECIFIED`` carries no invoice body,
     ``3-MEDIUM`` has no identification block. Returns the error side output."""
@@ -242,7 +242,7 @@ def q_xml_errors(spark, sf_dir):
     return parse_documents(rec.select(doc.alias("value"), "arquivo_origem")).errors
 
 
-def q_xml_files(spark, sf_dir):
+def q_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written many per file and read back with the record reader (files split in parallel)."""
     path = scratch_path(spark, "documents")
     write_documents(invoice_records(spark, sf_dir), path)
@@ -250,24 +250,24 @@ def q_xml_files(spark, sf_dir):
     return parsed.invoices.drop("arquivo_origem")
 
 
-def q_message_roundtrip(spark, sf_dir):
+def q_message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents -> parsed records (with items) -> JSON message values -> fields extracted again."""
     rec = parse_documents(_documents(spark, sf_dir)).invoices_with_items
     values = rec.select(record_json(*[c for c in S.INVOICE_WITH_ITEMS.fieldNames()]).alias("payload"))
     return extract_fields(values, "payload", S.INVOICE_FIELDS)
 
 
-def q_json_payload_roundtrip(spark, sf_dir):
+def q_json_payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice records -> JSON message values (NULLs written) -> the fields extracted again."""
     values = invoice_records(spark, sf_dir).select(record_json(*S.INVOICE_FIELDS).alias("payload"))
     return extract_fields(values, "payload", S.INVOICE_FIELDS)
 
 
-def q_bronze_layer(spark, sf_dir):
+def q_bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze(spark, sf_dir).select("payload", "offset")
 
 
-def q_topic_not_empty(spark, sf_dir):
+def q_topic_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = invoice_messages(spark, sf_dir)
     return msgs.limit(1).agg(F.count(F.lit(1)).alias("observed")).select(
         F.lit("messages_not_empty").alias("check"), F.col("observed").cast("long"),
@@ -276,40 +276,40 @@ def q_topic_not_empty(spark, sf_dir):
 
 
 # ---- single operators on the given tables ---------------------------------------------------
-def q_json_extract_cast(spark, sf_dir):
+def q_json_extract_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return cast_double(extract_fields(ev, "props", ["k"], keep=["event_id"]), ["k"])
 
 
-def q_filter_required(spark, sf_dir):
+def q_filter_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = typed_rows(bronze(spark, sf_dir))
     kept = filter_required(typed, S.REQUIRED_FIELDS + ["valor_produtos"])
     return kept.select("id_nfe", "offset", *S.AMOUNT_FIELDS)
 
 
-def q_filter_values(spark, sf_dir):
+def q_filter_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     return filter_values(cust, ["c_acctbal"], [])
 
 
-def q_dedupe_by_key(spark, sf_dir):
+def q_dedupe_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return latest_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
-def q_trim_text(spark, sf_dir):
+def q_trim_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return trim_columns(docs, ["text"])
 
 
-def q_state_region_lookup(spark, sf_dir):
+def q_state_region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     iss = issuers(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation"))
     return iss.select("c_custkey", F.col("uf_emitente").alias("uf"), *[
         v.alias(k) for k, v in state_attributes("uf_emitente").items()
     ])
 
 
-def q_sales_by_state_catalog(spark, sf_dir):
+def q_sales_by_state_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The revenue-by-state question through external catalog tables over the gold folders."""
     base, rows = gold_path(spark, sf_dir)
     db = "gold_" + spark.sparkContext.applicationId.replace("-", "_")
@@ -320,7 +320,7 @@ def q_sales_by_state_catalog(spark, sf_dir):
 
 
 # ---- incremental ----------------------------------------------------------------------------
-def q_silver_incremental(spark, sf_dir):
+def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean layer built incrementally by a streaming query over the raw files."""
     out = scratch_path(spark, "silver_incremental")
     run_incremental_silver(spark, bronze_path(spark, sf_dir), out, out + "_checkpoint")
@@ -330,12 +330,12 @@ def q_silver_incremental(spark, sf_dir):
 
 
 # ---- accounting, reconciliation, fan-out measure, saved results --------------------------------
-def q_quarantine_rows(spark, sf_dir):
+def q_quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rejected raw row with its reason (rule breaks and the copies that lost dedupe)."""
     return silver_result(spark, sf_dir).quarantine().select("id_nfe", "offset", REASON)
 
 
-def q_items_reconciliation(spark, sf_dir):
+def q_items_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per invoice: items parsed from the documents summed, against the header product total."""
     items = q_xml_items(spark, sf_dir)
     per = items.groupBy("id_nfe").agg(F.sum(to_money("valor_total_item")).alias("soma_itens"))
@@ -349,14 +349,14 @@ def q_items_reconciliation(spark, sf_dir):
     )
 
 
-def q_fact_sales_timestamp_grain(spark, sf_dir):
+def q_fact_sales_timestamp_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows per date a calendar keyed by instant would produce, on the event stream."""
     ev = read_table(spark, sf_dir, "events").select("ts", F.to_date("ts").alias("d"))
     out = timestamp_grain_fact_rows(ev, "ts", "d")
     return out.select(F.col("data").cast("string").alias("data"), "notas", "instantes", "linhas_fato")
 
 
-def q_sales_by_state_saved(spark, sf_dir):
+def q_sales_by_state_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The revenue-by-state result persisted as CSV with a header and read back."""
     path = scratch_path(spark, "results_sales_by_state")
     result = q_sales_by_state(spark, sf_dir)
@@ -367,14 +367,14 @@ def q_sales_by_state_saved(spark, sf_dir):
 
 
 # ---- layer formats -----------------------------------------------------------------------------
-def q_parquet_roundtrip(spark, sf_dir):
+def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole table written as Parquet in the shared folder and read back."""
     path = scratch_path(spark, "parquet_roundtrip")
     write_silver(read_table(spark, sf_dir, "orders"), path)
     return read_silver(spark, path)
 
 
-def q_json_roundtrip(spark, sf_dir):
+def q_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole table written as JSON lines and read back with its declared schema."""
     src = read_table(spark, sf_dir, "customer")
     path = scratch_path(spark, "json_roundtrip")
@@ -400,7 +400,7 @@ def documents_gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
     return _memo(spark, sf_dir, "documents_gold", build)
 
 
-def q_sales_by_state_from_documents(spark, sf_dir):
+def q_sales_by_state_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = documents_gold(spark, sf_dir)
     return analytics.sales_by_state(g["fato_vendas"], g["dim_localidade"])
 
