@@ -53,7 +53,12 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return (spark.conf.get("spark.master", "") or "").startswith("local")
+
+
+def app_id(spark: SparkSession) -> str:
+    """The application id (from the session's settings, so it also works over Spark Connect)."""
+    return spark.conf.get("spark.app.id", None) or "app"
 
 
 _LOCAL_FALLBACK: dict[str, str] = {}
@@ -65,7 +70,7 @@ def shared_dir(spark: SparkSession) -> str:
     A cluster must name it; only a local session (tests) gets a private
     temporary folder when it is unset.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     if not _is_local(spark):
@@ -73,15 +78,19 @@ def shared_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; a cluster job needs a shared folder for "
             "checkpoints and intermediate tables"
         )
-    app = spark.sparkContext.applicationId
+    app = app_id(spark)
     if app not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="ledgerlake-")
     return _LOCAL_FALLBACK[app]
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint`` write to the shared folder."""
-    sc = spark.sparkContext
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Make ``DataFrame.checkpoint`` write to the shared folder (a Spark Connect session
+    has no local context: the server's ``spark.checkpoint.dir`` applies there)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current

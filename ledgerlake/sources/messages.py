@@ -32,7 +32,12 @@ def _load(reader, what: str) -> DataFrame:
 def _min_partitions(spark: SparkSession, min_partitions: int | None) -> str:
     # a topic with few partitions (or one partition holding most messages) is split
     # into offset ranges so the read is spread over the cluster's cores
-    return str(min_partitions or spark.sparkContext.defaultParallelism)
+    if min_partitions:
+        return str(min_partitions)
+    try:
+        return str(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 -- Spark Connect
+        return spark.conf.get("spark.sql.shuffle.partitions", "200")
 
 
 def read_topic(

@@ -27,7 +27,7 @@ from .plans.ingest import ingest_documents, read_message_dir
 from .plans.layers import load_bronze, load_gold, load_silver, validate_silver
 from .plans.silver import REASON, SilverResult, clean, typed_rows
 from .plans.star import Star, build_star, timestamp_grain_fact_rows
-from .session import scratch_path
+from .session import app_id, scratch_path
 from .sinks.writers import read_star, register_tables, save_result, write_observed, write_silver, write_star
 from .sinks.xml import (
     document_without_body,
@@ -49,7 +49,7 @@ _MEMO_LOCK = threading.RLock()  # re-entrant: building the star builds the clean
 
 
 def _memo(spark: SparkSession, sf_dir: str, what: str, build: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    key = (app_id(spark), sf_dir.rstrip("/"), what)
     with _MEMO_LOCK:
         if key not in _MEMO:
             _MEMO[key] = build()
@@ -180,7 +180,7 @@ def q_monthly_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_question(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        prefix = "gold_" + spark.sparkContext.applicationId.replace("-", "_") + "_"
+        prefix = "gold_" + app_id(spark).replace("-", "_") + "_"
         for table, keyed in gold(spark, sf_dir).items():
             keyed.df.createOrReplaceTempView(prefix + table)
         return analytics.question_sql(spark, name, prefix)
@@ -312,7 +312,7 @@ def q_state_region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_sales_by_state_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The revenue-by-state question through external catalog tables over the gold folders."""
     base, rows = gold_path(spark, sf_dir)
-    db = "gold_" + spark.sparkContext.applicationId.replace("-", "_")
+    db = "gold_" + app_id(spark).replace("-", "_")
     register_tables(spark, db, {name: f"{base}/{name}" for name in rows}, database_location=f"{base}/_catalog")
     return analytics.question_sql(spark, "sales_by_state", db + ".")
 
