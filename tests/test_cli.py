@@ -88,3 +88,15 @@ def test_gold_and_questions_stages(spark, tmp_dir, capsys):
     assert main(["questions", "--gold", f"{base}/gold", "--out", f"{base}/results", "--format", "parquet"], spark=spark) == 0
     monthly = spark.read.parquet(f"{base}/results/monthly_evolution").orderBy("mes").collect()
     assert [(r.ano, r.mes, r.quantidade_nfe) for r in monthly] == [(2021, 1, 2), (2021, 2, 1)]
+
+
+def test_ingest_restores_session_settings(spark, tmp_dir):
+    from ledgerlake.plans.ingest import ingest_documents
+
+    xml = os.path.join(tmp_dir, "xml")
+    os.makedirs(xml)
+    _write(xml, "nfe_1.xml", FULL)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    out = ingest_documents(spark, xml, "t", os.path.join(tmp_dir, "m"))
+    assert out == {"published": 1, "errors": 0}
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
