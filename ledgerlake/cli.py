@@ -45,7 +45,8 @@ def _questions(spark, gold: str, out: str, fmt: str) -> dict[str, int]:
 
 
 def parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="ledgerlake")
+    p = argparse.ArgumentParser(prog="ledgerlake", description=__doc__,
+                                formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--master", default=None)
     p.add_argument("--time-zone", default=DEFAULT_TIME_ZONE)
     sub = p.add_subparsers(dest="stage", required=True)
