@@ -56,3 +56,53 @@ def test_rounded_mean_is_decimal_half_up(spark, cents):
     sign = -1 if exact < 0 else 1
     expected = float(sign * abs(exact).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
     assert got == expected
+
+
+amount = st.one_of(st.none(), st.sampled_from(["0", "-0.01", "0.00", "1.50", "abc", "100", "7.25"]))
+payload = st.fixed_dictionaries(
+    {},
+    optional={
+        "id_nfe": st.one_of(st.none(), st.sampled_from(["a", "b", "c", ""])),
+        "cnpj_emitente": st.one_of(st.none(), st.just("1")),
+        "data_emissao": st.one_of(st.none(), st.just("2021-01-01T10:00:00-03:00")),
+        "valor_total_nf": amount,
+        "valor_produtos": amount,
+        "valor_desconto": amount,
+        "nome_emitente": st.sampled_from([" x ", "y", None]),
+    },
+)
+
+
+def _num(v):
+    try:
+        return float(v)
+    except (TypeError, ValueError):
+        return None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(payload, max_size=25))
+def test_clean_layer_matches_the_rules(spark, payloads):
+    from ledgerlake.plans.silver import clean
+    from tests.helpers import bronze_df
+
+    res = clean(bronze_df(spark, payloads))
+    got = {r.id_nfe: (r.valor_total_nf, r.nome_emitente) for r in res.silver.collect()}
+    counts = {r.stage: r.rows for r in res.reject_counts().collect()}
+
+    # brute force: required, then ranges, then the latest valid copy (list order = offset order)
+    null_required = invalid = 0
+    survivors = {}
+    for p in payloads:
+        total, prod, desc = _num(p.get("valor_total_nf")), _num(p.get("valor_produtos")), _num(p.get("valor_desconto"))
+        if p.get("id_nfe") is None or p.get("cnpj_emitente") is None or total is None or p.get("data_emissao") is None:
+            null_required += 1
+        elif prod is None or desc is None or not (total > 0 and prod > 0 and desc >= 0):
+            invalid += 1
+        else:
+            name = p.get("nome_emitente")
+            survivors[p["id_nfe"]] = (total, name.strip(" ") if name is not None else None)
+    assert got == survivors
+    valid = len(payloads) - null_required - invalid
+    assert counts == {"input": len(payloads), "null_required": null_required, "invalid_value": invalid,
+                      "duplicate": valid - len(survivors), "output": len(survivors)}
