@@ -106,3 +106,42 @@ def test_clean_layer_matches_the_rules(spark, payloads):
     valid = len(payloads) - null_required - invalid
     assert counts == {"input": len(payloads), "null_required": null_required, "invalid_value": invalid,
                       "duplicate": valid - len(survivors), "output": len(survivors)}
+
+
+invoice_row = st.tuples(
+    st.sampled_from(["SP", "RJ", "AM", "XX", None]),
+    st.integers(1, 30000),  # total in cents
+    st.sampled_from(["2020-12-31T23:30:00-03:00", "2021-01-15T10:00:00-03:00", "2021-02-01T00:10:00-03:00"]),
+    st.sampled_from(["1", "2", "3"]),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(invoice_row, min_size=1, max_size=30))
+def test_questions_match_brute_force(spark, rows):
+    from ledgerlake.functions.lookup import REGION_BY_STATE, UNKNOWN_LABEL
+    from ledgerlake.plans import analytics
+    from ledgerlake.plans.star import build_star
+    from tests.helpers import invoice, silver_df
+
+    inv = [invoice(id_nfe=f"n{i}", uf_emitente=uf, valor_total_nf=f"{c / 100:.2f}", data_emissao=at, cnpj_emitente=e)
+           for i, (uf, c, at, e) in enumerate(rows)]
+    s = build_star(silver_df(spark, inv), num_partitions=2)
+
+    def mean(cents):
+        q = (Decimal(sum(cents)) / Decimal(len(cents))).quantize(Decimal("1"), rounding=ROUND_HALF_UP)
+        return float(q) / 100
+
+    by_state = {}
+    by_month = {}
+    for uf, c, at, _ in rows:
+        by_state.setdefault((uf, REGION_BY_STATE.get(uf, UNKNOWN_LABEL)), []).append(c)
+        by_month.setdefault((int(at[:4]), int(at[5:7])), []).append(c)  # the dates are local (-03:00)
+    exp_state = {k: (len(v), sum(v) / 100, mean(v)) for k, v in by_state.items()}
+    exp_month = {k: (len(v), sum(v) / 100, mean(v)) for k, v in by_month.items()}
+    got_state = {(r.uf, r.regiao): (r.quantidade_nfe, r.faturamento_total, r.ticket_medio)
+                 for r in analytics.sales_by_state(s.fato_vendas, s.dim_localidade).collect()}
+    got_month = {(r.ano, r.mes): (r.quantidade_nfe, r.faturamento_total, r.ticket_medio)
+                 for r in analytics.monthly_evolution(s.fato_vendas, s.dim_data).collect()}
+    assert got_state == exp_state
+    assert got_month == exp_month
