@@ -145,3 +145,30 @@ def test_questions_match_brute_force(spark, rows):
                  for r in analytics.monthly_evolution(s.fato_vendas, s.dim_data).collect()}
     assert got_state == exp_state
     assert got_month == exp_month
+
+
+xml_text = st.one_of(
+    st.none(),
+    st.text(alphabet=st.sampled_from(list("abcXYZ019 &<>\"'ãçéÁ#/-.")), min_size=0, max_size=12),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(xml_text, xml_text, xml_text, xml_text), min_size=1, max_size=10))
+def test_xml_documents_round_trip(spark, values):
+    from ledgerlake import schemas as S
+    from ledgerlake.sinks.xml import invoice_document
+    from ledgerlake.sources.xml import parse_documents
+
+    rows = []
+    for i, (name, town, nat, total) in enumerate(values):
+        r = {c: None for c in S.INVOICE_FIELDS}
+        r.update(id_nfe=f"N{i}", numero_nfe=str(i), nome_emitente=name, municipio_emitente=town,
+                 natureza_operacao=nat, valor_total_nf=total, arquivo_origem=f"f{i}.xml")
+        rows.append(tuple(r[c] for c in S.INVOICE_FIELDS))
+    recs = spark.createDataFrame(rows, S.INVOICE)
+    docs = recs.select(invoice_document().alias("value"), "arquivo_origem")
+    back = {r.id_nfe: (r.nome_emitente, r.municipio_emitente, r.natureza_operacao, r.valor_total_nf)
+            for r in parse_documents(docs).invoices.collect()}
+    expected = {f"N{i}": tuple(v if v else None for v in vals) for i, vals in enumerate(values)}
+    assert back == expected
