@@ -172,3 +172,17 @@ def test_xml_documents_round_trip(spark, values):
             for r in parse_documents(docs).invoices.collect()}
     expected = {f"N{i}": tuple(v if v else None for v in vals) for i, vals in enumerate(values)}
     assert back == expected
+
+
+json_text = st.one_of(st.none(), st.text(alphabet=st.sampled_from(list('ab "\\\n\t/{}[]:,çÃ€')), max_size=10))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(json_text, json_text), min_size=1, max_size=10))
+def test_json_messages_round_trip(spark, values):
+    from ledgerlake.functions.json import extract_text_fields, record_json
+
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(values)], "i int, a string, b string")
+    msg = df.select("i", record_json("a", "b").alias("payload"))
+    back = msg.select("i", extract_text_fields("payload", ["a", "b"]).alias("p")).select("i", "p.a", "p.b")
+    assert sorted(tuple(r) for r in back.collect()) == [(i, a, b) for i, (a, b) in enumerate(values)]
