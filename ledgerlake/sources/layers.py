@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .. import schemas as S
 
@@ -13,8 +14,10 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.BRONZE).json(path)
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_silver(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Clean layer Parquet; with ``schema``, a layer that has no rows yet also reads (as empty)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def read_catalog_table(spark: SparkSession, qualified_name: str) -> DataFrame:

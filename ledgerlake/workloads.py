@@ -324,7 +324,7 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean layer built incrementally by a streaming query over the raw files."""
     out = scratch_path(spark, "silver_incremental")
     run_incremental_silver(spark, bronze_path(spark, sf_dir), out, out + "_checkpoint")
-    return read_silver(spark, out)
+    return read_silver(spark, out, schema=silver_result(spark, sf_dir).silver.schema)
 
 
 
