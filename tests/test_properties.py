@@ -211,3 +211,30 @@ def test_incremental_equals_batch_for_republished_copies(spark, payloads, copies
     run_incremental_silver(spark, os.path.join(d, "bronze", "*"), out, out + "_ck")
     stream = sorted(map(tuple, spark.read.schema(batch_df.schema).parquet(out).collect()), key=repr)
     assert stream == batch
+
+
+gate_row = st.tuples(
+    st.one_of(st.none(), st.sampled_from(["a", "b", "c"])),
+    st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 2.5])),
+    st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 2.5])),
+    st.one_of(st.none(), st.sampled_from([-0.5, 0.0, 1.0])),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(gate_row, max_size=20))
+def test_quality_report_matches_brute_force(spark, rows):
+    from ledgerlake.operators.quality import quality_report
+
+    df = spark.createDataFrame(rows, "id string, total double, prod double, disc double")
+    got = {r.check: r.observed for r in quality_report(df, "id", ["id", "total"], ["total", "prod"], ["disc"]).collect()}
+    distinct = len({r[0] for r in rows})  # NULL counts as one key, as dropping duplicates does
+    invalid = sum(1 for _, t, p, d in rows if (t is not None and t <= 0) or (p is not None and p <= 0)
+                  or (d is not None and d < 0))
+    assert got == {
+        "row_count": len(rows),
+        "duplicate_keys": len(rows) - distinct,
+        "invalid_values": invalid,
+        "null_amounts": sum(1 for _, t, p, d in rows if t is None or p is None or d is None),
+        "null_required": sum(1 for i, t, _, _ in rows if i is None or t is None),
+    }
