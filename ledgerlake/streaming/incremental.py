@@ -85,6 +85,23 @@ def run_incremental_silver_from_topic(
     return _run_available(clean_stream(bronze_rows(messages), watermark_delay), silver_path, checkpoint_path)
 
 
+def run_incremental_silver_from_messages(
+    spark: SparkSession,
+    message_dir: str,
+    silver_path: str,
+    checkpoint_path: str,
+    watermark_delay: str = "1 day",
+    max_files_per_trigger: int | None = None,
+) -> dict:
+    """The same over a message folder with the topic's record layout (what the ingest
+    stage writes when no broker is available)."""
+    reader = spark.readStream.schema(S.KAFKA_RECORD)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    messages = reader.parquet(message_dir)
+    return _run_available(clean_stream(bronze_rows(messages), watermark_delay), silver_path, checkpoint_path)
+
+
 def _run_available(stream: DataFrame, silver_path: str, checkpoint_path: str) -> dict:
     query = (
         stream.writeStream.format("parquet")

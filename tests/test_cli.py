@@ -100,3 +100,19 @@ def test_ingest_restores_session_settings(spark, tmp_dir):
     out = ingest_documents(spark, xml, "t", os.path.join(tmp_dir, "m"))
     assert out == {"published": 1, "errors": 0}
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_incremental_clean_layer_from_the_message_folder(spark, tmp_dir):
+    xml = os.path.join(tmp_dir, "xml")
+    os.makedirs(xml)
+    for i in range(3):
+        doc = FULL.replace('Id="NFe35"', f'Id="NFe{i}"').replace("<vDesc></vDesc>", "<vDesc>0.00</vDesc>")
+        _write(xml, f"nfe_{i}.xml", doc)
+    msgs, silver = os.path.join(tmp_dir, "messages"), os.path.join(tmp_dir, "silver")
+    assert main(["ingest", "--xml-dir", xml, "--message-dir", msgs], spark=spark) == 0
+    assert main(["silver-stream", "--message-dir", msgs, "--silver", silver], spark=spark) == 0
+    assert spark.read.parquet(silver).count() == 3
+    # the next scheduled ingest republishes everything: the incremental layer gains nothing
+    assert main(["ingest", "--xml-dir", xml, "--message-dir", msgs], spark=spark) == 0
+    assert main(["silver-stream", "--message-dir", msgs, "--silver", silver], spark=spark) == 0
+    assert sorted(r.id_nfe for r in spark.read.parquet(silver).collect()) == ["NFe0", "NFe1", "NFe2"]
