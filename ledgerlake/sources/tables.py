@@ -127,6 +127,7 @@ def invoice_messages(
     publications: int = 2,
     topic: str = "nfe-raw",
     topic_partitions: int = 8,
+    records: DataFrame | None = None,
 ) -> DataFrame:
     """Kafka-shaped records of the invoices, every invoice published ``publications`` times.
 
@@ -135,7 +136,7 @@ def invoice_messages(
     bytes, value = UTF-8 JSON of the 16 fields (NULLs written), partition =
     hash of the key.
     """
-    rec = invoice_records(spark, sf_dir, with_key=True)
+    rec = records if records is not None else invoice_records(spark, sf_dir, with_key=True)
     rec = rec.withColumn("__run", F.explode(F.sequence(F.lit(0), F.lit(publications - 1))))
     return rec.select(
         F.encode("id_nfe", "UTF-8").alias("key"),

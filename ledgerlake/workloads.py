@@ -56,12 +56,28 @@ def _memo(spark: SparkSession, sf_dir: str, what: str, build: Callable[[], objec
         return _MEMO[key]
 
 
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoice records derived from the given tables (the content of the documents and
+    messages the queries publish), written once to the shared folder and read back."""
+
+    def build():
+        path = scratch_path(spark, "invoice_records")
+        write_observed(invoice_records(spark, sf_dir, with_key=True), path, "parquet")
+        return spark.read.parquet(path)
+
+    return _memo(spark, sf_dir, "records", build)
+
+
+def _records16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ensure_parallelism(records(spark, sf_dir)).select(*S.INVOICE_FIELDS)
+
+
 def bronze_path(spark: SparkSession, sf_dir: str) -> str:
     """The invoice messages landed as the JSON raw layer in the shared folder."""
 
     def build():
         path = scratch_path(spark, "bronze")
-        load_bronze(invoice_messages(spark, sf_dir), path)
+        load_bronze(invoice_messages(spark, sf_dir, records=ensure_parallelism(records(spark, sf_dir))), path)
         return path
 
     return _memo(spark, sf_dir, "bronze_path", build)
@@ -193,7 +209,7 @@ def _sql_question(name: str):
 # ---- documents and messages ------------------------------------------------------------
 def _documents(spark, sf_dir) -> DataFrame:
     """One NF-e document per order of the given tables."""
-    rec = invoice_records(spark, sf_dir)
+    rec = _records16(spark, sf_dir)
     return rec.select(invoice_document().alias("value"), "arquivo_origem")
 
 
@@ -231,7 +247,7 @@ def q_xml_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of every order, some damaged according to the order's priority class:
     ``5-LOW`` never closes its elements, ``4-NOT SPECIFIED`` carries no invoice body,
     ``3-MEDIUM`` has no identification block. Returns the error side output."""
-    rec = invoice_records(spark, sf_dir)
+    rec = _records16(spark, sf_dir)
     pr = F.col("natureza_operacao")
     doc = (
         F.when(pr == "5-LOW", unterminated_document())
@@ -245,7 +261,7 @@ def q_xml_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written many per file and read back with the record reader (files split in parallel)."""
     path = scratch_path(spark, "documents")
-    write_documents(invoice_records(spark, sf_dir), path)
+    write_documents(_records16(spark, sf_dir), path)
     parsed = parse_records(read_document_records(spark, path))
     return parsed.invoices.drop("arquivo_origem")
 
@@ -259,7 +275,7 @@ def q_message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_json_payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice records -> JSON message values (NULLs written) -> the fields extracted again."""
-    values = invoice_records(spark, sf_dir).select(record_json(*S.INVOICE_FIELDS).alias("payload"))
+    values = _records16(spark, sf_dir).select(record_json(*S.INVOICE_FIELDS).alias("payload"))
     return extract_fields(values, "payload", S.INVOICE_FIELDS)
 
 
@@ -339,7 +355,7 @@ def q_items_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per invoice: items parsed from the documents summed, against the header product total."""
     items = q_xml_items(spark, sf_dir)
     per = items.groupBy("id_nfe").agg(F.sum(to_money("valor_total_item")).alias("soma_itens"))
-    head = invoice_records(spark, sf_dir).select("id_nfe", to_money("valor_produtos").alias("valor_produtos"))
+    head = records(spark, sf_dir).select("id_nfe", to_money("valor_produtos").alias("valor_produtos"))
     j = per.join(head, "id_nfe", "left")
     return j.select(
         "id_nfe",
@@ -389,7 +405,7 @@ def documents_gold(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
 
     def build():
         base = scratch_path(spark, "documents_flow")
-        write_documents(invoice_records(spark, sf_dir), f"{base}/xml")
+        write_documents(_records16(spark, sf_dir), f"{base}/xml")
         ingest_documents(spark, f"{base}/xml", "nfe-raw", f"{base}/messages", None, f"{base}/errors", lots=True)
         load_bronze(read_message_dir(spark, f"{base}/messages"), f"{base}/bronze")
         load_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/quarantine")
