@@ -47,3 +47,17 @@ def test_query_matches_oracle(spark, name):
     got = sorted((tuple(_norm(r[i]) for i in idx) for r in df.collect()), key=repr)
     exp = sorted((tuple(_norm(r[i]) for i in oidx) for r in res.fetchall()), key=repr)
     assert got == exp
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py"), "json_roundtrip"], env=env,
+                         capture_output=True, text=True, timeout=600, check=True).stdout.strip().splitlines()
+    line = json.loads(out[-1])
+    assert set(line) >= {"metric", "value", "unit", "queries", "sf"}
+    assert line["unit"] == "sec" and line["sf"] == 0.001 and "json_roundtrip" in line["queries"]
