@@ -1,8 +1,14 @@
-"""Registered queries: each reads the given tables at ``sf_dir`` and returns a DataFrame.
+"""Registered queries: each reads the given tables at ``sf_dir`` (or data Spark derived
+from them) and returns a DataFrame.
 
 The invoice engine runs unchanged on the given tables through the role map
 of ``sources.tables``: orders become published invoice messages, which go
 through the raw, clean and star layers exactly as real invoices do.
+
+Derived data is built once per (application, data folder) and kept in the
+shared folder: the invoice records (the content the documents and messages
+carry), the raw layer, the clean layer, the star and the gold Parquet. Later
+queries of the same session read them, as a deployment reads its layers.
 """
 
 from __future__ import annotations
@@ -41,9 +47,7 @@ from .sources.tables import invoice_id, invoice_messages, invoice_records, issue
 from .sources.xml import parse_documents, parse_records, read_document_records
 from .streaming.incremental import run_incremental_silver
 
-# One clean layer / star per (application, data folder): later questions of
-# the same session read the star tables already materialised in the shared
-# folder, as they would read the gold layer.
+# derived data per (application, data folder, what)
 _MEMO: dict[tuple[str, str, str], object] = {}
 _MEMO_LOCK = threading.RLock()  # re-entrant: building the star builds the clean layer first
 
