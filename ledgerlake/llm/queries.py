@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import exact_dedup, quality_rules
+from ledgerlake.llm import exact_dedup, mixing, quality_rules, sharding
 
 QUERIES = {
+    "op4_sharding": sharding.op4_sharding,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op8_mixing": mixing.op8_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
+    "op8_mixing": mixing.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
