@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import ensure_checkpoint_dir, scratch_path
 
+# functions of this package travel to the executors with the job: nothing has to be installed there
+cloudpickle.register_pickle_by_value(sys.modules["ledgerlake.llm"])
+
 # the six ASCII white-space characters: the words of every operator are the runs of anything else
 SPACES = r"[\x20\x09-\x0D]+"
 # a key with more than one row in HOT_SHARE is hot; there are fewer than HOT_SHARE such keys, whatever the input

@@ -30,7 +30,6 @@ def _repeat_words(windows: Column) -> Column:
     marked, places put back in order, and each marked window adds the words no earlier one covered."""
     n = F.size(windows)
     order = F.array_sort(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    empty = F.slice(order, 1, 0)
     none = F.array(F.lit(None).cast("struct<w:string,i:int>"))
     before = F.concat(none, F.slice(order, 1, n - 1))
     after = F.concat(F.slice(order, 2, n - 1), none)
@@ -38,7 +37,6 @@ def _repeat_words(windows: Column) -> Column:
     same = F.filter(triples, lambda t: (t["s"]["w"].eqNullSafe(t["p"]["w"])) | (t["s"]["w"].eqNullSafe(t["q"]["w"])))
     places = F.array_sort(F.transform(same, lambda t: t["s"]["i"]))
     start = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n"))
-    del empty
     return F.aggregate(
         places,
         start,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import exact_dedup, mixing, quality_rules, sharding
+from ledgerlake.llm import exact_dedup, mixing, ngram_join, quality_rules, sharding
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.op1_ngram_join,
     "op4_sharding": sharding.op4_sharding,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op8_mixing": mixing.op8_mixing,
