@@ -31,8 +31,9 @@ def text_of(name: str = "text") -> Column:
 
 def words_of(text: Column) -> Column:
     """Array of the words of a text, in order."""
-    blank = F.translate(text, "\t\n\x0b\x0c\r", "     ")
-    return F.filter(F.split(blank, " ", -1), lambda w: w != "")
+    for c in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " ", -1), "")  # a single character: no pattern is run
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPACES, checkpointed, table, text_of, words_of
+from ledgerlake.llm.common import checkpointed, table, text_of, words_of
 
 BUCKETS = 16384
 SMOOTHING = 1.0
@@ -14,15 +14,21 @@ SMOOTHING = 1.0
 THRESHOLD = -0.6931471805599453
 
 
-def _hash_bucket(gram: Column, buckets: int) -> Column:
-    return F.crc32(gram) % buckets
+def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once: the optimizer doesn't copy it past a generator."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def n_grams(words: Column) -> Column:
-    """Lower-cased words, and pairs of neighbouring words joined by a space."""
-    low = F.transform(words, lambda w: F.lower(w))
-    pairs = F.zip_with(F.slice(low, 1, F.greatest(F.size(low) - 1, F.lit(0))), F.slice(low, 2, F.greatest(F.size(low) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.concat(low, pairs)
+def _rest(array: Column, first: int) -> Column:
+    return F.slice(array, first, F.greatest(F.size(array) - first + 1, F.lit(0)))
+
+
+def with_grams(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with the words of a text (_words), their 64-bit hashes (_one) and those of each two in a row (_two)."""
+    out = _held(docs, "_words", words_of(text))
+    out = _held(out, "_one", F.transform("_words", lambda w: F.xxhash64(w)))
+    pairs = F.zip_with(F.slice("_one", 1, F.greatest(F.size("_one") - 1, F.lit(0))), _rest(F.col("_one"), 2), lambda x, y: F.xxhash64(x, y))
+    return _held(out, "_two", pairs)
 
 
 def _repeat_words(windows: Column) -> Column:
@@ -46,59 +52,51 @@ def _repeat_words(windows: Column) -> Column:
 
 
 def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with _words (array) and the counts of the rules."""
+    """``docs`` with the counts of the rules, base_failed, and the columns of ``with_grams``."""
     text = text_of(text_col)
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    # a generator keeps the optimizer from splitting the text again for every use of its words
-    out = docs.select("*", F.explode(F.array(F.struct(words_of(text).alias("w"), lines.alias("l")))).alias("_t"))
-    words = F.col("_t.w")
+    out = _held(with_grams(docs, text), "_lines", lines)
+    three = F.zip_with(F.slice("_two", 1, F.greatest(F.size("_two") - 1, F.lit(0))), _rest(F.col("_one"), 3), lambda x, y: F.xxhash64(x, y))
+    out = _held(out, "_three", three)
+    words = F.col("_words")
     last = F.greatest(F.size(words) - 2, F.lit(0))
     windows = F.transform(
         F.arrays_zip(F.slice(words, 1, last).alias("a"), F.slice(words, 2, last).alias("b"), F.slice(words, 3, last).alias("c")),
         lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"]),
     )
-    out = out.select("*", F.explode(F.array(F.struct(windows.alias("w")))).alias("_s"))
-    seen = F.col("_s.w")
+    # windows of distinct hashes are distinct; any others are compared as text
+    unique = F.size(F.array_distinct("_three")) == F.size("_three")
+    symbols = sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in "#*$%&|<>"), F.lit(0))
     return (
         out.withColumn("n_words", F.size(words).cast("long"))
-        .withColumn("word_chars", F.length(F.regexp_replace(text, SPACES, "")).cast("long"))
-        .withColumn("n_symbols", (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"))
-        .withColumn("n_dup_lines", (F.size("_t.l") - F.size(F.array_distinct("_t.l"))).cast("long"))
-        .withColumn(
-            "n_repeat_words",
-            F.when(F.size(F.array_distinct(seen)) == F.size(seen), F.lit(0).cast("long")).otherwise(_repeat_words(seen)),
-        )
+        .withColumn("word_chars", F.length(F.array_join(words, "")).cast("long"))
+        .withColumn("n_symbols", symbols.cast("long"))
+        .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
+        .withColumn("n_repeat_words", F.when(unique, F.lit(0).cast("long")).otherwise(_repeat_words(windows)))
         .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-        .withColumn("_words", words)
-        .drop("_t", "_s")
+        .drop("_lines", "_three", "_words")
     )
 
 
-def log_ratios(target: DataFrame, raw: DataFrame, text_col: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
+def log_ratios(corpus: DataFrame, trusted: str, text_col: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """One row: the array of log(p_target / p_raw) per bucket, both multinomials smoothed alike.
 
-    Counts cover every n-gram of every document and are reduced to ``buckets`` rows in the map tasks.
+    ``trusted`` names a boolean column of ``corpus``; the raw counts cover every n-gram of every document, the
+    target's those of the trusted ones. They are reduced to ``buckets`` rows in the map tasks.
     """
-
-    def counts(docs: DataFrame, name: str) -> DataFrame:
-        grams = docs.select(F.explode(n_grams(words_of(text_of(text_col)))).alias("g"))
-        return grams.groupBy(_hash_bucket(F.col("g"), buckets).alias("b")).agg(F.count(F.lit(1)).alias(name))
-
-    both = counts(raw, "r").join(counts(target, "t"), "b", "left").select("b", "r", F.coalesce("t", F.lit(0)).alias("t"))
-    both = raw.sparkSession.range(buckets).select(F.col("id").alias("b")).join(both, "b", "left").na.fill(0, ["r", "t"])
+    grams = with_grams(corpus.select(F.col(trusted).alias("_t"), F.col(text_col).alias("_text")), text_of("_text"))
+    grams = grams.select("_t", F.explode(F.concat("_one", "_two")).alias("g"))
+    counts = grams.groupBy(F.col("g").bitwiseAND(buckets - 1).alias("b")).agg(
+        F.count(F.lit(1)).alias("r"), F.sum(F.when(F.col("_t"), 1).otherwise(0)).alias("t")
+    )
+    both = corpus.sparkSession.range(buckets).select(F.col("id").alias("b")).join(counts, "b", "left").na.fill(0, ["r", "t"])
     # a row for each bucket, so at most ``buckets`` rows meet here
     one = both.agg(
-        F.sum("r").alias("nr"),
-        F.sum("t").alias("nt"),
-        F.transform(F.array_sort(F.collect_list(F.struct("b", "r", "t"))), lambda x: F.struct(x["r"].alias("r"), x["t"].alias("t"))).alias("c"),
-    )
-    s = F.lit(float(smoothing))
-    return one.select(
-        F.transform(
-            "c",
-            lambda x: F.log((x["t"] + s) / (F.col("nt") + s * buckets)) - F.log((x["r"] + s) / (F.col("nr") + s * buckets)),
-        ).alias("_ratio")
+        F.sum("r").alias("nr"), F.sum("t").alias("nt"), F.array_sort(F.collect_list(F.struct("b", "r", "t"))).alias("c")
     )
+    s = float(smoothing)
+    ratio = lambda x: F.log((x["t"] + s) / (F.col("nt") + s * buckets)) - F.log((x["r"] + s) / (F.col("nr") + s * buckets))
+    return one.select(F.transform("c", ratio).alias("_ratio"))
 
 
 def quality_rules(
@@ -112,28 +110,28 @@ def quality_rules(
 ) -> DataFrame:
     """Every row of ``docs`` with the rule counts, base_failed, log_ratio (mean over its n-grams) and kept.
 
-    ``trusted`` holds texts of the target kind, ``docs`` is the raw corpus. A document is kept when the
-    rules pass and log_ratio >= threshold; the verdict depends on its text and the corpus counts alone.
-    Without words (null and empty texts) log_ratio is 0 and the rules fail. With no trusted text at all
-    the target is uniform up to smoothing. Repeated rows get equal results; an empty table gives none.
+    ``trusted`` holds the ids of texts of the target kind, ``docs`` is the raw corpus. N-grams are the words
+    and each two in a row, hashed to ``buckets`` (a power of two). A document is kept when the rules pass
+    and log_ratio >= threshold: the verdict depends on its text and the corpus counts alone. Without words
+    (null and empty texts) log_ratio is 0 and the rules fail. Without trusted texts the target is uniform up
+    to smoothing. Repeated rows get equal results; null ids are never trusted; an empty table gives none.
 
-    Scale: two passes over the texts, no text is shuffled; what moves is at most ``buckets`` counts per
-    map task, and what is broadcast is one array of ``buckets`` doubles.
+    Scale: a pass that counts and a pass that scores. What moves is the texts once, to meet the trusted ids
+    (not at all while these are few enough for Spark to broadcast them), and ``buckets`` counts per task; what
+    is broadcast is one array of ``buckets`` doubles.
     """
-    ratio = checkpointed(log_ratios(trusted, docs, text_col, buckets, smoothing))
+    marked = trusted.select(F.col(id_col).alias("_tid"), F.lit(True).alias("_t")).filter("_tid IS NOT NULL").distinct()
+    corpus = docs.select(F.col(id_col).alias("_tid"), F.col(text_col).alias("_text")).join(marked, "_tid", "left")
+    ratio = checkpointed(log_ratios(corpus, "_t", "_text", buckets, smoothing))
     out = with_counts(docs, text_col).crossJoin(F.broadcast(ratio))  # one row on the right
-    grams = n_grams(F.col("_words"))
-    total = F.aggregate(
-        grams, F.lit(0.0), lambda a, g: a + F.element_at(F.col("_ratio"), (_hash_bucket(g, buckets) + 1).cast("int"))
-    )
-    n = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    out = out.withColumn("log_ratio", total / n)
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= threshold)).drop("_words", "_ratio")
+    add = lambda a, g: a + F.element_at(F.col("_ratio"), (g.bitwiseAND(buckets - 1) + 1).cast("int"))
+    total = F.aggregate("_two", F.aggregate("_one", F.lit(0.0), add), add)
+    out = out.withColumn("log_ratio", total / F.greatest(2 * F.col("n_words") - 1, F.lit(1)))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= threshold)).drop("_one", "_two", "_ratio")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
-    return quality_rules(docs, docs.join(good, "doc_id", "left_semi")).select(
+    good = table(spark, sf_dir, "labels").filter("quality = 1")
+    return quality_rules(table(spark, sf_dir, "documents"), good).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ratio"
     )
