@@ -10,8 +10,8 @@ from ledgerlake.llm.common import checkpointed, table, text_of, words_of
 BUCKETS = 16384
 SMOOTHING = 1.0
 # a document goes when its mean log ratio lies below this: its n-grams are, on the geometric mean,
-# less than half as likely in trusted text as in the raw corpus
-THRESHOLD = -0.6931471805599453
+# a tenth less likely in trusted text than in the raw corpus (junk lies far below, clean text around 0)
+THRESHOLD = -0.1
 
 
 def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
