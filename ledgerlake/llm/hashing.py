@@ -67,9 +67,11 @@ def blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray
         i = j
 
 
-def word_spans(a: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of a block, and for each text the number of its first word (and the end)."""
-    space = _IS_SPACE[a]
+def word_spans(a: np.ndarray, off: np.ndarray, gaps: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a block, and for each text the number of its first word (and the end).
+
+    ``gaps`` marks the 256 byte values that end a word."""
+    space = gaps[a]
     before = np.empty(len(a), bool)
     before[:1] = True
     before[1:] = space[:-1]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup
+from ledgerlake.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op4_sharding": sharding.op4_sharding,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
