@@ -46,8 +46,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(p[:n] for p in kept["powers"])
 
 
-def blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(number of the first text, bytes, offsets) of runs of texts of up to BLOCK bytes; null is empty."""
+def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the first text, bytes, offsets) of runs of texts of up to ``limit`` bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if isinstance(column, pa.ChunkedArray):  # no chunk at all
@@ -62,7 +62,7 @@ def blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + BLOCK, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(off, off[i] + limit, side="right")) - 1)
         yield i, data[off[i] : off[j]], off[i : j + 1] - off[i]
         i = j
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 from array import array
 
+import numpy as np
+
 from ledgerlake.llm.hashing import worker_cache
 
 VOCABULARY = "byte_bpe_50k"
@@ -31,6 +33,9 @@ class Bpe:
         with open(path or vocabulary_path(), "rb") as lines:
             ranks = {base64.b64decode(x): int(y) for x, y in map(bytes.split, lines)}
         self.model = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.leads = np.zeros(len(ranks), np.int64)  # 1 for ids that start with a space
+        for piece, i in ranks.items():
+            self.leads[i] = piece[:1] == b" "
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
