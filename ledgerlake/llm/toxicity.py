@@ -15,7 +15,7 @@ from ledgerlake.llm.common import table, text_of
 from ledgerlake.llm.hashing import blocks, mix, word_hashes, word_spans
 
 BITS = 18
-SAMPLE = 6000  # labelled documents of each class, at most, that the classifier is fitted on
+SAMPLE = 4000  # labelled documents of each class, at most, that the classifier is fitted on
 EPOCHS = 16
 RATE = 0.3
 PENALTY = 1e-6
@@ -67,7 +67,7 @@ def noisy_or(p: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
 
 
 def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, weight: np.ndarray, epochs: int = EPOCHS, batch: int = 64) -> Model:
-    """Log loss of the noisy-or by Adagrad; each document is (features, sentence of each word).
+    """Log loss of the noisy-or by Adagrad; each document is (features in order, number of them per sentence).
 
     With q the product of (1 - p), the slope at a sentence is p for label 0 and -p q / (1 - q) for label 1:
     the blame goes to the sentences that are likeliest already.
@@ -79,7 +79,9 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, weight: np
     for word, _ in docs:
         seen[np.unique(word)] += 1
     usual = seen >= LEAST_DOCS
-    docs = [(word[usual[word]], sentence[usual[word]], int(sentence[-1]) + 1 if len(sentence) else 0) for word, sentence in docs]
+    for i, (word, sizes) in enumerate(docs):
+        keep = usual[word]
+        docs[i] = (word[keep], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[keep], len(sizes))
     toxic = np.asarray(toxic, float)
     for _ in range(epochs if len(docs) else 0):
         for ids in np.array_split(order.permutation(len(docs)), -(-len(docs) // batch)):
@@ -113,7 +115,7 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             text = of[sentence] if len(of) else of
             cut = np.searchsorted(text, np.arange(n + 1))
             ws = [word[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
-            ss = [sentence[x:y] - (sentence[x] if y > x else 0) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+            ss = [np.bincount(sentence[x:y] - sentence[x]) if y > x else sentence[:0] for x, y in zip(cut[:-1], cut[1:], strict=True)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": pa.array(ids[first : first + n]),
@@ -142,8 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     for c in (0, 1):
         if (toxic == c).any():
             weight[toxic == c] = shares[c] / sum(shares.values()) * len(rows) / (toxic == c).sum()
-    words = [(np.frombuffer(r["words"], np.int32).astype(np.int64), np.frombuffer(r["sentences"], np.int32).astype(np.int64)) for r in rows]
-    return fit(words, toxic, weight)
+    return fit([(np.frombuffer(r["words"], np.int32), np.frombuffer(r["sentences"], np.int32)) for r in rows], toxic, weight)
 
 
 def _score(model: Model, spans: bool):
