@@ -78,23 +78,27 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(
                 {
                     "_row": pa.array(rows[first : first + len(sets)]),
+                    "hub": batch.column("hub").slice(first, len(sets)),
                     "sig": pa.array([bitmap(s) for s in sets], pa.binary()),
                     "items": lists(sets, pa.int64()),
                 }
             )
 
 
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets, arrays sorted as unsigned, overlap enough."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(x) or DENOMINATOR * len(x) < NUMERATOR * len(y):
+        return False
+    x, y = x.view(np.uint64), y.view(np.uint64)
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sorted arrays really intersect enough."""
     for batch in batches:
-        keep = []
-        for i, (x, y) in enumerate(zip(views(batch.column("sa")), views(batch.column("sb")), strict=True)):
-            x, y = (x, y) if len(x) <= len(y) else (y, x)
-            x, y = x.view(np.uint64), y.view(np.uint64)  # sorted as unsigned
-            at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-            if len(x) and DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both):
-                keep.append(i)
+        keep = [i for i, (x, y) in enumerate(zip(views(batch.column("sa")), views(batch.column("sb")), strict=True)) if linked(x, y)]
         yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
@@ -162,8 +166,8 @@ def _tiled_pairs(live: DataFrame, sets: DataFrame) -> DataFrame:
 
     The documents of a token make parts of about TILE; each two parts, and each part with itself, are a tile.
     """
-    settled = live.withColumnRenamed("m", "_m").join(sets.select("_row", "sig"), "_row")
-    parts = F.ceil(F.col("_m") / TILE).cast("int")
+    settled = live.join(sets.select("_row", "sig"), "_row")
+    parts = F.ceil(F.col("m") / TILE).cast("int")
     tiled = (
         settled.withColumn("_parts", parts)
         .withColumn("_part", F.pmod(F.xxhash64("_row"), F.col("_parts")).cast("int"))
@@ -189,15 +193,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     How. (1) A fixed-size sketch counts shingles by bucket; ordering every set by it, rare first, keeps
     passages that many documents share out of the prefixes. (2) Sets are equal by digest; one document
     stands for each. (3) Linked sets share a shingle of their prefixes (the first fifth), so only documents
-    that share one are compared. (4) Rounds link each document to the hub of a shingle it shares most
-    shingles with, verified on the sorted arrays. (5) Shingles that then still join several components are
+    that share one are compared. (4) Rounds link each document to the hub of its shingles that it shares
+    most with, verified on the sorted arrays. (5) Shingles that then still join several components are
     compared in full: tiles of up to TILE x TILE documents, ordered by size so that only sizes in a ratio
     of 0.8 meet, bitmaps bounding the overlap, arrays deciding. Pairs within one component are already
     decided and are left out; no other pair is. Hashes have 64 bits, digests 128.
 
     Scale: shuffled are a fifth of the shingles, twice, as longs, and the sets of documents that share one.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.monotonically_increasing_id().alias("_row"), text_of(text_col).alias("text"))
     ids = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("_id"))
 
@@ -212,38 +215,34 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks = heads.select("_row", "n", "digest")
     total = marks.count()
     classes = checkpointed(marks.groupBy("digest").agg(F.min("_row").alias("rep"), F.count(F.lit(1)).alias("_n")))
-    member = attach(marks.filter("n > 0"), classes, ["digest"], "_n", total).select("_row", "rep")
-    member = checkpointed(member)
+    member = checkpointed(attach(marks.filter("n > 0"), classes, ["digest"], "_n", total).select("_row", "rep"))
     copies = member.filter("_row <> rep").select("_row")
 
     tokens = heads.filter("n > 0").join(copies, "_row", "left_anti").select("_row", "n", F.explode("head").alias("token"))
-    shared = checkpointed(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
-    n_tokens = shared.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n")).first()["n"]
-    tokens = checkpointed(attach(tokens, shared, ["token"], "m", n_tokens))
-
-    near_rows = tokens.select("_row").distinct()
-    sets = written(
-        texts.join(near_rows, "_row", "left_semi").mapInArrow(_sets, "_row long, sig binary, items array<long>"), "ngram-sets"
+    rank = F.xxhash64("_row")  # one order of documents for all shingles, so that a group of near copies has one hub
+    shared = tokens.groupBy("token").agg(
+        F.count(F.lit(1)).alias("m"), F.min_by("_row", rank).alias("hub"), F.min_by("n", rank).alias("hub_n")
     )
-    links = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    live = tokens.withColumn("comp", F.col("_row"))
-    for k in range(HUB_ROUNDS):
-        # the hub of a shingle: the row of the smallest hash in this round, the same for all tokens of a group of copies
-        hubs = live.groupBy("token").agg(
-            F.min_by("_row", F.xxhash64("_row", F.lit(k))).alias("hub"),
-            F.min_by("n", F.xxhash64("_row", F.lit(k))).alias("hub_n"),
-            F.min_by("comp", F.xxhash64("_row", F.lit(k))).alias("hub_comp"),
-            F.count(F.lit(1)).alias("_m"),
-        )
-        met = attach(live.drop("m"), checkpointed(hubs), ["token"], "_m", n_tokens).filter(f"comp <> hub_comp AND {_near('n', 'hub_n')}")
-        votes = met.groupBy("_row", "hub").agg(F.count(F.lit(1)).alias("v"))
-        best = votes.groupBy("_row").agg(F.max_by("hub", F.struct("v", "hub")).alias("hub"))
-        pairs = best.select(F.least("_row", "hub").alias("a"), F.greatest("_row", "hub").alias("b"))
-        links = checkpointed(links.unionByName(_links(pairs, sets)))
-        live = checkpointed(_unsettled(live, links, n_tokens))
+    shared = written(shared.filter("m > 1"), "ngram-shared")
+    n_tokens = shared.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n")).first()["n"]
+    tokens = written(attach(tokens, shared, ["token"], "m", n_tokens), "ngram-tokens")
+
+    hub = _best_hubs(tokens.filter(f"_row <> hub AND {_near('n', 'hub_n')}"))
+    wanted = tokens.select("_row").distinct().join(hub, "_row", "left")
+    sets = texts.join(wanted, "_row").select("_row", "hub", "text").mapInArrow(_sets, "_row long, hub long, sig binary, items array<long>")
+    sets = written(sets, "ngram-sets")
+    links = checkpointed(_hub_links(sets))
+    live = _unsettled(tokens.select("_row", "n", "token"), links, n_tokens)
+    for _ in range(HUB_ROUNDS - 1):
         if live.isEmpty():
             break
-
+        ends = live.groupBy("token").agg(
+            F.min_by("_row", rank).alias("hub"), F.min_by("n", rank).alias("hub_n"), F.min_by("comp", rank).alias("hub_comp"), F.count(F.lit(1)).alias("_m")
+        )
+        met = attach(live, checkpointed(ends), ["token"], "_m", n_tokens).filter(f"comp <> hub_comp AND {_near('n', 'hub_n')}")
+        pairs = _best_hubs(met).select(F.least("_row", "hub").alias("a"), F.greatest("_row", "hub").alias("b")).distinct()
+        links = checkpointed(links.unionByName(_links(checkpointed(pairs), sets)))
+        live = _unsettled(live.select("_row", "n", "token"), links, n_tokens)
     if not live.isEmpty():
         links = checkpointed(links.unionByName(_links(_tiled_pairs(live, sets), sets)))
 
@@ -258,14 +257,49 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _best_hubs(met: DataFrame) -> DataFrame:
+    """(_row, hub): of the hubs a document meets at its shingles, the one it meets most often."""
+    votes = met.groupBy("_row", "hub").agg(F.count(F.lit(1)).alias("v"))
+    return votes.groupBy("_row").agg(F.max_by("hub", F.struct("v", "hub")).alias("hub"))
+
+
+def _hub_links(sets: DataFrame) -> DataFrame:
+    """The documents linked with their hub. A hub of many documents is dealt out in parts of TILE of these."""
+    asked = sets.filter("hub IS NOT NULL").select("_row", "hub", "items")
+    size = checkpointed(asked.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts")))
+    # a hub without its part count is in a part of its own key; parts beyond the first are few
+    large = size.filter("parts > 1")
+    asked = asked.join(large, "hub", "left").select(
+        "hub", F.coalesce(F.pmod(F.xxhash64("_row"), F.col("parts")), F.lit(0)).cast("int").alias("part"), F.lit(1).alias("kind"), "_row", "items"
+    )
+    hubs = size.join(sets.select("_row", F.col("items")), size["hub"] == sets["_row"]).select(
+        "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "_row", "items"
+    )
+    met = asked.unionByName(hubs).repartition("hub", "part").sortWithinPartitions("hub", "part", "kind")
+    return met.mapInArrow(_with_hub, "a long, b long")
+
+
+def _with_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted, each hub's set before those of its documents."""
+    hub, items = None, None
+    for batch in batches:
+        a, b = [], []
+        for kind, row, x in zip(batch.column("kind").to_pylist(), batch.column("_row").to_pylist(), views(batch.column("items")), strict=True):
+            if kind == 0:
+                hub, items = row, x.copy()
+            elif linked(x, items):
+                a.append(min(row, hub))
+                b.append(max(row, hub))
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _unsettled(tokens: DataFrame, links: DataFrame, total: int) -> DataFrame:
-    """The tokens that still join documents of several components, with each document's component."""
+    """(_row, n, token, comp, m) of the tokens that still join documents of several components."""
     comp = components(links).withColumnRenamed("node", "_row").withColumnRenamed("component", "comp")
-    now = tokens.drop("comp").join(comp, "_row", "left").withColumn("comp", F.coalesce("comp", "_row"))
-    now = checkpointed(now)
-    ends = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("_m"))
-    several = checkpointed(ends.filter("lo <> hi").select("token", "_m"))
-    return attach(now, several, ["token"], "_m", total).drop("_m")
+    now = written(tokens.join(comp, "_row", "left").withColumn("comp", F.coalesce("comp", "_row")), "ngram-live")
+    ends = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
+    several = checkpointed(ends.filter("lo <> hi").select("token", "m"))
+    return checkpointed(attach(now, several, ["token"], "m", total))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
