@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup, toxicity
+from ledgerlake.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality_rules, sharding, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_lm_scoring": lm_scoring.op2_lm_scoring,
+    "op3_pii": pii.op3_pii,
     "op4_sharding": sharding.op4_sharding,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_toxicity": toxicity.op6_toxicity,
