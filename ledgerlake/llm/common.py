@@ -36,6 +36,12 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, " ", -1), "")  # a single character: no pattern is run
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` as one column _doc, with the position _row of each row: no name of a column can clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder (removed by Spark once unused)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import HOT_SHARE, SPACES, attach, checkpointed, table, text_of
+from ledgerlake.llm.common import HOT_SHARE, SPACES, attach, checkpointed, table, text_of, whole_rows
 
 
 def content_hash(text: Column) -> Column:
@@ -94,7 +94,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that exact deduplication keeps, whole."""
     gone = exact_dedup(docs).filter(~F.col("kept")).select("_row")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti").drop("_row")
+    return whole_rows(docs).join(gone, "_row", "left_anti").select("_doc.*")
 
 
 SQL = r"""

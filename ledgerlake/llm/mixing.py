@@ -8,7 +8,7 @@ from math import lcm
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import attach, checkpointed, table, text_of, words_of
+from ledgerlake.llm.common import attach, checkpointed, table, whole_rows, words_of
 
 WEIGHTS = (5, 2, 1)  # of the sources in code point order, repeating
 MOST_COPIES = 3  # of a source's size, and of any document
@@ -45,13 +45,18 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most:
 
 
 def _rows(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: str) -> DataFrame:
-    """The columns a decision needs beside those of ``docs``: _row, _key, _size and _u, uniform by id."""
-    digits = F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(seed))), 1, 13)
-    return (
-        docs.withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_key", F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")))
-        .withColumn("_size", F.size(words_of(text_of(text_col))).cast("long"))
-        .withColumn("_u", (F.conv(digits, 16, 10).cast("double") + 0.5) / float(2**52))
+    """The rows of ``docs`` as _doc, and what a decision needs: _row, _id, source, _key, _size and _u, uniform by id."""
+    doc = lambda c: F.col("_doc")[c]
+    digits = F.substring(F.md5(F.concat(F.coalesce(doc(id_col).cast("string"), F.lit("")), F.lit(seed))), 1, 13)
+    text = F.coalesce(doc(text_col), F.lit(""))
+    return whole_rows(docs).select(
+        "_doc",
+        "_row",
+        doc(id_col).cast("long").alias("_id"),
+        doc(source_col).alias("source"),
+        F.coalesce(F.concat(F.lit("s"), doc(source_col)), F.lit("n")).alias("_key"),
+        F.size(words_of(text)).cast("long").alias("_size"),
+        ((F.conv(digits, 16, 10).cast("double") + 0.5) / float(2**52)).alias("_u"),
     )
 
 
@@ -89,11 +94,7 @@ def mix_plan(
     seed: str = "",
 ) -> tuple[DataFrame, DataFrame, int]:
     """(rows, sources, total): the narrow rows of ``docs``; per source its size, target and cut."""
-    rows = checkpointed(
-        _rows(docs, id_col, source_col, text_col, seed).select(
-            "_row", F.col(id_col).cast("long").alias("_id"), F.col(source_col).alias("source"), "_key", "_size", "_u"
-        )
-    )
+    rows = checkpointed(_rows(docs, id_col, source_col, text_col, seed).drop("_doc"))
     sums = rows.groupBy("_key", "source").agg(F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("_docs"))
     targets = source_targets(sums, weights, most)
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -163,9 +164,9 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         options.get(k, v) for k, v in (("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text"), ("seed", ""))
     )
     _, sources, total = mix_plan(docs, **options)
-    rows = _rows(docs, id_col, source_col, text_col, seed).withColumn("_id", F.col(id_col).cast("long"))
+    rows = _rows(docs, id_col, source_col, text_col, seed).drop("source")
     kept = _decided(rows, sources.drop("source"), total).filter("_copies > 0")
-    return kept.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    return kept.select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_doc.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

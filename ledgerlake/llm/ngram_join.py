@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import attach, checkpointed, table, text_of, written
+from ledgerlake.llm.common import attach, checkpointed, table, text_of, whole_rows, written
 from ledgerlake.llm.components import components
 from ledgerlake.llm.hashing import blocks, lists, mix, shingle_sets, views
 
@@ -313,4 +313,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
         F.coalesce(F.min_by("_row", "doc_id"), F.min("_row")).alias("_row")
     )
     gone = marks.select("_row").join(best.select("_row"), "_row", "left_anti")
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left_anti").drop("_row")
+    return whole_rows(docs).join(gone, "_row", "left_anti").select("_doc.*")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import attach, checkpointed, table, text_of, written
+from ledgerlake.llm.common import attach, checkpointed, table, whole_rows, written
 
 KEY = b"replace this key in production"
 ROUNDS = 40
@@ -233,14 +233,16 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -
     have different ones (distinctness), and only ``key`` ties them together. Surrogates keep the kind, the
     layout and case of each mention, the validity of card numbers, and for names gender and script. Null
     texts stay null; texts without entities stay as they are; repeated rows are replaced alike; an empty table
-    gives none; all other columns are kept.
+    gives none; all other columns are kept (one called
+    _entities is replaced).
 
     Scale: texts without entities don't move. Those with some are written with their mentions; the distinct
     entities are drawn and checked as a table, and mentions meet their surrogate through ``attach``, so an
     entity that very many documents mention is no group in a task.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    texts = numbered.select("_row", text_of(text_col).alias("text"))
+    docs = docs.drop("_entities")
+    numbered = whole_rows(docs)
+    texts = numbered.select("_row", F.coalesce(F.col("_doc")[text_col], F.lit("")).alias("text"))
     found = written(texts.mapInArrow(_with_entities, "_row long, text string, start array<int>, end array<int>, kind array<string>, value array<string>"), "pii-mentions")
     mentions = found.select("_row", F.explode(F.arrays_zip("start", "end", "kind", "value")).alias("e")).select("_row", "e.*")
     entities = checkpointed(mentions.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n")))
@@ -249,11 +251,11 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -
     edits = attach(mentions, known, ["kind", "value"], "n", total)
     edits = edits.groupBy("_row").agg(F.collect_list(F.struct("start", "end", "surrogate")).alias("edits"))  # as many as a text holds
     changed = found.select("_row", "text").join(edits, "_row").mapInArrow(_replaced, "_row long, text string, n_entities long")
-    rest = [c for c in docs.columns if c != text_col]
     kept = docs.mapInArrow(_without_entities(text_col), docs.schema).withColumn("_entities", F.lit(0).cast("long"))
-    new = numbered.select("_row", *rest).join(changed.select("_row", F.col("text").alias("_new"), F.col("n_entities").alias("_entities")), "_row")
-    new = new.select(*rest, F.col("_new").alias(text_col), "_entities")
-    return kept.unionByName(new).select(*docs.columns, "_entities")
+    new = numbered.join(changed, "_row").select(
+        *[(F.col("text") if c == text_col else F.col("_doc")[c]).alias(c) for c in docs.columns], F.col("n_entities").alias("_entities")
+    )
+    return kept.unionByName(new)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

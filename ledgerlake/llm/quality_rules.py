@@ -108,7 +108,7 @@ def quality_rules(
     smoothing: float = SMOOTHING,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """Every row of ``docs`` with the rule counts, base_failed, log_ratio (mean over its n-grams) and kept.
+    """Per row of ``docs``: id, text, the rule counts, base_failed, log_ratio (mean over its n-grams) and kept.
 
     ``trusted`` holds the ids of texts of the target kind, ``docs`` is the raw corpus. N-grams are the words
     and each two in a row, hashed to ``buckets`` (a power of two). A document is kept when the rules pass
@@ -120,6 +120,7 @@ def quality_rules(
     (not at all while these are few enough for Spark to broadcast them), and ``buckets`` counts per task; what
     is broadcast is one array of ``buckets`` doubles.
     """
+    docs = docs.select(id_col, text_col)
     marked = trusted.select(F.col(id_col).alias("_tid"), F.lit(True).alias("_t")).filter("_tid IS NOT NULL").distinct()
     corpus = docs.select(F.col(id_col).alias("_tid"), F.col(text_col).alias("_text")).join(marked, "_tid", "left")
     ratio = checkpointed(log_ratios(corpus, "_t", "_text", buckets, smoothing))

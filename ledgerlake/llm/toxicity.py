@@ -174,17 +174,19 @@ def _score(model: Model, spans: bool):
     return run
 
 
-def with_toxicity(docs: DataFrame, model: Model, text_col: str = "text", spans: bool = True) -> DataFrame:
-    """``docs`` with _toxicity (0 to 1) and, if asked, _sentences: byte spans and scores of offending sentences.
+def with_toxicity(docs: DataFrame, model: Model, text_col: str = "text", spans: bool = True, carry: list[str] | None = None) -> DataFrame:
+    """_doc (the row, or its columns ``carry``), _toxicity (0 to 1) and, if asked, _sentences of each row of ``docs``.
 
-    Null, empty and wordless texts score 0. A text of 0.5 or more names its sentences of 0.5 or more, and in
-    any case its worst one. The score depends on the text alone. No row moves.
+    _sentences: byte spans and scores of the offending sentences. Null, empty and wordless texts score 0. A
+    text of 0.5 or more names its sentences of 0.5 or more, and in any case its worst one. The score depends
+    on the text alone. No row moves.
     """
-    schema = T.StructType([*docs.schema.fields, T.StructField("_toxicity", T.DoubleType())])
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)]).alias("_doc"), text_of(text_col).alias("_text"))
+    schema = T.StructType([row.schema["_doc"], T.StructField("_toxicity", T.DoubleType())])
     if spans:
         place = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())])
         schema = schema.add("_sentences", T.ArrayType(place))
-    return docs.withColumn("_text", text_of(text_col)).mapInArrow(_score(model, spans), schema)
+    return row.mapInArrow(_score(model, spans), schema)
 
 
 def learned(labels: DataFrame) -> DataFrame:
@@ -195,7 +197,7 @@ def learned(labels: DataFrame) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = train(docs, learned(labels))
-    out = with_toxicity(docs.select("doc_id", "text"), model, spans=False)
+    out = with_toxicity(docs, model, spans=False, carry=["doc_id"]).select("_doc.doc_id", "_toxicity")
     return out.select(
         "doc_id",
         (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0).alias("held_out"),
@@ -207,4 +209,4 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` scoring below 0.5, whole."""
     model = train(docs, learned(labels))
-    return with_toxicity(docs, model, spans=False).filter(F.col("_toxicity") < LIMIT).select(*docs.columns)
+    return with_toxicity(docs, model, spans=False).filter(F.col("_toxicity") < LIMIT).select("_doc.*")
