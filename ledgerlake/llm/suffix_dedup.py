@@ -17,6 +17,7 @@ from ledgerlake.llm.hashing import blocks
 LENGTH = 400
 GRAM = 220
 CONTEXTS = 512  # contexts of one anchor that are sorted together
+BINS = 8  # of the strings of an anchor with more contexts, by the place of the anchor
 BUFFER = 256 << 10
 
 
@@ -126,6 +127,7 @@ def _find_anchors(length: int, gram: int):
                         "_row": pa.array(rows[first + of]),
                         "lo": pa.array((lo - off[of]).astype(np.int32)),
                         "len": pa.array((hi - lo).astype(np.int32)),
+                        "left": pa.array((at - lo).astype(np.int32)),
                     }
                 )
 
@@ -149,12 +151,27 @@ _DONE = pa.schema(
 )
 _DONE_DDL = "_row long, _id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 _SPANS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-_FIRST = pa.schema([("kind", pa.int32()), *_DONE, ("text", pa.binary()), ("spans", _SPANS), ("anchor", pa.int64()), ("part", pa.int32()), ("many", pa.bool_()), ("single", pa.bool_()), ("lo", pa.int32())])
-_FIRST_DDL = f"kind int, {_DONE_DDL}, text binary, spans array<struct<a:int,b:int>>, anchor long, part int, many boolean, single boolean, lo int"
+_FIRST = pa.schema([("kind", pa.int32()), *_DONE, ("text", pa.binary()), ("spans", _SPANS), ("anchor", pa.int64()), ("part", pa.int32()), ("core", pa.int64()), ("single", pa.bool_()), ("lo", pa.int32())])
+_FIRST_DDL = f"kind int, {_DONE_DDL}, text binary, spans array<struct<a:int,b:int>>, anchor long, part int, core long, single boolean, lo int"
 
 
-def _first_cut(keep_text: bool):
-    """Texts whose spans are all known are done (kind 0); of others the text (1) and the asked contexts (2) go on."""
+def _pieces(text: bytes, left: int, length: int, gram: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(bin, hash of its core, start, bytes) of the strings of a context whose anchor is ``left`` bytes in.
+
+    Strings go to bins by how far in they hold the anchor. Those of a bin have a core in common, all but
+    length / BINS or so of their bytes; strings of two contexts can only be equal if the cores of a bin are.
+    """
+    width = -(-(length - gram + 1) // BINS)
+    for b in range(BINS):
+        core = text[left - b * width : left - (b + 1) * width + 1 + length]
+        low, high = max(0, left - (b + 1) * width + 1, left - (length - gram)), min(left - b * width, len(text) - length)
+        if low <= high:
+            yield b, int.from_bytes(hashlib.blake2b(core, digest_size=8).digest(), "big", signed=True), low, text[low : high + length]
+
+
+def _first_cut(keep_text: bool, length: int, gram: int):
+    """Texts whose spans are all known are done (kind 0); of others the text (1) and the asked contexts (2, whole or
+    in bins) go on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,8 +183,10 @@ def _first_cut(keep_text: bool):
                     continue
                 out.append({"kind": 1, "_row": row, "_id": doc, "text": text, "spans": spans or []})
                 for q in asked:
-                    part = {k: q[k] for k in ("anchor", "part", "many", "single", "lo")}
-                    out.append({"kind": 2, "_row": row, "text": text[q["lo"] : q["lo"] + q["len"]], **part})
+                    context = text[q["lo"] : q["lo"] + q["len"]]
+                    pieces = _pieces(context, q["left"], length, gram) if q["many"] else [(None, None, 0, context)]
+                    for part, core, at, piece in pieces:
+                        out.append({"kind": 2, "_row": row, "anchor": q["anchor"], "single": q["single"], "part": part, "core": core, "lo": q["lo"] + at, "text": piece})
                 if len(out) > 5000:
                     yield pa.RecordBatch.from_pylist(out, _FIRST)
                     out = []
@@ -194,8 +213,8 @@ _FOUND = pa.schema([("_row", pa.int64()), ("a", pa.int32()), ("b", pa.int32()),
 
 
 def _sort_contexts(length: int):
-    """Rows come sorted by (anchor, part). Spans of parts repeated within a group; of groups that hold only a part
-    of an anchor's contexts also a digest of each distinct string, to be compared with the other parts."""
+    """Rows come sorted by key. Spans of strings repeated within a group; of groups that hold only a share of the
+    texts that could be equal also a digest of each distinct string, to be compared with the other shares."""
 
     def flush(pending: list[tuple]) -> pa.RecordBatch:
         of, start, cls = repeated([t for *_, t in pending], length)
@@ -238,13 +257,13 @@ def _sort_contexts(length: int):
         pending: list[tuple] = []
         held, key = 0, None
         for batch in batches:
-            cols = (batch.column(c).to_pylist() for c in ("anchor", "part", "_row", "lo", "many", "single", "text"))
-            for anchor, part, row, lo, many, single, text in zip(*cols, strict=True):
-                if (anchor, part) != key:
+            cols = (batch.column(c).to_pylist() for c in ("key", "_row", "lo", "many", "single", "text"))
+            for new, row, lo, many, single, text in zip(*cols, strict=True):
+                if new != key:
                     if held > BUFFER or (pending and (many or pending[-1][3])):
                         yield flush(pending)
                         pending, held = [], 0
-                    key = (anchor, part)
+                    key = new
                 pending.append((key, row, lo, many, single, text))
                 held += len(text)
         if pending:
@@ -275,15 +294,16 @@ def suffix_dedup(
     The context of an anchor is all strings that have it, at most 2 * length - gram bytes. Equal contexts
     (64 bits of a digest beside the 64 of the anchor) seen twice are repeated as a whole. Where an anchor
     has different contexts, one of each is fetched, and the suffix array of the contexts of an anchor,
-    by two-stage sorting, shows by its adjacent common prefixes which strings repeat. An anchor with more
-    than ``contexts`` different ones is sorted in parts, which then exchange 128-bit digests of their distinct
+    by two-stage sorting, shows by its adjacent common prefixes which strings repeat. The contexts of an
+    anchor with more than ``contexts`` are first told apart by longer cores (see ``_pieces``); where a core, too, is
+    held by more, shares of them are sorted apart and then exchange 128-bit digests of their distinct
     strings, so that no group, however large, is one task.
 
     Scale: rows move per anchor (about 2 / (length - gram) of the bytes), texts once, contexts only where
     they differ; whatever is grouped by anchor goes through ``attach``.
     """
     texts = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("_id"), text_of(text_col).alias("text"))
-    found = texts.select("_row", "text").mapInArrow(_find_anchors(length, gram), "anchor long, ctx long, _row long, lo int, len int")
+    found = texts.select("_row", "text").mapInArrow(_find_anchors(length, gram), "anchor long, ctx long, _row long, lo int, len int, left int")
     found = written(found, "suffix-anchors")
     total = found.count()
     shared = found.groupBy("anchor").agg(
@@ -295,6 +315,7 @@ def suffix_dedup(
         F.min("_row").alias("_row"),
         F.min_by("lo", "_row").alias("lo"),
         F.min("len").alias("len"),
+        F.min("left").alias("left"),
         F.max("differ").alias("differ"),
     )
     kinds = written(kinds, "suffix-contexts")
@@ -303,19 +324,23 @@ def suffix_dedup(
     # a text has at most one anchor per byte
     spans = whole.groupBy("_row").agg(F.collect_list(F.struct(F.col("lo").alias("a"), (F.col("lo") + F.col("len")).alias("b"))).alias("spans"))
 
-    differ = kinds.filter("differ").select("anchor", "ctx", "m", "_row", "lo", "len")
+    differ = kinds.filter("differ").select("anchor", "ctx", "m", "_row", "lo", "len", "left")
     per = checkpointed(differ.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")))
     differ = attach(differ, per, ["anchor"], "k", n_here)
-    parts = F.ceil(F.col("k") / contexts).cast("int")
-    ask = F.struct(
-        "anchor", F.pmod(F.xxhash64("ctx"), parts).cast("int").alias("part"), (F.col("k") > contexts).alias("many"), (F.col("m") == 1).alias("single"), "lo", "len"
-    )
+    ask = F.struct("anchor", (F.col("k") > contexts).alias("many"), (F.col("m") == 1).alias("single"), "lo", "len", "left")
     asked = differ.groupBy("_row").agg(F.collect_list(ask).alias("asked"))
     joined = texts.join(spans, "_row", "left").join(asked, "_row", "left").select("_row", "_id", F.col("text").cast("binary").alias("text"), "spans", "asked")
-    first = written(joined.mapInArrow(_first_cut(keep_text), _FIRST_DDL), "suffix-texts")
-
-    pieces = first.filter("kind = 2").select("anchor", "part", "_row", "lo", "many", "single", "text")
-    pieces = pieces.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    first = written(joined.mapInArrow(_first_cut(keep_text, length, gram), _FIRST_DDL), "suffix-texts")
+
+    pieces = first.filter("kind = 2").select("anchor", "part", "core", "_row", "lo", "single", "text")
+    few = pieces.filter("part IS NULL").select(F.xxhash64("anchor").alias("key"), "_row", "lo", F.lit(False).alias("many"), "single", "text")
+    binned = pieces.filter("part IS NOT NULL")
+    alike = binned.groupBy("anchor", "part", "core").agg(F.count(F.lit(1)).alias("k"), (F.min("_row") != F.max("_row")).alias("rows"), (F.min("lo") != F.max("lo")).alias("places"))
+    alike = checkpointed(alike.filter("rows OR places").select("anchor", "part", "core", "k"))
+    binned = attach(binned, alike, ["anchor", "part", "core"], "k", n_here)
+    share = F.pmod(F.xxhash64("_row", "lo"), F.ceil(F.col("k") / contexts))
+    binned = binned.select(F.xxhash64("anchor", "part", "core", share).alias("key"), "_row", "lo", (F.col("k") > contexts).alias("many"), "single", "text")
+    pieces = few.unionByName(binned).repartition("key").sortWithinPartitions("key")
     hits = written(pieces.mapInArrow(_sort_contexts(length), "_row long, a int, b int, d1 long, d2 long, known boolean"), "suffix-hits")
     across = hits.filter("d1 IS NOT NULL")
     place = F.struct("_row", "a")
