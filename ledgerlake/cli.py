@@ -96,8 +96,14 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+# a result is printed only as a whole; a larger one needs --out
+PRINTED_ROWS = 1000
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     a = parser().parse_args(argv)
+    if a.stage == "ingest" and not (a.message_dir or a.brokers):
+        parser().error("ingest needs --message-dir or --brokers")
     spark = spark or build_session(a.master, time_zone=a.time_zone)
     try:
         if a.stage == "ingest":
@@ -123,7 +129,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             if a.out:
                 out = {"rows": save_result(result.coalesce(1), a.out)}
             else:
-                out = {"rows": [r.asDict() for r in result.limit(1000).collect()]}
+                rows = result.limit(PRINTED_ROWS + 1).collect()
+                if len(rows) > PRINTED_ROWS:
+                    print(json.dumps({"stage": a.stage, "failed": f"more than {PRINTED_ROWS} rows: name a folder with --out"}), file=sys.stderr)
+                    return 2
+                out = {"rows": [r.asDict() for r in rows]}
         else:  # run
             b = a.base.rstrip("/")
             out, seconds = {}, {}

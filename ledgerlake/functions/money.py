@@ -21,8 +21,12 @@ def _c(col: Column | str) -> Column:
 
 
 def to_money(col: Column | str) -> Column:
-    """Amount as DECIMAL(18,2) (half-up)."""
-    return _c(col).cast(MONEY)
+    """Amount as DECIMAL(18,2) (half-up); NULL for NaN, infinities and amounts beyond it."""
+    return _c(col).try_cast(MONEY)
+
+
+# amounts a DECIMAL(18,2) can hold lie below this
+AMOUNT_LIMIT = 1e16
 
 
 def money_text(col: Column | str) -> Column:
@@ -49,8 +53,9 @@ def rounded_mean(total: Column | str, count: Column | str) -> Column:
     t = _c(total)
     n = _c(count).cast("long")
     cents = F.abs(t * 100).cast(DecimalType(38, 0))
-    q = (cents * 2 + n).cast(DecimalType(38, 0)) / (n * 2)
-    q = F.floor(q).cast("long")
+    twice = (cents * 2 + n).cast(DecimalType(38, 0))
+    # integral division: a decimal quotient is rounded to few places, which can lift it over the next cent
+    q = F.call_function("div", twice, F.nullif(n * 2, F.lit(0)).cast(DecimalType(38, 0)))
     return F.when(n > 0, F.signum(t) * q / F.lit(100.0))
 
 

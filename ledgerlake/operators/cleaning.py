@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import extract_text_fields
+from ..functions.money import AMOUNT_LIMIT
 from ..functions.text import trim_spaces
 
 NULL_REQUIRED = "null_required"
@@ -44,18 +45,19 @@ def required_present(cols: list[str]) -> Column:
 
 
 def values_valid(positive: list[str], non_negative: list[str]) -> Column:
-    """``p > 0`` for each positive column and ``n >= 0`` for each non-negative one.
+    """``p > 0`` for each positive column and ``n >= 0`` for each non-negative one, all below what
+    money can hold (so NaN and infinities, which compare greater than any number, are invalid too).
 
     NULL in any of them makes the predicate NULL, which a filter drops.
     """
     conds = [F.col(c) > 0 for c in positive] + [F.col(c) >= 0 for c in non_negative]
-    return reduce(and_, conds)
+    return reduce(and_, conds + [F.col(c) < AMOUNT_LIMIT for c in positive + non_negative])
 
 
 def values_invalid(positive: list[str], non_negative: list[str]) -> Column:
     """The negation the quality gate counts: a NULL amount is *not* flagged here."""
     conds = [F.col(c) <= 0 for c in positive] + [F.col(c) < 0 for c in non_negative]
-    return reduce(or_, conds)
+    return reduce(or_, conds + [F.col(c) >= AMOUNT_LIMIT for c in positive + non_negative])
 
 
 def any_null(cols: list[str]) -> Column:

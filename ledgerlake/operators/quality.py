@@ -29,8 +29,9 @@ def quality_report(
 ) -> DataFrame:
     """One row per check: ``check, observed, expected, passed``.
 
-    Checks: total rows (against ``expected_rows`` when given; a one-row
-    DataFrame with a column ``expected`` may supply it), duplicate keys,
+    Checks: total rows (against ``expected_rows``; a one-row DataFrame with a
+    column ``expected`` may supply it; without it the check is undecided,
+    ``passed`` NULL), duplicate keys,
     invalid amounts (NULL not counted, as the written rule), NULL amounts
     (counted separately), NULL required fields. One scan; the distinct-key
     count is the only shuffle.
@@ -52,7 +53,7 @@ def quality_report(
     # dropping duplicates keeps one row per distinct key, NULL counting as one key
     dup = F.col("rows") - F.col("distinct_keys") - F.when(F.col("null_keys") > 0, 1).otherwise(0)
     rows = [
-        ("row_count", F.col("rows"), F.coalesce(F.col("expected_rows"), F.col("rows"))),
+        ("row_count", F.col("rows"), F.col("expected_rows")),
         ("duplicate_keys", dup, F.lit(0)),
         ("invalid_values", F.col("invalid_values"), F.lit(0)),
         ("null_amounts", F.col("null_amounts"), F.lit(0)),
@@ -71,7 +72,7 @@ def quality_report(
 def enforce(report: DataFrame) -> list[dict]:
     """Stop when any check failed; returns the (few) check rows otherwise."""
     rows = [r.asDict() for r in report.collect()]
-    failures = [r for r in rows if not r["passed"]]
+    failures = [r for r in rows if r["passed"] is False]
     if failures:
         raise QualityGateError(failures)
     return rows

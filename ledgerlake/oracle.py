@@ -233,6 +233,7 @@ FROM issuers i LEFT JOIN {_STATES_VALUES} ON st.uf = i.uf_emitente""",
     }
 )
 
+ORACLE["rounded_mean_boundary"] = "SELECT o_orderkey, CAST(o_custkey AS DOUBLE) / 100 AS ticket_medio FROM orders"
 ORACLE["silver_incremental"] = ORACLE["silver_layer"]
 
 ORACLE.update(

@@ -33,7 +33,7 @@ def _by_members(
         n, total, nv = F.count("id_nfe"), F.sum("__v"), F.count("__v")
     else:
         f = fact.groupBy(*fks).agg(
-            F.count("id_nfe").alias("__n"), F.sum(to_money("valor_total")).alias("__sum"), F.count("valor_total").alias("__nv")
+            F.count("id_nfe").alias("__n"), F.sum(to_money("valor_total")).alias("__sum"), F.count(to_money("valor_total")).alias("__nv")
         )
         n, total, nv = F.sum("__n"), F.sum("__sum"), F.sum("__nv")
     for dim, fk, attrs in dims:
@@ -75,16 +75,16 @@ def monthly_evolution(fact: Keyed, data: Keyed, max_broadcast_rows: int = DEFAUL
 # ---- SQL forms (Spark SQL over the star tables registered as views) ----------
 def _sql_mean(total: str, count: str) -> str:
     return (
-        f"CAST(SIGN({total}) * FLOOR((CAST(ABS({total}) * 100 AS DECIMAL(38,0)) * 2 + {count})"
-        f" / (2 * {count})) AS DOUBLE) / 100"
+        f"CAST(SIGN({total}) AS DOUBLE) * (CAST(CAST(ABS({total}) * 100 AS DECIMAL(38,0)) * 2 + {count} AS DECIMAL(38,0))"
+        f" DIV CAST(NULLIF(2 * {count}, 0) AS DECIMAL(38,0))) / CAST(100 AS DOUBLE)"
     )
 
 
-_SUM = "SUM(CAST(f.valor_total AS DECIMAL(18,2)))"
+_SUM = "SUM(TRY_CAST(f.valor_total AS DECIMAL(18,2)))"
 _MEASURES = (
     "COUNT(f.id_nfe) AS quantidade_nfe,\n"
     f"  CAST({_SUM} AS DOUBLE) AS faturamento_total,\n"
-    f"  {_sql_mean(_SUM, 'COUNT(f.valor_total)')} AS ticket_medio"
+    f"  {_sql_mean(_SUM, 'COUNT(TRY_CAST(f.valor_total AS DECIMAL(18,2)))')} AS ticket_medio"
 )
 
 QUESTIONS_SQL = {

@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .. import schemas as S
 from ..operators.quality import enforce, quality_report
-from ..session import DEFAULT_TIME_ZONE
+from ..operators.cleaning import trim_columns
+from ..session import DEFAULT_TIME_ZONE, remove_path, scratch_path
 from ..sinks.writers import write_bronze, write_observed, write_silver, write_star
 from ..sources.layers import read_bronze, read_silver
 from .bronze import bronze_rows
-from .silver import clean
+from .silver import SilverResult, clean, observed_counts
 from .star import DATE_GRAIN, build_star
 
 log = logging.getLogger("ledgerlake.stages")
@@ -34,12 +35,20 @@ def load_bronze(messages: DataFrame, bronze_path: str) -> int:
 
 def load_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str | None = None) -> dict[str, int]:
     """Raw layer -> clean layer; returns rows read, per reject reason, and written."""
-    res = clean(read_bronze(spark, bronze_path))
+    seen = Observation("clean_rows")
+    res = clean(read_bronze(spark, bronze_path), observation=seen)
+    if quarantine_path:
+        # the survivors are kept with their message position, so that rejects need no second deduplication
+        kept = scratch_path(spark, "survivors")
+        write_observed(res.survivors, kept, "parquet")
+        survivors = spark.read.schema(res.survivors.schema).parquet(kept)
+        res = SilverResult(res.tagged, survivors, trim_columns(survivors, res.rules.trimmed).select(*res.rules.fields), res.rules)
     written = write_silver(res.silver, silver_path)
-    totals = {r.stage: int(r.rows) for r in res.reject_counts(output_rows=written).collect()}
+    totals = observed_counts(seen, written)
     totals["written"] = written
     if quarantine_path:
         totals["quarantined"] = write_observed(res.quarantine(), quarantine_path, "parquet")
+        remove_path(spark, kept)
     log.info("clean layer: %s", totals)
     if totals.get("input", 0) > written:
         log.warning("clean layer: %d rows rejected (%s)", totals["input"] - written,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -95,10 +95,32 @@ class SilverResult:
         return rejected.withColumn(REASON, F.coalesce(F.col(REASON), F.lit(DUPLICATE)))
 
 
-def clean(bronze: DataFrame, rules: SilverRules = INVOICE_RULES) -> SilverResult:
-    """Bronze rows -> clean layer."""
+def clean(bronze: DataFrame, rules: SilverRules = INVOICE_RULES, observation: Observation | None = None) -> SilverResult:
+    """Bronze rows -> clean layer. ``observation`` gets the row counts of ``observed_counts`` from the pass that writes it."""
     tagged = tag_rejects(typed_rows(bronze, rules), rules)
+    counted = tagged
+    if observation is not None:
+        reason = F.col(REASON)
+        counted = tagged.observe(
+            observation,
+            F.count(F.lit(1)).alias("input"),
+            F.count_if(reason == NULL_REQUIRED).alias(NULL_REQUIRED),
+            F.count_if(reason == INVALID_VALUE).alias(INVALID_VALUE),
+            F.count_if(reason.isNull()).alias("valid"),
+        )
     columns = [c for c in tagged.columns if c != REASON]
-    survivors = latest_per_key(tagged, [rules.key], rules.order, where=F.col(REASON).isNull(), columns=columns)
+    survivors = latest_per_key(counted, [rules.key], rules.order, where=F.col(REASON).isNull(), columns=columns)
     silver = trim_columns(survivors, rules.trimmed).select(*rules.fields)
     return SilverResult(tagged=tagged, survivors=survivors, silver=silver, rules=rules)
+
+
+def observed_counts(observation: Observation, output_rows: int) -> dict[str, int]:
+    """Rows read, per reject reason, and written, in one dictionary."""
+    got = observation.get
+    return {
+        "input": int(got["input"]),
+        NULL_REQUIRED: int(got[NULL_REQUIRED]),
+        INVALID_VALUE: int(got[INVALID_VALUE]),
+        DUPLICATE: int(got["valid"]) - output_rows,
+        "output": output_rows,
+    }

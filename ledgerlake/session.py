@@ -102,3 +102,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder for a written table."""
     return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder the engine wrote to shared storage."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop))

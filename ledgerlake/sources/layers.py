@@ -15,10 +15,9 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Clean layer Parquet; with ``schema``, a layer that has no rows yet also reads (as empty)."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    """Clean layer Parquet; with ``schema``, a layer that has no rows yet also reads (as empty).
 
-
-def read_catalog_table(spark: SparkSession, qualified_name: str) -> DataFrame:
-    return spark.table(qualified_name)
+    The columns an incremental layer keeps for its own use (``_pos_*``, ``_bucket``) are left out.
+    """
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    return df.select(*[c for c in df.columns if not c.startswith("_")])

@@ -2,15 +2,15 @@
 
 The batch clean layer re-reads the whole raw layer on every run. Here new raw
 files (or topic messages) are processed once each: rows are typed and
-validated exactly as in batch, then deduplicated by invoice id with state
-bounded by an event-time watermark on the publication timestamp -- a copy
-republished within the watermark delay is dropped, and state older than the
-watermark is purged, so memory does not grow with history.
-
-Semantics differ from batch in one point: the *first* valid copy seen wins
-(batch keeps the latest). Republished copies are identical, so both agree on
-the republishing the ingest does; a changed copy published later than the
-watermark delay is a new row in both.
+validated exactly as in batch, reduced to the latest copy per id, and merged
+with the layer written so far -- one row per id for ever, the latest copy
+winning whenever it arrives, as in batch.
+
+The layer is partitioned by a hash bucket of the id. A batch rewrites only the
+buckets it touches: their rows and the new ones go through the same
+``latest_per_key`` into a staging folder, from which the buckets are replaced.
+Merging a batch a second time changes nothing, so a restart after a failure
+anywhere in between is safe. Rows keep their message position (``_pos_*``).
 """
 
 from __future__ import annotations
@@ -20,33 +20,47 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.cleaning import trim_columns
+from ..operators.dedupe import latest_per_key
 from ..plans.bronze import bronze_rows
 from ..plans.silver import INVOICE_RULES, REASON, SilverRules, tag_rejects, typed_rows
+from ..session import path_exists, remove_path
+from ..sinks.writers import write_observed
 from ..sources.messages import read_topic_stream
 
 
-def clean_stream(
-    bronze_stream: DataFrame,
-    watermark_delay: str = "1 day",
-    salt_buckets: int = 16,
-    rules: SilverRules = INVOICE_RULES,
-) -> DataFrame:
-    """Streaming bronze rows -> streaming clean rows (append-only).
-
-    Streaming deduplication has no map-side combine: every copy of an id is
-    shuffled to the one task that owns the id. So copies are first deduplicated
-    per ``(id, salt)`` -- the salt a hash of the message position, spreading one
-    heavily republished id over ``salt_buckets`` tasks -- and only the at most
-    ``salt_buckets`` survivors per id meet in the second, per-id deduplication.
-    Both states are bounded by the watermark.
-    """
+BUCKET = "_bucket"
+BUCKETS = 64
+
+
+def valid_stream(bronze_stream: DataFrame, rules: SilverRules = INVOICE_RULES) -> DataFrame:
+    """Streaming bronze rows -> streaming valid, trimmed rows with their message position (no state)."""
     tagged = tag_rejects(typed_rows(bronze_stream, rules), rules)
-    valid = tagged.filter(F.col(REASON).isNull()).drop(REASON)
-    valid = valid.withColumn("__ingest", F.current_timestamp()).withWatermark("__ingest", watermark_delay)
-    salted = valid.withColumn("__salt", F.pmod(F.xxhash64("partition", "offset"), F.lit(salt_buckets)))
-    spread = salted.dropDuplicatesWithinWatermark([rules.key, "__salt"])
-    deduped = spread.dropDuplicatesWithinWatermark([rules.key]).drop("__salt", "__ingest")
-    return trim_columns(deduped, rules.trimmed).select(*rules.fields)
+    valid = trim_columns(tagged.filter(F.col(REASON).isNull()), rules.trimmed)
+    return valid.select(*rules.fields, *[F.col(c).alias(f"_pos_{c}") for c in rules.order])
+
+
+def merge_batch(batch: DataFrame, silver_path: str, staging: str, buckets: int = BUCKETS, rules: SilverRules = INVOICE_RULES) -> int:
+    """Merge valid rows into the layer, latest copy per id; returns the buckets rewritten."""
+    spark = batch.sparkSession
+    order = [f"_pos_{c}" for c in rules.order]
+    new = latest_per_key(batch, [rules.key], order)
+    new = new.withColumn(BUCKET, F.pmod(F.xxhash64(rules.key), F.lit(buckets)).cast("int"))
+    write_observed(new, f"{staging}/new")
+    new = spark.read.schema(new.schema).parquet(f"{staging}/new")
+    touched = [r[BUCKET] for r in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        if not path_exists(spark, silver_path):
+            new.write.partitionBy(BUCKET).parquet(silver_path)  # an empty layer
+        return 0
+    both = new
+    if path_exists(spark, silver_path):
+        both = new.unionByName(spark.read.schema(new.schema).parquet(silver_path).filter(F.col(BUCKET).isin(touched)))
+    merged = latest_per_key(both, [rules.key], order, columns=new.columns)
+    write_observed(merged, f"{staging}/merged")
+    merged = spark.read.schema(merged.schema).parquet(f"{staging}/merged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(silver_path)
+    remove_path(spark, staging)
+    return len(touched)
 
 
 def bronze_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -61,13 +75,12 @@ def run_incremental_silver(
     bronze_path: str,
     silver_path: str,
     checkpoint_path: str,
-    watermark_delay: str = "1 day",
     max_files_per_trigger: int | None = None,
 ) -> dict:
-    """Process every raw file not processed yet (``availableNow``), append to the clean
+    """Process every raw file not processed yet (``availableNow``), merge them into the clean
     layer, and stop. Progress lives in ``checkpoint_path`` (shared storage), so a
     rerun or a restarted job continues where the last one ended."""
-    stream = clean_stream(bronze_file_stream(spark, bronze_path, max_files_per_trigger), watermark_delay)
+    stream = valid_stream(bronze_file_stream(spark, bronze_path, max_files_per_trigger))
     return _run_available(stream, silver_path, checkpoint_path)
 
 
@@ -77,12 +90,11 @@ def run_incremental_silver_from_topic(
     topic: str,
     silver_path: str,
     checkpoint_path: str,
-    watermark_delay: str = "1 day",
     max_offsets_per_trigger: int | None = None,
 ) -> dict:
     """The same, reading the message topic directly (raw projection applied in flight)."""
     messages = read_topic_stream(spark, brokers, topic, max_offsets_per_trigger=max_offsets_per_trigger)
-    return _run_available(clean_stream(bronze_rows(messages), watermark_delay), silver_path, checkpoint_path)
+    return _run_available(valid_stream(bronze_rows(messages)), silver_path, checkpoint_path)
 
 
 def run_incremental_silver_from_messages(
@@ -90,7 +102,6 @@ def run_incremental_silver_from_messages(
     message_dir: str,
     silver_path: str,
     checkpoint_path: str,
-    watermark_delay: str = "1 day",
     max_files_per_trigger: int | None = None,
 ) -> dict:
     """The same over a message folder with the topic's record layout (what the ingest
@@ -99,18 +110,19 @@ def run_incremental_silver_from_messages(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     messages = reader.parquet(message_dir)
-    return _run_available(clean_stream(bronze_rows(messages), watermark_delay), silver_path, checkpoint_path)
+    return _run_available(valid_stream(bronze_rows(messages)), silver_path, checkpoint_path)
 
 
 def _run_available(stream: DataFrame, silver_path: str, checkpoint_path: str) -> dict:
+    staging = f"{silver_path.rstrip('/')}_staging"
     query = (
-        stream.writeStream.format("parquet")
-        .option("path", silver_path)
+        stream.writeStream.foreachBatch(lambda batch, i: merge_batch(batch, silver_path, f"{staging}/{i}") and None)
         .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    if query.exception():
+        raise query.exception()
     progress = query.lastProgress or {}
     return {"batch": progress.get("batchId"), "rows": progress.get("numInputRows")}

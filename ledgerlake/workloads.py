@@ -339,11 +339,20 @@ def q_sales_by_state_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def q_rounded_mean_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means just below the next cent, of groups of two million and more: for each order n = 2 * key + 2 000 001
+    amounts of customer-key cents, and (n - 1) / 2 cents on top."""
+    n = 2 * F.col("o_orderkey") + 2_000_001
+    cents = (n * F.col("o_custkey") + F.floor((n - 1) / 2)).cast("decimal(30,0)")
+    total = (cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(34,2)")
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", rounded_mean(total, n).alias("ticket_medio"))
+
+
 # ---- incremental ----------------------------------------------------------------------------
 def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean layer built incrementally by a streaming query over the raw files."""
+    """The clean layer built incrementally, batch by batch, by a streaming query over the raw files."""
     out = scratch_path(spark, "silver_incremental")
-    run_incremental_silver(spark, bronze_path(spark, sf_dir), out, out + "_checkpoint")
+    run_incremental_silver(spark, bronze_path(spark, sf_dir), out, out + "_checkpoint", max_files_per_trigger=4)
     return read_silver(spark, out, schema=silver_result(spark, sf_dir).silver.schema)
 
 
@@ -457,6 +466,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_region_lookup": q_state_region_lookup,
     "sales_by_state_catalog": q_sales_by_state_catalog,
     "silver_incremental": q_silver_incremental,
+    "rounded_mean_boundary": q_rounded_mean_boundary,
     "quarantine_rows": q_quarantine_rows,
     "items_reconciliation": q_items_reconciliation,
     "fact_sales_timestamp_grain": q_fact_sales_timestamp_grain,

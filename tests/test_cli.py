@@ -116,3 +116,23 @@ def test_incremental_clean_layer_from_the_message_folder(spark, tmp_dir):
     assert main(["ingest", "--xml-dir", xml, "--message-dir", msgs], spark=spark) == 0
     assert main(["silver-stream", "--message-dir", msgs, "--silver", silver], spark=spark) == 0
     assert sorted(r.id_nfe for r in spark.read.parquet(silver).collect()) == ["NFe0", "NFe1", "NFe2"]
+
+
+def test_sql_never_cuts_a_result(spark, tmp_dir, monkeypatch, capsys):
+    from ledgerlake import cli
+
+    monkeypatch.setattr(cli, "register_lake", lambda *a: None)
+    for n, code in ((1000, 0), (1001, 2)):
+        path = os.path.join(tmp_dir, f"q{n}.sql")
+        with open(path, "w") as fh:
+            fh.write(f"SELECT id FROM range({n})")
+        assert main(["sql", "--base", tmp_dir, "--file", path], spark=spark) == code
+        printed = capsys.readouterr()
+        assert ("--out" in printed.err) == (code == 2) and (len(printed.out) > 1000) == (code == 0)
+
+
+def test_ingest_needs_a_target(spark, tmp_dir):
+    import pytest
+
+    with pytest.raises(SystemExit):
+        main(["ingest", "--xml-dir", tmp_dir], spark=spark)

@@ -94,3 +94,20 @@ def test_fixed_state_table_shape():
 
     assert len(STATES) == 27 and len(REGION_BY_STATE) == 27 and len(NAME_BY_STATE) == 27
     assert set(REGION_BY_STATE.values()) == {"Norte", "Nordeste", "Centro-Oeste", "Sudeste", "Sul"}
+
+
+def test_rounded_mean_of_large_groups_just_below_a_cent(spark):
+    from ledgerlake.functions.money import rounded_mean
+    from ledgerlake.plans.analytics import _sql_mean
+
+    rows = [(2_000_001, "500", 1_000_000), (20_000_001, "12345", 10_000_000), (999, "7", 499)]
+    values = [(n, str(int(k) * n + extra), int(k) / 100) for n, k, extra in rows]
+    df = spark.createDataFrame(values, "n long, cents string, want double")
+    df = df.selectExpr("n", "CAST(CAST(cents AS DECIMAL(30,0)) / 100 AS DECIMAL(34,2)) AS t", "want")
+    got = df.select("want", rounded_mean("t", "n").alias("a")).collect()
+    assert [r.a for r in got] == [r.want for r in got]
+    df.createOrReplaceTempView("mean_boundary")
+    got = spark.sql(f"SELECT want, {_sql_mean('t', 'n')} AS a FROM mean_boundary").collect()
+    assert [r.a for r in got] == [r.want for r in got]
+    zero = spark.createDataFrame([(0, 1.0), (3, -0.05)], "n long, x double").selectExpr("n", "CAST(x AS DECIMAL(18,2)) AS t")
+    assert [r.a for r in zero.select(rounded_mean("t", "n").alias("a")).collect()] == [None, -0.02]

@@ -83,6 +83,30 @@ def test_incremental_clean_layer_continues_where_it_stopped(spark, tmp_dir):
     assert sorted(r.id_nfe for r in read_silver(spark, out).collect()) == ["a", "b"]
 
 
+def test_incremental_layer_keeps_one_row_per_id_for_ever(spark, tmp_dir):
+    import datetime as dt
+
+    from ledgerlake import schemas as S
+    from ledgerlake.plans.silver import clean
+    from ledgerlake.sources.layers import read_bronze
+
+    bronze_dir, out = os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "s")
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    runs = [  # the same invoices again and again, days apart; then a changed copy, then an old one arriving late
+        (day(0), [invoice(id_nfe=i) for i in "abc"]),
+        (day(5), [invoice(id_nfe=i) for i in "abc"]),
+        (day(30), [invoice(id_nfe="a", valor_total_nf="77.00"), invoice(id_nfe="d")]),
+        (day(2), [invoice(id_nfe="a", valor_total_nf="55.00"), invoice(id_nfe="b", valor_total_nf="0")]),
+    ]
+    for k, (when, payloads) in enumerate(runs):
+        rows = [(json.dumps(p), 0, 100 * k + n, when) for n, p in enumerate(payloads)]
+        write_bronze(spark.createDataFrame(rows, S.BRONZE), f"{bronze_dir}/run{k}")
+        run_incremental_silver(spark, bronze_dir + "/*", out, out + "_ck")
+        batch = clean(read_bronze(spark, bronze_dir + "/*")).silver
+        assert sorted(map(repr, read_silver(spark, out, batch.schema).collect())) == sorted(map(repr, batch.collect()))
+    assert {r.id_nfe: r.valor_total_nf for r in read_silver(spark, out).collect()}["a"] == 77.0
+
+
 def test_incremental_hot_id_is_spread_before_the_id_dedupe(spark, tmp_dir):
     bronze_dir, out = os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "s")
     payloads = [invoice(id_nfe="hot")] * 90 + [invoice(id_nfe=f"c{i}") for i in range(10)]

@@ -196,7 +196,7 @@ def test_incremental_equals_batch_for_republished_copies(spark, payloads, copies
 
     from ledgerlake.plans.silver import clean
     from ledgerlake.sinks.writers import write_bronze
-    from ledgerlake.sources.layers import read_bronze
+    from ledgerlake.sources.layers import read_bronze, read_silver
     from ledgerlake.streaming.incremental import run_incremental_silver
     from tests.helpers import bronze_df
 
@@ -209,7 +209,7 @@ def test_incremental_equals_batch_for_republished_copies(spark, payloads, copies
     batch = sorted(map(tuple, batch_df.collect()), key=repr)
     out = os.path.join(d, "silver")
     run_incremental_silver(spark, os.path.join(d, "bronze", "*"), out, out + "_ck")
-    stream = sorted(map(tuple, spark.read.schema(batch_df.schema).parquet(out).collect()), key=repr)
+    stream = sorted(map(tuple, read_silver(spark, out, batch_df.schema).collect()), key=repr)
     assert stream == batch
 
 

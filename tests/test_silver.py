@@ -87,3 +87,23 @@ def test_rules_are_parameters(spark):
     assert [tuple(r) for r in res.silver.collect()] == [("a", 3.0, "y")]
     assert {r.stage: r.rows for r in res.reject_counts().collect()} == {
         "input": 4, NULL_REQUIRED: 1, INVALID_VALUE: 1, DUPLICATE: 1, "output": 1}
+
+
+def test_amounts_that_are_no_money_are_rejected(spark):
+    from ledgerlake.operators.quality import quality_report
+    from ledgerlake.plans.analytics import sales_by_state
+    from ledgerlake.plans.star import build_star
+
+    bad = ["NaN", "Infinity", "-Infinity", "1e17", "1e16", "abc"]
+    payloads = [invoice(id_nfe=f"b{i}", valor_total_nf=v) for i, v in enumerate(bad)]
+    payloads += [invoice(id_nfe="p", valor_produtos="NaN"), invoice(id_nfe="ok", valor_total_nf="100.00")]
+    res = clean(bronze_df(spark, payloads))
+    assert [r.id_nfe for r in res.silver.collect()] == ["ok"]
+    reasons = {r.id_nfe: r.reject_reason for r in res.quarantine().collect()}
+    assert reasons == {**{f"b{i}": "invalid_value" for i in range(5)}, "b5": "null_required", "p": "invalid_value"}
+    star = build_star(res.silver)
+    got = sales_by_state(star.fato_vendas, star.dim_localidade).collect()
+    assert [(r.quantidade_nfe, r.faturamento_total) for r in got] == [(1, 100.0)]
+    hostile = spark.createDataFrame([("a", float("nan")), ("b", float("inf")), ("c", 1e17), ("d", 5.0)], "id string, v double")
+    report = {r.check: r.observed for r in quality_report(hostile, "id", ["id"], ["v"], []).collect()}
+    assert report["invalid_values"] == 3
