@@ -31,24 +31,31 @@ def with_grams(docs: DataFrame, text: Column) -> DataFrame:
     return _held(out, "_two", pairs)
 
 
-def _repeat_words(windows: Column) -> Column:
-    """Words in a 3-word window that occurs twice or more: windows sorted with their place, equal neighbours
-    marked, places put back in order, and each marked window adds the words no earlier one covered."""
-    n = F.size(windows)
-    order = F.array_sort(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    none = F.array(F.lit(None).cast("struct<w:string,i:int>"))
-    before = F.concat(none, F.slice(order, 1, n - 1))
-    after = F.concat(F.slice(order, 2, n - 1), none)
-    triples = F.arrays_zip(order.alias("s"), before.alias("p"), after.alias("q"))
-    same = F.filter(triples, lambda t: (t["s"]["w"].eqNullSafe(t["p"]["w"])) | (t["s"]["w"].eqNullSafe(t["q"]["w"])))
-    places = F.array_sort(F.transform(same, lambda t: t["s"]["i"]))
-    start = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n"))
-    return F.aggregate(
-        places,
-        start,
+def _with_repeats(df: DataFrame, unique: Column) -> DataFrame:
+    """``df`` with n_repeat_words: words in a 3-word window that occurs twice or more.
+
+    Windows are sorted with their place, equal neighbours marked, places put back in order, and each marked
+    window adds the words no earlier one covered. Texts without a repeated window skip all of it.
+    """
+    words, last = F.col("_words"), F.greatest(F.size("_words") - 2, F.lit(0))
+    rows = F.arrays_zip(F.slice(words, 1, last).alias("a"), F.slice(words, 2, last).alias("b"), F.slice(words, 3, last).alias("c"))
+    pairs = F.transform(rows, lambda x, i: F.struct(F.concat_ws(" ", x["a"], x["b"], x["c"]).alias("w"), i.alias("i")))
+    none = F.array().cast("array<struct<w:string,i:int>>")
+    df = _held(df, "_order", F.when(unique, none).otherwise(F.sort_array(pairs)))
+    order, n = F.col("_order"), F.size("_order")
+    one = F.array(F.lit(None).cast("struct<w:string,i:int>"))
+    before = F.concat(one, F.slice(order, 1, F.greatest(n - 1, F.lit(0))))
+    after = F.concat(F.slice(order, 2, F.greatest(n - 1, F.lit(0))), one)
+    df = _held(df, "_near", F.when(n == 0, F.array().cast("array<struct<s:struct<w:string,i:int>,p:struct<w:string,i:int>,q:struct<w:string,i:int>>>")).otherwise(F.arrays_zip(order.alias("s"), before.alias("p"), after.alias("q"))))
+    same = F.filter("_near", lambda t: (t["s"]["w"].eqNullSafe(t["p"]["w"])) | (t["s"]["w"].eqNullSafe(t["q"]["w"])))
+    df = _held(df, "_places", F.sort_array(F.transform(same, lambda t: t["s"]["i"])))
+    count = F.aggregate(
+        "_places",
+        F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")),
         lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(3), i - a["last"])).alias("n")),
         lambda a: a["n"],
     )
+    return df.withColumn("n_repeat_words", count).drop("_order", "_near", "_places")
 
 
 def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -59,20 +66,14 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     three = F.zip_with(F.slice("_two", 1, F.greatest(F.size("_two") - 1, F.lit(0))), _rest(F.col("_one"), 3), lambda x, y: F.xxhash64(x, y))
     out = _held(out, "_three", three)
     words = F.col("_words")
-    last = F.greatest(F.size(words) - 2, F.lit(0))
-    windows = F.transform(
-        F.arrays_zip(F.slice(words, 1, last).alias("a"), F.slice(words, 2, last).alias("b"), F.slice(words, 3, last).alias("c")),
-        lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"]),
-    )
     # windows of distinct hashes are distinct; any others are compared as text
     unique = F.size(F.array_distinct("_three")) == F.size("_three")
     symbols = sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in "#*$%&|<>"), F.lit(0))
     return (
-        out.withColumn("n_words", F.size(words).cast("long"))
+        _with_repeats(out, unique).withColumn("n_words", F.size(words).cast("long"))
         .withColumn("word_chars", F.length(F.array_join(words, "")).cast("long"))
         .withColumn("n_symbols", symbols.cast("long"))
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-        .withColumn("n_repeat_words", F.when(unique, F.lit(0).cast("long")).otherwise(_repeat_words(windows)))
         .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .drop("_lines", "_three", "_words")
     )
