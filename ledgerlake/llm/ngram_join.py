@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import attach, checkpointed, table, text_of, whole_rows, written
+from ledgerlake.llm.common import HOT_SHARE, attach, checkpointed, table, text_of, whole_rows, written
 from ledgerlake.llm.components import components
 from ledgerlake.llm.hashing import blocks, lists, mix, shingle_sets, views
+from ledgerlake.operators.joins import join_sized
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 80, 100  # linked when DENOMINATOR * intersection >= NUMERATOR * union
@@ -58,6 +59,7 @@ def _prefixes(rare: np.ndarray):
                         "n": pa.array([len(s) for s in sets], pa.int64()),
                         "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                         "head": lists(heads, pa.int64()),
+                        "sig": pa.array([bitmap(s) for s in sets], pa.binary()),
                     }
                 )
 
@@ -78,8 +80,6 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(
                 {
                     "_row": pa.array(rows[first : first + len(sets)]),
-                    "hub": batch.column("hub").slice(first, len(sets)),
-                    "sig": pa.array([bitmap(s) for s in sets], pa.binary()),
                     "items": lists(sets, pa.int64()),
                 }
             )
@@ -154,19 +154,72 @@ def _near(a: str, b: str) -> str:
     return f"{DENOMINATOR} * least({a}, {b}) >= {NUMERATOR} * greatest({a}, {b})"
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked. Both joins are on a row's id; a row in very many pairs is split by AQE."""
+def _bounded(hubs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b): the documents and their hubs whose sizes and bitmaps allow a link."""
+    side = lambda x, c: sizes.select(F.col("_row").alias(c), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
+    met = hubs.join(side("a", "_row"), "_row").join(side("b", "hub"), "hub").filter(_near("na", "nb"))
+    return met.select(F.least("_row", "hub").alias("a"), F.greatest("_row", "hub").alias("b"), "na", "nb", "sa", "sb").mapInArrow(
+        _may_link, "a long, b long"
+    ).distinct()
+
+
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not len(batch):
+            continue
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("sa", "sb"))
+        n = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+        both = (n - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
+        ok = np.flatnonzero(DENOMINATOR * both >= NUMERATOR * (n - both))
+        yield batch.select(["a", "b"]).take(pa.array(ok))
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by token: those of tokens of several rows, with the smallest row of the token."""
+    rest: list[tuple[np.ndarray, np.ndarray]] = []  # of the last token so far
+
+    def out(token: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+        start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.empty(0, np.int64)
+        size = np.diff(np.r_[start, len(token)])
+        hub = np.minimum.reduceat(row, start) if len(token) else row
+        keep = np.repeat(size > 1, size)
+        return pa.RecordBatch.from_pydict({"_row": pa.array(row[keep]), "token": pa.array(token[keep]), "hub": pa.array(np.repeat(hub, size)[keep])})
+
+    for batch in batches:
+        token, row = batch.column("token").to_numpy(), batch.column("_row").to_numpy()
+        if not len(token):
+            continue
+        rest.append((token, row))
+        if token[0] == token[-1] == rest[0][0][-1]:  # one long run goes on
+            continue
+        token, row = (np.concatenate(x) for x in zip(*rest, strict=True))
+        cut = int(np.flatnonzero(token != token[-1])[-1]) + 1 if (token != token[-1]).any() else 0
+        if cut:
+            yield out(token[:cut], row[:cut])
+        rest = [(token[cut:], row[cut:])]
+    if rest:
+        yield out(*(np.concatenate(x) for x in zip(*rest, strict=True)))
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked, decided on the sorted arrays.
+
+    Sets are made of the texts of the documents in pairs only; a document in very many pairs is split by AQE.
+    """
+    wanted = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct())
+    sets = join_sized(texts, wanted, "_row", "left_semi").mapInArrow(_sets, "_row long, items array<long>")
+    sets = written(sets, "ngram-sets")
     side = lambda x: sets.select(F.col("_row").alias(x), F.col("items").alias(f"s{x}"))
     full = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb")
     return full.mapInArrow(_verified, "a long, b long")
 
 
-def _tiled_pairs(live: DataFrame, sets: DataFrame) -> DataFrame:
+def _tiled_pairs(live: DataFrame, sizes: DataFrame) -> DataFrame:
     """Distinct pairs of different components that share a token of ``live`` and pass the bound of their bitmaps.
 
     The documents of a token make parts of about TILE; each two parts, and each part with itself, are a tile.
     """
-    settled = live.join(sets.select("_row", "sig"), "_row")
+    settled = live.join(sizes, "_row")
     parts = F.ceil(F.col("m") / TILE).cast("int")
     tiled = (
         settled.withColumn("_parts", parts)
@@ -193,13 +246,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     How. (1) A fixed-size sketch counts shingles by bucket; ordering every set by it, rare first, keeps
     passages that many documents share out of the prefixes. (2) Sets are equal by digest; one document
     stands for each. (3) Linked sets share a shingle of their prefixes (the first fifth), so only documents
-    that share one are compared. (4) Rounds link each document to the hub of its shingles that it shares
-    most with, verified on the sorted arrays. (5) Shingles that then still join several components are
+    that share one are compared. (4) Rounds pair each document with the hub of its shingles that it shares
+    most with; where the bitmaps allow a link the sorted arrays decide. (5) Shingles that then still join several components are
     compared in full: tiles of up to TILE x TILE documents, ordered by size so that only sizes in a ratio
     of 0.8 meet, bitmaps bounding the overlap, arrays deciding. Pairs within one component are already
     decided and are left out; no other pair is. Hashes have 64 bits, digests 128.
 
-    Scale: shuffled are a fifth of the shingles, twice, as longs, and the sets of documents that share one.
+    Scale: shuffled are a fifth of the shingles, once, as longs (those of frequent buckets counted in the map
+    tasks first), and the sets of documents whose bitmaps allow a link. Sides that are small by count are
+    broadcast, else joined by shuffle.
     """
     texts = docs.select(F.monotonically_increasing_id().alias("_row"), text_of(text_col).alias("text"))
     ids = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("_id"))
@@ -211,40 +266,38 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # within noise all are alike: only what stands out moves back
     level = np.maximum(np.log2(np.maximum(rare, 1) / max(float(np.median(rare)), 1.0)) * 8, 0).astype(np.int32)
 
-    heads = written(texts.mapInArrow(_prefixes(level), "_row long, n long, digest binary, head array<long>"), "ngram-heads")
+    heads = written(texts.mapInArrow(_prefixes(level), "_row long, n long, digest binary, head array<long>, sig binary"), "ngram-heads")
     marks = heads.select("_row", "n", "digest")
     total = marks.count()
     classes = checkpointed(marks.groupBy("digest").agg(F.min("_row").alias("rep"), F.count(F.lit(1)).alias("_n")))
     member = checkpointed(attach(marks.filter("n > 0"), classes, ["digest"], "_n", total).select("_row", "rep"))
     copies = member.filter("_row <> rep").select("_row")
 
-    tokens = heads.filter("n > 0").join(copies, "_row", "left_anti").select("_row", "n", F.explode("head").alias("token"))
-    rank = F.xxhash64("_row")  # one order of documents for all shingles, so that a group of near copies has one hub
-    shared = tokens.groupBy("token").agg(
-        F.count(F.lit(1)).alias("m"), F.min_by("_row", rank).alias("hub"), F.min_by("n", rank).alias("hub_n")
-    )
-    shared = written(shared.filter("m > 1"), "ngram-shared")
-    n_tokens = shared.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n")).first()["n"]
-    tokens = written(attach(tokens, shared, ["token"], "m", n_tokens), "ngram-tokens")
-
-    hub = _best_hubs(tokens.filter(f"_row <> hub AND {_near('n', 'hub_n')}"))
-    wanted = tokens.select("_row").distinct().join(hub, "_row", "left")
-    sets = texts.join(wanted, "_row").select("_row", "hub", "text").mapInArrow(_sets, "_row long, hub long, sig binary, items array<long>")
-    sets = written(sets, "ngram-sets")
-    links = checkpointed(_hub_links(sets))
-    live = _unsettled(tokens.select("_row", "n", "token"), links, n_tokens)
-    for _ in range(HUB_ROUNDS - 1):
+    # shingles several documents share; those of frequent buckets may be held by very many
+    often = np.flatnonzero(rare > max(10 * total / HOT_SHARE, 2 * float(np.median(rare)))).tolist()
+    tokens = join_sized(heads.filter("n > 0").select("_row", "head"), copies, "_row", "left_anti").select("_row", F.explode("head").alias("token"))
+    hot = F.shiftrightunsigned("token", 48).isin(often) if 0 < len(often) <= 2000 else F.lit(bool(often))
+    plain = tokens.filter(~hot).repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "_row long, token long, hub long")
+    counted = checkpointed(tokens.filter(hot).groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("_row").alias("hub")).filter("m > 1"))
+    n_hot = counted.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n")).first()["n"]
+    tokens = written(plain.unionByName(attach(tokens.filter(hot), counted, ["token"], "m", n_hot).drop("m")), "ngram-tokens")
+    n_tokens = tokens.count()
+
+    sizes = heads.select("_row", "n", "sig")
+    pairs = checkpointed(_bounded(_best_hubs(tokens.filter("_row <> hub")), sizes))
+    links = checkpointed(_links(pairs, texts))
+    live = _unsettled(tokens.select("_row", "token"), links, n_tokens)
+    for k in range(HUB_ROUNDS - 1):
         if live.isEmpty():
             break
-        ends = live.groupBy("token").agg(
-            F.min_by("_row", rank).alias("hub"), F.min_by("n", rank).alias("hub_n"), F.min_by("comp", rank).alias("hub_comp"), F.count(F.lit(1)).alias("_m")
-        )
-        met = attach(live, checkpointed(ends), ["token"], "_m", n_tokens).filter(f"comp <> hub_comp AND {_near('n', 'hub_n')}")
-        pairs = _best_hubs(met).select(F.least("_row", "hub").alias("a"), F.greatest("_row", "hub").alias("b")).distinct()
-        links = checkpointed(links.unionByName(_links(checkpointed(pairs), sets)))
-        live = _unsettled(live.select("_row", "n", "token"), links, n_tokens)
+        rank = F.xxhash64("comp", F.lit(k))  # the hub of a shingle: of its component of the smallest hash
+        ends = live.groupBy("token").agg(F.min_by("_row", rank).alias("hub"), F.min_by("comp", rank).alias("hub_comp"), F.count(F.lit(1)).alias("_m"))
+        met = attach(live, checkpointed(ends), ["token"], "_m", n_tokens).filter("comp <> hub_comp")
+        pairs = checkpointed(_bounded(_best_hubs(met), sizes))
+        links = checkpointed(links.unionByName(_links(pairs, texts)))
+        live = _unsettled(live.select("_row", "token"), links, n_tokens)
     if not live.isEmpty():
-        links = checkpointed(links.unionByName(_links(_tiled_pairs(live, sets), sets)))
+        links = checkpointed(links.unionByName(_links(_tiled_pairs(live, sizes), texts)))
 
     # one id per component, over the documents of all its classes
     comp = components(links).select(F.col("node").alias("rep"), "component")
@@ -263,34 +316,13 @@ def _best_hubs(met: DataFrame) -> DataFrame:
     return votes.groupBy("_row").agg(F.max_by("hub", F.struct("v", "hub")).alias("hub"))
 
 
-def _hub_links(sets: DataFrame) -> DataFrame:
-    """The documents linked with their hub. A hub of many documents is dealt out in parts of TILE of these."""
-    asked = sets.filter("hub IS NOT NULL").select("_row", "hub", "items")
-    size = checkpointed(asked.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts")))
-    # a hub without its part count is in a part of its own key; parts beyond the first are few
-    large = size.filter("parts > 1")
-    asked = asked.join(large, "hub", "left").select(
-        "hub", F.coalesce(F.pmod(F.xxhash64("_row"), F.col("parts")), F.lit(0)).cast("int").alias("part"), F.lit(1).alias("kind"), "_row", "items"
-    )
-    hubs = size.join(sets.select("_row", F.col("items")), size["hub"] == sets["_row"]).select(
-        "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "_row", "items"
-    )
-    met = asked.unionByName(hubs).repartition("hub", "part").sortWithinPartitions("hub", "part", "kind")
-    return met.mapInArrow(_with_hub, "a long, b long")
-
-
-def _with_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted, each hub's set before those of its documents."""
-    hub, items = None, None
-    for batch in batches:
-        a, b = [], []
-        for kind, row, x in zip(batch.column("kind").to_pylist(), batch.column("_row").to_pylist(), views(batch.column("items")), strict=True):
-            if kind == 0:
-                hub, items = row, x.copy()
-            elif linked(x, items):
-                a.append(min(row, hub))
-                b.append(max(row, hub))
-        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _unsettled(tokens: DataFrame, links: DataFrame, total: int) -> DataFrame:
+    """(_row, token, comp, m) of the tokens that still join documents of several components."""
+    comp = checkpointed(components(links).withColumnRenamed("node", "_row").withColumnRenamed("component", "comp"))
+    now = join_sized(tokens, comp, "_row", "left").withColumn("comp", F.coalesce("comp", "_row"))
+    ends = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
+    several = checkpointed(ends.filter("lo <> hi").select("token", "m"))
+    return written(attach(now, several, ["token"], "m", total), "ngram-live")
 
 
 def _unsettled(tokens: DataFrame, links: DataFrame, total: int) -> DataFrame:
