@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from . import schemas as S
 from .functions.json import record_json
 from .functions.lookup import state_attributes
-from .functions.money import as_double, money_text, to_money
+from .functions.money import as_double, money_text, rounded_mean, to_money
 from .operators.cleaning import cast_double, extract_fields, filter_required, filter_values, trim_columns
 from .operators.dedupe import latest_per_key
 from .operators.keys import Keyed
