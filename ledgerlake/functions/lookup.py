@@ -70,11 +70,6 @@ def state_attributes(col: Column | str) -> dict[str, Column]:
     }
 
 
-def state_table(spark: SparkSession) -> DataFrame:
-    """The fixed table as a DataFrame (27 rows)."""
-    return spark.createDataFrame(STATES, "uf string, estado_completo string, regiao string")
-
-
 def lookup_join(
     df: DataFrame,
     key: str,

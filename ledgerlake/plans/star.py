@@ -183,14 +183,6 @@ class Star:
             "fato_vendas": self.fato_vendas.df,
         }
 
-    def row_totals(self) -> dict[str, int]:
-        return {
-            "dim_emitente": self.dim_emitente.rows,
-            "dim_data": self.dim_data.rows,
-            "dim_localidade": self.dim_localidade.rows,
-            "fato_vendas": self.fato_vendas.rows,
-        }
-
     def register_views(self, prefix: str = "") -> None:
         for name, df in self.tables().items():
             df.createOrReplaceTempView(prefix + name)

@@ -22,9 +22,9 @@ def write_observed(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
 
 # One raw file per task, gzip: JSON text of repeated keys compresses ~18x (measured on
 # the sf0.1 raw layer: 188 MB -> 10 MB, same write and read time). A gzip file is read
-# by one task, so files are capped in records to stay a moderate unit of work.
+# by one task, so files are capped at about 200 MB of text (some 600 bytes a record).
 RAW_COMPRESSION = "gzip"
-RAW_RECORDS_PER_FILE = 2_000_000
+RAW_RECORDS_PER_FILE = 300_000
 
 
 def write_bronze(bronze: DataFrame, path: str, compression: str = RAW_COMPRESSION) -> int:
