@@ -18,7 +18,7 @@ from ledgerlake.operators.joins import join_sized
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 80, 100  # linked when DENOMINATOR * intersection >= NUMERATOR * union
 SKETCH = 1 << 16
-BITS = 1024
+BITS = 1024  # of the bitmap of a small set; larger sets have the next power of two above their size
 TILE = 512
 HUB_ROUNDS = 2
 
@@ -67,11 +67,18 @@ def _prefixes(rare: np.ndarray):
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(mix(s) & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    """One hashed bit per item. Of a power of two of bits, so that a bitmap can be folded to the width of a smaller one."""
+    width = max(BITS, 1 << max(len(s) - 1, 0).bit_length())
+    bits = np.zeros(width, np.uint8)
+    bits[(mix(s) & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
+def folded(sig: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap (as 64-bit words) that the set has at a smaller width."""
+    return sig if len(sig) == words else np.bitwise_or.reduce(sig.reshape(-1, words), axis=0)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.column("_row").to_numpy()
@@ -126,10 +133,12 @@ def _tile_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
     tiles = t.column("tile").to_numpy()
     bounds = np.flatnonzero(np.r_[True, tiles[1:] != tiles[:-1], True])
     row, n, comp, side = (t.column(c).to_numpy() for c in ("_row", "n", "comp", "side"))
-    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint64).reshape(len(t), BITS // 64)
+    sigs = [np.frombuffer(x, np.uint64) for x in t.column("sig").to_pylist()]
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         order = lo + np.argsort(n[lo:hi], kind="stable")
-        s, r, c, g, d = n[order], row[order], comp[order], sig[order], side[order]
+        s, r, c, d = n[order], row[order], comp[order], side[order]
+        wide = np.array([len(sigs[k]) for k in order])  # grows with the size, as the order does
+        at: dict = {}
         mixed = (d != 0).any() and (d != 1).any()
         out_a, out_b = [], []
         for i in range(len(order) - 1):
@@ -137,7 +146,11 @@ def _tile_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
             if end <= i + 1:
                 continue
             z = slice(i + 1, end)
-            far = np.bitwise_count(g[z] ^ g[i]).sum(axis=1, dtype=np.int64)
+            w = int(wide[i])
+            if w not in at:  # all from here on, at the width of this one
+                at = {w: np.stack([folded(sigs[k], w) for k in order[i:]]), -1: i}
+            g = at[w]
+            far = np.bitwise_count(g[i + 1 - at[-1] : end - at[-1]] ^ g[i - at[-1]]).sum(axis=1, dtype=np.int64)
             both = (s[z] + s[i] - far) // 2
             ok = (c[z] != c[i]) & (DENOMINATOR * both >= NUMERATOR * (s[z] + s[i] - both))
             if mixed:
@@ -165,13 +178,15 @@ def _bounded(hubs: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not len(batch):
-            continue
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("sa", "sb"))
-        n = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-        both = (n - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
-        ok = np.flatnonzero(DENOMINATOR * both >= NUMERATOR * (n - both))
-        yield batch.select(["a", "b"]).take(pa.array(ok))
+        keep = []
+        cols = (batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb"))
+        for i, (na, nb, sa, sb) in enumerate(zip(*cols, strict=True)):
+            x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
+            w = min(len(x), len(y))
+            both = (na + nb - int(np.bitwise_count(folded(x, w) ^ folded(y, w)).sum(dtype=np.int64))) // 2
+            if DENOMINATOR * both >= NUMERATOR * (na + nb - both):
+                keep.append(i)
+        yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
