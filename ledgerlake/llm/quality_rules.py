@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import checkpointed, table, text_of, words_of
+from ledgerlake.operators.joins import join_sized
 
 BUCKETS = 16384
 SMOOTHING = 1.0
@@ -118,12 +119,13 @@ def quality_rules(
     to smoothing. Repeated rows get equal results; null ids are never trusted; an empty table gives none.
 
     Scale: a pass that counts and a pass that scores. What moves is the texts once, to meet the trusted ids
-    (not at all while these are few enough for Spark to broadcast them), and ``buckets`` counts per task; what
+    (not at all while these, counted, are few enough to broadcast), and ``buckets`` counts per task; what
     is broadcast is one array of ``buckets`` doubles.
     """
     docs = docs.select(id_col, text_col)
     marked = trusted.select(F.col(id_col).alias("_tid"), F.lit(True).alias("_t")).filter("_tid IS NOT NULL").distinct()
-    corpus = docs.select(F.col(id_col).alias("_tid"), F.col(text_col).alias("_text")).join(marked, "_tid", "left")
+    marked = checkpointed(marked)
+    corpus = join_sized(docs.select(F.col(id_col).alias("_tid"), F.col(text_col).alias("_text")), marked, "_tid")
     ratio = checkpointed(log_ratios(corpus, "_t", "_text", buckets, smoothing))
     out = with_counts(docs, text_col).crossJoin(F.broadcast(ratio))  # one row on the right
     add = lambda a, g: a + F.element_at(F.col("_ratio"), (g.bitwiseAND(buckets - 1) + 1).cast("int"))
