@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,10 +31,30 @@ SYLLABLES = {
 }
 
 _KIND = {name: (gender, script) for (gender, script), names in GIVEN.items() for name in names}
-_FAMILY = r"(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:[-'][A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?|[А-ЯЁ][а-яё]+(?:-[А-ЯЁ][а-яё]+)?)"
-_PERSON = re.compile(rf"(?<!\w)(?P<given>{'|'.join(sorted(_KIND, key=len, reverse=True))})[ \t]+(?P<family>{_FAMILY})(?!\w)")
-_TITLED = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, TITLES))})\.?[ \t]+(?P<family>{_FAMILY})(?!\w)")
-_WORD = re.compile(r"[^\W\d_]+(?:[-'][^\W\d_]+)*")
+# words that are no mention of a family name in small letters, even where one like them was found ("Peter And The Wolf")
+_COMMON = set("a an and as at by for from had has he her his in is it of on or said she that the then they this to was were who will with".split())
+
+
+def _letters(script: str, kinds: str) -> str:
+    """The letters of a script and of some Unicode categories, for a character class."""
+    places = [*range(0x41, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x1F00)]
+    return "".join(chr(c) for c in places if unicodedata.category(chr(c)) in kinds.split() and unicodedata.name(chr(c)).startswith(script))
+
+
+def _name(script: str) -> str:
+    upper, both = f"[{_letters(script, 'Lu Lt')}]", f"[{_letters(script, 'Lu Lt Ll')}\u0300-\u036f]"
+    return f"(?:{upper}['’])?{upper}{both}+(?:[-'’]{upper}{both}+)*"  # a possessive's one letter is no part of it
+
+
+_FAMILY = f"(?:{_name('LATIN')}|{_name('CYRILLIC')})"
+_GAP = r"[ \t\xa0]+"
+_INITIALS = rf"(?:[^\W\d_]\.[ \t\xa0]*|[^\W\d_]{_GAP})*"
+_PERSON = re.compile(rf"(?<!\w)(?P<given>{'|'.join(sorted(_KIND, key=len, reverse=True))}){_GAP}{_INITIALS}(?P<family>{_FAMILY})(?!\w)")
+_TITLED = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, TITLES))})\.?{_GAP}{_INITIALS}(?P<family>{_FAMILY})(?!\w)")
+_WORD = re.compile("(?:[^\\W\\d_][\u0300-\u036f]*)+(?:[-'’](?:[^\\W\\d_][\u0300-\u036f]*)+)*")
+_PART = re.compile("[^-'’]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_TITLE_WORDS = {t.split("-")[0] for t in TITLES}
 _EMAIL = re.compile(r"(?<![\w.%+-])[A-Za-z0-9][\w.%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", re.ASCII)
 _NUMBERS = re.compile(
     r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
@@ -57,11 +78,40 @@ def _script(word: str) -> str:
     return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
 
 
+def _key(name: str) -> str:
+    """What all spellings of a name share: case, the kind of apostrophe and of accents don't count."""
+    return unicodedata.normalize("NFC", name).replace("’", "'").casefold()
+
+
+def _mentions(text: str, names: dict[str, tuple[str, str]]) -> list[tuple[int, int, str, str]]:
+    """Mentions of ``names`` (key -> kind and value) in words: whole, as parts of compounds, with a possessive."""
+    found = []
+    for m in _WORD.finditer(text):
+        parts = [(p.start() + m.start(), p.end() + m.start()) for p in _PART.finditer(m[0])]
+        i = 0
+        while i < len(parts):
+            for j in range(len(parts), i, -1):
+                start, end = parts[i][0], parts[j - 1][1]
+                word = text[start:end]
+                known = names.get(_key(word))
+                if not known and word[0].isupper() and len(word) > 3 and word[-1] in "sS":  # genitives without apostrophe
+                    known, end = names.get(_key(word[:-1])), end - 1
+                    word = word[:-1]
+                if known and word not in _COMMON:
+                    found.append((start, end, *known))
+                    i = j
+                    break
+            else:
+                i += 1
+    return found
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, value) of the entities of a text, in order, without overlap.
 
     A value is what mentions of one entity share: e-mail addresses in lower case, the digits of numbers, a
-    name's parts each on their own (so that "Anna Weber" and "Frau Weber" keep their common part).
+    name's parts each on their own (so that "Anna Weber" and "Frau Weber" keep their common part). The names of
+    a person found are replaced wherever the text has them, in any case, alone, in compounds and possessives.
     """
     found: list[tuple[int, int, str, str]] = []
     if "@" in text:
@@ -76,18 +126,21 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         for m in _SECRETS.finditer(text):
             g = m.lastgroup or ""
             found.append((m.start(g), m.end(g), g, m[g]))
-    words = set(text.split())
-    families: dict[str, str] = {}
+    words = set(_LETTERS.findall(text))
+    given: dict[str, tuple[str, str]] = {}
+    names: dict[str, tuple[str, str]] = {}
     if not words.isdisjoint(_KIND):
         for m in _PERSON.finditer(text):
             gender, script = _KIND[m["given"]]
             if _script(m["family"]) == script:
-                found.append((m.start("given"), m.end("given"), f"given {gender} {script}", m["given"]))
-                families[m["family"]] = script
-    if any(t in words or t + "." in words for t in TITLES):
-        families.update((m["family"], _script(m["family"])) for m in _TITLED.finditer(text) if m["family"] not in _KIND)
-    if families:
-        found += [(m.start(), m.end(), f"family {families[m[0]]}", m[0]) for m in _WORD.finditer(text) if m[0] in families]
+                given[_key(m["given"])] = f"given {gender} {script}", m["given"]
+                names[_key(m["family"])] = f"family {script}", _key(m["family"]).capitalize()
+    if not words.isdisjoint(_TITLE_WORDS):
+        for m in _TITLED.finditer(text):
+            if m["family"] not in _KIND:
+                names[_key(m["family"])] = f"family {_script(m['family'])}", _key(m["family"]).capitalize()
+    if names:
+        found += _mentions(text, {**names, **given})
     out: list[tuple[int, int, str, str]] = []
     for e in sorted(found, key=lambda x: (x[0], -x[1])):
         if not out or e[0] >= out[-1][1]:
@@ -152,6 +205,8 @@ def written_as(mention: str, value: str) -> str:
         return "".join(next(rest) if c.isdigit() else c for c in mention)
     if mention.isupper() and any(c.islower() for c in value):
         return value.upper()
+    if mention.islower() and value[:1].isupper():
+        return value.lower()
     return value
 
 

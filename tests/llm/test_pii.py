@@ -88,3 +88,19 @@ def test_hostile_rows(spark, tmp_dir):
 def test_empty_table(spark, tmp_dir):
     assert with_surrogates(stable(empty(spark), tmp_dir), KEY).count() == 0
     assert F
+
+
+def test_every_mention_of_a_person_found(spark, tmp_dir):
+    texts = [
+        "Anna Weber's house; Webers Hund, WEBER, anna weber and Anna; Weber-Haus. Weber’s.", "John Smith came. John left, JOHN's too.",
+        "Anna WEBER", "Paul M. O'Neil and O’NEIL's", "Emma McDonald, \"Peter Şahin\" and Elena Łuczak.", "Peter And The Wolf and the rest",
+    ]
+    out, n = replaced(spark, tmp_dir, texts)
+    for names, t in zip((("anna", "weber"), ("john", "smith"), ("anna", "weber"), ("paul", "neil"), ("emma", "donald", "peter", "ahin", "elena", "uczak"), ("peter",)), out, strict=True):
+        assert not any(x in t.lower() for x in names), t
+    one = re.fullmatch(r"(\w+) (\w+)'s house; (\w+)s Hund, (\w+), (\w+) (\w+) and (\w+); (\w+)-Haus\. (\w+)’s\.", out[0])
+    assert one and {one[2], one[3], one[8], one[9]} == {one[2]} and one[4] == one[2].upper() and one[6] == one[2].lower()
+    assert one[7] == one[1] and one[5] == one[1].lower() and out[2] == f"{one[1]} {one[2].upper()}"
+    two = re.fullmatch(r"(\w+) (\w+) came\. (\w+) left, (\w+)'s too\.", out[1])
+    assert two and two[3] == two[1] and two[4] == two[1].upper() and n[:2] == [9, 4]
+    assert out[5].endswith(" and the rest")
