@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table, text_of
+from ledgerlake.llm.common import table, text_of, written
 from ledgerlake.llm.tokens import worker_bpe
 
 WINDOW = 1024
@@ -23,17 +23,21 @@ K1, B = 1.2, 0.75
 
 
 class Bm25:
-    """Inverted index of one shard: postings by term with BM25 weights; the terms are token ids."""
+    """Inverted index of one shard: postings by term with BM25 weights; the terms are token ids.
 
-    def __init__(self, docs: list[np.ndarray]) -> None:
+    ``stats``: the number of documents of the whole table, their mean length and how many hold each term.
+    """
+
+    def __init__(self, docs: list[np.ndarray], stats: tuple[int, float, np.ndarray] | None = None) -> None:
         found = [np.unique(d, return_counts=True) for d in docs]
         size = np.array([max(len(d), 1) for d in docs], np.float64)
         of = np.repeat(np.arange(len(docs)), [len(t) for t, _ in found])
         term = np.concatenate([t for t, _ in found]) if found else np.empty(0, np.uint32)
         tf = np.concatenate([c for _, c in found]).astype(np.float64) if found else np.empty(0)
         df = np.bincount(term, minlength=1) if len(term) else np.zeros(1)
-        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * size / size.mean()) if len(docs) else size
+        total, mean, held = stats or (len(docs), size.mean() if len(docs) else 1.0, df)
+        idf = np.log1p((total - held + 0.5) / (held + 0.5))
+        norm = K1 * (1 - B + B * size / mean)
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[of]) if len(term) else tf
         self.n = len(docs)
         self.begin = np.concatenate([[0], np.cumsum([len(t) for t, _ in found])]).astype(np.int64)
@@ -54,7 +58,7 @@ class Bm25:
         return np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.by_term[s] for s in spans]), self.n)
 
 
-def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
+def pack_shard(docs: list[np.ndarray], window: int = WINDOW, stats: tuple[int, float, np.ndarray] | None = None) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (document, start, length) that hold every id of ``docs`` once.
 
     Whole windows of a long document are cut off first. Then the longest unused rest is the seed of a window;
@@ -69,7 +73,7 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[
             out.append([(i, k, window)])
         start[i] = int(n) // window * window
     rest = rest % window
-    index = Bm25(docs)
+    index = Bm25(docs, stats)
     order = np.lexsort((np.arange(len(docs)), -rest))
     place = 0
     unused = rest > 0
@@ -117,17 +121,54 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def _packer(window: int, shard_docs: int, path: str | None):
+def _encoded(path: str | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, end = worker_bpe(path), np.array([END], np.uint32).tobytes()
+        for batch in batches:
+            for k in range(0, len(batch), 256):
+                some = batch.slice(k, 256)
+                ids = [t + end for t in map(bytes, bpe.encode(some.column("text").to_pylist()))]
+                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in ("_id", "_lang", "_hash", "_row")), pa.array(ids, pa.binary())], names=["_id", "_lang", "_hash", "_row", "ids"])
+
+    return run
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents per term (and all documents, -1, and their ids, -2) of a task."""
+    held, docs, size = np.zeros(0, np.int64), 0, 0
+    for batch in batches:
+        for t in batch.column("ids").to_pylist():
+            ids = np.frombuffer(t, np.uint32)
+            terms = np.unique(ids)
+            if terms[-1] >= len(held):
+                held = np.concatenate([held, np.zeros(int(terms[-1]) + 1 - len(held), np.int64)])
+            held[terms] += 1
+            docs, size = docs + 1, size + len(ids)
+    seen = np.flatnonzero(held)
+    yield pa.RecordBatch.from_pydict({"term": pa.array(np.r_[-1, -2, seen]), "n": pa.array(np.r_[docs, size, held[seen]])})
+
+
+def statistics(ids: DataFrame) -> tuple[int, float, np.ndarray]:
+    """Number of documents, mean length and documents per term of the whole table; one row per term is collected."""
+    rows = ids.select("ids").mapInArrow(_count_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = {r["term"]: r["n"] for r in rows}
+    docs, size = found.pop(-1, 0), found.pop(-2, 0)
+    held = np.zeros(max(found, default=0) + 1)
+    held[list(found)] = list(found.values())
+    return docs, size / max(docs, 1), held
+
+
+def _packer(window: int, shard_docs: int, stats: tuple[int, float, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        bpe, made = worker_bpe(path), 0
+        made = 0
         pending: list[tuple[int | None, np.ndarray]] = []
 
         def flush(shard: list[tuple[int | None, np.ndarray]]) -> pa.RecordBatch:
             nonlocal made
             cols: dict[str, list] = {c: [] for c in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
             docs = [d for _, d in shard]
-            for pieces in pack_shard(docs, window):
+            for pieces in pack_shard(docs, window, stats):
                 at = 0
                 for i, s, n in pieces:
                     for c, v in zip(cols, (shard[i][0], s, n, docs[i][s : s + n].tobytes(), len(docs[i]), (part << 32) + made, at), strict=True):
@@ -137,13 +178,10 @@ def _packer(window: int, shard_docs: int, path: str | None):
             kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
             return pa.RecordBatch.from_pydict({c: pa.array(v, k) for (c, v), k in zip(cols.items(), kinds, strict=True)})
 
-        end = np.array([END], np.uint32)
         for batch in batches:
-            ids, texts = batch.column("_id").to_pylist(), batch.column("text")
-            for k in range(0, len(ids), 256):
-                found = bpe.encode(texts.slice(k, 256).to_pylist())
-                pending += [(i, np.append(np.frombuffer(t, np.uint32), end)) for i, t in zip(ids[k : k + 256], found, strict=True)]
-                while len(pending) >= 2 * shard_docs:
+            for i, t in zip(batch.column("_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                pending.append((i, np.frombuffer(t, np.uint32)))
+                if len(pending) >= 2 * shard_docs:
                     yield flush(pending[:shard_docs])
                     pending = pending[shard_docs:]
         if pending:
@@ -170,12 +208,14 @@ def pack(
     ``shard_docs`` documents) holds texts of one language, and equal texts meet unless they are very many.
     Repeated rows are documents of their own; null ids are kept; an empty table gives none.
 
-    Scale: the texts are shuffled once, by range, into tasks of about ``task_bytes``; the row number is part
+    Weights of terms follow the counts of the whole table; neighbours come from the seed's own shard only.
+
+    Scale: the ids are written, counted by term and shuffled once, by range, into tasks of about ``task_bytes``; the row number is part
     of the range key, so no language and no group of copies makes a task larger. A task holds the ids of at
     most two index shards at a time. ``vocabulary`` is the path of a tokenizers file every executor has.
     """
     total = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
-    lang = F.coalesce(F.crc32(F.col(lang_col).cast("string")), F.lit(-1)) if lang_col else F.lit(0)
+    lang = F.coalesce(F.crc32(F.col(lang_col).cast("string")), F.lit(-1)).cast("long") if lang_col else F.lit(0).cast("long")
     rows = docs.select(
         F.col(id_col).cast("long").alias("_id"),
         text_of(text_col).alias("text"),
@@ -183,9 +223,10 @@ def pack(
         F.xxhash64(text_of(text_col)).alias("_hash"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    spread = rows.repartitionByRange(max(1, -(-total // task_bytes)), "_lang", "_hash", "_row")
-    spread = spread.sortWithinPartitions("_lang", "_hash", "_row").select("_id", "text")
-    out = spread.mapInArrow(_packer(window, shard_docs, vocabulary), SCHEMA)
+    ids = written(rows.mapInArrow(_encoded(vocabulary), "_id long, _lang long, _hash long, _row long, ids binary"), "packing-ids")
+    spread = ids.repartitionByRange(max(1, -(-total // task_bytes)), "_lang", "_hash", "_row")
+    spread = spread.sortWithinPartitions("_lang", "_hash", "_row").select("_id", "ids")
+    out = spread.mapInArrow(_packer(window, shard_docs, statistics(ids)), SCHEMA)
     return out.withColumnRenamed("doc_id", id_col)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from ledgerlake.llm.packing import Bm25, pack, pack_shard
+from ledgerlake.llm.packing import Bm25, pack, pack_shard, statistics
 from ledgerlake.llm.tokens import Bpe
 
 from .helpers import empty, hostile, stable
@@ -71,3 +71,14 @@ def test_windows_hold_neighbours():
 
 def test_empty_table(spark, tmp_dir):
     assert pack(stable(empty(spark), tmp_dir)).count() == 0
+
+
+def test_weights_are_those_of_the_whole_table(spark):
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, 300, rng.integers(1, 90)).astype(np.uint32) for _ in range(400)]
+    ids = spark.createDataFrame([(d.tobytes(),) for d in docs], "ids binary").repartition(5)
+    n, mean, held = stats = statistics(ids)
+    assert n == 400 and abs(mean - np.mean([len(d) for d in docs])) < 1e-9
+    assert held.tolist() == [sum(t in d for d in docs) for t in range(len(held))]
+    every = Bm25(docs).scores(7, 10**6)
+    assert np.allclose(Bm25(docs[:40], stats).scores(7, 10**6), every[:40])
