@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,3 +137,41 @@ def views(column: pa.Array) -> list[np.ndarray]:
     off = column.offsets.to_numpy()
     flat = column.values.to_numpy(zero_copy_only=False)
     return [flat[off[i] : off[i + 1]] for i in range(len(column))]
+
+
+def lower_bytes(a: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lowered."""
+    return _LOWER[a]
+
+
+def _crc_table() -> np.ndarray:
+    """The byte table of CRC-32 (reflected polynomial 0xEDB88320), by its rule."""
+    c = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        c = np.where(c & np.uint32(1), (c >> np.uint32(1)) ^ np.uint32(0xEDB88320), c >> np.uint32(1))
+    return c
+
+
+_CRC = _crc_table()
+LONG_SPAN = 48
+
+
+def crc32_spans(a: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """CRC-32 of each span of the bytes: all spans advance together, byte by byte; those over LONG_SPAN one by one."""
+    n = ends - starts
+    order = np.argsort(-np.minimum(n, LONG_SPAN + 1).astype(np.int8), kind="stable")  # longest first: those still running lead
+    size, at = n[order], starts[order]
+    crc = np.full(len(n), 0xFFFFFFFF, np.uint32)
+    left = np.searchsorted(-size, -LONG_SPAN - 0.5) if len(n) and size[0] > LONG_SPAN else 0
+    ending = np.searchsorted(-size[left:], -np.arange(LONG_SPAN + 1), side="left")  # how many are longer than k
+    for k in range(LONG_SPAN):
+        m = left + int(ending[k])
+        if m == left:
+            break
+        c = crc[left:m]
+        crc[left:m] = _CRC[(c ^ a[at[left:m] + k]) & np.uint32(255)] ^ (c >> np.uint32(8))
+    out = np.empty(len(n), np.uint32)
+    out[order] = ~crc
+    for i in order[:left]:
+        out[i] = zlib.crc32(a[starts[i] : ends[i]])
+    return out

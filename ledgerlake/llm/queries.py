@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality_rules, sharding, suffix_dedup, toxicity
+from ledgerlake.llm import (
+    exact_dedup,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality_rules,
+    resampling,
+    sharding,
+    suffix_dedup,
+    toxicity,
+)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -15,9 +27,11 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op12_resampling": resampling.op12_resampling,
 }
 
 ORACLE = {
     "op8_mixing": mixing.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op12_resampling": resampling.SQL,
 }
