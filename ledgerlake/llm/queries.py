@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerlake.llm import (
     exact_dedup,
+    hard_negatives,
     lm_scoring,
     mixing,
     ngram_join,
@@ -28,10 +29,12 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op12_resampling": resampling.op12_resampling,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE = {
     "op8_mixing": mixing.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
     "op12_resampling": resampling.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
