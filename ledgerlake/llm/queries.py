@@ -6,6 +6,7 @@ from ledgerlake.llm import (
     exact_dedup,
     hard_negatives,
     lm_scoring,
+    minhash_dedup,
     mixing,
     ngram_join,
     packing,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_minhash_dedup": minhash_dedup.op11_minhash_dedup,
     "op12_resampling": resampling.op12_resampling,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
