@@ -27,8 +27,7 @@ from ledgerlake.operators.joins import join_sized
 SHINGLE = 4
 NUMERATOR, DENOMINATOR = 80, 100  # linked when DENOMINATOR * intersection >= NUMERATOR * union
 WIDTH, HALVES = 3, 20
-HUB_ROUNDS = 2
-PART = 512  # pairs of one document that travel together
+PARTS = 1024  # that a hub's documents are dealt to
 TILE = 2048
 
 _STEPS = mix(np.arange(1, 2 * 2 * HALVES * WIDTH + WIDTH + 1, dtype=np.uint64))
@@ -90,57 +89,39 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sizes and bitmaps leave a link possible."""
-    for batch in batches:
-        keep = []
-        for i, (na, nb, sa, sb) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "siga", "sigb")), strict=True)):
-            if DENOMINATOR * min(na, nb) >= NUMERATOR * max(na, nb):
-                x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
-                w = min(len(x), len(y))
-                both = (na + nb - int(np.bitwise_count(folded(x, w) ^ folded(y, w)).sum(dtype=np.int64))) // 2
-                if DENOMINATOR * both >= NUMERATOR * (na + nb - both):
-                    keep.append(i)
-        yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
-
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose full sets overlap enough."""
+    """Rows come sorted by hub and part, the hub itself first: the pairs of a hub and a document that are linked."""
+    centre, own = None, np.empty(0, np.int64)
     for batch in batches:
-        keep = [i for i, (x, y) in enumerate(zip(views(batch.column("itemsa")), views(batch.column("itemsb")), strict=True)) if linked(x, y)]
-        yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
-
-def _beside(pairs: DataFrame, side: str, facts: DataFrame, names: list[str], total: int) -> DataFrame:
-    """``pairs`` with the columns ``names`` of the document in column ``side``, named with it behind.
-
-    A document of very many pairs meets them in parts of about PART, a copy of its facts for each part.
+        at = list(zip(batch.column("hub").to_pylist(), batch.column("part").to_pylist(), strict=True))
+        row, n, items = batch.column("_row").to_numpy(), batch.column("n").to_numpy(), views(batch.column("items"))
+        out = []
+        for i, key in enumerate(at):
+            if key != centre:
+                centre, own = key, items[i].copy()  # outlives its batch
+            elif DENOMINATOR * min(len(own), n[i]) >= NUMERATOR * max(len(own), n[i]) and linked(own, items[i]):
+                out.append((min(key[0], row[i]), max(key[0], row[i])))
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The linked ones of the pairs (_row, hub), decided on the full sets.
+
+    A hub's documents are dealt to up to PARTS parts that each get a copy of its set and are read as they come.
     """
-    per = checkpointed(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("_m")))
-    parts = F.ceil(F.col("_m") / PART).cast("int")
-    dealt = attach(pairs, per, [side], "_m", total).withColumn("_part", F.pmod(F.xxhash64("a", "b"), parts).cast("int")).drop("_m")
-    copies = facts.select(F.col("_row").alias(side), *[F.col(c).alias(c + side) for c in names]).join(per, side)
-    copies = copies.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_m")
-    return dealt.join(copies, [side, "_part"]).drop("_part")
-
-
-def _links(pairs: DataFrame, sets: DataFrame, bounded: bool = False) -> DataFrame:
-    """The pairs (a, b) that are linked: bounded by sizes and bitmaps, unless that is done, then decided on the full sets."""
-    if not bounded:
-        pairs = checkpointed(pairs)
-        n = pairs.count()
-        pairs = _beside(_beside(pairs, "a", sets, ["n", "sig"], n), "b", sets, ["n", "sig"], n)
-        pairs = checkpointed(pairs.mapInArrow(_may_link, "a long, b long"))
-    n = pairs.count()
-    full = _beside(_beside(pairs, "a", sets, ["items"], n), "b", sets, ["items"], n)
-    return checkpointed(full.mapInArrow(_verified, "a long, b long"))
+    pairs = checkpointed(pairs.withColumn("part", F.pmod(F.xxhash64("_row"), F.lit(PARTS)).cast("int")))
+    facts = sets.select("_row", "n", "items")
+    members = pairs.join(facts, "_row").withColumn("place", F.lit(1))
+    centres = pairs.select("hub", "part").distinct().join(facts, F.col("hub") == F.col("_row")).withColumn("place", F.lit(0))
+    met = centres.unionByName(members).repartition("hub", "part").sortWithinPartitions("hub", "part", "place")
+    return checkpointed(met.select("hub", "part", "_row", "n", "items").mapInArrow(_verified, "a long, b long"))
 
 
 def _best_hubs(met: DataFrame) -> DataFrame:
-    """(a, b): each document and, of the hubs it meets in its tables, the one it meets most often."""
-    votes = met.groupBy("_row", "hub").agg(F.count(F.lit(1)).alias("v"))
-    best = votes.groupBy("_row").agg(F.max_by("hub", F.struct("v", "hub")).alias("hub"))
-    return best.select(F.least("_row", "hub").alias("a"), F.greatest("_row", "hub").alias("b")).distinct()
+    """(_row, hub): each document and, of the hubs it meets in its tables, the one it meets most often."""
+    votes = met.filter("_row <> hub").groupBy("_row", "hub").agg(F.count(F.lit(1)).alias("v"))
+    return votes.groupBy("_row").agg(F.max_by("hub", F.struct("v", "hub")).alias("hub"))
 
 
 def _unsettled(keyed: DataFrame, links: DataFrame, total: int) -> DataFrame:
@@ -171,8 +152,9 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tile_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components that share a table with the tile's first half, if it is the first that they share, and
-    whose sizes and bitmaps leave a link possible."""
+    """Links that join the components of a tile. Compared are documents of different components that share a table with the
+    tile's first half, if it is the first half that they share: sizes and bitmaps bound the overlap, full sets decide. A link
+    joins two components for the rest of the tile."""
     if not len(t):
         return
     tiles = t.column("tile").to_numpy()
@@ -180,39 +162,42 @@ def _tile_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
     row, n, comp, side, place = (t.column(c).to_numpy() for c in ("_row", "n", "comp", "side", "place"))
     halves = t.column("halves").combine_chunks().flatten().to_numpy().reshape(len(t), 2 * HALVES)
     sigs = [np.frombuffer(x, np.uint64) for x in t.column("sig").to_pylist()]
+    items = [x for c in t.column("items").chunks for x in views(c)]
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         order = lo + np.argsort(n[lo:hi], kind="stable")
-        s, r, c, d, x = n[order], row[order], comp[order], side[order], halves[order]
-        first = int(place[lo])
-        mixed = (d != d[0]).any()
-        out_a, out_b = [], []
+        s, r, d, x = n[order], row[order], side[order], halves[order]
+        label = np.unique(comp[order], return_inverse=True)[1]
+        first, mixed, out, at = int(place[lo]), (d != d[0]).any(), [], {}
         for i in range(len(order) - 1):
-            end = int(np.searchsorted(s, s[i] * DENOMINATOR // NUMERATOR, side="right"))
-            z = np.arange(i + 1, end)
-            z = z[(c[z] != c[i]) & ((d[z] != d[i]) if mixed else True)]
+            z = np.arange(i + 1, int(np.searchsorted(s, s[i] * DENOMINATOR // NUMERATOR, side="right")))
+            z = z[(label[z] != label[i]) & ((d[z] != d[i]) if mixed else True)]
             if len(z):
                 z = z[(x[z, HALVES:] == x[i, HALVES:]).any(axis=1) & ~(x[z, :first] == x[i, :first]).any(axis=1)]
             if not len(z):
                 continue
-            mine = sigs[order[i]]
-            far = np.array([np.bitwise_count(folded(sigs[order[k]], len(mine)) ^ mine).sum(dtype=np.int64) for k in z])
+            w = len(sigs[order[i]])
+            if w not in at:  # all from here on, at the width of this one: bitmaps widen with the size
+                at = {w: np.stack([folded(sigs[k], w) for k in order[i:]]), -1: i}
+            far = np.bitwise_count(at[w][z - at[-1]] ^ at[w][i - at[-1]]).sum(axis=1, dtype=np.int64)
             both = (s[z] + s[i] - far) // 2
-            z = z[DENOMINATOR * both >= NUMERATOR * (s[z] + s[i] - both)]
-            out_a.append(np.full(len(z), r[i]))
-            out_b.append(r[z])
-        if out_a:
-            a, b = np.concatenate(out_a), np.concatenate(out_b)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+            may = DENOMINATOR * both >= NUMERATOR * (s[z] + s[i] - both)
+            for k in z[may][np.argsort(-both[may], kind="stable")]:  # the likeliest first
+                if label[k] != label[i] and linked(items[order[i]], items[order[k]]):
+                    out.append((min(r[i], r[k]), max(r[i], r[k])))
+                    label[label == label[k]] = label[i]
+        if out:
+            a, b = np.array(out, np.int64).T
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
 
-def _tiled_pairs(live: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
-    """Each pair of different components that share a table of ``live`` and may be linked, once.
+def _tiled_links(live: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links enough to join what is linked among the documents that share a table of ``live``.
 
     Documents of a first half are dealt to parts of about TILE; each two parts, and each part with itself, are a tile.
     """
     at = checkpointed(live.select("_row", "u", "comp").distinct())
     per = checkpointed(at.groupBy("u").agg(F.count(F.lit(1)).alias("_m")))
-    facts = heads.select("_row", "halves").join(sets.select("_row", "n", "sig"), "_row")
+    facts = heads.select("_row", "halves").join(sets, "_row")
     parts = F.ceil(F.col("_m") / TILE).cast("int")
     tiled = (
         attach(at, per, ["u"], "_m", at.count())
@@ -239,13 +224,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of its own. Other columns are ignored, whatever their names. An empty table gives none.
 
     How. (1) Sets are equal by digest; one document stands for each. (2) Half keys that one document holds alone make no
-    table key that is shared, so keys are combined from the others only. (3) Rounds pair each document with the hub it
-    meets in most tables; bitmaps bound the overlap, full sets decide. (4) Tables that then still hold documents of several
-    components are compared in full, in tiles, each pair at the first half key it shares. Pairs within one component
-    are already decided; no other pair of a table is left out. Hashes have 64 bits, digests 128.
-
-    Scale: shuffled are 2 * HALVES longs a document, the shared table keys, and the sets of documents whose bitmaps allow a
-    link. Keys, digests and documents that hold a large share of rows or pairs are split. The driver sees counts.
+    table key that is shared, so keys are combined from the others only. (3) Each document is compared with the hub it
+    meets in most tables, set by set. (4) Tables that then still hold documents of several components are compared in
+    full, in tiles, each pair at the first half key it shares: bitmaps bound the overlap, full sets decide. Pairs within
+    one component are already decided; no other pair of a table is left out. Hashes have 64 bits, digests 128.
+
+    Scale: shuffled are 2 * HALVES longs a document, the shared table keys, the set of each document with such a key, and
+    again for each of its halves that still joins components. Keys, digests, hubs and halves that hold a large share of the
+    rows are split. The driver sees counts.
     """
     texts = docs.select(F.monotonically_increasing_id().alias("_row"), text_of(text_col).alias("text"))
     ids = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("_id"))
@@ -260,28 +246,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = checkpointed(halves.groupBy("half").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1"))
     held = attach(halves, shared, ["half"], "_m", shared.agg(F.coalesce(F.sum("_m"), F.lit(0))).first()[0])
     first = F.col("place") < HALVES
-    by_row = held.groupBy("_row").agg(F.collect_list(F.when(first, F.col("half"))).alias("us"), F.collect_list(F.when(~first, F.col("half"))).alias("vs"))
+    by_row = held.groupBy("_row").agg(F.sum("_m").alias("known"), F.collect_list(F.when(first, F.col("half"))).alias("us"), F.collect_list(F.when(~first, F.col("half"))).alias("vs"))
     by_row = written(by_row.filter("size(us) > 0 AND size(vs) > 0"), "tensor-halves")
-    keys = by_row.select("_row", "vs", F.explode("us").alias("u")).select("_row", "u", F.explode("vs").alias("v")).select("_row", "u", F.xxhash64("u", "v").alias("key"))
-    counted = checkpointed(keys.groupBy("key").agg(F.count(F.lit(1)).alias("_m"), F.min("_row").alias("hub")).filter("_m > 1"))
+    keys = by_row.select("_row", "known", "vs", F.explode("us").alias("u")).select("_row", "known", "u", F.explode("vs").alias("v"))
+    keys = keys.select("_row", "known", "u", F.xxhash64("u", "v").alias("key"))
+    # the hub of a key: the document whose halves are shared most, which is the centre of its copies
+    hub = F.max_by("_row", F.struct("known", "_row")).alias("hub")
+    counted = checkpointed(keys.groupBy("key").agg(F.count(F.lit(1)).alias("_m"), hub).filter("_m > 1"))
     n_keyed = counted.agg(F.coalesce(F.sum("_m"), F.lit(0))).first()[0]
-    keyed = written(attach(keys, counted, ["key"], "_m", n_keyed), "tensor-keys")
+    keyed = written(attach(keys.drop("known"), counted, ["key"], "_m", n_keyed), "tensor-keys")
 
     wanted = checkpointed(keyed.select("_row").distinct())
     sets = written(join_sized(texts, wanted, "_row", "left_semi").mapInArrow(_sets, "_row long, n long, sig binary, items array<long>"), "tensor-sets")
-    links = _links(_best_hubs(keyed.filter("_row <> hub")), sets)
+    links = _links(_best_hubs(keyed), sets)
     live = _unsettled(keyed, links, n_keyed)
-    for k in range(HUB_ROUNDS - 1):
-        if live.isEmpty():
-            break
-        rank = F.xxhash64("comp", F.lit(k))  # the hub of a key: of its component of the smallest hash
-        hubs = checkpointed(live.groupBy("key").agg(F.min_by("_row", rank).alias("hub"), F.min_by("comp", rank).alias("hub_comp"), F.first("_m").alias("_m")))
-        met = attach(live.drop("_m"), hubs, ["key"], "_m", n_keyed).filter("comp <> hub_comp")
-        links = checkpointed(links.unionByName(_links(_best_hubs(met), sets)))
-        live = _unsettled(live, links, n_keyed)
     if not live.isEmpty():
-        pairs = checkpointed(_tiled_pairs(live, heads, sets))
-        links = checkpointed(links.unionByName(_links(pairs, sets, bounded=True)))
+        links = checkpointed(links.unionByName(_tiled_links(live, heads, sets)))
 
     comp = checkpointed(components(links).select(F.col("node").alias("rep"), "component"))
     of_row = member.join(comp, "rep", "left").select("_row", F.coalesce("component", "rep").alias("component"))
