@@ -4,7 +4,8 @@
     python -m ledgerlake check-source (--message-dir M | --brokers B) [--topic T]  (fails when empty)
     python -m ledgerlake bronze    (--message-dir M | --brokers B) [--topic T] --bronze P
     python -m ledgerlake silver    --bronze P --silver P [--quarantine P]
-    python -m ledgerlake silver-stream --message-dir M --silver P  (incremental: only new messages)
+    python -m ledgerlake silver-stream --message-dir M --silver P [--keep-for "24 hours"] [--snapshot P]
+                                   (incremental: only new messages; copies seen within the time are dropped in flight)
     python -m ledgerlake validate  --silver P --expected N
     python -m ledgerlake gold      --silver P --gold P [--time-zone Z] [--grain date|timestamp]
     python -m ledgerlake questions --gold P --out P [--format csv|parquet|json]
@@ -29,7 +30,7 @@ from .plans.star import DATE_GRAIN, TIMESTAMP_GRAIN
 from .session import DEFAULT_TIME_ZONE, build_session
 from .sinks.writers import read_star, register_lake, save_result
 from .sources.messages import read_topic
-from .streaming.incremental import run_incremental_silver_from_messages
+from .streaming.incremental import run_incremental_silver_from_messages, write_snapshot
 
 
 def _messages(spark, a):
@@ -74,6 +75,8 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("silver-stream")
     s.add_argument("--message-dir", required=True)
     s.add_argument("--silver", required=True)
+    s.add_argument("--keep-for")
+    s.add_argument("--snapshot")
     s = sub.add_parser("validate")
     s.add_argument("--silver", required=True)
     s.add_argument("--expected", type=int, required=True)
@@ -116,7 +119,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         elif a.stage == "silver":
             out = load_silver(spark, a.bronze, a.silver, a.quarantine)
         elif a.stage == "silver-stream":
-            out = run_incremental_silver_from_messages(spark, a.message_dir, a.silver, a.silver.rstrip("/") + "_checkpoint")
+            out = run_incremental_silver_from_messages(
+                spark, a.message_dir, a.silver, a.silver.rstrip("/") + "_checkpoint", keep_for=a.keep_for
+            )
+            if a.snapshot:
+                out["snapshot"] = write_snapshot(spark, a.silver, a.snapshot)
         elif a.stage == "validate":
             out = {"checks": validate_silver(spark, a.silver, a.expected)}
         elif a.stage == "gold":

@@ -262,3 +262,14 @@ FROM events GROUP BY CAST(ts AS DATE)""",
 ORACLE.update({"parquet_roundtrip": "SELECT * FROM orders", "json_roundtrip": "SELECT * FROM customer"})
 
 ORACLE["sales_by_state_from_documents"] = SALES_BY_STATE
+
+ORACLE["stream_reject_counts"] = ORACLE["reject_counts"]
+ORACLE["silver_incremental_deduplicated"] = ORACLE["silver_layer"]
+ORACLE["stream_quarantine"] = f"SELECT * FROM ({ORACLE['quarantine_rows']}) WHERE reject_reason <> 'duplicate'"
+# of the copies of a valid invoice all but the first are dropped; its id is held
+ORACLE["stream_dedupe_totals"] = f"""WITH {INVOICES},
+c AS (SELECT (SELECT COUNT(*) FROM invoices) AS n, (SELECT COUNT(*) FROM silver) AS ok)
+SELECT 'input' AS stage, CAST({PUBLICATIONS} * n AS BIGINT) AS rows FROM c
+UNION ALL SELECT 'dropped', CAST(({PUBLICATIONS} - 1) * ok AS BIGINT) FROM c
+UNION ALL SELECT 'ids', CAST(ok AS BIGINT) FROM c
+UNION ALL SELECT 'held', CAST(ok AS BIGINT) FROM c"""

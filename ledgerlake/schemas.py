@@ -18,6 +18,8 @@ def _strings(*names: str) -> list[StructField]:
     return [StructField(n, StringType(), True) for n in names]
 
 
+# The published column names of the layers, and the element names of the NF-e layout that they are read from.
+
 # ---- parsed invoice document ------------------------------------------------
 ITEM_FIELDS = [
     "numero_item", "codigo", "descricao", "ncm", "cfop",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -104,12 +105,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path as it knows it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder the engine wrote to shared storage."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    """Delete a folder or file the engine wrote to shared storage."""
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop))
+    fs, p = file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def path_exists_any(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything matches a glob pattern."""
+    fs, p = file_system(spark, pattern)
+    return bool(fs.globStatus(p))
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]):
+    """Apply SQL settings for the duration of a stage and restore the previous values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

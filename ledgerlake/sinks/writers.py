@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import Keyed
+from .versions import replace_folder, replace_folders, settled
 
 
 def write_observed(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", **options) -> int:
@@ -20,6 +21,11 @@ def write_observed(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     return int(obs.get["rows"])
 
 
+def replace_layer(df: DataFrame, path: str, fmt: str = "parquet", **options) -> int:
+    """Write ``df`` as the whole content of a layer; until all of it is written, the layer is the old one."""
+    return replace_folder(df.sparkSession, path.rstrip("/"), lambda folder: write_observed(df, folder, fmt, **options))
+
+
 # One raw file per task, gzip: JSON text of repeated keys compresses ~18x (measured on
 # the sf0.1 raw layer: 188 MB -> 10 MB, same write and read time). A gzip file is read
 # by one task, so files are capped at about 200 MB of text (some 600 bytes a record).
@@ -29,29 +35,30 @@ RAW_RECORDS_PER_FILE = 300_000
 
 def write_bronze(bronze: DataFrame, path: str, compression: str = RAW_COMPRESSION) -> int:
     """Raw layer as JSON lines, replacing the previous content."""
-    return write_observed(
-        bronze, path, "json", compression=compression, maxRecordsPerFile=str(RAW_RECORDS_PER_FILE)
-    )
+    return replace_layer(bronze, path, "json", compression=compression, maxRecordsPerFile=str(RAW_RECORDS_PER_FILE))
 
 
 def write_silver(silver: DataFrame, path: str) -> int:
     """Clean layer as Parquet (Snappy), replacing the previous content."""
-    return write_observed(silver, path, "parquet")
+    return replace_layer(silver, path, "parquet")
 
 
 STAR_TABLES = ["dim_emitente", "dim_data", "dim_localidade", "fato_vendas"]
 
 
 def write_star(tables: dict[str, DataFrame], base: str) -> dict[str, int]:
-    """The star tables as Parquet, one folder per table; returns rows per table."""
-    return {name: write_observed(df, f"{base.rstrip('/')}/{name}", "parquet") for name, df in tables.items()}
+    """The star tables as Parquet, one folder per table, swapped in once all are written; returns rows per table."""
+    folders = {f"{base.rstrip('/')}/{name}": df for name, df in tables.items()}
+    spark = next(iter(tables.values())).sparkSession
+    rows = replace_folders(spark, list(folders), lambda path, folder: write_observed(folders[path], folder, "parquet"))
+    return {name: rows[f"{base.rstrip('/')}/{name}"] for name in tables}
 
 
 def read_star(spark: SparkSession, base: str, rows: dict[str, int] | None = None) -> dict[str, Keyed]:
     """Read star tables back; row counts (for join sizing) from the write or the Parquet footers."""
     out = {}
     for name in STAR_TABLES:
-        df = spark.read.parquet(f"{base.rstrip('/')}/{name}")
+        df = spark.read.parquet(settled(spark, f"{base.rstrip('/')}/{name}"))
         out[name] = Keyed(df, rows[name] if rows and name in rows else df.count())
     return out
 

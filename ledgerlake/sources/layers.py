@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from .. import schemas as S
+from ..sinks.versions import is_versioned, settled
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Raw layer JSON lines with the declared schema (no inference, so an empty
     folder reads as zero rows instead of failing)."""
-    return spark.read.schema(S.BRONZE).json(path)
+    return spark.read.schema(S.BRONZE).json(settled(spark, path))
 
 
 def read_silver(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Clean layer Parquet; with ``schema``, a layer that has no rows yet also reads (as empty).
+    """The clean layer, written by a batch or incrementally; with ``schema``, a layer that has no rows yet also reads (as empty)."""
+    if "*" not in path and is_versioned(spark, path):
+        from ..streaming.incremental import read_incremental  # the streaming package reads layers itself
 
-    The columns an incremental layer keeps for its own use (``_pos_*``, ``_bucket``) are left out.
-    """
-    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    return df.select(*[c for c in df.columns if not c.startswith("_")])
+        return read_incremental(spark, path, schema)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(settled(spark, path))

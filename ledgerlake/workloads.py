@@ -45,7 +45,7 @@ from .sinks.xml import (
 from .sources.layers import read_bronze, read_silver
 from .sources.tables import invoice_id, invoice_messages, invoice_records, issuers, read_table
 from .sources.xml import parse_documents, parse_records, read_document_records
-from .streaming.incremental import run_incremental_silver
+from .streaming.incremental import batch_totals, read_rejects, run_incremental_silver, stream_reject_counts
 
 # derived data per (application, data folder, what)
 _MEMO: dict[tuple[str, str, str], object] = {}
@@ -349,13 +349,55 @@ def q_rounded_mean_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- incremental ----------------------------------------------------------------------------
+def incremental_path(spark: SparkSession, sf_dir: str) -> str:
+    """The clean layer built batch by batch, by a streaming query over the raw files."""
+
+    def build():
+        out = scratch_path(spark, "silver_incremental")
+        run_incremental_silver(spark, bronze_path(spark, sf_dir), out, out + "_checkpoint", max_files_per_trigger=4)
+        return out
+
+    return _memo(spark, sf_dir, "incremental_path", build)
+
+
 def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean layer built incrementally, batch by batch, by a streaming query over the raw files."""
-    out = scratch_path(spark, "silver_incremental")
-    run_incremental_silver(spark, bronze_path(spark, sf_dir), out, out + "_checkpoint", max_files_per_trigger=4)
-    return read_silver(spark, out, schema=silver_result(spark, sf_dir).silver.schema)
+    return read_silver(spark, incremental_path(spark, sf_dir), schema=silver_result(spark, sf_dir).silver.schema)
+
+
+def q_stream_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals that the batches recorded, summed: the same stages as ``reject_counts``."""
+    return stream_reject_counts(spark, incremental_path(spark, sf_dir))
+
+
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that broke a rule, as the batches set them aside."""
+    return read_rejects(spark, incremental_path(spark, sf_dir)).select("id_nfe", F.col("_pos_offset").alias("offset"), REASON)
+
+
+def deduplicated_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Each publication of the messages landed by itself and followed by a run of the stream that drops what it has seen."""
+
+    def build():
+        base = scratch_path(spark, "republished")
+        raw = bronze(spark, sf_dir)
+        times = [r[0] for r in raw.select("timestamp").distinct().orderBy("timestamp").collect()]  # one per publication
+        for k, at in enumerate(times):
+            write_observed(raw.filter(F.col("timestamp") == F.lit(at)), f"{base}/raw/run{k}", "json")
+            run_incremental_silver(spark, f"{base}/raw/*", f"{base}/silver", f"{base}/checkpoint", keep_for="24 hours")
+        return f"{base}/silver"
+
+    return _memo(spark, sf_dir, "deduplicated_stream", build)
+
+
+def q_silver_incremental_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, deduplicated_stream(spark, sf_dir), schema=silver_result(spark, sf_dir).silver.schema)
 
 
+def q_stream_dedupe_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stage, rows``: messages read, copies dropped in flight, rows written, ids held after the last batch."""
+    totals = batch_totals(spark, deduplicated_stream(spark, sf_dir))
+    sums = totals.agg(*[F.sum(c).alias(c) for c in ("input", "dropped", "ids")], F.max_by("held", "version").alias("held"))
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).cast("long").alias("rows")) for c in sums.columns])))
 
 
 # ---- accounting, reconciliation, fan-out measure, saved results --------------------------------
@@ -466,6 +508,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_region_lookup": q_state_region_lookup,
     "sales_by_state_catalog": q_sales_by_state_catalog,
     "silver_incremental": q_silver_incremental,
+    "stream_reject_counts": q_stream_reject_counts,
+    "stream_quarantine": q_stream_quarantine,
+    "silver_incremental_deduplicated": q_silver_incremental_deduplicated,
+    "stream_dedupe_totals": q_stream_dedupe_totals,
     "rounded_mean_boundary": q_rounded_mean_boundary,
     "quarantine_rows": q_quarantine_rows,
     "items_reconciliation": q_items_reconciliation,
