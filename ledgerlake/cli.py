@@ -1,13 +1,14 @@
 """Command line: one subcommand per stage, each printing one JSON line of totals.
 
-    python -m ledgerlake ingest    --xml-dir D (--message-dir M | --brokers B) [--topic T] [--errors-dir E]
+    python -m ledgerlake ingest    --xml-dir D (--message-dir M | --brokers B) [--topic T] [--errors-dir E] [--ledger L]
+                                   [--checkpoint C]                            (only files that no run from C has read)
     python -m ledgerlake check-source (--message-dir M | --brokers B) [--topic T]  (fails when empty)
     python -m ledgerlake bronze    (--message-dir M | --brokers B) [--topic T] --bronze P
     python -m ledgerlake silver    --bronze P --silver P [--quarantine P]
     python -m ledgerlake silver-stream --message-dir M --silver P [--keep-for "24 hours"] [--snapshot P]
                                    (incremental: only new messages; copies seen within the time are dropped in flight)
-    python -m ledgerlake validate  --silver P --expected N
-    python -m ledgerlake gold      --silver P --gold P [--time-zone Z] [--grain date|timestamp]
+    python -m ledgerlake validate  --silver P (--expected N | --ledger L)
+    python -m ledgerlake gold      --silver P --gold P [--time-zone Z] [--grain date|timestamp] [--renumber]
     python -m ledgerlake questions --gold P --out P [--format csv|parquet|json]
     python -m ledgerlake run       --xml-dir D --base P [--expected N]       (all stages, offline)
     python -m ledgerlake sql       --base P --file Q.sql [--out P]            (SQL over bronze/silver/gold tables)
@@ -24,8 +25,9 @@ import time
 
 from .operators.quality import QualityGateError, require_not_empty
 from .plans import analytics
-from .plans.ingest import ingest_documents, read_message_dir
+from .plans.ingest import ingest_documents, ingest_new_documents, read_message_dir
 from .plans.layers import load_bronze, load_gold, load_silver, validate_silver
+from .plans.ledger import Ledger, new_run
 from .plans.star import DATE_GRAIN, TIMESTAMP_GRAIN
 from .session import DEFAULT_TIME_ZONE, build_session
 from .sinks.writers import read_star, register_lake, save_result
@@ -44,7 +46,7 @@ def _questions(spark, gold: str, out: str, fmt: str) -> dict[str, int]:
         "top_emitters": analytics.top_emitters(g["fato_vendas"], g["dim_emitente"], g["dim_localidade"]),
         "monthly_evolution": analytics.monthly_evolution(g["fato_vendas"], g["dim_data"]),
     }
-    return {name: save_result(df.coalesce(1), f"{out.rstrip('/')}/{name}", fmt) for name, df in results.items()}
+    return {name: save_result(df, f"{out.rstrip('/')}/{name}", fmt) for name, df in results.items()}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -62,6 +64,8 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("ingest")
     s.add_argument("--xml-dir", required=True)
     s.add_argument("--errors-dir")
+    s.add_argument("--ledger")
+    s.add_argument("--checkpoint")
     src(s)
     s = sub.add_parser("check-source")
     src(s)
@@ -79,11 +83,13 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--snapshot")
     s = sub.add_parser("validate")
     s.add_argument("--silver", required=True)
-    s.add_argument("--expected", type=int, required=True)
+    s.add_argument("--expected", type=int)
+    s.add_argument("--ledger")
     s = sub.add_parser("gold")
     s.add_argument("--silver", required=True)
     s.add_argument("--gold", required=True)
     s.add_argument("--grain", choices=[DATE_GRAIN, TIMESTAMP_GRAIN], default=DATE_GRAIN)
+    s.add_argument("--renumber", action="store_true")
     s = sub.add_parser("questions")
     s.add_argument("--gold", required=True)
     s.add_argument("--out", required=True)
@@ -107,10 +113,16 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a = parser().parse_args(argv)
     if a.stage == "ingest" and not (a.message_dir or a.brokers):
         parser().error("ingest needs --message-dir or --brokers")
+    if a.stage == "validate" and a.expected is None and not a.ledger:
+        parser().error("validate needs --expected or --ledger")
+    ledger = Ledger(a.ledger.rstrip("/")) if getattr(a, "ledger", None) else None
     spark = spark or build_session(a.master, time_zone=a.time_zone)
     try:
         if a.stage == "ingest":
-            out = ingest_documents(spark, a.xml_dir, a.topic, a.message_dir, a.brokers, a.errors_dir)
+            if a.checkpoint:
+                out = ingest_new_documents(spark, a.xml_dir, a.checkpoint, a.topic, a.message_dir, a.brokers, a.errors_dir, ledger=ledger)
+            else:
+                out = ingest_documents(spark, a.xml_dir, a.topic, a.message_dir, a.brokers, a.errors_dir, ledger=ledger)
         elif a.stage == "check-source":
             require_not_empty(_messages(spark, a), "topic")
             out = {"not_empty": True}
@@ -125,16 +137,16 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             if a.snapshot:
                 out["snapshot"] = write_snapshot(spark, a.silver, a.snapshot)
         elif a.stage == "validate":
-            out = {"checks": validate_silver(spark, a.silver, a.expected)}
+            out = {"checks": validate_silver(spark, a.silver, a.expected, ledger)}
         elif a.stage == "gold":
-            out = load_gold(spark, a.silver, a.gold, a.time_zone, a.grain)
+            out = load_gold(spark, a.silver, a.gold, a.time_zone, a.grain, a.renumber)
         elif a.stage == "questions":
             out = _questions(spark, a.gold, a.out, a.format)
         elif a.stage == "sql":
             register_lake(spark, a.base, f"{a.base.rstrip('/')}/_catalog")
             result = spark.sql(open(a.file, encoding="utf-8").read().strip().rstrip(";"))
             if a.out:
-                out = {"rows": save_result(result.coalesce(1), a.out)}
+                out = {"rows": save_result(result, a.out)}
             else:
                 rows = result.limit(PRINTED_ROWS + 1).collect()
                 if len(rows) > PRINTED_ROWS:
@@ -142,19 +154,21 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                     return 2
                 out = {"rows": [r.asDict() for r in rows]}
         else:  # run
-            b = a.base.rstrip("/")
-            out, seconds = {}, {}
+            b, run = a.base.rstrip("/"), new_run()
+            ledger, out, seconds = Ledger(f"{b}/ledger"), {}, {}
 
             def stage(name, fn):
                 t0 = time.perf_counter()
                 out[name] = fn()
                 seconds[name] = round(time.perf_counter() - t0, 3)
+                if isinstance(out[name], dict) and name != "ingest":  # which leaves its own
+                    ledger.add_totals(spark, run, name, out[name])
 
-            stage("ingest", lambda: ingest_documents(spark, a.xml_dir, "nfe-raw", f"{b}/messages", None, f"{b}/errors"))
+            stage("ingest", lambda: ingest_documents(spark, a.xml_dir, "nfe-raw", f"{b}/messages", None, f"{b}/errors", ledger=ledger, run=run))
             stage("bronze", lambda: load_bronze(read_message_dir(spark, f"{b}/messages"), f"{b}/bronze"))
+            ledger.add_totals(spark, run, "bronze", {"written": out["bronze"]})
             stage("silver", lambda: load_silver(spark, f"{b}/bronze", f"{b}/silver", f"{b}/quarantine"))
-            expected = a.expected if a.expected is not None else out["silver"]["output"]
-            stage("validate", lambda: validate_silver(spark, f"{b}/silver", expected))
+            stage("validate", lambda: validate_silver(spark, f"{b}/silver", a.expected, ledger))
             stage("gold", lambda: load_gold(spark, f"{b}/silver", f"{b}/gold", a.time_zone))
             stage("questions", lambda: _questions(spark, f"{b}/gold", f"{b}/results", "csv"))
             out["seconds"] = seconds

@@ -95,3 +95,35 @@ def with_dense_key(
             .drop("__pid", "__pos", "__off")
         )
     return Keyed(keyed, running)
+
+
+def with_published_key(
+    df: DataFrame,
+    natural: str,
+    key_name: str,
+    published: DataFrame | None,
+    num_partitions: int | None = None,
+    rows_hint: int | None = None,
+    keep_gone: bool = True,
+) -> Keyed:
+    """``with_dense_key`` that leaves published keys alone: a member that ``published`` has keeps its key, new ones are
+    numbered after the highest, in order of ``natural``.
+
+    ``df`` has one row per ``natural`` (NULL is a member). Its other columns are the current ones; a published member that
+    ``df`` no longer has stays as it was (``keep_gone``), so that whatever was written with its key still resolves. The
+    result is checkpointed: it stays readable when the published table is replaced.
+    """
+    if published is None:
+        return with_dense_key(df, [natural], key_name, num_partitions, rows_hint)
+    own, known = df.alias("own"), published.alias("known")
+    same = F.col(f"own.`{natural}`").eqNullSafe(F.col(f"known.`{natural}`"))
+    columns = [key_name, *df.columns]
+    old = own.join(known.select(natural, key_name).alias("known"), same).select(f"known.{key_name}", *[f"own.{c}" for c in df.columns])
+    added = with_dense_key(own.join(known, same, "left_anti"), [natural], key_name, num_partitions)
+    most = published.agg(F.coalesce(F.max(key_name), F.lit(0))).first()[0]
+    rows = old.select(*columns).unionByName(added.df.withColumn(key_name, F.col(key_name) + F.lit(most)).select(*columns))
+    if keep_gone:
+        rows = rows.unionByName(known.join(own, same, "left_anti").select(*columns))
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = rows.checkpoint()
+    return Keyed(rows, rows.count())

@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from .. import schemas as S
 from ..operators.quality import enforce, quality_report
 from ..operators.cleaning import trim_columns
-from ..session import DEFAULT_TIME_ZONE, remove_path, scratch_path
-from ..sinks.writers import write_bronze, write_observed, write_silver, write_star
+from ..session import DEFAULT_TIME_ZONE, path_exists, remove_path, scratch_path
+from ..sinks.versions import settled
+from ..sinks.writers import STAR_TABLES, read_star, write_bronze, write_observed, write_silver, write_star
 from ..sources.layers import read_bronze, read_silver
 from .bronze import bronze_rows
+from .ledger import Ledger
 from .silver import SilverResult, clean, observed_counts
 from .star import DATE_GRAIN, build_star
 
@@ -56,13 +58,14 @@ def load_silver(spark: SparkSession, bronze_path: str, silver_path: str, quarant
     return totals
 
 
-def validate_silver(spark: SparkSession, silver_path: str, expected_rows: int | None) -> list[dict]:
+def validate_silver(spark: SparkSession, silver_path: str, expected_rows: int | None, ledger: Ledger | None = None) -> list[dict]:
     """The quality gate: raises ``QualityGateError`` (stopping the run before the star is
-    built) when any check fails; returns the check rows otherwise."""
+    built) when any check fails; returns the check rows otherwise. Without ``expected_rows`` the layer is held against the
+    valid ids that the ``ledger`` has as published."""
     df = read_silver(spark, silver_path)
+    expected = ledger.expected(spark) if ledger and expected_rows is None else expected_rows
     try:
-        rows = enforce(quality_report(df, "id_nfe", S.REQUIRED_FIELDS, S.POSITIVE_FIELDS, S.NON_NEGATIVE_FIELDS,
-                                      expected_rows))
+        rows = enforce(quality_report(df, "id_nfe", S.REQUIRED_FIELDS, S.POSITIVE_FIELDS, S.NON_NEGATIVE_FIELDS, expected))
     except Exception:
         log.error("quality gate failed for %s", silver_path)
         raise
@@ -71,10 +74,16 @@ def validate_silver(spark: SparkSession, silver_path: str, expected_rows: int |
 
 
 def load_gold(
-    spark: SparkSession, silver_path: str, gold_path: str, time_zone: str = DEFAULT_TIME_ZONE, grain: str = DATE_GRAIN
+    spark: SparkSession, silver_path: str, gold_path: str, time_zone: str = DEFAULT_TIME_ZONE, grain: str = DATE_GRAIN, renumber: bool = False
 ) -> dict[str, int]:
-    """Clean layer -> star tables under ``gold_path/<table>``; returns rows per table."""
-    star = build_star(read_silver(spark, silver_path), time_zone=time_zone, grain=grain)
+    """Clean layer -> star tables under ``gold_path/<table>``; returns rows per table.
+
+    Members that the tables there have keep their keys, unless ``renumber`` (or the timestamp grain, whose calendar can't
+    tell its members apart) asks for new ones.
+    """
+    there = grain == DATE_GRAIN and not renumber and all(path_exists(spark, settled(spark, f"{gold_path.rstrip('/')}/{t}")) for t in STAR_TABLES)
+    published = {t: k.df for t, k in read_star(spark, gold_path, dict.fromkeys(STAR_TABLES, 0)).items()} if there else None
+    star = build_star(read_silver(spark, silver_path), time_zone=time_zone, grain=grain, published=published)
     rows = write_star(star.tables(), gold_path)
     log.info("star schema: %s written to %s", rows, gold_path)
     return rows

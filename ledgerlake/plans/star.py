@@ -17,7 +17,7 @@ from ..functions.dates import calendar_parts, instant_local_date, local_date, pa
 from ..functions.lookup import lookup_join, state_attributes
 from ..operators.dedupe import distinct_values, latest_per_key
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_sized
-from ..operators.keys import Keyed, with_dense_key
+from ..operators.keys import Keyed, with_published_key
 from ..session import DEFAULT_TIME_ZONE
 
 DATE_GRAIN = "date"
@@ -54,8 +54,11 @@ class StarRoles:
 INVOICE_ROLES = StarRoles()
 
 
-def dim_emitente(silver: DataFrame, num_partitions: int | None = None, roles: StarRoles = INVOICE_ROLES) -> Keyed:
-    """One row per issuer CNPJ; when attributes differ, the latest invoice's win."""
+def dim_emitente(
+    silver: DataFrame, num_partitions: int | None = None, roles: StarRoles = INVOICE_ROLES, published: DataFrame | None = None
+) -> Keyed:
+    """One row per issuer CNPJ; when attributes differ, the latest invoice's win. ``published``: the dimension as it is,
+    whose keys stay (for all dimensions and the fact)."""
     src = roles.canonical(silver).select(
         F.col("cnpj_emitente").alias("cnpj"),
         F.col("nome_emitente").alias("nome"),
@@ -65,7 +68,7 @@ def dim_emitente(silver: DataFrame, num_partitions: int | None = None, roles: St
         F.col("id_nfe").alias("__id"),
     )
     latest = latest_per_key(src, ["cnpj"], ["__at", "__id"]).drop("__at", "__id")
-    keyed = with_dense_key(latest, ["cnpj"], "id_emitente", num_partitions)
+    keyed = with_published_key(latest, "cnpj", "id_emitente", published, num_partitions)
     return Keyed(keyed.df.select(*S.DIM_EMITENTE), keyed.rows)
 
 
@@ -75,6 +78,7 @@ def dim_data(
     grain: str = DATE_GRAIN,
     num_partitions: int | None = None,
     roles: StarRoles = INVOICE_ROLES,
+    published: DataFrame | None = None,
 ) -> Keyed:
     """Calendar rows of the issue dates: one per date, or one per issue instant with
     ``grain="timestamp"`` (several rows then share a date).
@@ -86,7 +90,11 @@ def dim_data(
     """
     src = roles.canonical(silver).select(natural_date_key("data_emissao", time_zone, grain).alias("__k"))
     src = distinct_values(src, ["__k"])
-    keyed = with_dense_key(src, ["__k"], "id_data", num_partitions)
+    if published is not None:
+        if grain != DATE_GRAIN:
+            raise ValueError("the published calendar has no instants: its keys can be kept at the date grain only")
+        published = published.select("id_data", F.col("data").alias("__k"))
+    keyed = with_published_key(src, "__k", "id_data", published, num_partitions)
     day = instant_local_date("__k", time_zone) if grain == TIMESTAMP_GRAIN else F.to_date("__k")
     parts = calendar_parts(day)
     table = keyed.df.select("id_data", *[parts[c].alias(c) for c in S.DIM_DATA[1:]])
@@ -107,6 +115,7 @@ def dim_localidade(
     num_partitions: int | None = None,
     lookup: DataFrame | None = None,
     roles: StarRoles = INVOICE_ROLES,
+    published: DataFrame | None = None,
 ) -> Keyed:
     """One row per UF code with region and state name; unknown or NULL UF -> the unknown label.
 
@@ -119,7 +128,7 @@ def dim_localidade(
     else:
         table = lookup.select(F.col("uf").alias("__key"), "regiao", "estado_completo")
         attrs = lookup_join(ufs, "uf", table, "__key", ["regiao", "estado_completo"])
-    keyed = with_dense_key(attrs, ["uf"], "id_localidade", num_partitions)
+    keyed = with_published_key(attrs, "uf", "id_localidade", published, num_partitions)
     return Keyed(keyed.df.select(*S.DIM_LOCALIDADE), keyed.rows)
 
 
@@ -134,6 +143,7 @@ def fato_vendas(
     expected_rows: int | None = None,
     grain: str = DATE_GRAIN,
     roles: StarRoles = INVOICE_ROLES,
+    published: DataFrame | None = None,
 ) -> Keyed:
     """One row per invoice with the three dimension keys and rounded amounts.
 
@@ -162,7 +172,7 @@ def fato_vendas(
         F.round("valor_produtos", 2).alias("valor_produtos"),
         F.round("valor_desconto", 2).alias("valor_desconto"),
     )
-    keyed = with_dense_key(f, ["id_nfe"], "id_venda", num_partitions, rows_hint=expected_rows)
+    keyed = with_published_key(f, "id_nfe", "id_venda", published, num_partitions, expected_rows, keep_gone=False)
     if expected_rows is not None and keyed.rows != expected_rows:
         raise AssertionError(f"fact has {keyed.rows} rows for {expected_rows} invoices")
     return Keyed(keyed.df.select(*S.FATO_VENDAS), keyed.rows)
@@ -197,16 +207,19 @@ def build_star(
     check_rows: bool = True,
     location_lookup: DataFrame | None = None,
     roles: StarRoles = INVOICE_ROLES,
+    published: dict[str, DataFrame] | None = None,
 ) -> Star:
     """Clean layer -> the four star tables (each materialised once in the shared folder).
 
-    ``roles`` names the clean-layer columns when they are not the invoice ones.
+    ``roles`` names the clean-layer columns when they are not the invoice ones. ``published``: the star's tables as they
+    were written last; members that they have keep their keys.
     """
-    e = dim_emitente(silver, num_partitions, roles)
-    d = dim_data(silver, time_zone, grain, num_partitions, roles)
-    loc = dim_localidade(silver, num_partitions, location_lookup, roles)
+    was = published or {}
+    e = dim_emitente(silver, num_partitions, roles, was.get("dim_emitente"))
+    d = dim_data(silver, time_zone, grain, num_partitions, roles, was.get("dim_data"))
+    loc = dim_localidade(silver, num_partitions, location_lookup, roles, was.get("dim_localidade"))
     expected = silver.count() if check_rows else None
-    f = fato_vendas(silver, e, d, loc, time_zone, max_broadcast_rows, num_partitions, expected, grain, roles)
+    f = fato_vendas(silver, e, d, loc, time_zone, max_broadcast_rows, num_partitions, expected, grain, roles, was.get("fato_vendas"))
     return Star(e, d, loc, f)
 
 

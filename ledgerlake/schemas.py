@@ -39,7 +39,7 @@ INVOICE_WITH_ITEMS = StructType(
     _strings(*HEADER_FIELDS) + [StructField("itens", ArrayType(ITEM), True)] + _strings("arquivo_origem")
 )
 
-# Invoice XML (NF-e layout): the elements read, attributes prefixed "_".
+# Invoice XML (NF-e layout) as the lot writer has it: attributes prefixed "_".
 _PROD = StructType(_strings("cProd", "xProd", "NCM", "CFOP", "uCom", "qCom", "vUnCom", "vProd"))
 INF_NFE = StructType(
     [
@@ -61,14 +61,6 @@ INF_NFE = StructType(
         StructField("total", StructType([StructField("ICMSTot", StructType(_strings("vProd", "vDesc", "vNF")), True)]), True),
     ]
 )
-CORRUPT_COLUMN = "_corrupt_record"
-INVOICE_DOCUMENT = StructType(
-    [
-        StructField("NFe", StructType([StructField("infNFe", INF_NFE, True)]), True),
-        StructField(CORRUPT_COLUMN, StringType(), True),
-    ]
-)
-
 # ---- messages and raw layer ---------------------------------------------------
 KAFKA_RECORD = StructType(
     [

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 DEFAULT_TIME_ZONE = "America/Sao_Paulo"
@@ -53,6 +55,11 @@ def build_session(
     return spark
 
 
+def ship(package: str) -> None:
+    """Functions of ``package`` travel to the executors with the job: nothing has to be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[package])
+
+
 def _is_local(spark: SparkSession) -> bool:
     return (spark.conf.get("spark.master", "") or "").startswith("local")
 

@@ -218,7 +218,7 @@ def run_incremental_silver_from_messages(
 ) -> dict:
     """The same over a message folder with the topic's record layout (what the ingest
     stage writes when no broker is available)."""
-    reader = spark.readStream.schema(S.KAFKA_RECORD)
+    reader = spark.readStream.schema(S.KAFKA_RECORD).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return _run_available(bronze_rows(reader.parquet(message_dir)), silver_path, checkpoint_path, keep_for)

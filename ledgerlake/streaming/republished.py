@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..plans.silver import INVOICE_RULES, REASON, SilverRules, tag_rejects, typed_rows
+from ..session import ship
+
+ship("ledgerlake.streaming")
 
 DROPPED, HELD = "_dropped", "_held"
 BUCKETS = 256  # of the state, for the life of a checkpoint
