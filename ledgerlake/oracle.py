@@ -115,6 +115,15 @@ FROM silver s
 GROUP BY 1, 2
 ORDER BY ano, mes"""
 
+# the gate's other checks, counted on the clean rows
+_BAD = "valor_total_nf <= 0 OR valor_produtos <= 0 OR valor_desconto < 0"
+_NO_AMOUNT = "valor_total_nf IS NULL OR valor_produtos IS NULL OR valor_desconto IS NULL"
+_NOT_GIVEN = "id_nfe IS NULL OR cnpj_emitente IS NULL OR valor_total_nf IS NULL OR data_emissao IS NULL"
+GATE_VALUES = "\nUNION ALL ".join(
+    f"SELECT '{name}', COUNT(*) FILTER (WHERE {rule}), CAST(0 AS BIGINT), COUNT(*) FILTER (WHERE {rule}) = 0 FROM silver"
+    for name, rule in (("invalid_values", _BAD), ("null_amounts", _NO_AMOUNT), ("null_required", _NOT_GIVEN))
+)
+
 ORACLE: dict[str, str] = {
     "silver_layer": f"WITH {INVOICES} SELECT {_SILVER_COLS} FROM silver",
     "reject_counts": f"""WITH {INVOICES},
@@ -134,9 +143,7 @@ SELECT 'row_count' AS "check", CAST(n AS BIGINT) AS observed,
        (SELECT CAST(COUNT(DISTINCT o_orderkey) AS BIGINT) FROM orders) AS expected,
        n = (SELECT COUNT(DISTINCT o_orderkey) FROM orders) AS passed FROM c
 UNION ALL SELECT 'duplicate_keys', CAST(n - k AS BIGINT), CAST(0 AS BIGINT), n = k FROM c
-UNION ALL SELECT 'invalid_values', CAST(0 AS BIGINT), CAST(0 AS BIGINT), true FROM c
-UNION ALL SELECT 'null_amounts', CAST(0 AS BIGINT), CAST(0 AS BIGINT), true FROM c
-UNION ALL SELECT 'null_required', CAST(0 AS BIGINT), CAST(0 AS BIGINT), true FROM c""",
+UNION ALL {GATE_VALUES}""",
     "dim_emitter": f"WITH {INVOICES}, {DIMS} SELECT * FROM dim_e",
     "dim_date": f"WITH {INVOICES}, {DIMS} SELECT * FROM dim_d",
     "dim_location": f"WITH {INVOICES}, {DIMS} SELECT * FROM dim_l",
@@ -273,3 +280,67 @@ SELECT 'input' AS stage, CAST({PUBLICATIONS} * n AS BIGINT) AS rows FROM c
 UNION ALL SELECT 'dropped', CAST(({PUBLICATIONS} - 1) * ok AS BIGINT) FROM c
 UNION ALL SELECT 'ids', CAST(ok AS BIGINT) FROM c
 UNION ALL SELECT 'held', CAST(ok AS BIGINT) FROM c"""
+
+ORACLE["xml_directory_stream"] = ORACLE["xml_header"]
+ORACLE["gate_against_ledger"] = f"""WITH {INVOICES},
+c AS (SELECT COUNT(*) AS n, COUNT(DISTINCT id_nfe) AS k FROM silver),
+p AS (SELECT COUNT(DISTINCT id_nfe) AS e FROM typed WHERE NOT ({_NOT_GIVEN.replace("valor_total_nf", "vt_d")})
+        AND vt_d > 0 AND vp_d > 0 AND vd_d >= 0)
+SELECT 'row_count' AS "check", CAST(n AS BIGINT) AS observed, CAST(e AS BIGINT) AS expected, n = e AS passed FROM c, p
+UNION ALL SELECT 'duplicate_keys', CAST(n - k AS BIGINT), CAST(0 AS BIGINT), n = k FROM c
+UNION ALL {GATE_VALUES}"""
+ORACLE["gate_on_orders"] = """
+WITH a AS (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS v FROM lineitem GROUP BY 1),
+o AS (SELECT o_custkey, a.v, c.c_acctbal AS b FROM orders LEFT JOIN a ON a.l_orderkey = o_orderkey LEFT JOIN customer c ON c.c_custkey = o_custkey),
+t AS (SELECT 'row_count' AS "check", COUNT(*) AS observed, (SELECT COUNT(*) FROM customer) AS expected FROM o
+  UNION ALL SELECT 'duplicate_keys', COUNT(*) - COUNT(DISTINCT o_custkey), 0 FROM o
+  UNION ALL SELECT 'invalid_values', COUNT(*) FILTER (WHERE b <= 0 OR v < 0), 0 FROM o
+  UNION ALL SELECT 'null_amounts', COUNT(*) FILTER (WHERE b IS NULL OR v IS NULL), 0 FROM o
+  UNION ALL SELECT 'null_required', COUNT(*) FILTER (WHERE v IS NULL), 0 FROM o)
+SELECT "check", CAST(observed AS BIGINT) AS observed, CAST(expected AS BIGINT) AS expected, observed = expected AS passed FROM t"""
+ORACLE["item_text_rules"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'A' THEN l_linestatus || chr(9) ELSE l_linestatus END AS codigo,
+       CASE WHEN l_returnflag <> 'R' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) END AS valor,
+       ROUND(CAST(l_quantity AS DOUBLE) / 8, 2) AS oitavos
+FROM lineitem"""
+
+# items: whole cents of each share, the cents left over to the largest remainders
+_ITEMS = f"""
+lines AS (
+  SELECT l.*, s.id_nfe, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS HUGEINT) AS p,
+         CAST(CAST(s.valor_desconto AS DECIMAL(18,2)) * 100 AS HUGEINT) AS d, CAST(s.valor_total_nf AS DECIMAL(18,2)) AS total,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                            l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS posicao
+  FROM lineitem l JOIN silver s ON s.o_orderkey = l.l_orderkey),
+shares AS (
+  SELECT *, (d * p) // SUM(p) OVER o AS whole, (d * p) % SUM(p) OVER o AS rest FROM lines WINDOW o AS (PARTITION BY l_orderkey)),
+spread AS (
+  SELECT *, whole + CASE WHEN row_number() OVER (PARTITION BY l_orderkey ORDER BY rest DESC, posicao)
+                              <= d - SUM(whole) OVER (PARTITION BY l_orderkey) THEN 1 ELSE 0 END AS cut
+  FROM shares)"""
+ORACLE["fact_items"] = f"""WITH {INVOICES}, {DIMS}, {_ITEMS}
+SELECT CAST(row_number() OVER (ORDER BY i.id_nfe, posicao) AS BIGINT) AS id_item, i.id_nfe, CAST(posicao AS INTEGER) AS posicao,
+       f.id_venda, f.id_emitente, f.id_data, f.id_localidade, CAST(l_linenumber AS VARCHAR) AS numero_item,
+       CAST(l_partkey AS VARCHAR) AS codigo, CAST(CAST(l_quantity AS DECIMAL(18,4)) AS DOUBLE) AS quantidade,
+       CAST(p AS DOUBLE) / 100 AS valor_item, CAST(cut AS DOUBLE) / 100 AS valor_desconto, CAST(p - cut AS DOUBLE) / 100 AS valor_liquido
+FROM spread i JOIN fact f ON f.id_nfe = i.id_nfe"""
+ORACLE["items_against_totals"] = f"""WITH {INVOICES}, {_ITEMS}
+SELECT id_nfe, CAST(SUM(p) AS BIGINT) AS itens_centavos, CAST(SUM(cut) AS BIGINT) AS desconto_centavos,
+       CAST(MAX(total) * 100 AS BIGINT) AS total_centavos, SUM(cut) = MAX(d) AS desconto_confere,
+       SUM(p) - SUM(cut) = CAST(MAX(total) * 100 AS BIGINT) AS total_confere
+FROM spread GROUP BY id_nfe"""
+
+# members of the first load are numbered first
+_EARLY = "early AS (SELECT * FROM silver WHERE natureza_operacao = '1-URGENT')"
+_DIMS_TWO = (
+    DIMS.replace("row_number() OVER (ORDER BY cnpj)", "row_number() OVER (ORDER BY cnpj NOT IN (SELECT cnpj_emitente FROM early), cnpj)")
+    .replace("row_number() OVER (ORDER BY d NULLS FIRST)",
+             "row_number() OVER (ORDER BY NOT EXISTS (SELECT 1 FROM early e WHERE CAST(e.issue_ts AS DATE) IS NOT DISTINCT FROM x.d), d NULLS FIRST)")
+    .replace("(SELECT DISTINCT CAST(issue_ts AS DATE) AS d FROM silver))", "(SELECT DISTINCT CAST(issue_ts AS DATE) AS d FROM silver) x)")
+    .replace("row_number() OVER (ORDER BY u.uf NULLS FIRST)",
+             "row_number() OVER (ORDER BY NOT EXISTS (SELECT 1 FROM early e WHERE e.uf_emitente IS NOT DISTINCT FROM u.uf), u.uf NULLS FIRST)")
+    .replace("row_number() OVER (ORDER BY s.id_nfe, d.id_data NULLS FIRST)",
+             "row_number() OVER (ORDER BY s.natureza_operacao <> '1-URGENT', s.id_nfe)")
+)
+ORACLE["dim_emitter_two_loads"] = f"WITH {INVOICES}, {_EARLY}, {_DIMS_TWO} SELECT * FROM dim_e"
+ORACLE["fact_sales_two_loads"] = f"WITH {INVOICES}, {_EARLY}, {_DIMS_TWO} SELECT * FROM fact"

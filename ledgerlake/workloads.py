@@ -25,12 +25,15 @@ from .functions.lookup import state_attributes
 from .functions.money import as_double, money_text, rounded_mean, to_money
 from .operators.cleaning import cast_double, extract_fields, filter_required, filter_values, trim_columns
 from .operators.dedupe import latest_per_key
+from .operators.joins import skew_safe_join
 from .operators.keys import Keyed
 from .operators.partitioning import ensure_parallelism
 from .operators.quality import enforce, quality_report
 from .plans import analytics
-from .plans.ingest import ingest_documents, read_message_dir
+from .plans.ingest import ingest_documents, ingest_new_documents, read_message_dir
+from .plans.items import fact_items
 from .plans.layers import load_bronze, load_gold, load_silver, validate_silver
+from .plans.ledger import Ledger
 from .plans.silver import REASON, SilverResult, clean, typed_rows
 from .plans.star import Star, build_star, timestamp_grain_fact_rows
 from .session import app_id, scratch_path
@@ -40,10 +43,11 @@ from .sinks.xml import (
     invoice_body,
     invoice_document,
     unterminated_document,
+    write_document_files,
     write_documents,
 )
 from .sources.layers import read_bronze, read_silver
-from .sources.tables import invoice_id, invoice_messages, invoice_records, issuers, read_table
+from .sources.tables import invoice_id, invoice_messages, invoice_records, issuers, order_amounts, read_table
 from .sources.xml import parse_documents, parse_records, read_document_records
 from .streaming.incremental import batch_totals, read_rejects, run_incremental_silver, stream_reject_counts
 
@@ -476,6 +480,145 @@ def q_sales_by_state_from_documents(spark: SparkSession, sf_dir: str) -> DataFra
     return analytics.sales_by_state(g["fato_vendas"], g["dim_localidade"])
 
 
+# ---- documents one file each, read as they come -----------------------------------------------------
+def directory_messages(spark: SparkSession, sf_dir: str) -> str:
+    """One file per order, dropped in two goes (by the order's status); the ingest runs after each and reads only the new files."""
+
+    def build():
+        base = scratch_path(spark, "directory")
+        rec = _records16(spark, sf_dir)
+        first = F.col("serie") == "F"
+        for drop in (rec.filter(first), rec.filter(~first)):
+            write_document_files(drop.select(invoice_document().alias("value"), "arquivo_origem"), f"{base}/xml")
+            ingest_new_documents(spark, f"{base}/xml", f"{base}/checkpoint", message_dir=f"{base}/messages")
+        return f"{base}/messages"
+
+    return _memo(spark, sf_dir, "directory_messages", build)
+
+
+def q_xml_directory_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = read_message_dir(spark, directory_messages(spark, sf_dir)).select(F.col("value").cast("string").alias("payload"))
+    return extract_fields(messages, "payload", S.INVOICE_FIELDS)
+
+
+def q_gate_against_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over the clean layer, held against the valid ids that the publication noted."""
+
+    def build():
+        ledger = Ledger(scratch_path(spark, "ledger"))
+        for run in ("first", "second"):  # the publication is repeated
+            ledger.add_published(_records16(spark, sf_dir), run)
+        return ledger
+
+    ledger = _memo(spark, sf_dir, "ledger", build)
+    return quality_report(
+        silver(spark, sf_dir), "id_nfe", S.REQUIRED_FIELDS, S.POSITIVE_FIELDS, S.NON_NEGATIVE_FIELDS, expected_rows=ledger.expected(spark)
+    )
+
+
+# ---- item grain ---------------------------------------------------------------------------------------
+def item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoices published with their items, as landed; the items of an order make one document, in the order of their columns."""
+
+    def build():
+        li = read_table(spark, sf_dir, "lineitem")
+        item = F.struct(*[F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")])
+        of_order = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("lines"))
+        nothing = F.lit(None).cast("string")
+        items = F.transform(
+            "lines",
+            lambda i: F.struct(
+                i["l_linenumber"].cast("string").alias("numero_item"), i["l_partkey"].cast("string").alias("codigo"),
+                nothing.alias("descricao"), i["l_suppkey"].cast("string").alias("ncm"), i["l_linestatus"].alias("cfop"),
+                i["l_returnflag"].alias("unidade"), i["l_quantity"].cast("decimal(18,4)").cast("string").alias("quantidade"),
+                nothing.alias("valor_unitario"), i["l_extendedprice"].cast("decimal(18,2)").cast("string").alias("valor_total_item"),
+            ),
+        )
+        rec = records(spark, sf_dir)
+        whole = rec.join(of_order, rec["o_orderkey"] == of_order["l_orderkey"], "left").withColumn("itens", items)
+        fields = S.INVOICE_WITH_ITEMS.fieldNames()
+        path = scratch_path(spark, "item_messages")
+        messages = whole.select("o_orderkey", record_json(*fields).alias("payload")).withColumn("run", F.explode(F.array(F.lit(0), F.lit(1))))
+        landed = messages.select(
+            "payload", F.lit(0).alias("partition"), (F.col("o_orderkey") * 2 + F.col("run")).alias("offset"),
+            (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_interval(hours=F.col("run"))).alias("timestamp"),
+        )
+        write_observed(landed, path, "json", compression="gzip")
+        return path
+
+    return read_bronze(spark, _memo(spark, sf_dir, "item_messages", build))
+
+
+def item_fact(spark: SparkSession, sf_dir: str) -> Keyed:
+    return _memo(spark, sf_dir, "fact_items", lambda: fact_items(item_messages(spark, sf_dir), star(spark, sf_dir).fato_vendas.df))
+
+
+def q_fact_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return item_fact(spark, sf_dir).df
+
+
+def q_items_against_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per invoice: its items net of discount against the header's total, in cents."""
+    cents = lambda c: F.round(F.col(c).cast("decimal(20,2)") * 100, 0).cast("long")
+    items = item_fact(spark, sf_dir).df.groupBy("id_nfe").agg(
+        F.sum(cents("valor_item")).alias("itens_centavos"), F.sum(cents("valor_desconto")).alias("desconto_centavos")
+    )
+    heads = silver(spark, sf_dir).select("id_nfe", cents("valor_desconto").alias("_discount"), cents("valor_total_nf").alias("total_centavos"))
+    return heads.join(items, "id_nfe").select(
+        "id_nfe", "itens_centavos", "desconto_centavos", "total_centavos", (F.col("desconto_centavos") == F.col("_discount")).alias("desconto_confere"),
+        (F.col("itens_centavos") - F.col("desconto_centavos") == F.col("total_centavos")).alias("total_confere"),
+    )
+
+
+# ---- two loads of the star: published keys stay --------------------------------------------------------
+def two_loads(spark: SparkSession, sf_dir: str) -> dict[str, Keyed]:
+    """The star over the urgent invoices, and then over all of them with the first one's keys, through the gold folders."""
+
+    def build():
+        base = scratch_path(spark, "two_loads")
+        s = silver(spark, sf_dir)
+        write_silver(s.filter(F.col("natureza_operacao") == "1-URGENT"), f"{base}/silver")
+        load_gold(spark, f"{base}/silver", f"{base}/gold")
+        write_silver(s, f"{base}/silver")
+        return read_star(spark, f"{base}/gold", load_gold(spark, f"{base}/silver", f"{base}/gold"))
+
+    return _memo(spark, sf_dir, "two_loads", build)
+
+
+def q_dim_emitter_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return two_loads(spark, sf_dir)["dim_emitente"].df
+
+
+def q_fact_sales_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return two_loads(spark, sf_dir)["fato_vendas"].df
+
+
+# ---- rules on rows that break them ----------------------------------------------------------------------
+def q_gate_on_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five checks over orders as they come: keyed by customer (repeated), products missing where an order has no
+    items, balances of zero and below."""
+    amounts = order_amounts(read_table(spark, sf_dir, "lineitem"))
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("saldo"))
+    o = o.join(amounts, o["o_orderkey"] == amounts["l_orderkey"], "left")
+    o = skew_safe_join(o, c, o["o_custkey"] == c["c_custkey"], "left").select("o_custkey", F.col("vp").cast("double").alias("valor"), "saldo")
+    expected = read_table(spark, sf_dir, "customer").agg(F.count(F.lit(1)).alias("expected"))
+    return quality_report(o, "o_custkey", ["valor"], ["saldo"], ["valor"], expected_rows=expected)
+
+
+def q_item_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of items read from JSON, trimmed, cast and rounded: padded codes (a tab stays), amounts of returned items
+    marked so that they are no numbers, eighths that round at the half cent."""
+    li = read_table(spark, sf_dir, "lineitem")
+    pad = F.concat(F.lit("  "), F.col("l_linestatus"), F.when(F.col("l_returnflag") == "A", F.lit("\t")).otherwise(F.lit(" ")), F.lit(" "))
+    amount = F.concat(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), F.when(F.col("l_returnflag") == "R", F.lit(" R")).otherwise(F.lit("")))
+    eighths = (F.col("l_quantity") / 8).cast("double").cast("string")
+    payload = record_json(pad.alias("codigo"), amount.alias("valor"), eighths.alias("oitavos"))
+    keyed = li.select("l_orderkey", "l_linenumber", "l_partkey", payload.alias("payload"))
+    fields = extract_fields(keyed, "payload", ["codigo", "valor", "oitavos"], keep=["l_orderkey", "l_linenumber", "l_partkey"])
+    return trim_columns(cast_double(fields, ["valor", "oitavos"]), ["codigo"]).withColumn("oitavos", F.round("oitavos", 2))
+
+
 # ---- registry (order: raw, clean, gate, star, questions, documents, operators, extras) -------------
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_layer": q_bronze_layer,
@@ -520,4 +663,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_by_state_from_documents": q_sales_by_state_from_documents,
     "parquet_roundtrip": q_parquet_roundtrip,
     "json_roundtrip": q_json_roundtrip,
+    "xml_directory_stream": q_xml_directory_stream,
+    "gate_against_ledger": q_gate_against_ledger,
+    "fact_items": q_fact_items,
+    "items_against_totals": q_items_against_totals,
+    "dim_emitter_two_loads": q_dim_emitter_two_loads,
+    "fact_sales_two_loads": q_fact_sales_two_loads,
+    "gate_on_orders": q_gate_on_orders,
+    "item_text_rules": q_item_text_rules,
 }
