@@ -1,0 +1,159 @@
+"""Discounts spread over items, keys that stay, the ledger behind the gate, folders read once."""
+
+import json
+import os
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from ledgerlake import schemas as S
+from ledgerlake.cli import main
+from ledgerlake.operators.keys import with_published_key
+from ledgerlake.operators.quality import QualityGateError
+from ledgerlake.plans.ingest import ingest_documents, ingest_new_documents, read_message_dir
+from ledgerlake.plans.items import invoice_items, spread_discount
+from ledgerlake.plans.layers import load_bronze, load_gold, load_silver, validate_silver
+from ledgerlake.plans.ledger import Ledger
+from ledgerlake.sinks.messages import publish
+from ledgerlake.sinks.writers import read_star, write_silver
+from ledgerlake.sinks.xml import invoice_document, write_document_files
+from ledgerlake.sources.layers import read_silver
+from tests.helpers import bronze_df, invoice, records_df, silver_df
+
+
+def by_hand(amounts, discount):
+    """Whole cents of each share, then one more for the largest remainders."""
+    weights = [max(a or 0, 0) for a in amounts]
+    total = sum(weights)
+    if not total:
+        weights, total = [1] * len(amounts), len(amounts)
+    cut = [discount * w // total for w in weights]
+    rest = sorted(range(len(weights)), key=lambda i: (-(discount * weights[i] % total), i))
+    for i in rest[: discount - sum(cut)]:
+        cut[i] += 1
+    return cut
+
+
+_cents = st.one_of(st.none(), st.integers(-5, 40), st.integers(0, 10**9), st.just(10**15))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 10**10), st.lists(_cents, min_size=1, max_size=9)), min_size=1, max_size=12))
+def test_discounts_are_spread_to_the_cent(spark, invoices):
+    rows = []
+    for k, (discount, amounts) in enumerate(invoices):
+        text = lambda c: None if c is None else f"{'-' if c < 0 else ''}{abs(c) // 100}.{abs(c) % 100:02d}"
+        rows += [(f"n{k}", i + 1, text(a), discount / 100) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(rows, "id_nfe string, posicao int, valor string, desconto double")
+    got = spread_discount(df, "id_nfe", "valor", "desconto").orderBy("id_nfe", "posicao").collect()
+    for k, (discount, amounts) in enumerate(invoices):
+        assert [int(r.desconto_centavos) for r in got if r.id_nfe == f"n{k}"] == by_hand(amounts, discount)
+
+
+def test_items_are_those_of_the_surviving_copy(spark):
+    item = lambda n, v: {c: None for c in S.ITEM_FIELDS} | {"numero_item": str(n), "valor_total_item": v}
+    payloads = [
+        invoice(id_nfe="a", itens=[item(1, "1.00"), item(2, "2.00")]),
+        invoice(id_nfe="a", itens=[item(1, "7.00")]),  # a later copy
+        invoice(id_nfe="b", itens=[]),
+        invoice(id_nfe="c"),
+        invoice(id_nfe="d", valor_total_nf="0", itens=[item(1, "1.00")]),  # rejected
+        invoice(id_nfe="e", itens=[item(2, "3.00"), item(1, "x")]),
+    ]
+    got = invoice_items(bronze_df(spark, payloads)).orderBy("id_nfe", "posicao").collect()
+    assert [(r.id_nfe, r.posicao, r.numero_item, r.valor_total_item) for r in got] == [
+        ("a", 1, "1", "7.00"), ("e", 1, "2", "3.00"), ("e", 2, "1", "x"),
+    ]
+
+
+def test_published_keys_stay(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "cnpj string, nome string")
+    first = with_published_key(frame([("b", "B"), ("d", "D"), (None, "?")]), "cnpj", "id", None)
+    assert sorted(first.df.collect(), key=repr) and {r.cnpj: r.id for r in first.df.collect()} == {None: 1, "b": 2, "d": 3}
+    rng = random.Random(1)
+    known, keyed = {None: 1, "b": 2, "d": 3}, first
+    for step in range(3):
+        members = rng.sample([None, "a", "b", "c", "d", "e", "f", "g"], 5)
+        keyed = with_published_key(frame([(m, f"{m}{step}") for m in members]), "cnpj", "id", keyed.df)
+        most = max(known.values())
+        for i, m in enumerate(sorted((m for m in members if m not in known), key=lambda m: (m is not None, m))):
+            known[m] = most + 1 + i
+        got = keyed.df.collect()
+        assert {r.cnpj: r.id for r in got} == known and len(got) == keyed.rows == len(known)
+        assert all(r.nome == f"{r.cnpj}{step}" for r in got if r.cnpj in members)
+    gone = with_published_key(frame([("z", "Z")]), "cnpj", "id", first.df, keep_gone=False)
+    assert [(r.id, r.cnpj) for r in gone.df.collect()] == [(4, "z")]
+
+
+def test_two_loads_of_the_star(spark, tmp_dir):
+    inv = lambda i, cnpj, uf, day: dict(id_nfe=i, cnpj_emitente=cnpj, uf_emitente=uf, data_emissao=f"2021-03-{day}T10:00:00-03:00")
+    first = [inv("n2", "c5", "SP", "05"), inv("n4", "c7", None, "07")]
+    silver, gold = f"{tmp_dir}/silver", f"{tmp_dir}/gold"
+    write_silver(silver_df(spark, [invoice(**r) for r in first]), silver)
+    load_gold(spark, silver, gold)
+    before = {t: sorted(map(tuple, k.df.collect()), key=repr) for t, k in read_star(spark, gold).items()}
+    write_silver(silver_df(spark, [invoice(**r) for r in [*first, inv("n1", "c1", "AC", "01"), inv("n3", "c5", "SP", "09")]]), silver)
+    assert load_gold(spark, silver, gold) == {"dim_emitente": 3, "dim_data": 4, "dim_localidade": 3, "fato_vendas": 4}
+    after = {t: k.df.collect() for t, k in read_star(spark, gold).items()}
+    for t, rows in before.items():
+        assert set(rows) <= set(map(tuple, after[t]))  # keys and facts of the first load as they were
+    assert {r.cnpj: r.id_emitente for r in after["dim_emitente"]} == {"c5": 1, "c7": 2, "c1": 3}
+    assert {r.id_nfe: (r.id_venda, r.id_emitente) for r in after["fato_vendas"]} == {"n2": (1, 1), "n4": (2, 2), "n1": (3, 3), "n3": (4, 1)}
+    load_gold(spark, silver, gold, renumber=True)
+    assert {r.cnpj: r.id_emitente for r in read_star(spark, gold)["dim_emitente"].df.collect()} == {"c1": 1, "c5": 2, "c7": 3}
+
+
+def documents(spark, ids, **over):
+    return records_df(spark, [invoice(id_nfe=i, arquivo_origem=f"{i}.xml", **over) for i in ids]).select(invoice_document().alias("value"), "arquivo_origem")
+
+
+def test_a_lost_message_fails_the_gate(spark, tmp_dir):
+    ledger = Ledger(f"{tmp_dir}/ledger")
+    assert write_document_files(documents(spark, ["a", "b", "c"]), f"{tmp_dir}/xml") == 3
+    write_document_files(documents(spark, ["bad"], valor_total_nf="0"), f"{tmp_dir}/xml")
+    for run in ("r1", "r2", "r2"):  # published twice, and a stage repeated
+        ingest_documents(spark, f"{tmp_dir}/xml", message_dir=f"{tmp_dir}/m/{run}", ledger=ledger, run=run)
+    assert {r.run: r.totals for r in ledger.totals(spark).collect()} == {r: {"published": 4, "errors": 0, "valid_ids": 3} for r in ("r1", "r2")}
+    messages = read_message_dir(spark, f"{tmp_dir}/m")
+    load_bronze(messages, f"{tmp_dir}/bronze")
+    load_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver")
+    assert all(r["passed"] for r in validate_silver(spark, f"{tmp_dir}/silver", None, ledger))
+
+    load_bronze(messages.filter("cast(key as string) <> 'b'"), f"{tmp_dir}/bronze")  # lost on the way
+    load_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver")
+    with pytest.raises(QualityGateError, match="row_count: observed 2, expected 3"):
+        validate_silver(spark, f"{tmp_dir}/silver", None, ledger)
+    assert [r.id_nfe for r in ledger.lost(spark, read_silver(spark, f"{tmp_dir}/silver")).collect()] == ["b"]
+    assert main(["validate", "--silver", f"{tmp_dir}/silver", "--ledger", f"{tmp_dir}/ledger"], spark=spark) == 1
+    assert Ledger(f"{tmp_dir}/none").expected(spark).first().expected == 0
+
+
+def test_only_new_files_are_read(spark, tmp_dir, capsys):
+    xml, m, ck = f"{tmp_dir}/xml", f"{tmp_dir}/m", f"{tmp_dir}/ck"
+    write_document_files(documents(spark, ["a", "b"]), xml)
+    with open(f"{xml}/broken.xml", "w") as fh:
+        fh.write("<nfeProc>")
+    assert ingest_new_documents(spark, xml, ck, message_dir=m, errors_dir=f"{tmp_dir}/e") == {"batches": 1, "published": 2, "errors": 1}
+    assert ingest_new_documents(spark, xml, ck, message_dir=m) == {"batches": 0, "published": 0, "errors": 0}
+    write_document_files(documents(spark, ["c"]), xml)
+    args = ["ingest", "--xml-dir", xml, "--message-dir", m, "--checkpoint", ck, "--ledger", f"{tmp_dir}/l"]
+    assert main(args, spark=spark) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["published"] == 1
+    got = read_message_dir(spark, m).selectExpr("get_json_object(cast(value as string), '$.arquivo_origem') AS f").collect()
+    assert sorted(r.f for r in got) == ["a.xml", "b.xml", "c.xml"]
+    assert sorted(os.listdir(xml)) == ["a.xml", "b.xml", "broken.xml", "c.xml"]
+
+
+def test_published_messages_are_counted(spark, tmp_dir):
+    path = f"{tmp_dir}/topic"
+    from ledgerlake.sinks import messages as M
+
+    old = M.publication_options
+    M.publication_options = lambda brokers, topic: {"path": path}
+    try:
+        assert publish(records_df(spark, [invoice(id_nfe=i) for i in "abc"]), "b", "t", fmt="parquet") == 3
+    finally:
+        M.publication_options = old
+    assert spark.read.parquet(path).count() == 3
