@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +51,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups of rows that come sorted by ``key``: no group is cut by the end of a batch (runs inside tasks)."""
+    rest: list[pa.Table] = []
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        of = t.column(key).to_numpy()
+        if not len(of):
+            continue
+        if rest and rest[0].column(key)[0].as_py() == of[-1]:  # one long group goes on
+            rest.append(t)
+            continue
+        first = int(np.argmax(of == of[-1]))
+        if rest or first:
+            yield pa.concat_tables([*rest, t.slice(0, first)])
+        rest = [t.slice(first)]
+    if rest:
+        yield pa.concat_tables(rest)
+
+
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import HOT_SHARE, attach, checkpointed, table, text_of, whole_rows, written
+from ledgerlake.llm.common import HOT_SHARE, attach, checkpointed, table, text_of, whole_groups, whole_rows, written
 from ledgerlake.llm.components import components
 from ledgerlake.llm.hashing import blocks, lists, mix, shingle_sets, views
 from ledgerlake.operators.joins import join_sized
@@ -19,7 +19,8 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 80, 100  # linked when DENOMINATOR * intersection >= NUMERATOR * union
 SKETCH = 1 << 16
 BITS = 1024  # of the bitmap of a small set; larger sets have the next power of two above their size
-TILE = 512
+TILE = 2048
+BAND = 1.26  # ratio of the sizes of a band, a little above 1 / 0.8: linked sets are in one band or in neighbouring ones
 HUB_ROUNDS = 2
 
 
@@ -110,57 +111,48 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a tile, of different components and near sizes, that the bit counts don't exclude.
-
-    Rows come sorted by tile. |A ^ B| is at least the number of bits in which the bitmaps differ, so
-    (|A| + |B| - that) / 2 bounds the overlap from above.
-    """
-    rest = None
-    for batch in batches:
-        t = pa.Table.from_batches([batch])
-        rest = t if rest is None else pa.concat_tables([rest, t])
-        last = rest.column("tile")[-1].as_py()
-        tiles = rest.column("tile").to_numpy()
-        cut = int(np.searchsorted(tiles, last)) if len(tiles) else 0
-        if cut:
-            yield from _tile_pairs(rest.slice(0, cut))
-            rest = rest.slice(cut)
-    if rest is not None and len(rest):
-        yield from _tile_pairs(rest)
+    for t in whole_groups(batches, "tile"):
+        yield from _tile_pairs(t)
 
 
 def _tile_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs of the tiles, each once, of different components that share a token, which sizes and bit counts don't exclude.
+
+    |A ^ B| is at least the number of bits in which the bitmaps differ, so (|A| + |B| - that) / 2 bounds the overlap
+    from above. Pairs of the band above belong to its own tile, pairs of one part to that part's.
+    """
     tiles = t.column("tile").to_numpy()
     bounds = np.flatnonzero(np.r_[True, tiles[1:] != tiles[:-1], True])
-    row, n, comp, side = (t.column(c).to_numpy() for c in ("_row", "n", "comp", "side"))
+    row, n, comp, above, side = (t.column(c).to_numpy() for c in ("_row", "n", "comp", "above", "side"))
     sigs = [np.frombuffer(x, np.uint64) for x in t.column("sig").to_pylist()]
+    tokens = [x for c in t.column("tokens").chunks for x in views(c)]
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         order = lo + np.argsort(n[lo:hi], kind="stable")
-        s, r, c, d = n[order], row[order], comp[order], side[order]
-        wide = np.array([len(sigs[k]) for k in order])  # grows with the size, as the order does
-        at: dict = {}
-        mixed = (d != 0).any() and (d != 1).any()
-        out_a, out_b = [], []
+        s, r, up, d = n[order], row[order], above[order], side[order]
+        label = comp[order]
+        held = np.repeat(np.arange(len(order)), [len(tokens[k]) for k in order])
+        of = np.concatenate([tokens[k] for k in order])
+        by = np.argsort(of, kind="stable")
+        of, held = of[by], held[by]
+        mixed, at, out = (d != d[0]).any(), {}, []
         for i in range(len(order) - 1):
-            end = int(np.searchsorted(s, s[i] * DENOMINATOR // NUMERATOR, side="right"))
-            if end <= i + 1:
+            mine = tokens[order[i]]
+            x, y = np.searchsorted(of, mine, side="left"), np.searchsorted(of, mine, side="right")
+            z = np.unique(np.concatenate([held[a:b] for a, b in zip(x, y, strict=True)]))
+            z = z[(z > i) & (DENOMINATOR * s[i] >= NUMERATOR * s[z]) & (label[z] != label[i]) & ~(up[z] & up[i])]
+            z = z[d[z] != d[i]] if mixed else z
+            if not len(z):
                 continue
-            z = slice(i + 1, end)
-            w = int(wide[i])
-            if w not in at:  # all from here on, at the width of this one
+            w = len(sigs[order[i]])
+            if w not in at:  # all from here on, at the width of this one: bitmaps widen with the size
                 at = {w: np.stack([folded(sigs[k], w) for k in order[i:]]), -1: i}
-            g = at[w]
-            far = np.bitwise_count(g[i + 1 - at[-1] : end - at[-1]] ^ g[i - at[-1]]).sum(axis=1, dtype=np.int64)
+            far = np.bitwise_count(at[w][z - at[-1]] ^ at[w][i - at[-1]]).sum(axis=1, dtype=np.int64)
             both = (s[z] + s[i] - far) // 2
-            ok = (c[z] != c[i]) & (DENOMINATOR * both >= NUMERATOR * (s[z] + s[i] - both))
-            if mixed:
-                ok &= d[z] != d[i]
-            hits = np.flatnonzero(ok) + i + 1
-            out_a += [np.full(len(hits), r[i])]
-            out_b += [r[hits]]
-        if out_a:
-            a, b = np.concatenate(out_a), np.concatenate(out_b)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+            may = DENOMINATOR * both >= NUMERATOR * (s[z] + s[i] - both)
+            out.append(np.stack([np.minimum(r[z[may]], r[i]), np.maximum(r[z[may]], r[i])]))
+        if out:
+            a, b = np.concatenate(out, axis=1)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
 
 def _near(a: str, b: str) -> str:
@@ -232,22 +224,28 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _tiled_pairs(live: DataFrame, sizes: DataFrame) -> DataFrame:
     """Distinct pairs of different components that share a token of ``live`` and pass the bound of their bitmaps.
 
-    The documents of a token make parts of about TILE; each two parts, and each part with itself, are a tile.
+    Tokens are brought together by the smallest component that holds them, so the documents of a family meet once and not
+    at each token. Sizes fall into bands of ratio BAND: a tile holds a band and the one above, beyond which no link reaches.
+    A band of more than TILE documents is dealt to parts; each two of them, and each with itself, are a tile.
     """
-    settled = live.join(sizes, "_row")
-    parts = F.ceil(F.col("m") / TILE).cast("int")
+    at = checkpointed(live.groupBy("lo", "_row", "comp").agg(F.collect_list("token").alias("tokens")))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))).cast("int")
+    places = F.explode(F.array(F.struct(band.alias("band"), F.lit(False).alias("above")), F.struct((band - 1).alias("band"), F.lit(True).alias("above"))))
+    dealt = checkpointed(at.select("lo", "_row", "comp").join(sizes.select("_row", "n"), "_row").select("lo", "_row", "comp", places.alias("p")).select("lo", "_row", "comp", "p.*"))
+    per = checkpointed(dealt.groupBy("lo", "band").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1"))
+    parts = F.ceil(F.col("_m") / TILE).cast("int")
     tiled = (
-        settled.withColumn("_parts", parts)
+        attach(dealt, per, ["lo", "band"], "_m", dealt.count())
+        .withColumn("_parts", parts)
         .withColumn("_part", F.pmod(F.xxhash64("_row"), F.col("_parts")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
         .select(
-            F.xxhash64("token", F.least("_part", "_other"), F.greatest("_part", "_other")).alias("tile"),
-            "_row", "n", "comp", "sig",
-            F.when(F.col("_part") == F.col("_other"), 0).when(F.col("_part") < F.col("_other"), 0).otherwise(1).alias("side"),
+            F.xxhash64("lo", "band", F.least("_part", "_other"), F.greatest("_part", "_other")).alias("tile"), "lo", "_row", "comp", "above",
+            F.when(F.col("_part") <= F.col("_other"), 0).otherwise(1).alias("side"),
         )
-    )
-    pairs = tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tile, "a long, b long").distinct()
-    return checkpointed(pairs)
+    )
+    whole = tiled.join(at.select("lo", "_row", "tokens"), ["lo", "_row"]).join(sizes, "_row").drop("lo")
+    return checkpointed(whole.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tile, "a long, b long").distinct())
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,8 +261,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stands for each. (3) Linked sets share a shingle of their prefixes (the first fifth), so only documents
     that share one are compared. (4) Rounds pair each document with the hub of its shingles that it shares
     most with; where the bitmaps allow a link the sorted arrays decide. (5) Shingles that then still join several components are
-    compared in full: tiles of up to TILE x TILE documents, ordered by size so that only sizes in a ratio
-    of 0.8 meet, bitmaps bounding the overlap, arrays deciding. Pairs within one component are already
+    compared in full: tiles of size bands, up to TILE x TILE documents, only sizes in a ratio of 0.8 meeting, bitmaps
+    bounding the overlap, arrays deciding. Pairs within one component are already
     decided and are left out; no other pair is. Hashes have 64 bits, digests 128.
 
     Scale: shuffled are a fifth of the shingles, once, as longs (those of frequent buckets counted in the map
@@ -332,23 +330,14 @@ def _best_hubs(met: DataFrame) -> DataFrame:
 
 
 def _unsettled(tokens: DataFrame, links: DataFrame, total: int) -> DataFrame:
-    """(_row, token, comp, m) of the tokens that still join documents of several components."""
+    """(_row, token, comp, lo, m) of the tokens that still join documents of several components, lo the smallest of them."""
     comp = checkpointed(components(links).withColumnRenamed("node", "_row").withColumnRenamed("component", "comp"))
     now = join_sized(tokens, comp, "_row", "left").withColumn("comp", F.coalesce("comp", "_row"))
     ends = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-    several = checkpointed(ends.filter("lo <> hi").select("token", "m"))
+    several = checkpointed(ends.filter("lo <> hi").select("token", "lo", "m"))
     return written(attach(now, several, ["token"], "m", total), "ngram-live")
 
 
-def _unsettled(tokens: DataFrame, links: DataFrame, total: int) -> DataFrame:
-    """(_row, n, token, comp, m) of the tokens that still join documents of several components."""
-    comp = components(links).withColumnRenamed("node", "_row").withColumnRenamed("component", "comp")
-    now = written(tokens.join(comp, "_row", "left").withColumn("comp", F.coalesce("comp", "_row")), "ngram-live")
-    ends = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-    several = checkpointed(ends.filter("lo <> hi").select("token", "m"))
-    return checkpointed(attach(now, several, ["token"], "m", total))
-
-
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
