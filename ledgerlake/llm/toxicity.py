@@ -15,7 +15,7 @@ from ledgerlake.llm.common import table, text_of
 from ledgerlake.llm.hashing import blocks, mix, word_hashes, word_spans
 
 BITS = 18
-SAMPLE = 4000  # labelled documents of each class, at most, that the classifier is fitted on
+SAMPLE = 6000  # labelled documents of each class, at most, that the classifier is fitted on
 EPOCHS = 16
 RATE = 0.3
 PENALTY = 1e-6
@@ -81,15 +81,15 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, weight: np
     usual = seen >= LEAST_DOCS
     for i, (word, sizes) in enumerate(docs):
         keep = usual[word]
-        docs[i] = (word[keep], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[keep], len(sizes))
+        docs[i] = (word[keep], np.bincount(np.repeat(np.arange(len(sizes)), sizes)[keep], minlength=len(sizes)).astype(np.int32))
     toxic = np.asarray(toxic, float)
     for _ in range(epochs if len(docs) else 0):
         for ids in np.array_split(order.permutation(len(docs)), -(-len(docs) // batch)):
             some = [docs[i] for i in ids]
-            counts = np.array([n for *_, n in some])
+            counts = np.array([len(n) for _, n in some])
             base = np.r_[0, np.cumsum(counts)]
-            word = np.concatenate([w for w, _, _ in some])
-            sentence = np.concatenate([s + b for (_, s, _), b in zip(some, base, strict=False)])
+            word = np.concatenate([w for w, _ in some])
+            sentence = np.repeat(np.arange(base[-1]), np.concatenate([n for _, n in some]))
             of = np.repeat(np.arange(len(some)), counts)
             p = _probabilities(model, word, sentence, base[-1])
             q = np.clip(1 - noisy_or(p, of, len(some)), 1e-9, 1 - 1e-9)
@@ -126,25 +126,43 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
+def _fitted(shares: dict[int, int]):
+    """The model of the gathered sample, as one row; ``shares``: labels of each class in all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = list(batches)
+        rows = [(i, t, b, k) for b in kept for k, (i, t) in enumerate(zip(b.column("id").to_pylist(), b.column("toxic").to_pylist(), strict=True))]
+        rows.sort(key=lambda r: r[0])
+        toxic = np.array([r[1] for r in rows])
+        weight = np.ones(len(rows))
+        for c in (0, 1):
+            if (toxic == c).any():
+                weight[toxic == c] = shares[c] / sum(shares.values()) * len(rows) / (toxic == c).sum()
+        of = lambda b, name, k: np.frombuffer(b.column(name)[k].as_buffer(), np.int32)  # noqa: E731  (a view: the sample is held once)
+        model = fit([(of(b, "words", k), of(b, "sentences", k)) for _, _, b, k in rows], toxic, weight)
+        yield pa.RecordBatch.from_pydict({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": pa.array([float(model.bias)])})
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Fit on up to ``sample`` labelled documents of each class, chosen by a hash of their id.
 
     ``labels``: id and toxic (0 or 1); null labels don't count. Documents are weighted so that the classes
-    have their share of all labels. Without any label the model scores all alike, near 0.
+    have their share of all labels. Of several rows of an id one counts. Without any label the model scores all alike,
+    near 0. The sample is gathered and fitted in a task; the driver gets the weights.
     """
     known = labels.select(F.col(id_col).alias("_id"), F.col("toxic").cast("int").alias("_toxic")).filter("_id IS NOT NULL AND _toxic IS NOT NULL")
     shares = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect() if r["_toxic"] in (0, 1)}
     picks = [known.filter(F.col("_toxic") == c).orderBy(F.xxhash64("_id"), "_id").limit(sample) for c in (0, 1)]
     chosen = picks[0].unionByName(picks[1]).dropDuplicates(["_id"])  # at most 2 * sample ids
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), "_id")
-    rows = texts.mapInArrow(_sample_features, "id long, toxic int, words binary, sentences binary").collect()
-    rows.sort(key=lambda r: (r["id"], r["words"]))
-    toxic = np.array([r["toxic"] for r in rows])
-    weight = np.ones(len(rows))
-    for c in (0, 1):
-        if (toxic == c).any():
-            weight[toxic == c] = shares[c] / sum(shares.values()) * len(rows) / (toxic == c).sum()
-    return fit([(np.frombuffer(r["words"], np.int32), np.frombuffer(r["sentences"], np.int32)) for r in rows], toxic, weight)
+    rows = texts.mapInArrow(_sample_features, "id long, toxic int, words binary, sentences binary")
+    one = rows.groupBy("id").agg(F.min(F.struct("words", "sentences", "toxic")).alias("r")).select("id", "r.toxic", "r.words", "r.sentences")
+    fitted = one.repartition(1).mapInArrow(_fitted(shares), "weights binary, bias double").first()
+    if fitted is None:  # no partition at all
+        return fit([], np.empty(0), np.empty(0))
+    return Model(np.frombuffer(fitted["weights"], np.float64), fitted["bias"])
 
 
 def _score(model: Model, spans: bool):
