@@ -123,7 +123,7 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 def _encoded(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = worker_bpe(path), np.array([END], np.uint32).tobytes()
+        bpe, end = worker_bpe(path, whole=True), np.array([END], np.uint32).tobytes()
         for batch in batches:
             for k in range(0, len(batch), 256):
                 some = batch.slice(k, 256)

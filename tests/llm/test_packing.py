@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from ledgerlake.llm.packing import Bm25, pack, pack_shard, statistics
-from ledgerlake.llm.tokens import Bpe
+from ledgerlake.llm.tokens import Bpe, added_tokens
 
 from .helpers import empty, hostile, stable
 
@@ -16,17 +16,15 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_are_those_of_the_tokenizers_file(spark, tokenizer):
     rng = random.Random(5)
     odd = [chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x2FFF), rng.randrange(0x1F300, 0x1F6FF), 0x20, 0x0A, 0x09, 0xA0, 0x2028])) for _ in range(6000)]
-    texts = ["".join(odd[i : i + 40]) for i in range(0, 6000, 40)] + ["", " ", "\n\n  x ", "it's 'll <|endoftext|> y", "a" * 5000]
+    texts = ["".join(odd[i : i + 40]) for i in range(0, 6000, 40)] + ["", " ", "\n\n  x ", "it's 'll <|endoftext|> y", "<|endoftext|><|endoftext|>", "a  <|endoftext|>  b<|endoftext", "\n<|endoftext|>'s", "a" * 5000]
     texts += [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    mine = [np.frombuffer(x, np.uint32).tolist() for x in Bpe().encode(texts)]
+    mine = [np.frombuffer(x, np.uint32).tolist() for x in Bpe(added=added_tokens()).encode(texts)]
     assert mine == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
