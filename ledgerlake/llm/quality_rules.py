@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import checkpointed, table, text_of, words_of
-from ledgerlake.operators.joins import join_sized
+from ledgerlake.operators.joins import skew_safe_join
 
 BUCKETS = 16384
 SMOOTHING = 1.0
@@ -101,6 +101,23 @@ def log_ratios(corpus: DataFrame, trusted: str, text_col: str = "text", buckets:
     return one.select(F.transform("c", ratio).alias("_ratio"))
 
 
+def marked_corpus(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_text, _t) of each row of ``docs``: whether its id is among the trusted ones, without moving a text.
+
+    Ids alone meet the trusted ones. The rows found come back as bitmaps of 32768 row positions, 4 KB each, one for each such
+    stretch of an input partition: about one bit a row, whatever the number of trusted ids.
+    """
+    row = F.monotonically_increasing_id()
+    known = trusted.select(F.col(id_col).alias("_tid")).filter("_tid IS NOT NULL").distinct()
+    rows = skew_safe_join(docs.select(row.alias("_row"), F.col(id_col).alias("_tid")), known, "_tid", "inner")
+    bits = rows.groupBy(F.bitmap_bucket_number("_row").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_row")).alias("_bits"))
+    texts = docs.select(row.alias("_row"), F.col(text_col).alias("_text")).withColumn("_bucket", F.bitmap_bucket_number("_row"))
+    at = F.bitmap_bit_position("_row")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_row) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    found = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (at % 8 + 1).cast("int"))) != 0
+    return texts.join(F.broadcast(checkpointed(bits)), "_bucket", "left").select("_text", F.coalesce(found, F.lit(False)).alias("_t"))
+
+
 def quality_rules(
     docs: DataFrame,
     trusted: DataFrame,
@@ -118,15 +135,11 @@ def quality_rules(
     (null and empty texts) log_ratio is 0 and the rules fail. Without trusted texts the target is uniform up
     to smoothing. Repeated rows get equal results; null ids are never trusted; an empty table gives none.
 
-    Scale: a pass that counts and a pass that scores. What moves is the texts once, to meet the trusted ids
-    (not at all while these, counted, are few enough to broadcast), and ``buckets`` counts per task; what
-    is broadcast is one array of ``buckets`` doubles.
+    Scale: a pass that counts and a pass that scores. What moves is the ids, to meet the trusted ones, and ``buckets``
+    counts per task, never a text; what is broadcast is about a bit a row and one array of ``buckets`` doubles.
     """
     docs = docs.select(id_col, text_col)
-    marked = trusted.select(F.col(id_col).alias("_tid"), F.lit(True).alias("_t")).filter("_tid IS NOT NULL").distinct()
-    marked = checkpointed(marked)
-    corpus = join_sized(docs.select(F.col(id_col).alias("_tid"), F.col(text_col).alias("_text")), marked, "_tid")
-    ratio = checkpointed(log_ratios(corpus, "_t", "_text", buckets, smoothing))
+    ratio = checkpointed(log_ratios(marked_corpus(docs, trusted, id_col, text_col), "_t", "_text", buckets, smoothing))
     out = with_counts(docs, text_col).crossJoin(F.broadcast(ratio))  # one row on the right
     add = lambda a, g: a + F.element_at(F.col("_ratio"), (g.bitwiseAND(buckets - 1) + 1).cast("int"))
     total = F.aggregate("_two", F.aggregate("_one", F.lit(0.0), add), add)

@@ -4,7 +4,7 @@ from collections import Counter
 
 import xxhash
 
-from ledgerlake.llm.quality_rules import quality_rules
+from ledgerlake.llm.quality_rules import marked_corpus, quality_rules
 
 from .helpers import WORD, empty, hostile, stable, words
 
@@ -69,3 +69,20 @@ def test_empty_tables(spark, tmp_dir):
     assert quality_rules(stable(empty(spark), tmp_dir), nobody).count() == 0
     _, df = hostile(spark)
     assert quality_rules(stable(df, tmp_dir, "d"), nobody).filter("log_ratio IS NULL OR isnan(log_ratio)").count() == 0
+
+
+def test_no_text_moves_however_many_are_trusted(spark, tmp_dir):
+    """The same plan with Spark's own broadcasts off: marks come back to the texts, on several input partitions."""
+    rows, df = hostile(spark)
+    docs = stable(df, tmp_dir)
+    trusted = spark.createDataFrame([(r[0],) for r in rows if r[0] is not None and r[0] % 2], "doc_id long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        corpus = marked_corpus(docs, trusted, "doc_id", "text")
+        plan = corpus._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        got = sorted(((r["_text"], r["_t"]) for r in corpus.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == sorted(((r[1], r[0] is not None and r[0] % 2 == 1) for r in rows), key=repr)
