@@ -355,4 +355,4 @@ def suffix_dedup(
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup(table(spark, sf_dir, "documents"), keep_text=False)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("has_repeats"))
