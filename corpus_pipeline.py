@@ -2,7 +2,8 @@
 
 Every stage works on all documents its predecessor kept; all but the last return the columns of
 ``documents``. Null texts count as empty; repeated rows are documents of their own until a stage that
-deduplicates, which keeps one of them; an empty table passes through as an empty table.
+deduplicates, which keeps one of them; an empty table passes through as an empty table. Very long texts go through every
+stage whole; extra columns stay with their rows up to packing, whatever their names.
 """
 
 from __future__ import annotations

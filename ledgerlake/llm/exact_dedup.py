@@ -26,7 +26,8 @@ def exact_dedup(
     Rows are grouped by ``hash_of``; then the texts of groups of several rows are compared as bytes (they
     are part of the grouping key), so a collision of the hash never joins two texts. In each class of equal
     texts the row of the smallest id stays; among repeated rows of that id exactly one does; null ids come
-    after all others. An empty table gives an empty result. Extra columns are ignored.
+    after all others. An empty table gives an empty result. A very long text is compared whole. Extra columns
+    are ignored, whatever their names.
 
     Scale: the counts by hash and by text are reduced in the map tasks first; a hash held by more than one
     row in a thousand (fewer than a thousand such hashes) is joined by broadcast, salted where its texts

@@ -139,7 +139,8 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     a uniform drawn from the id over the odds of inclusion); they are taken in this order while at least
     half of the next lies within the words still to take, so the size of the sample is fixed in words and a
     source misses its target by at most half of one document. Null sources are a source of their own.
-    A source without words gets no copies. Repeated rows are separate documents of equal rank, ordered by
+    A source without words gets no copies; an empty table gives none. A very long text counts by its words; other columns
+    are ignored, whatever their names. Repeated rows are separate documents of equal rank, ordered by
     position. Nothing is random between reruns.
 
     Scale: the rank is cut by sums over 4096 bins of the rank, then over 4096 bins of the bin at the edge,

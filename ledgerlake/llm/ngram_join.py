@@ -254,7 +254,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A document's set: its distinct 5-word shingles (A-Z lowered); with fewer words the whole sequence as
     one; null, empty and blank texts have none and are linked with nothing, each a component of its own. Two
     documents link when 100 * intersection >= 80 * union; component_id is the smallest id reachable by links.
-    Repeated rows are documents with equal sets. An empty table gives none.
+    Repeated rows are documents with equal sets. An empty table gives none. A very long text is a
+    block of its own. Other columns are ignored, whatever their names.
 
     How. (1) A fixed-size sketch counts shingles by bucket; ordering every set by it, rare first, keeps
     passages that many documents share out of the prefixes. (2) Sets are equal by digest; one document

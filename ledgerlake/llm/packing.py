@@ -202,7 +202,8 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian uint32), doc_tokens, sequence_id, offset.
 
-    A document is the ids of its whole text, then id 0 (null and empty texts: that id alone). Every id is in
+    A document is the ids of its whole text, added tokens of the vocabulary's file as one id each, then id 0 (null and empty
+    texts: that id alone). A very long text fills sequences of its own; other columns are ignored, whatever their names. Every id is in
     one piece; a sequence holds at most ``window`` ids, all but the last of an index shard exactly that
     many. Documents are spread by language, then by a hash of the text, so that an index shard (about
     ``shard_docs`` documents) holds texts of one language, and equal texts meet unless they are very many.

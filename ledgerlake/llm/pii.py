@@ -289,7 +289,7 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, text_col: str = "text") -
     layout and case of each mention, the validity of card numbers, and for names gender and script. Null
     texts stay null; texts without entities stay as they are; repeated rows are replaced alike; an empty table
     gives none; all other columns are kept (one called
-    _entities is replaced).
+    _entities is replaced). A very long text is searched whole.
 
     Scale: texts without entities don't move. Those with some are written with their mentions; the distinct
     entities are drawn and checked as a table, and mentions meet their surrogate through ``attach``, so an

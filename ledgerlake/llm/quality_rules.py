@@ -133,7 +133,8 @@ def quality_rules(
     and each two in a row, hashed to ``buckets`` (a power of two). A document is kept when the rules pass
     and log_ratio >= threshold: the verdict depends on its text and the corpus counts alone. Without words
     (null and empty texts) log_ratio is 0 and the rules fail. Without trusted texts the target is uniform up
-    to smoothing. Repeated rows get equal results; null ids are never trusted; an empty table gives none.
+    to smoothing. Repeated rows get equal results; null ids are never trusted; an empty table gives none. A
+    very long text is counted whole. Other columns are ignored, whatever their names.
 
     Scale: a pass that counts and a pass that scores. What moves is the ids, to meet the trusted ones, and ``buckets``
     counts per task, never a text; what is broadcast is about a bit a row and one array of ``buckets`` doubles.

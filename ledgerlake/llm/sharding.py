@@ -104,7 +104,8 @@ def kd_shards(
     hash, each scaled to its range; a hash of the text breaks ties, so a dimension with few values still
     splits evenly. A leaf of k shards is split where k // 2 of its k shares of the bytes lie below. Empty
     and null texts are one group; null ids, sources and languages have codes of their own; repeated rows
-    are documents of their own. An empty table gives none. Slots number a shard's rows gapless from 0, by
+    are documents of their own. An empty table gives none. A very long text counts by its size and may make a
+    shard of its own; columns not named here are ignored, whatever their names. Slots number a shard's rows gapless from 0, by
     buckets of a hash of the row, then by id.
 
     Scale: no text moves. The tree is built from sums per leaf and bin; rows meet their group through

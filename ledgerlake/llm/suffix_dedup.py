@@ -289,6 +289,7 @@ def suffix_dedup(
     Every byte covered by a ``length``-byte string that also starts anywhere else in the corpus, the same
     text included, is removed; strings never cross texts and are judged on the input. Null and empty texts
     have no bytes. Repeated rows repeat each other. Null ids are kept. An empty table gives none.
+    A very long text is cut whole, in blocks. Other columns are ignored, whatever their names.
 
     How. Every string has a content-chosen anchor, so equal strings share one. Anchors seen once are done with.
     The context of an anchor is all strings that have it, at most 2 * length - gram bytes. Equal contexts

@@ -197,7 +197,8 @@ def with_toxicity(docs: DataFrame, model: Model, text_col: str = "text", spans:
 
     _sentences: byte spans and scores of the offending sentences. Null, empty and wordless texts score 0. A
     text of 0.5 or more names its sentences of 0.5 or more, and in any case its worst one. The score depends
-    on the text alone. No row moves.
+    on the text alone; a very long text is scored whole; an empty table gives none; the row is carried as a struct, so no
+    name of a column clashes. No row moves.
     """
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in (carry or docs.columns)]).alias("_doc"), text_of(text_col).alias("_text"))
     schema = T.StructType([row.schema["_doc"], T.StructField("_toxicity", T.DoubleType())])
