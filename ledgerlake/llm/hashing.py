@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import zlib
@@ -27,6 +29,16 @@ def worker_cache() -> dict:
     return sys.modules[name].kept
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system: a Python worker is kept, and its memory counts, while other tasks run in it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        return
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit (the splitmix64 finalizer)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

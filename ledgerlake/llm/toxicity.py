@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.llm.common import table, text_of
-from ledgerlake.llm.hashing import blocks, mix, word_hashes, word_spans
+from ledgerlake.llm.hashing import blocks, give_back, mix, word_hashes, word_spans
 
 BITS = 18
 SAMPLE = 6000  # labelled documents of each class, at most, that the classifier is fitted on
@@ -140,7 +140,10 @@ def _fitted(shares: dict[int, int]):
                 weight[toxic == c] = shares[c] / sum(shares.values()) * len(rows) / (toxic == c).sum()
         of = lambda b, name, k: np.frombuffer(b.column(name)[k].as_buffer(), np.int32)  # noqa: E731  (a view: the sample is held once)
         model = fit([(of(b, "words", k), of(b, "sentences", k)) for _, _, b, k in rows], toxic, weight)
-        yield pa.RecordBatch.from_pydict({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": pa.array([float(model.bias)])})
+        out = pa.RecordBatch.from_pydict({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": pa.array([float(model.bias)])})
+        del kept, rows, model
+        give_back()
+        yield out
 
     return run
 
