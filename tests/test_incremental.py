@@ -210,3 +210,11 @@ def test_star_tables_are_swapped_after_all_are_written(spark, tmp_dir):
         write_star({"dim_data": spark.range(9), "fato_vendas": bad}, tmp_dir)
     assert spark.read.parquet(f"{tmp_dir}/dim_data").count() == 2 and spark.read.parquet(f"{tmp_dir}/fato_vendas").count() == 2
     remove_path(spark, f"{tmp_dir}/dim_data")
+
+
+def test_landed_publications_are_compressed(spark):
+    from ledgerlake.workloads import deduplicated_stream
+
+    raw = deduplicated_stream(spark, "/root/testdata/sf0.001").rsplit("/", 1)[0] + "/raw/*"
+    files = spark.read.text(raw).select("_metadata.file_name").distinct().collect()
+    assert files and all(r.file_name.endswith(".json.gz") for r in files)
