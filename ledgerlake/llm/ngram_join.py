@@ -20,6 +20,7 @@ NUMERATOR, DENOMINATOR = 80, 100  # linked when DENOMINATOR * intersection >= NU
 SKETCH = 1 << 16
 BITS = 1024  # of the bitmap of a small set; larger sets have the next power of two above their size
 TILE = 2048
+TILE_ITEMS = 1 << 22  # shingles of the documents of a part, whose sets a task may hold
 BAND = 1.26  # ratio of the sizes of a band, a little above 1 / 0.8: linked sets are in one band or in neighbouring ones
 HUB_ROUNDS = 2
 
@@ -115,43 +116,82 @@ def _tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _tile_pairs(t)
 
 
-def _tile_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Pairs of the tiles, each once, of different components that share a token, which sizes and bit counts don't exclude.
+def _tile_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for t in whole_groups(batches, "tile"):
+        yield from _tile_links(t)
 
-    |A ^ B| is at least the number of bits in which the bitmaps differ, so (|A| + |B| - that) / 2 bounds the overlap
-    from above. Pairs of the band above belong to its own tile, pairs of one part to that part's.
-    """
+
+def _met(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, Iterator]]:
+    """Per tile: its rows by size, the labels of their components, and ``_may_meet`` of them."""
     tiles = t.column("tile").to_numpy()
     bounds = np.flatnonzero(np.r_[True, tiles[1:] != tiles[:-1], True])
-    row, n, comp, above, side = (t.column(c).to_numpy() for c in ("_row", "n", "comp", "above", "side"))
+    n, comp, above, side = (t.column(c).to_numpy() for c in ("n", "comp", "above", "side"))
     sigs = [np.frombuffer(x, np.uint64) for x in t.column("sig").to_pylist()]
     tokens = [x for c in t.column("tokens").chunks for x in views(c)]
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         order = lo + np.argsort(n[lo:hi], kind="stable")
-        s, r, up, d = n[order], row[order], above[order], side[order]
         label = comp[order]
-        held = np.repeat(np.arange(len(order)), [len(tokens[k]) for k in order])
-        of = np.concatenate([tokens[k] for k in order])
-        by = np.argsort(of, kind="stable")
-        of, held = of[by], held[by]
-        mixed, at, out = (d != d[0]).any(), {}, []
-        for i in range(len(order) - 1):
-            mine = tokens[order[i]]
-            x, y = np.searchsorted(of, mine, side="left"), np.searchsorted(of, mine, side="right")
-            z = np.unique(np.concatenate([held[a:b] for a, b in zip(x, y, strict=True)]))
-            z = z[(z > i) & (DENOMINATOR * s[i] >= NUMERATOR * s[z]) & (label[z] != label[i]) & ~(up[z] & up[i])]
-            z = z[d[z] != d[i]] if mixed else z
-            if not len(z):
-                continue
-            w = len(sigs[order[i]])
-            if w not in at:  # all from here on, at the width of this one: bitmaps widen with the size
-                at = {w: np.stack([folded(sigs[k], w) for k in order[i:]]), -1: i}
-            far = np.bitwise_count(at[w][z - at[-1]] ^ at[w][i - at[-1]]).sum(axis=1, dtype=np.int64)
-            both = (s[z] + s[i] - far) // 2
-            may = DENOMINATOR * both >= NUMERATOR * (s[z] + s[i] - both)
-            out.append(np.stack([np.minimum(r[z[may]], r[i]), np.maximum(r[z[may]], r[i])]))
+        yield order, label, _may_meet(n[order], above[order], side[order], label, [tokens[k] for k in order], [sigs[k] for k in order])
+
+
+def _may_meet(s: np.ndarray, up: np.ndarray, d: np.ndarray, label: np.ndarray, tokens: list, sigs: list) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, others, bounds of the overlaps): each pair of a tile once, of different labels at that time, that shares a token and
+    that sizes and bit counts don't exclude.
+
+    |A ^ B| is at least the number of bits in which the bitmaps differ, so (|A| + |B| - that) / 2 bounds the overlap
+    from above. Pairs of the band above belong to its own tile, pairs of one part to that part's.
+    """
+    held = np.repeat(np.arange(len(s)), [len(x) for x in tokens])
+    of = np.concatenate(tokens)
+    by = np.argsort(of, kind="stable")
+    of, held = of[by], held[by]
+    mixed, at = (d != d[0]).any(), {}
+    for i in range(len(s) - 1):
+        x, y = np.searchsorted(of, tokens[i], side="left"), np.searchsorted(of, tokens[i], side="right")
+        z = np.unique(np.concatenate([held[a:b] for a, b in zip(x, y, strict=True)]))
+        z = z[(z > i) & (DENOMINATOR * s[i] >= NUMERATOR * s[z]) & (label[z] != label[i]) & ~(up[z] & up[i])]
+        z = z[d[z] != d[i]] if mixed else z
+        if not len(z):
+            continue
+        w = len(sigs[i])
+        if w not in at:  # all from here on, at the width of this one: bitmaps widen with the size
+            at = {w: np.stack([folded(x, w) for x in sigs[i:]]), -1: i}
+        far = np.bitwise_count(at[w][z - at[-1]] ^ at[w][i - at[-1]]).sum(axis=1, dtype=np.int64)
+        both = (s[z] + s[i] - far) // 2
+        may = DENOMINATOR * both >= NUMERATOR * (s[z] + s[i] - both)
+        if may.any():
+            yield i, z[may], both[may]
+
+
+def _tile_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) that may be linked; of a tile with more pairs than documents only these documents, as (a, a)."""
+    row, tile = t.column("_row").to_numpy(), t.column("tile").to_numpy()
+    for order, _, met in _met(t):
+        r, out, many = row[order], [], np.zeros(len(order), bool)
+        size = 0
+        for i, z, _ in met:
+            many[i] = many[z] = True
+            size += len(z)
+            if size <= len(order):
+                out.append(np.stack([np.minimum(r[z], r[i]), np.maximum(r[z], r[i])]))
+        if size:
+            a, b = np.concatenate(out, axis=1) if size <= len(order) else (r[many], r[many])
+            yield pa.RecordBatch.from_pydict({"tile": pa.array(np.full(len(a), tile[order[0]])), "a": pa.array(a), "b": pa.array(b)})
+
+
+def _tile_links(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Links that join the components of a tile, decided on the sets, the likeliest first: at most one a document. A link joins
+    two components for the rest of the tile."""
+    row, items = t.column("_row").to_numpy(), [x for c in t.column("items").chunks for x in views(c)]
+    for order, label, met in _met(t):
+        r, out = row[order], []
+        for i, z, both in met:
+            for k in z[np.argsort(-both, kind="stable")]:
+                if label[k] != label[i] and linked(items[order[i]], items[order[k]]):
+                    out.append((min(r[i], r[k]), max(r[i], r[k])))
+                    label[label == label[k]] = label[i]
         if out:
-            a, b = np.concatenate(out, axis=1)
+            a, b = np.array(out, np.int64).T
             yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
 
@@ -208,34 +248,40 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(*(np.concatenate(x) for x in zip(*rest, strict=True)))
 
 
+def _sets_of(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """(_row, items): the sorted sets of the documents that ``rows`` names."""
+    wanted = checkpointed(rows.select("_row").distinct())
+    return written(join_sized(texts, wanted, "_row", "left_semi").mapInArrow(_sets, "_row long, items array<long>"), "ngram-sets")
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that are linked, decided on the sorted arrays.
 
     Sets are made of the texts of the documents in pairs only; a document in very many pairs is split by AQE.
     """
-    wanted = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct())
-    sets = join_sized(texts, wanted, "_row", "left_semi").mapInArrow(_sets, "_row long, items array<long>")
-    sets = written(sets, "ngram-sets")
+    sets = _sets_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("_row")))
     side = lambda x: sets.select(F.col("_row").alias(x), F.col("items").alias(f"s{x}"))
     full = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb")
     return full.mapInArrow(_verified, "a long, b long")
 
 
-def _tiled_pairs(live: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Distinct pairs of different components that share a token of ``live`` and pass the bound of their bitmaps.
+def _tiled_links(live: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links enough to join what is linked among the documents of different components that share a token of ``live``.
 
     Tokens are brought together by the smallest component that holds them, so the documents of a family meet once and not
     at each token. Sizes fall into bands of ratio BAND: a tile holds a band and the one above, beyond which no link reaches.
-    A band of more than TILE documents is dealt to parts; each two of them, and each with itself, are a tile.
+    A band of more than TILE documents or TILE_ITEMS shingles is dealt to parts; each two of them, and each with itself, are
+    a tile. Bitmaps bound the overlaps. The pairs of a tile that then may be linked are sent out to meet their sets if there are
+    no more of them than documents; else the sets come to the tile, which gives at most one link a document.
     """
     at = checkpointed(live.groupBy("lo", "_row", "comp").agg(F.collect_list("token").alias("tokens")))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND))).cast("int")
     places = F.explode(F.array(F.struct(band.alias("band"), F.lit(False).alias("above")), F.struct((band - 1).alias("band"), F.lit(True).alias("above"))))
-    dealt = checkpointed(at.select("lo", "_row", "comp").join(sizes.select("_row", "n"), "_row").select("lo", "_row", "comp", places.alias("p")).select("lo", "_row", "comp", "p.*"))
-    per = checkpointed(dealt.groupBy("lo", "band").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1"))
-    parts = F.ceil(F.col("_m") / TILE).cast("int")
+    dealt = checkpointed(at.select("lo", "_row", "comp").join(sizes.select("_row", "n"), "_row").select("lo", "_row", "comp", "n", places.alias("p")).select("lo", "_row", "comp", "n", "p.*"))
+    per = checkpointed(dealt.groupBy("lo", "band").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_items")).filter("_m > 1"))
+    parts = F.ceil(F.greatest(F.col("_m") / TILE, F.col("_items") / TILE_ITEMS)).cast("int")
     tiled = (
-        attach(dealt, per, ["lo", "band"], "_m", dealt.count())
+        attach(dealt.drop("n"), per, ["lo", "band"], "_m", dealt.count())
         .withColumn("_parts", parts)
         .withColumn("_part", F.pmod(F.xxhash64("_row"), F.col("_parts")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
@@ -244,8 +290,17 @@ def _tiled_pairs(live: DataFrame, sizes: DataFrame) -> DataFrame:
             F.when(F.col("_part") <= F.col("_other"), 0).otherwise(1).alias("side"),
         )
     )
-    whole = tiled.join(at.select("lo", "_row", "tokens"), ["lo", "_row"]).join(sizes, "_row").drop("lo")
-    return checkpointed(whole.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tile, "a long, b long").distinct())
+    facts = lambda some: some.join(at.select("lo", "_row", "tokens"), ["lo", "_row"]).join(sizes, "_row").drop("lo")
+    dealt_to = lambda whole: whole.repartition("tile").sortWithinPartitions("tile")
+    found = checkpointed(dealt_to(facts(tiled)).mapInArrow(_tile, "tile long, a long, b long"))
+    links = _links(checkpointed(found.filter("a <> b").select("a", "b").distinct()), texts)
+    many = found.filter("a = b").select("tile", F.col("a").alias("_row"))
+    n_many = many.count()
+    if n_many:
+        again = facts(join_sized(tiled, many, ["tile", "_row"], "left_semi", small_rows=n_many))
+        met = again.join(_sets_of(texts, many), "_row")
+        links = links.unionByName(dealt_to(met).mapInArrow(_tile_sets, "a long, b long"))
+    return links
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,7 +319,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     most with; where the bitmaps allow a link the sorted arrays decide. (5) Shingles that then still join several components are
     compared in full: tiles of size bands, up to TILE x TILE documents, only sizes in a ratio of 0.8 meeting, bitmaps
     bounding the overlap, arrays deciding. Pairs within one component are already
-    decided and are left out; no other pair is. Hashes have 64 bits, digests 128.
+    decided and are left out; no other pair is. A tile with more such pairs than documents reads the arrays itself and
+    gives the links that join its components. Hashes have 64 bits, digests 128.
 
     Scale: shuffled are a fifth of the shingles, once, as longs (those of frequent buckets counted in the map
     tasks first), and the sets of documents whose bitmaps allow a link. Sides that are small by count are
@@ -311,7 +367,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = checkpointed(links.unionByName(_links(pairs, texts)))
         live = _unsettled(live.select("_row", "token"), links, n_tokens)
     if not live.isEmpty():
-        links = checkpointed(links.unionByName(_links(_tiled_pairs(live, sizes), texts)))
+        links = checkpointed(links.unionByName(_tiled_links(live, sizes, texts)))
 
     # one id per component, over the documents of all its classes
     comp = components(links).select(F.col("node").alias("rep"), "component")

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import ngram_join
@@ -59,6 +60,39 @@ def test_chains_of_near_copies_of_different_hubs(spark, tmp_dir):
     assert sorted((tuple(r) for r in got), key=repr) == expected(rows)
 
 
+def test_tile_gives_no_more_rows_than_documents():
+    """Near copies that all may be linked with each other: neither their pairs nor more links than join them leave the tile."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(1, 2**63, 300)
+    sets = [np.unique(np.r_[base[rng.random(300) < 0.93], rng.integers(1, 2**63, 4)]) for _ in range(120)]
+    n = [len(s) for s in sets]
+    tile = {"tile": [7] * 120, "_row": list(range(120)), "n": n, "comp": list(range(120)), "above": [False] * 120, "side": [0] * 120}
+    tile |= {"tokens": pa.array([base[:3]] * 120), "sig": [ngram_join.bitmap(s.view(np.uint64)) for s in sets], "items": pa.array(sets)}
+    batch = pa.RecordBatch.from_pydict(tile)
+    out = pa.Table.from_batches(ngram_join._tile(iter([batch.drop_columns(["items"])])))
+    assert 0 < len(out) <= 120
+    assert set(out.column("a").to_pylist()) == set(out.column("b").to_pylist())
+
+    root = list(range(120))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def classes(pairs):
+        root[:] = range(120)
+        for a, b in pairs:
+            root[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(x) for x in range(120)]
+
+    true = [(a, b) for a, b in itertools.combinations(range(120), 2) if ngram_join.linked(sets[a], sets[b])]
+    links = [(r["a"], r["b"]) for b in ngram_join._tile_sets(iter([batch])) for r in b.to_pylist()]
+    assert len(links) < 120 < len(true)
+    assert set(links) <= set(true)
+    assert classes(links) == classes(true)
+
+
 def test_one_of_each_component_stays(spark, tmp_dir):
     rows, df = hostile(spark)
     kept = keep_one(stable(df, tmp_dir))
