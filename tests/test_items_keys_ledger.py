@@ -157,3 +157,25 @@ def test_published_messages_are_counted(spark, tmp_dir):
     finally:
         M.publication_options = old
     assert spark.read.parquet(path).count() == 3
+
+
+def test_item_messages_are_split_into_files(spark, tmp_dir, monkeypatch):
+    """A gzip file is read by one task, so the files of the item messages hold so many records at most."""
+    from datetime import datetime
+
+    from ledgerlake import workloads
+
+    def table(name, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_dir}/{name}.parquet")
+
+    orders = [(i, 1, "F", datetime(1998, 5, 1), "1-URGENT", 10.0 + i) for i in range(1, 41)]
+    lines = [(i, n, 1, 1, 2.0, 5.0, 0.0, 0.0, "N", "O", datetime(1998, 6, 1)) for i in range(1, 41) for n in (1, 2)]
+    table("orders", orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string, o_totalprice double")
+    table("lineitem", lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    table("customer", [(1, "c", 0, "BUILDING")], "c_custkey long, c_name string, c_nationkey long, c_mktsegment string")
+    table("nation", [(0, "n")], "n_nationkey long, n_name string")
+    monkeypatch.setattr(workloads, "ITEM_RECORDS_PER_FILE", 6)
+    messages = workloads.item_messages(spark, tmp_dir)
+    per_file = [r["count"] for r in messages.groupBy("_metadata.file_path").count().collect()]
+    assert sum(per_file) == 80
+    assert max(per_file) <= 6
