@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import HOT_SHARE, attach, checkpointed, table, text_of, whole_groups, whole_rows, written
 from ledgerlake.llm.components import components
-from ledgerlake.llm.hashing import blocks, lists, mix, shingle_sets, views
+from ledgerlake.llm.hashing import blocks, lists, mix, shingle_sets, trimmed, views
 from ledgerlake.operators.joins import join_sized
 
 SHINGLE = 5
@@ -25,6 +25,7 @@ BAND = 1.26  # ratio of the sizes of a band, a little above 1 / 0.8: linked sets
 HUB_ROUNDS = 2
 
 
+@trimmed
 def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts' shingles fall into each of SKETCH buckets."""
     n = np.zeros(SKETCH, np.int64)
@@ -45,6 +46,7 @@ def prefix_length(n: int) -> int:
 def _prefixes(rare: np.ndarray):
     """Per text: set size, digest of the set, and its prefix in the order (bucket count, hash)."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("_row").to_numpy()
@@ -81,6 +83,7 @@ def folded(sig: np.ndarray, words: int) -> np.ndarray:
     return sig if len(sig) == words else np.bitwise_or.reduce(sig.reshape(-1, words), axis=0)
 
 
+@trimmed
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.column("_row").to_numpy()
@@ -111,11 +114,13 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
 
+@trimmed
 def _tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in whole_groups(batches, "tile"):
         yield from _tile_pairs(t)
 
 
+@trimmed
 def _tile_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in whole_groups(batches, "tile"):
         yield from _tile_links(t)

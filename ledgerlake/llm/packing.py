@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import table, text_of, written
+from ledgerlake.llm.hashing import trimmed
 from ledgerlake.llm.tokens import worker_bpe
 
 WINDOW = 1024
@@ -122,6 +123,7 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 
 def _encoded(path: str | None):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = worker_bpe(path, whole=True), np.array([END], np.uint32).tobytes()
         for batch in batches:
@@ -133,6 +135,7 @@ def _encoded(path: str | None):
     return run
 
 
+@trimmed
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents per term (and all documents, -1, and their ids, -2) of a task."""
     held, docs, size = np.zeros(0, np.int64), 0, 0
@@ -159,6 +162,7 @@ def statistics(ids: DataFrame) -> tuple[int, float, np.ndarray]:
 
 
 def _packer(window: int, shard_docs: int, stats: tuple[int, float, np.ndarray]):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         made = 0
