@@ -52,6 +52,7 @@ class SilverResult:
     survivors: DataFrame  # one row per id, message position kept
     silver: DataFrame  # the clean layer, rules.fields
     rules: SilverRules = INVOICE_RULES
+    winners: DataFrame | None = None  # id and position of the survivors, worked out without their other fields
 
     def reject_counts(self, output_rows: int | DataFrame | None = None) -> DataFrame:
         """``stage, rows``: input, null_required, invalid_value, duplicate, output -- one pass.
@@ -89,7 +90,7 @@ class SilverResult:
         not a survivor either broke a rule (its reason) or lost to a later copy.
         """
         keys = [self.rules.key] + self.rules.order
-        winners = self.survivors.select(*keys)
+        winners = self.survivors.select(*keys) if self.winners is None else self.winners
         t = self.tagged
         rejected = t.join(winners, [t[k].eqNullSafe(winners[k]) for k in keys], "left_anti")
         return rejected.withColumn(REASON, F.coalesce(F.col(REASON), F.lit(DUPLICATE)))
@@ -111,7 +112,9 @@ def clean(bronze: DataFrame, rules: SilverRules = INVOICE_RULES, observation: Ob
     columns = [c for c in tagged.columns if c != REASON]
     survivors = latest_per_key(counted, [rules.key], rules.order, where=F.col(REASON).isNull(), columns=columns)
     silver = trim_columns(survivors, rules.trimmed).select(*rules.fields)
-    return SilverResult(tagged=tagged, survivors=survivors, silver=silver, rules=rules)
+    # the latest position needs no tie-breaking by the other columns: copies that tie have the same one
+    winners = latest_per_key(tagged, [rules.key], rules.order, where=F.col(REASON).isNull(), columns=[rules.key, *rules.order])
+    return SilverResult(tagged=tagged, survivors=survivors, silver=silver, rules=rules, winners=winners)
 
 
 def observed_counts(observation: Observation, output_rows: int) -> dict[str, int]:
