@@ -36,7 +36,7 @@ from .plans.layers import load_bronze, load_gold, load_silver, validate_silver
 from .plans.ledger import Ledger
 from .plans.silver import REASON, SilverResult, clean, typed_rows
 from .plans.star import Star, build_star, timestamp_grain_fact_rows
-from .session import app_id, scratch_path
+from .session import app_id, file_system, scratch_path
 from .sinks.writers import RAW_RECORDS_PER_FILE, read_star, register_tables, save_result, write_bronze, write_observed, write_silver, write_star
 from .sinks.xml import (
     document_without_body,
@@ -353,12 +353,19 @@ def q_rounded_mean_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- incremental ----------------------------------------------------------------------------
+def files_per_batch(spark: SparkSession, path: str) -> int:
+    """Raw files of a batch: a compressed file is one task, so one for each core, as long as there are two batches; four at least."""
+    fs, files = file_system(spark, f"{path}/part-*")
+    return max(4, min(spark.sparkContext.defaultParallelism, len(fs.globStatus(files)) // 2))
+
+
 def incremental_path(spark: SparkSession, sf_dir: str) -> str:
     """The clean layer built batch by batch, by a streaming query over the raw files."""
 
     def build():
         out = scratch_path(spark, "silver_incremental")
-        run_incremental_silver(spark, bronze_path(spark, sf_dir), out, out + "_checkpoint", max_files_per_trigger=4)
+        raw = bronze_path(spark, sf_dir)
+        run_incremental_silver(spark, raw, out, out + "_checkpoint", max_files_per_trigger=files_per_batch(spark, raw))
         return out
 
     return _memo(spark, sf_dir, "incremental_path", build)
