@@ -16,7 +16,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas as S
@@ -227,30 +227,40 @@ def q_xml_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_documents(_documents(spark, sf_dir)).invoices
 
 
-def q_xml_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per line item (a single ``det`` each), parsed and exploded to item grain."""
-    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem"))
-    item = F.struct(
-        F.col("l_linenumber").cast("string").alias("numero_item"),
-        F.col("l_partkey").cast("string").alias("codigo"),
-        F.lit(None).cast("string").alias("descricao"),
-        F.col("l_suppkey").cast("string").alias("ncm"),
-        F.col("l_linestatus").alias("cfop"),
-        F.col("l_returnflag").alias("unidade"),
-        F.col("l_quantity").cast("decimal(18,4)").cast("string").alias("quantidade"),
-        F.lit(None).cast("string").alias("valor_unitario"),
-        money_text("l_extendedprice").alias("valor_total_item"),
-    )
-    heads = li.select(
+def order_items(lineitem: DataFrame, total: Callable[[Column], Column]) -> DataFrame:
+    """``l_orderkey, itens``: the items of an order as one array, in the order of their columns; ``total`` gives the text of
+    the amount. Lines without an order belong to no other line: each has an array of its own."""
+    columns = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    alone = F.when(F.col("l_orderkey").isNull(), F.monotonically_increasing_id()).alias("__alone")
+    of_order = lineitem.select("l_orderkey", alone, F.struct(*columns).alias("line")).groupBy("l_orderkey", "__alone").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    nothing = F.lit(None).cast("string")
+    items = F.transform(
+        "lines",
+        lambda i: F.struct(
+            i["l_linenumber"].cast("string").alias("numero_item"), i["l_partkey"].cast("string").alias("codigo"),
+            nothing.alias("descricao"), i["l_suppkey"].cast("string").alias("ncm"), i["l_linestatus"].alias("cfop"),
+            i["l_returnflag"].alias("unidade"), i["l_quantity"].cast("decimal(18,4)").cast("string").alias("quantidade"),
+            nothing.alias("valor_unitario"), total(i["l_extendedprice"]).alias("valor_total_item"),
+        ),
+    )
+    return of_order.select("l_orderkey", items.alias("itens"))
+
+
+def item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One NF-e document per order, with a ``det`` for each of its line items."""
+    orders = order_items(read_table(spark, sf_dir, "lineitem"), money_text)
+    heads = orders.select(
         invoice_id(F.col("l_orderkey")).alias("id_nfe"),
         F.concat(F.lit("nfe_"), F.col("l_orderkey").cast("string"), F.lit(".xml")).alias("arquivo_origem"),
-        F.array(item).alias("__items"),
+        F.col("itens").alias("__items"),
     )
     cols = {c: F.lit(None).cast("string") for c in S.HEADER_FIELDS if c != "id_nfe"}
-    docs = heads.withColumns(cols).select(
-        invoice_document(invoice_body(F.col("__items"))).alias("value"), "arquivo_origem"
-    )
-    return parse_documents(docs).items
+    return heads.withColumns(cols).select(invoice_document(invoice_body(F.col("__items"))).alias("value"), "arquivo_origem")
+
+
+def q_xml_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items grouped to one document per order, parsed and exploded to item grain."""
+    return parse_documents(item_documents(spark, sf_dir)).items
 
 
 def q_xml_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -537,21 +547,9 @@ def item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The invoices published with their items, as landed; the items of an order make one document, in the order of their columns."""
 
     def build():
-        li = read_table(spark, sf_dir, "lineitem")
-        item = F.struct(*[F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")])
-        of_order = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("lines"))
-        nothing = F.lit(None).cast("string")
-        items = F.transform(
-            "lines",
-            lambda i: F.struct(
-                i["l_linenumber"].cast("string").alias("numero_item"), i["l_partkey"].cast("string").alias("codigo"),
-                nothing.alias("descricao"), i["l_suppkey"].cast("string").alias("ncm"), i["l_linestatus"].alias("cfop"),
-                i["l_returnflag"].alias("unidade"), i["l_quantity"].cast("decimal(18,4)").cast("string").alias("quantidade"),
-                nothing.alias("valor_unitario"), i["l_extendedprice"].cast("decimal(18,2)").cast("string").alias("valor_total_item"),
-            ),
-        )
+        of_order = order_items(read_table(spark, sf_dir, "lineitem"), lambda price: price.cast("decimal(18,2)").cast("string"))
         rec = records(spark, sf_dir)
-        whole = rec.join(of_order, rec["o_orderkey"] == of_order["l_orderkey"], "left").withColumn("itens", items)
+        whole = rec.join(of_order, rec["o_orderkey"] == of_order["l_orderkey"], "left")
         fields = S.INVOICE_WITH_ITEMS.fieldNames()
         path = scratch_path(spark, "item_messages")
         messages = whole.select("o_orderkey", record_json(*fields).alias("payload")).withColumn("run", F.explode(F.array(F.lit(0), F.lit(1))))
